@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import decontaminate, licenses, quality
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
+    "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
+    "op9_license_scan": licenses.op9_license_scan,
 }
 ORACLE_SQL = {
     "op4_quality_rules": quality.ORACLE_SQL,
+    "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }
