@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, quality
+from . import decontaminate, licenses, near_dup, quality, url_filter
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
+    "op8_minhash_near_dedup": near_dup.op8_minhash_near_dedup,
     "op9_license_scan": licenses.op9_license_scan,
+    "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLE_SQL = {
     "op4_quality_rules": quality.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op8_minhash_near_dedup": near_dup.ORACLE_SQL,
 }
