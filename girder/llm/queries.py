@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, near_dup, quality, url_filter
+from . import decontaminate, licenses, near_dup, quality, repeats, url_filter
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
+    "op6_suffix_array_dedup": repeats.op6_suffix_array_dedup,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_minhash_near_dedup": near_dup.op8_minhash_near_dedup,
     "op9_license_scan": licenses.op9_license_scan,
