@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, near_dup, quality, repeats, url_filter
+from . import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, toxicity, url_filter
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op3_poisson_mixing": mixing.op3_poisson_mixing,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_suffix_array_dedup": repeats.op6_suffix_array_dedup,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_minhash_near_dedup": near_dup.op8_minhash_near_dedup,
@@ -13,6 +16,8 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
 }
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.ORACLE_SQL,
+    "op3_poisson_mixing": mixing.ORACLE_SQL,
     "op4_quality_rules": quality.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op8_minhash_near_dedup": near_dup.ORACLE_SQL,
