@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, toxicity, url_filter
+from . import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_secret_scan": secrets.op2_secret_scan,
     "op3_poisson_mixing": mixing.op3_poisson_mixing,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_toxicity": toxicity.op5_toxicity,
