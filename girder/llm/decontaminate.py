@@ -85,21 +85,23 @@ def _covered(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """docs with n_words, n_hit and item_ids (of the items that have a window in the text)."""
+    """docs with n_words, n_hit and item_ids (of the items that have a window in the text); input columns of these names are replaced."""
     found, index = _index(docs, items, width)
     candidates = intersect(index, found).join(broadcast_if_small(found.select("phrase", "n", "items"), 400), "phrase")
-    per_doc = candidates.groupBy(F.col("doc_id").alias("c_doc"), F.col("key").alias("c_key")).agg(F.collect_set(F.struct("start", "n", "phrase", "items")).alias("c_places"))
-    both = docs.join(per_doc, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (text_key(docs["text"]) == F.col("c_key")), "left")
+    per_doc = candidates.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("start", "n", "phrase", "items")).alias("__places"))
+    both = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]) & (text_key(docs["text"]) == per_doc["__key"]), "left")
     no_ids = F.array().cast(found.schema["items"].dataType)
 
     def confirmed(w: Column) -> Column:
-        exact = F.filter("c_places", lambda c: F.array_join(F.slice(w, c["start"] + 1, c["n"]), " ") == c["phrase"])
+        exact = F.filter(per_doc["__places"], lambda c: F.array_join(F.slice(w, c["start"] + 1, c["n"]), " ") == c["phrase"])
         return let(
             F.sort_array(exact),
             lambda hits: F.struct(F.size(w).cast("long").alias("n_words"), F.coalesce(_covered(hits), F.lit(0)).alias("n_hit"), F.coalesce(F.array_distinct(F.flatten(F.transform(hits, lambda h: h["items"]))), no_ids).alias("item_ids")),
         )
 
-    return both.select(*[docs[c] for c in docs.columns], let(alnum_words(docs["text"]), confirmed).alias("c_found")).select(*docs.columns, "c_found.n_words", "c_found.n_hit", "c_found.item_ids")
+    own = ("n_words", "n_hit", "item_ids")
+    columns = [c for c in docs.columns if c not in own]
+    return both.select(*[docs[c] for c in columns], let(alnum_words(docs["text"]), confirmed).alias("__found")).select(*columns, *[f"__found.{c}" for c in own])
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

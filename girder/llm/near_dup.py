@@ -197,8 +197,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs but those of a component that aren't its smallest doc_id."""
     found = near_duplicates(docs, width, percent)
-    gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("g_doc"), F.col("key").alias("g_key")).distinct(), "gone")
-    return docs.join(broadcast_if_small(gone, 40), docs["doc_id"].eqNullSafe(F.col("g_doc")) & (text_key(docs["text"]) == F.col("g_key")), "left_anti")
+    gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct(), "gone")
+    return docs.join(broadcast_if_small(gone, 40), docs["doc_id"].eqNullSafe(gone["__doc"]) & (text_key(docs["text"]) == gone["__key"]), "left_anti")
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

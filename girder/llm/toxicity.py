@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +24,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from .common import table, text_key
+from .common import table
 
 #: Most labelled rows of each class that the model is fitted on.
 PER_CLASS = 3000
@@ -163,17 +163,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit([t or "" for t in rows["text"]], rows["toxic"].to_numpy(bool), counts.get(1, 0) / total if total else 0.1)
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, key (of the text) and score of each row."""
+def scorer(model: Model):
+    """A column function from text to score."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch[["doc_id", "key"]].assign(score=[model.score(t) for t in batch["text"]])
+    @F.pandas_udf(DoubleType())
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series([model.score(t) for t in text], dtype="float64")
 
-    return docs.select("doc_id", text_key(F.col("text")).alias("key"), "text").mapInPandas(run, "doc_id long, key long, score double")
+    return score
+
+
+def without_toxic(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
+    """The rows of docs that score below most."""
+    return docs.where(scorer(model)(docs["text"]) < most)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = scored(docs, train(docs, table(spark, sf_dir, "labels")))
+    score = scorer(train(docs, table(spark, sf_dir, "labels")))
+    found = docs.select("doc_id", score("text").alias("score"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
