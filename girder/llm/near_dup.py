@@ -4,11 +4,14 @@
    truncated minima: register i is floor(1 - log_b(x_i)), x_i the least of the set's exponential draws. Registers of a
    union are the maxima of the parts' registers.
 2. Texts with equal sets are one class from here on; classes carry their smallest doc_id.
-3. Bands of four registers make buckets. Each class is first compared with one partner, the least of the least
-   members of its buckets. Confirmed links join classes to components.
+3. Bands of four registers make buckets. Each bucket has a pivot, the member with the least share of shingles that no
+   other candidate holds: among copies with edits, the original or the copy nearest to it. Each class is first compared
+   with the pivot that it shares most buckets with, then with its other pivots. Confirmed links join classes to
+   components.
 4. Then only pairs that share a bucket but not yet a component are compared, so that a group of n copies costs about n
-   comparisons, not n * n. Before a pair is confirmed on full sets, the joint likelihood of its registers (how many
-   are equal, given the sizes) rules out those far below the threshold.
+   comparisons, not n * n. Shingles of its own bound what a class can share with any other, which rules out heavily
+   edited copies exactly, as classes against the bucket and as pairs. Before a pair is confirmed on full sets, the
+   joint likelihood of its registers (how many are equal, given the sizes) rules out those far below the threshold.
 5. Links become components by alternating least-neighbour steps, written to the shared folder at each step.
 
 With 32 bands of four registers, a pair at similarity 0.85 misses all buckets with a probability of 1e-10, at 0.80
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -32,6 +35,8 @@ from .common import broadcast_if_small, table, text_key, written
 
 REGISTERS, ROWS = 128, 4
 BASE, TOP = 1.001, 65_534
+#: Shingles of their own are counted for classes in buckets of more than so many members; others bound nothing.
+LARGE = 8
 #: A pair is compared on full sets unless its registers are less likely than this many standard deviations below the threshold.
 SIGMAS = 5.0
 
@@ -101,6 +106,12 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"bucket": key.ravel().astype(np.int64), "set_id": batch["set_id"].repeat(n).to_numpy()})
 
 
+def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        sizes = [len(h) // 8 for h in batch["hashes"]]
+        yield pd.DataFrame({"h": np.frombuffer(b"".join(batch["hashes"]), np.int64), "c": np.repeat(batch["c"].to_numpy(np.int64), sizes)})
+
+
 def least_likely(threshold: float) -> int:
     """Equal registers below which a pair at the threshold is SIGMAS standard deviations away: equal registers of a pair with similarity J are about binomial with J."""
     return int(REGISTERS * threshold - SIGMAS * (REGISTERS * threshold * (1 - threshold)) ** 0.5)
@@ -157,35 +168,50 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sketches = written(keyed.mapInPandas(_sketcher(width), "doc_id long, key long, n_shingles long, set_id binary, sketch binary"), "sketches")
     classes = written(sketches.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "key")).alias("at"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     buckets = written(classes.select("set_id", "sketch").mapInPandas(_bands, "bucket long, set_id binary"), "bands")
-    shared = buckets.groupBy("bucket").agg(F.min("set_id").alias("b"), F.count("*").alias("size")).where("size > 1").select("bucket", "b")
-    members = written(buckets.join(shared, "bucket").withColumnRenamed("set_id", "a"), "members")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(buckets.join(shared, "bucket").select("bucket", F.col("set_id").alias("a"), "size"), "members")
 
-    wanted = members.select(F.col("a").alias("set_id")).distinct().join(classes.select("set_id", "at"), "set_id").select("set_id", F.col("at.doc_id").alias("w_doc"), F.col("at.key").alias("w_key"))
-    wanted = broadcast_if_small(written(wanted, "wanted"), 64)
-    texts = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
+    wanted = members.groupBy(F.col("a").alias("set_id")).agg(F.max("size").alias("size")).join(classes.select("set_id", "at"), "set_id").select("set_id", "size", F.col("at.doc_id").alias("w_doc"), F.col("at.key").alias("w_key"))
+    wanted = written(wanted, "wanted")
+    texts = keyed.join(broadcast_if_small(wanted, 64), F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
     sets = written(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
-    sketch = classes.select("set_id", "n", "sketch")
+    crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi").select(F.xxhash64("set_id").alias("c"), "hashes")
+    alone = crowded.mapInPandas(_hashes, "h long, c long").groupBy("h").agg(F.count("*").alias("df"), F.min("c").alias("c")).where("df = 1").groupBy("c").agg(F.count("*").alias("own"))
+    known = wanted.select("set_id").join(classes.select("set_id", "n", "sketch"), "set_id").withColumn("c", F.xxhash64("set_id")).join(alone, "c", "left")
+    info = written(known.select("set_id", "n", F.coalesce("own", F.lit(0)).alias("own"), "sketch"), "info")
+
+    def possible(n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
+        """Whether two sets, given what each has for its own, can be alike enough."""
+        both = F.least(n - own, other_n - other_own)
+        return 100 * both >= percent * (n + other_n - both)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        side = lambda x: sketch.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("sketch").alias(f"s{x}"))
+        sized = pairs.join(side("a"), "a").join(side("b"), "b").where(possible(F.col("na"), F.col("oa"), F.col("nb"), F.col("ob")))
         likely = sized.where(_same(percent)("sa", "sb")).select("a", "b")
         full = lambda x: sets.select(F.col("set_id").alias(x), F.col("hashes").alias(f"h{x}"))
         return likely.join(full("a"), "a").join(full("b"), "b").where(_linked(percent)("ha", "hb")).select("a", "b")
 
-    first = members.where("a != b").groupBy("a").agg(F.min("b").alias("b"))
-    links = written(confirmed(first), "links")
+    sized = members.select("bucket", "a").join(info.select(F.col("set_id").alias("a"), "n", "own"), "a")
+    pivots = sized.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "a")).alias("p"), F.min("n").alias("least_n")).select("bucket", F.col("p.a").alias("b"), "least_n")
+    placed = written(sized.join(pivots, "bucket"), "placed")
+    stars = written(placed.where("a != b").groupBy("a", "b").agg(F.count("*").alias("n")), "stars")
+    links = written(confirmed(stars.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))), "links")
     roots = written(components(links), "roots")
 
     root = lambda x: F.coalesce(f"r{x}", x)
     of = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
-    # a bucket whose members are of one component holds nothing more to find
-    labelled = members.select("bucket", "a").join(of("a"), "a", "left").select("bucket", "a", root("a").alias("r"))
+    apart = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").where(root("a") != root("b")).select("a", "b")
+    links = written(links.union(confirmed(apart)), "links")
+    roots = written(components(links), "roots")
+    # a bucket whose members are of one component holds nothing more to find, nor does a class that can't be alike to any in it
+    able = placed.where(possible(F.col("n"), F.col("own"), F.greatest("least_n", F.col("n") - F.col("own")), F.lit(0))).select("bucket", "a", "n", "own")
+    labelled = able.join(of("a"), "a", "left").withColumn("r", root("a"))
     open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("bucket")
-    left = written(labelled.join(open_, "bucket"), "open")
-    right = left.select("bucket", F.col("a").alias("b"), F.col("r").alias("s"))
-    pairs = left.join(right, "bucket").where("r < s").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = written(confirmed(pairs), "links")
+    left = written(labelled.join(open_, "bucket").select("bucket", "a", "n", "own", "r"), "open")
+    right = left.select("bucket", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), F.col("r").alias("s"))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("r") < F.col("s")) & possible(F.col("n"), F.col("own"), F.col("nb"), F.col("ob")))
+    more = written(confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "links")
     roots = written(components(links.union(more)), "roots") if more.limit(1).count() else roots
 
     named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
