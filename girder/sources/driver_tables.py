@@ -48,9 +48,9 @@ def building(spark: SparkSession, sf_dir: str) -> Model:
     region, orders, part, customer, lineitem = read("region"), read("orders"), read("part"), read("customer"), read("lineitem")
     key, okey = F.col("r_regionkey"), F.col("o_orderkey")
 
-    saved = read("events").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last"), F.count_if(F.col("event_type") == "purchase").alias("saves"), F.max(F.when(F.col("event_type").isin("click", "signup"), F.col("ts"))).alias("touched"))
+    saved = read("events").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last"), F.count_if(F.col("event_type") == "purchase").alias("saves"), F.max(F.when(F.col("event_type").isin("click", "signup"), F.col("ts"))).alias("touched")).withColumn("__doc", F.lit(0))
     info = F.struct(F.concat(F.lit("info-"), key).alias("unique_id"), F.when(key == 2, F.concat(F.lit("Project "), F.col("r_name"))).otherwise("").alias("name"), F.concat(F.lit("N"), key).alias("number"), F.lit(None).cast("string").alias("client"), F.lit("").alias("address"), F.when(key == 1, "Main").alias("building"))
-    documents = region.join(F.broadcast(saved)).select(
+    documents = region.join(F.broadcast(saved), key == F.col("__doc"), "left").select(
         key.alias("doc_id"), F.col("r_name").alias("title"), F.when(key == 3, "").otherwise(F.concat(F.lit("/models/"), F.lower("r_name"))).alias("path"),
         F.when(key == 0, F.md5(F.date_format("last", "yyyy-MM-dd HH:mm:ss"))).alias("version_guid"), F.when(key == 0, F.col("saves")).alias("number_of_saves"), F.coalesce(F.when(key == 0, F.col("touched") > F.col("last")), F.lit(False)).alias("is_modified"),
         (key % 2 == 0).alias("is_workshared"), (key != 0).alias("is_linked"), (key == 0).alias("is_active"), F.when(key.isin(1, 2), info).alias("project_info"),
