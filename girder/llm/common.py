@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -60,6 +61,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more, and lets Spark clean up the shuffles of jobs that are over."""
+    for df in tables:
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    SparkSession.active()._jvm.System.gc()
+
+
 def small(df: DataFrame, row_bytes: int) -> bool:
     """Whether a written table is within the bounds of a broadcast."""
     return df.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes)

@@ -1,20 +1,21 @@
 """Suffix-array dedup: every byte covered by a 200-byte string that also starts elsewhere, by distributed prefix doubling.
 
 A suffix array would rank all positions of the corpus; its ranks of 8 bytes each are many times the text. Here ranks
-are 64-bit fingerprints, doubled from 1 to 64, 128 and 200 bytes inside each text, and Spark sorts only sampled
-positions:
+are 64-bit fingerprints, doubled from 1 to 64, then 96, 128 and 200 bytes inside each text, and Spark sorts only
+sampled positions:
 
-1. Each 200-byte window picks an anchor, its 64-byte string of least fingerprint. Equal windows pick equal anchors at
-   the same offset, so windows whose anchor string is unique in the corpus are done. About one position in 69 is one.
+1. Each 200-byte window picks an anchor, its 96-byte string of least fingerprint. Equal windows pick equal anchors at
+   the same offset, so windows whose anchor string is unique in the corpus are done. About one position in 53 is one.
 2. The windows of one anchor are consecutive. Their pair of first and last rank names the string that they make up
-   together: if that repeats, all of them do.
-3. What is left is split into blocks of eight windows at fixed offsets to the anchor: again a block whose string
-   repeats is done, and so is one whose core (the bytes that all its windows share) is unique.
-4. The windows of the blocks left are ranked one by one.
+   together. Spark sorts the pairs (anchor's rank, that rank); where neighbours are equal, all the windows repeat.
+3. What is left is split into blocks of eight windows at fixed offsets to the anchor and sorted again: a block whose
+   string repeats is done, and so is one whose core (the bytes that all its windows share) is unique.
+4. The windows of the blocks left are ranked and sorted one by one.
 
 Steps 3 and 4 take one representative of each class of equal strings, so a passage that a third of all texts share
-costs as much as one that two share. Nothing is capped: each step either proves a window repeated, or unique, or hands
-it on. Ranks are compared by aggregation and joins on fingerprints, which AQE can split.
+costs as much as one that two share; and what repeats within a task is settled there and sends one row. Sorted rows
+are read as a stream: no group of equal ranks is ever held, however large. Nothing is capped: each step either proves a
+window repeated, or unique, or hands it on.
 
 A null text is empty. Texts below 200 bytes lose nothing. Rows that repeat are two texts that repeat each other, also
 when they share a doc_id. Texts are worked through in pieces of a million windows, so memory stays bounded.
@@ -24,22 +25,24 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, table, text_key, written
+from .common import BROADCAST_BYTES, drop, table, written
 
-LENGTH, ANCHOR, BLOCK = 200, 64, 8
+LENGTH, ANCHOR, BLOCK = 200, 96, 8
 #: Anchors are chosen among so many places of a window.
 PLACES = LENGTH - ANCHOR + 1
 PIECE = 1 << 20
 
 _RNG = np.random.default_rng(20240603)
 _BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FACTOR = {n: x for n, x in zip((1, 2, 4, 8, 16, 32, 64, 65, 72), _RNG.integers(0, 1 << 63, 9, dtype=np.uint64) * np.uint64(2) + np.uint64(1), strict=True)}
+_OFFSETS = (1, 2, 4, 8, 16, 32, 64, 65, 72, 96)
+_FACTOR = dict(zip(_OFFSETS, _RNG.integers(0, 1 << 63, len(_OFFSETS), dtype=np.uint64) * np.uint64(2) + np.uint64(1), strict=True))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -48,9 +51,9 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _pair(h: np.ndarray, offset: int) -> np.ndarray:
+def _pair(h: np.ndarray, offset: int, factor: np.uint64 | None = None) -> np.ndarray:
     """Ranks of longer strings, from the pairs of ranks at this offset."""
-    out = h[:-offset] * _FACTOR[offset]
+    out = h[:-offset] * (factor or _FACTOR[offset])
     out += h[offset:]
     out ^= out >> np.uint64(29)
     return out
@@ -71,8 +74,8 @@ def window_ranks(h128: np.ndarray) -> np.ndarray:
 def anchored(data: np.ndarray) -> tuple[np.ndarray, ...]:
     """first and last window, anchor, its rank, and the rank of what the windows make up, of each run of windows with one anchor."""
     h64, h128 = ranks(data)
-    h200 = window_ranks(h128)
-    least = (_mix(h64) & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h64), dtype=np.uint64)
+    h200, h96 = window_ranks(h128), _mix(_pair(h64, ANCHOR - 64, _FACTOR[96]))
+    least = (h96 & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h96), dtype=np.uint64)
     n = 1
     while 2 * n <= PLACES:
         least = np.minimum(least[:-n], least[n:])
@@ -81,122 +84,221 @@ def anchored(data: np.ndarray) -> tuple[np.ndarray, ...]:
     first = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
     last = np.append(first[1:] - 1, len(at) - 1)
     union = _mix(h200[first] * _FACTOR[1] + _mix(h200[last] * _FACTOR[2] + (last - first).astype(np.uint64)))
-    return first, last, at[first], h64[at[first]], union
+    return first, last, at[first], h96[at[first]], union
+
+
+#: A run of windows in one number: its first window, how many follow, and how far its anchor is from the first.
+def _packed(lo: np.ndarray, hi: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (lo.astype(np.int64) << 32) | ((hi - lo).astype(np.int64) << 16) | (at - lo).astype(np.int64)
+
+
+def _unpacked(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    run = np.asarray(run, np.int64)
+    lo = run >> 32
+    return lo, lo + (run >> 16 & 0xFFFF), lo + (run & 0xFFFF)
+
+
+class _Rows:
+    """Columns of rows of many texts, gathered as arrays."""
+
+    def __init__(self, *names: str):
+        self.names, self.parts, self.ids, self.counts = names, [], [], []
+
+    def add(self, doc_id, key: int, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+        self.ids.append((doc_id, key))
+        self.counts.append(len(columns[0]))
+
+    def frames(self) -> Iterator[pd.DataFrame]:
+        if self.parts:
+            ids = pd.DataFrame(self.ids, columns=["doc_id", "key"]).astype({"doc_id": "Int64"})
+            columns = {n: np.concatenate(c).view(np.int64) for n, c in zip(self.names, zip(*self.parts, strict=True), strict=True)}
+            yield _combined(pd.concat([pd.DataFrame(columns), ids.loc[ids.index.repeat(self.counts)].reset_index(drop=True)], axis=1))
+
+
+def _combined(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows with n: 1. Of rows with equal ranks, which repeat each other, n is 0 and only a representative with n 2 is left to be sorted."""
+    rows = rows.iloc[np.lexsort((rows["union"], rows["core"]))].reset_index(drop=True)
+    core, union = rows["core"].to_numpy(), rows["union"].to_numpy()
+    same = np.append(False, (core[1:] == core[:-1]) & (union[1:] == union[:-1]))
+    again = same | np.append(same[1:], False)
+    first = rows[again & ~same].assign(n=2)
+    core = np.where(again, core ^ rows["run"].to_numpy() * 0x9E3779B97F4A7C1 ^ rows["doc_id"].fillna(0).to_numpy(np.int64), core)  # settled rows are dealt out at random
+    return pd.concat([rows.assign(core=core, n=np.where(again, 0, 1)), first])
+
+
+def _texts(batch: pd.DataFrame) -> Iterator[tuple]:
+    ids = batch["doc_id"].astype("Int64")
+    for i in range(len(batch)):
+        yield ids.iat[i], batch["key"].iat[i], np.frombuffer((batch["text"].iat[i] or "").encode(), np.uint8)
+
+
+ROW = "core long, union long, run long, doc_id long, key int, n int"
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        out = []
-        for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"], strict=True):
-            data = np.frombuffer((text or "").encode(), np.uint8)
+        rows = _Rows("core", "union", "run")
+        for doc_id, key, data in _texts(batch):
             for i in range(0, len(data) - LENGTH + 1, PIECE):
                 first, last, at, core, union = anchored(data[i : i + PIECE + LENGTH - 1])
-                out.append(pd.DataFrame({"core": core.view(np.int64), "union": union.view(np.int64), "doc_id": pd.array([doc_id] * len(first), "Int64"), "key": key, "lo": first + i, "hi": last + i, "at": at + i}))
-        if out:
-            yield pd.concat(out)
-
+                rows.add(doc_id, key, core, union, _packed(first + i, last + i, at + i))
+        yield from rows.frames()
 
-ROW = "core long, union long, doc_id long, key long, lo int, hi int, at int"
 
-
-def _slices(text: str, ranges: list[tuple[int, int]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each range of windows: its number, and the ranks of its strings of 128 and 200 bytes."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    for i in range(0, len(ranges), 4096):
-        part = [data[lo : hi + LENGTH] for lo, hi in ranges[i : i + 4096]]
+def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each run of windows: its number, and the ranks of its strings of 128 and 200 bytes."""
+    for i in range(0, len(lo), 4096):
+        part = [data[a : b + LENGTH] for a, b in zip(lo[i : i + 4096].tolist(), hi[i : i + 4096].tolist(), strict=True)]
         h128 = ranks(np.concatenate(part))[1]
+        h200 = window_ranks(np.append(h128, np.zeros(LENGTH, np.uint64)))
         start = 0
         for k, x in enumerate(part):
-            own = h128[start : start + len(x) - 127]
-            yield i + k, own, window_ranks(own)
+            yield i + k, h128[start : start + len(x) - 127], h200[start : start + len(x) - LENGTH + 1]
             start += len(x)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Splits runs of windows into blocks at fixed offsets to the anchor. The core is what the windows of the full block share, also where the run holds but some of them: the 193 bytes from its last window's start on."""
     for batch in batches:
-        out = []
-        for doc_id, key, text, runs in zip(batch["doc_id"], batch["key"], batch["text"], batch["runs"], strict=True):
-            for k, h128, h200 in _slices(text, [(r["lo"], r["hi"]) for r in runs]):
-                lo, hi, at = (runs[k][x] for x in ("lo", "hi", "at"))
+        rows = _Rows("core", "union", "run")
+        for (doc_id, key, data), runs in zip(_texts(batch), batch["runs"], strict=True):
+            los, his, ats = _unpacked(runs)
+            for k, h128, h200 in _slices(data, los, his):
+                lo, hi, at = los[k], his[k], ats[k]
                 most = at - BLOCK * np.arange((at - hi) // BLOCK, (at - lo) // BLOCK + 1)
                 p, q = np.maximum(most - BLOCK + 1, lo), np.minimum(most, hi)
                 core = _mix(h128[most - lo] * _FACTOR[65] + h128[most - lo + 65])
                 place = ((q - p) * 2 * BLOCK + most - p).astype(np.uint64)
                 union = _mix(h200[p - lo] * _FACTOR[1] + _mix(h200[q - lo] * _FACTOR[2] + place))
-                out.append(pd.DataFrame({"core": core.view(np.int64), "union": union.view(np.int64), "doc_id": pd.array([doc_id] * len(p), "Int64"), "key": key, "lo": p, "hi": q, "at": at}))
-        if out:
-            yield pd.concat(out)
+                rows.add(doc_id, key, core, union, _packed(p, q, most))
+        yield from rows.frames()
 
 
 def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rank of each window of the runs."""
     for batch in batches:
-        out = []
-        for doc_id, key, text, runs in zip(batch["doc_id"], batch["key"], batch["text"], batch["runs"], strict=True):
-            for k, _, h200 in _slices(text, [(r["lo"], r["hi"]) for r in runs]):
-                out.append(pd.DataFrame({"rank": h200.view(np.int64), "doc_id": pd.array([doc_id] * len(h200), "Int64"), "key": key, "lo": np.arange(len(h200)) + runs[k]["lo"]}))
-        if out:
-            yield pd.concat(out)
+        rows = _Rows("core", "union", "run")
+        for (doc_id, key, data), runs in zip(_texts(batch), batch["runs"], strict=True):
+            los, his, _ = _unpacked(runs)
+            for k, _, h200 in _slices(data, los, his):
+                at = los[k] + np.arange(len(h200))
+                rows.add(doc_id, key, h200, h200, _packed(at, at, at))
+        yield from rows.frames()
+
+
+def spans(runs: np.ndarray) -> list[tuple[int, int]]:
+    """The maximal runs of bytes that runs of windows, in order, cover."""
+    lo, hi, _ = _unpacked(runs)
+    end = np.maximum.accumulate(hi + LENGTH)
+    cut = np.flatnonzero(lo[1:] > end[:-1]) + 1
+    return list(zip(lo[np.append(0, cut)].tolist(), end[np.append(cut - 1, len(end) - 1)].tolist(), strict=True))
 
 
 def _removed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cuts the runs of windows, in order and apart, out of the texts."""
+    """Cuts the runs of windows, which are in order, out of the texts."""
     for batch in batches:
         out = []
         for text, runs in zip(batch["text"], batch["runs"], strict=True):
-            data, spans = (text or "").encode(), []
-            for r in [] if runs is None else runs:
-                if spans and r["lo"] <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], r["hi"] + LENGTH)
-                else:
-                    spans.append([r["lo"], r["hi"] + LENGTH])
+            data, cut = (text or "").encode(), [] if runs is None else spans(runs)
             kept, end = hashlib.sha256(), 0
-            for a, b in spans:
+            for a, b in cut:
                 kept.update(data[end:a])
                 end = b
             kept.update(data[end:])
-            out.append((len(data), sum(b - a for a, b in spans), len(spans), kept.hexdigest(), [{"start": a, "end": b} for a, b in spans]))
+            out.append((len(data), sum(b - a for a, b in cut), len(cut), kept.hexdigest(), [{"start": a, "end": b} for a, b in cut]))
         yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])], axis=1)
 
 
-def _per_text(runs: DataFrame, *columns: str) -> DataFrame:
+def _per_text(runs: DataFrame) -> DataFrame:
     """The runs of each text as one array, in order. A text's runs are fewer than its bytes."""
-    return written(runs.groupBy(F.col("doc_id").alias("r_doc"), F.col("key").alias("r_key")).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("runs")), "runs")
+    return written(runs.groupBy(F.col("doc_id").alias("r_doc"), F.col("key").alias("r_key")).agg(F.sort_array(F.collect_list("run")).alias("runs")), "runs")
 
 
 def _with_runs(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
     """Texts with their runs; the runs are broadcast if their measured size is within the bound, else the join shuffles."""
-    size = runs.agg(F.sum(64 + 16 * F.size("runs"))).first()[0] or 0
+    size = runs.agg(F.sum(64 + 8 * F.size("runs"))).first()[0] or 0
     runs = F.broadcast(runs) if size <= BROADCAST_BYTES else runs
     return docs.join(runs, docs["doc_id"].eqNullSafe(F.col("r_doc")) & (docs["key"] == F.col("r_key")), how).select("doc_id", "key", "text", "runs")
 
 
-def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(runs whose string repeats, representatives of what must be split further)."""
-    classes = written(rows.groupBy("core", "union").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "lo", "hi", "at")).alias("rep")), "classes")
-    open_ = classes.groupBy("core").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("core")
-    left = classes.join(open_, "core", "left_semi").select("rep.*")
-    same = rows.join(classes.where("n > 1").select("core", "union"), ["core", "union"], "left_semi").select("doc_id", "key", "lo", "hi")
-    return same, left
+def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """From rows in the order of their ranks: runs whose string repeats (split false), and representatives of what must be split further.
+
+    A core is split if it has several classes of equal strings and one of them is alone. Only the rows of the last core
+    wait for the next batch. If those become many, all but the last class go on, and the core counts as one to be split.
+    """
+    wait, many = None, None
+    for batch in _and_end(batches):
+        parts = [x for x in (wait, batch) if x is not None]
+        if not parts:
+            return
+        rows, wait = pd.concat(parts, ignore_index=True), None
+        settled = (rows["n"] == 0).to_numpy()
+        if settled.any():
+            yield rows.loc[settled, RUN].assign(split=False)
+            rows = rows[~settled].reset_index(drop=True)
+        if not len(rows):
+            continue
+        core, union = rows["core"].to_numpy(), rows["union"].to_numpy()
+        new_core = np.append(True, core[1:] != core[:-1])
+        new_class = new_core | np.append(True, union[1:] != union[:-1])
+        end, forced = len(rows), core == many
+        if batch is not None:
+            end = np.flatnonzero(new_core)[-1]
+            if len(rows) - end > HELD:
+                many, end = core[-1], np.flatnonzero(new_class)[-1]
+                forced |= core == many
+            wait = rows.iloc[end:]
+            if len(wait) > HELD:  # one class, which repeats: one row stands for it
+                yield wait.loc[wait["n"] == 1, RUN].assign(split=False)
+                wait = wait.iloc[:1].assign(n=2)
+        if end:
+            yield from _class_rows(rows.iloc[:end], new_core[:end], new_class[:end], forced[:end])
+
+
+def _class_rows(rows: pd.DataFrame, new_core: np.ndarray, new_class: np.ndarray, forced: np.ndarray) -> Iterator[pd.DataFrame]:
+    n = rows["n"].to_numpy()
+    at_class, at_core = np.flatnonzero(new_class), np.flatnonzero(new_core)
+    size, first_class = np.add.reduceat(n, at_class), np.searchsorted(at_class, at_core)
+    per_core = np.diff(np.append(first_class, len(at_class)))
+    alone = np.add.reduceat((size == 1).astype(np.int64), first_class)
+    split = np.repeat(((per_core > 1) & (alone > 0)) | forced[at_core], per_core)
+    repeats = np.repeat(size > 1, np.diff(np.append(at_class, len(n)))) & (n == 1)
+    yield rows.loc[repeats, RUN].assign(split=False)
+    yield rows.iloc[at_class[split]][RUN].assign(split=True)
+
+
+RUN = ["doc_id", "key", "run"]
+#: Rows of one core that wait for the next batch at most.
+HELD = 100_000
+
+
+def _and_end(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
+
+
+def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(runs whose string repeats, representatives of what must be split further), each as runs per text; and the table below both."""
+    ordered = rows.repartition("core").sortWithinPartitions("core", "union")
+    found = written(ordered.mapInPandas(_classified, "doc_id long, key int, run long, split boolean"), "settled")
+    return found.where("NOT split"), _per_text(found.where("split")), found
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, key, runs (lo, hi: windows, by their first byte, that repeat) of the texts that have some. docs: doc_id, key, text."""
-    anchors = written(docs.where(F.octet_length("text") >= LENGTH).mapInPandas(_anchors, ROW), "anchors")
-    often = anchors.groupBy("core").count().where("count > 1").select("core")
-    rows = written(anchors.join(often, "core", "left_semi"), "repeated")
-    whole, left = _split(rows)
-    blocks = written(_with_runs(docs, _per_text(left, "lo", "hi", "at"), "inner").mapInPandas(_blocks, ROW), "blocks")
-    in_blocks, left = _split(blocks)
-    single = written(_with_runs(docs, _per_text(left, "lo", "hi"), "inner").mapInPandas(_single, "rank long, doc_id long, key long, lo int"), "windows")
-    alone = single.join(single.groupBy("rank").count().where("count > 1").select("rank"), "rank", "left_semi").select("doc_id", "key", "lo", F.col("lo").alias("hi"))
-    return _per_text(whole.unionByName(in_blocks).unionByName(alone), "lo", "hi")
+    whole, left, first = _settled(docs.where(F.octet_length("text") >= LENGTH).mapInPandas(_anchors, ROW))
+    in_blocks, smaller, second = _settled(_with_runs(docs, left, "inner").mapInPandas(_blocks, ROW))
+    alone, _, third = _settled(_with_runs(docs, smaller, "inner").mapInPandas(_single, ROW))
+    all_runs = _per_text(reduce(DataFrame.unionByName, [x.select("doc_id", "key", "run") for x in (whole, in_blocks, alone)]))
+    drop(first, second, third, left, smaller)
+    return all_runs
 
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes, end exclusive) of each row."""
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+    keyed = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("key"), "text")
     return _with_runs(keyed, repeated(keyed), "left").mapInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
 
 
