@@ -10,8 +10,10 @@
    components.
 4. Then only pairs that share a bucket but not yet a component are compared, so that a group of n copies costs about n
    comparisons, not n * n. Shingles of its own bound what a class can share with any other, which rules out heavily
-   edited copies exactly, as classes against the bucket and as pairs. Before a pair is confirmed on full sets, the
-   joint likelihood of its registers (how many are equal, given the sizes) rules out those far below the threshold.
+   edited copies exactly, as classes against the bucket and as pairs. What is left of a bucket is compared in pairs of
+   blocks of bounded size, which return the links that join components and no other pairs. Before a pair is confirmed
+   on full sets, the joint likelihood of its registers (how many are equal, given the sizes) rules out those far below
+   the threshold.
 5. Links become components by alternating least-neighbour steps, written to the shared folder at each step.
 
 With 32 bands of four registers, a pair at similarity 0.85 misses all buckets with a probability of 1e-10, at 0.80
@@ -35,6 +37,8 @@ from .common import broadcast_if_small, table, text_key, written
 
 REGISTERS, ROWS = 128, 4
 BASE, TOP = 1.001, 65_534
+#: Members of a bucket that are compared with each other in one task; larger buckets are dealt to pairs of blocks.
+BLOCK = 1024
 #: Shingles of their own are counted for classes in buckets of more than so many members; others bound nothing.
 LARGE = 8
 #: A pair is compared on full sets unless its registers are less likely than this many standard deviations below the threshold.
@@ -144,6 +148,69 @@ def _linked(percent: int):
     return linked
 
 
+def _block_linker(percent: int):
+    """Links between members of two blocks of a bucket (or within one) that aren't of one component yet, as a forest: of links that join the same parts one is enough."""
+    least = least_likely(percent / 100)
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = rows["i"].iat[0], rows["j"].iat[0]
+        left, right = rows[rows["block"] == i].reset_index(drop=True), rows[rows["block"] == j].reset_index(drop=True)
+        sketch = lambda x: np.frombuffer(b"".join(x["sketch"]), np.uint16).reshape(len(x), REGISTERS)
+        codes = {r: k for k, r in enumerate(rows["r"].unique())}
+        (la, na, oa), (lb, nb, ob) = ((x["r"].map(codes).to_numpy(), x["n"].to_numpy(), x["own"].to_numpy()) for x in (left, right))
+        sa, sb = sketch(left), sketch(right)
+        found: list[tuple[int, int]] = []
+        for at in range(0, len(left), 64):
+            part = slice(at, at + 64)
+            both = np.minimum.outer((na - oa)[part], nb - ob)
+            maybe = (la[part, None] != lb) & (100 * both >= percent * (na[part, None] + nb - both))
+            if maybe.any():
+                maybe &= (sa[part, None, :] == sb).sum(axis=2) >= least
+            p, q = np.nonzero(maybe)
+            if len(p):
+                shared = _intersections(left["hashes"].iloc[at : at + 64].tolist(), right["hashes"].tolist(), p, q)
+                ok = 100 * shared >= percent * (na[part][p] + nb[q] - shared)
+                found += zip((p[ok] + at).tolist(), q[ok].tolist(), strict=True)
+        root = list(range(len(codes)))
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for p, q in found:
+            x, y = find(la[p]), find(lb[q])
+            if x != y:
+                root[x] = y
+                out.append((left["a"].iat[p], right["a"].iat[q]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return links
+
+
+def _intersections(left: list[bytes], right: list[bytes], p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of left[p] and right[q]: one by one if they are few, else as a product of membership matrices."""
+    rows, cols = np.unique(p), np.unique(q)
+    sets = [np.frombuffer(left[i], np.uint64) for i in rows] + [np.frombuffer(right[i], np.uint64) for i in cols]
+    if len(p) <= 2 * len(sets):
+        return np.array([len(np.intersect1d(np.frombuffer(left[i], np.uint64), np.frombuffer(right[k], np.uint64), assume_unique=True)) for i, k in zip(p, q, strict=True)], np.int64)
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    common = count[code] > 1
+    owner, (_, code) = owner[common], np.unique(code[common], return_inverse=True)
+    shared = np.zeros((len(rows), len(cols)), np.float64)
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    for start in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        x, y = np.searchsorted(code, (start, start + 4096))
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[owner[x:y], code[x:y] - start] = 1
+        shared += m[: len(rows)] @ m[len(rows) :].T
+    return shared[np.searchsorted(rows, p), np.searchsorted(cols, q)].astype(np.int64)
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root: the least node of each node's component, for nodes that have links (a, b)."""
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
@@ -208,10 +275,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     able = placed.where(possible(F.col("n"), F.col("own"), F.greatest("least_n", F.col("n") - F.col("own")), F.lit(0))).select("bucket", "a", "n", "own")
     labelled = able.join(of("a"), "a", "left").withColumn("r", root("a"))
     open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("bucket")
-    left = written(labelled.join(open_, "bucket").select("bucket", "a", "n", "own", "r"), "open")
-    right = left.select("bucket", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("own").alias("ob"), F.col("r").alias("s"))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (F.col("r") < F.col("s")) & possible(F.col("n"), F.col("own"), F.col("nb"), F.col("ob")))
-    more = written(confirmed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "links")
+    sizes = labelled.join(open_, "bucket", "left_semi").groupBy("bucket").agg(F.count("*").alias("size")).withColumn("k", F.ceil(F.col("size") / BLOCK).cast("int"))
+    blocks = labelled.select("bucket", "a", "r").join(sizes.select("bucket", "k"), "bucket").withColumn("block", F.pmod(F.hash("a"), "k"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r")
+    whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "own", "sketch", "hashes")
+    more = written(blocks.join(whole, "a").groupBy("bucket", "i", "j").applyInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
     roots = written(components(links.union(more)), "roots") if more.limit(1).count() else roots
 
     named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
