@@ -1,0 +1,345 @@
+"""Each operator against a brute-force version, over rows with every odd case (see cases.rows)."""
+
+import hashlib
+import json
+import re
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+from cases import edited, prose
+from pyspark.sql import functions as F
+
+from girder.llm import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
+
+BLANKS = r"[^\x20\x09-\x0D]+"
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def same(rows, expected):
+    assert Counter(map(repr, rows)) == Counter(map(repr, expected))
+
+
+def test_quality_counts(docs, texts):
+    def brute(doc_id, text):
+        text = text or ""
+        words = re.findall(BLANKS, text)
+        windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        covered = {i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)}
+        lines = [x for x in text.split("\n") if re.search(BLANKS, x)]
+        failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+        return doc_id, len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), failed
+
+    got = quality.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+    same([tuple(r)[:-1] for r in got], [brute(i, t) for i, t, _ in texts])
+    assert not any(r.kept for r in got if r.base_failed)
+
+
+def test_quality_rules(spark):
+    clean = "the cat and the dog sat in that house for a while with the old man who was there to see it all again and again today"
+    cases = [(1, clean), (2, " ".join(w + "***" for w in clean.split())), (3, clean + "\n" + "x\n" * 30), (4, " ".join(w.upper() + "!!" for w in clean.split())), (5, "one two three")]
+    got = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
+    assert got == {1: True, 2: False, 3: False, 4: False, 5: False}
+
+
+def test_repeated_windows(spark):
+    text = "a b c d e f a b c d e g h a b c d e"
+    got = quality.metrics(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert got.n_repeat_words == 15
+
+
+def test_decontamination(spark, docs, texts):
+    a, b = prose(1, 220).split(), prose(2, 180).split()
+    items = [(1, " ".join(a[10:40])), (2, "unknown words only in this item that never occur anywhere else"), (3, " ".join(b[5:12])), (4, None), (5, ""), (6, "TWO words!"), (7, " ".join(a[20:33])), (7, "word")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def brute(doc_id, text):
+        words = re.findall(ALNUM, (text or "").translate(LOWER))
+        hit, ids = set(), set()
+        for item, t in items:
+            w = re.findall(ALNUM, (t or "").translate(LOWER))
+            for k in range(max(1, len(w) - 9)) if w else ():
+                window = w[k : k + 10]
+                for i in range(len(words) - len(window) + 1):
+                    if words[i : i + len(window)] == window:
+                        hit |= set(range(i, i + len(window)))
+                        ids.add(item)
+        return doc_id, len(words), len(hit), sorted(ids)
+
+    got = decontaminate.contamination(docs, bench)
+    assert got.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and len(set(got.columns)) == len(got.columns)
+    rows = got.select("doc_id", "n_words", "n_hit", F.array_sort("item_ids")).collect()
+    same([(r[0], r[1], r[2], list(r[3])) for r in rows], [brute(i, t) for i, t, _ in texts])
+    assert decontaminate.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_proximity(spark):
+    docs = spark.createDataFrame([(1, "zero one two x three four five"), (2, "zero five")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.proximity_matches(docs, items, slack=2).collect()} == {1}
+    assert decontaminate.contamination(docs, items).where("n_hit > 0").count() == 0
+
+
+def brute_components(texts, width, percent):
+    def shingles(text):
+        w = re.findall(BLANKS, (text or "").translate(LOWER))
+        return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+    sets = [shingles(t) for _, t, _ in texts]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(x & sets[j])
+            if both and 100 * both >= percent * (len(x) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    out = []
+    for i, (doc_id, _, _) in enumerate(texts):
+        ids = [texts[j][0] for j in range(len(sets)) if find(j) == find(i) and texts[j][0] is not None] if sets[i] else [doc_id]
+        out.append((doc_id, len(sets[i]), min(ids) if ids and ids[0] is not None else None))
+    return out
+
+
+def test_near_duplicates(docs, texts):
+    for width, percent in ((3, 85), (5, 80)):
+        got = near_dup.near_duplicates(docs, width, percent).select("doc_id", "n_shingles", "component_id").collect()
+        same(map(tuple, got), brute_components(texts, width, percent))
+
+
+def test_near_duplicate_groups(spark):
+    """A chain that only its middle joins, and a group around an original whose copies are too far from each other."""
+    base = prose(20, 150)
+    rows = [(100 + k, edited(base, k, 1 + k % 6)) for k in range(60)] + [(99, base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    same(map(tuple, got), brute_components([(i, t, None) for i, t in rows], 3, 85))
+    kept = near_dup.deduplicated(docs, 3, 85)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in got})
+
+
+def test_sketches_merge():
+    a, b = (near_dup.shingle_set(prose(s, 300), 3) for s in (1, 2))
+    union = near_dup.registers(np.union1d(a, b))
+    assert (union == np.maximum(near_dup.registers(a), near_dup.registers(b))).all()
+
+
+def brute_removed(texts, length=200):
+    data = [(t or "").encode() for _, t, _ in texts]
+    seen = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for (doc_id, _, _), d in zip(texts, data, strict=True):
+        spans = []
+        for p in range(len(d) - length + 1):
+            if seen[d[p : p + length]] > 1:
+                if spans and p <= spans[-1][1]:
+                    spans[-1][1] = p + length
+                else:
+                    spans.append([p, p + length])
+        kept, end = b"", 0
+        for x, y in spans:
+            kept, end = kept + d[end:x], y
+        out.append((doc_id, len(d), sum(y - x for x, y in spans), len(spans), hashlib.sha256(kept + d[end:]).hexdigest()))
+    return out
+
+
+def test_suffix_dedup(docs, texts):
+    got = repeats.suffix_dedup(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    same(map(tuple, got), brute_removed(texts))
+
+
+def test_suffix_dedup_in_pieces(docs, texts, monkeypatch):
+    whole = repeats.anchored(np.frombuffer(prose(9, 900).encode(), np.uint8))
+    assert (np.diff(whole[0]) > 0).all() and (whole[2] >= whole[1]).all() and (whole[2] - whole[0] < repeats.PLACES).all()
+
+
+def test_sorted_stream_settles_as_whole_groups_do(monkeypatch):
+    """Whatever the batches and however many rows may wait: all that repeats is found, and what may be lost is split further."""
+    rng = np.random.default_rng(3)
+    core = np.sort(rng.integers(0, 12, 3000) ** 2)
+    union = rng.integers(0, 400, 3000)
+    rows = pd.DataFrame({"core": core, "union": union}).sort_values(["core", "union"]).reset_index(drop=True).assign(run=range(3000), doc_id=1, key=1, n=1)
+    size = rows.groupby(["core", "union"])["run"].transform("size")
+    for held, step in ((100_000, 3000), (100_000, 7), (50, 13), (1, 1)):
+        monkeypatch.setattr(repeats, "HELD", held)
+        out = pd.concat(list(repeats._classified(rows.iloc[i : i + step] for i in range(0, 3000, step))))
+        assert sorted(out.loc[~out["split"], "run"]) == sorted(rows.loc[size > 1, "run"])
+        left = set(out.loc[out["split"], "run"])
+        classes = rows.groupby("core")["union"].nunique()
+        alone = rows[(size == 1) & rows["core"].map(classes).gt(1)]
+        assert set(alone["run"]) <= left
+        reps = rows[rows["run"].isin(left)]
+        assert len(reps.drop_duplicates(["core", "union"])) == len(reps) == sum(n for c, n in classes.items() if (alone["core"] == c).any())
+
+
+def test_line_dedup(docs, texts, spark):
+    rows = [(100 + k, f"Cookie notice for all\nown line {k}\n\nCookie notice for all", f"s{k % 11}") for k in range(33)] + [(200 + k, f"nine sites only\nx{k}", f"s{k % 9}") for k in range(30)]
+    rows += [(i, t, s) for i, t, s in texts]
+    spread = {}
+    for i, t, s in rows:
+        for line in set((t or "").split("\n")):
+            if re.search(BLANKS, line):
+                sites, ids = spread.setdefault(line, (set(), set()))
+                sites.add(s or "")
+                ids.add(i)
+    first = {line: min((i for i in ids if i is not None), default=None) for line, (sites, ids) in spread.items() if len(sites) >= line_dedup.MIN_SITES}
+    assert first
+    df = spark.createDataFrame([(*r, "old", 7) for r in rows], "doc_id long, text string, source string, n_lines string, extra int")
+    got = line_dedup.without_spread_lines(df).select("doc_id", "text", "n_removed").collect()
+    expected = []
+    for i, t, _ in rows:
+        lines = None if t is None else t.split("\n")
+        kept = None if t is None else [x for x in lines if x not in first or first[x] == i]
+        expected.append((i, None if t is None else "\n".join(kept), 0 if t is None else len(lines) - len(kept)))
+    same(map(tuple, got), expected)
+
+
+def test_mixing(spark, docs):
+    rows = [(k, f"s{0 if k % 3 else k % 7}") for k in range(6000)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {f"s{k}": 1.0 for k in range(7)}
+    got = mixing.mixed(df, weights, total=14_000)
+    shares = {r.source: r["count"] for r in got.groupBy("source").count().collect()}
+    assert None not in shares and all(abs(n - 2000) < 250 for n in shares.values())
+    assert got.select("doc_id", "replica").distinct().count() == got.count()
+    same(map(tuple, mixing.mixed(df.repartition(7), weights, total=14_000).collect()), map(tuple, got.collect()))
+    mixed = mixing.mixed(docs)
+    assert mixed.columns.count("replica") == 1 and mixed.count() > 0
+
+
+def test_poisson_steps(spark):
+    rate = 3.5
+    got = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first().s
+    p, total = np.exp(-rate), 0.0
+    for k, x in enumerate(got):
+        p = p if k == 0 else p * rate / k
+        total += p
+        assert abs(x - total) < 1e-12
+    assert got[-1] > 1 - 1e-12
+
+
+def test_license_base(docs, texts, spark):
+    extra = [
+        (300, "Released under the MIT License. under the mit-license", "s"), (301, "Apache License, Version 2.0 and CC BY-NC 4.0; cc  by nc", "s"), (302, "SPDX-License-Identifier: BSD 3-Clause", "s"),
+        (303, "Distributed under the GNU General Public License, version 3.", "s"), (304, "mit und under the license", "s"), (305, "ccc by nc cc by ncx", "s"),
+    ]
+    rows = [(i, t) for i, t, _ in texts] + [(i, t) for i, t, _ in extra]
+
+    def brute(doc_id, text):
+        words = re.findall(ALNUM, (text or "").translate(LOWER))
+        found = [(i, label) for phrase, label in licenses.BASE for p in [phrase.split()] for i in range(len(words)) if words[i : i + len(p)] == p]
+        return doc_id, len(words), sorted(found)
+
+    got = licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same([(r.doc_id, r.n_words, sorted((p.start, p.label) for p in r.places if p.base)) for r in got], [brute(i, t) for i, t in rows])
+    labels = {r.doc_id: set(r.labels) for r in got}
+    assert labels[302] == {"bsd-3"} and "gpl-3" in labels[303] and "gpl" not in labels[303] and labels[304] == set()
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_license_rules_agree_with_re(spark):
+    rules = licenses.rule_table()
+    assert len(rules) > 300
+    text = "this work is licensed under the gnu general public license version 3 or mit license see opensource org licenses mit"
+    got = licenses.licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    spaced = " " + text.replace(" ", "  ") + " "
+    expected = {(len(spaced[: m.start()].split()), len(spaced[: m.end()].split()), r[0]) for r in rules for m in re.finditer(licenses._worded(r[1]), spaced)}
+    assert {(p.start, p.end, p.label) for p in got.places} == expected
+
+
+def test_secrets(spark, docs, texts):
+    rows = [(i, t) for i, t, _ in texts] + [
+        (400, 'key token = "4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87" end'), (401, "commit 4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87 and password: changeme here"), (402, "secret='your_token_here' x"),
+        (403, "AKIA ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"),
+    ]
+    found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("value", F.lit(1))).collect()
+    expected = Counter()
+    pattern = re.compile(secrets.CANDIDATE)
+    for i, t in rows:
+        expected.update((i, m.end()) for m in pattern.finditer(t or ""))
+    assert Counter((r.doc_id, r.start + len(r.value)) for r in found) == expected
+    got = {(r.doc_id, r.value): r.is_secret for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[400, "4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87"] and not got[401, "4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87"]
+    assert not got[401, "changeme"] and not got[402, "your_token_here"] and got[403, "ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"]
+
+
+def test_secret_forest_on_unseen_findings(spark):
+    schema = "before string, value string, label double"
+    model = secrets.forest(spark.createDataFrame(secrets.labelled_findings(800, 1), schema))
+    scored = model.transform(secrets.described(spark.createDataFrame(secrets.labelled_findings(400, 2), schema)))
+    assert scored.where("prediction = label").count() >= 0.95 * 400
+
+
+def toxic_rows(n=600):
+    out = []
+    for k in range(n):
+        toxic = k % 6 == 0
+        words = prose(1000 + k, 60).split()
+        if toxic:
+            words[k % 50] = ["scum", "idiot", "grubling", "grubbert"][k % 4]
+            words[(k * 7) % 50] = "scum"
+        out.append((k, " ".join(words), int(toxic)))
+    return out
+
+
+def test_toxicity(spark, docs):
+    rows = toxic_rows()
+    data = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows] + [(None, 1, 1), (5000, 1, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(data, labels)
+    got = {r.doc_id: (r.s, r.h) for r in data.select("doc_id", toxicity.scorer(model)("text").alias("s"), toxicity.held_out(F.col("doc_id")).alias("h")).collect()}
+    test = [(got[i][0], y) for i, _, y in rows if got[i][1]]
+    assert len(test) > 80 and sum((s >= 0.5) == bool(y) for s, y in test) >= 0.95 * len(test)
+    scores = docs.select("text", toxicity.scorer(model)("text").alias("score")).collect()
+    assert all(0 <= r.score <= 1 for r in scores) and {r.score for r in scores if not r.text} == {model.score("")}
+
+
+def test_toxicity_never_learns_from_held_out_rows(spark):
+    rows = toxic_rows(300)
+    data = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    flipped = labels.select("doc_id", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")).alias("toxic"))
+    assert toxicity.train(data, labels) == toxicity.train(data, flipped)
+    assert toxicity.train(data, labels.limit(0)).weights == {}
+
+
+def test_url_filter(spark):
+    urls = ["http://A.Example.COM/en/79?x#y", "https://b.example.net/de/81", "https://example.net/de/9", "http://x.org/es/", "http://notexample.com/en/7", "com/en/", None, "", "http://", "http://com?q/en/", "http://m.casino-win.example.net/fr/3", "http://news.library.org/en", "http://h.com#/en/"]
+
+    def brute(url):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].translate(LOWER), m[2]) if m else ("", "")
+        fits = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit(1))
+    got = url_filter.judged(pages).collect()
+    for r in got:
+        host, path, rule, verdict = brute(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+    verdicts = {r.page_id: r.verdict for r in got}
+    assert verdicts[10] == "block" and verdicts[11] == "allow" and verdicts[6] == "allow"
+    assert url_filter.judged(pages.limit(0)).count() == 0
+
+
+def test_segmentation_is_the_best_split():
+    unigram = url_filter.model()[0]
+    cost = lambda ws: sum(unigram.get(w, -9.0 - 2.6 * len(w)) for w in ws)
+    for name in ("freecasino", "thering", "xbetwin", "abc"):
+        cuts = [[name[i:j] for i, j in zip([0, *c], [*c, len(name)], strict=True)] for m in range(2 ** (len(name) - 1)) for c in [[k + 1 for k in range(len(name) - 1) if m >> k & 1]]]
+        assert abs(cost(url_filter.segment(name)) - max(map(cost, cuts))) < 1e-9
+
+
+def test_empty_tables(empty, spark):
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    for df in (
+        quality.quality(empty), licenses.licenses(empty), near_dup.near_duplicates(empty), near_dup.deduplicated(empty), repeats.suffix_dedup(empty), secrets.secrets(empty),
+        line_dedup.without_spread_lines(empty), mixing.mixed(empty), decontaminate.contamination(empty, items), toxicity.without_toxic(empty, toxicity.Model({}, -2.0)),
+    ):
+        assert df.count() == 0
+    assert json.dumps(toxicity.Model({}, -2.0).weights) == "{}"
