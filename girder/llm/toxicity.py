@@ -66,16 +66,22 @@ def without_copies(texts: list[str]) -> list[bool]:
     return kept
 
 
-def mine(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Features that separate: ten times as frequent in toxic texts, significantly, best first."""
-    one, zero = Counter(), Counter()
-    for s, y in zip(sets, toxic, strict=True):
-        (one if y else zero).update(s)
+def mine(texts: list[str], toxic: np.ndarray) -> list[str]:
+    """Features that separate: ten times as frequent in toxic texts, significantly, best first. Texts are cut into features one at a time."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    one: Counter = Counter()
+    for t, y in zip(texts, toxic, strict=True):
+        if y:
+            one.update(features(t))
+    one = Counter({f: k for f, k in one.items() if k >= max(4, 0.004 * n1)})
+    zero: Counter = Counter()
+    for t, y in zip(texts, toxic, strict=True):
+        if not y:
+            zero.update(features(t) & one.keys())
     scored = []
     for f, k in one.items():
         p, q = (k + 0.5) / (n1 + 1), (zero[f] + 0.5) / (n0 + 1)
-        if k >= max(4, 0.004 * n1) and p > 10 * q:
+        if p > 10 * q:
             both = (k + zero[f]) / (n1 + n0)
             gain = 2 * (k * np.log(k / n1 / both) + (zero[f] * np.log(zero[f] / n0 / both) if zero[f] else 0))
             if gain > 12:
@@ -83,11 +89,11 @@ def mine(sets: list[set[str]], toxic: np.ndarray) -> list[str]:
     return [f for *_, f in sorted(scored)[:MOST_VOTERS]]
 
 
-def vote(sets: list[set[str]], voters: list[str]) -> np.ndarray:
+def vote(texts: list[str], voters: list[str]) -> np.ndarray:
     at = {f: i for i, f in enumerate(voters)}
-    out = np.zeros((len(sets), len(voters)))
-    for row, s in zip(out, sets, strict=True):
-        row[[at[f] for f in s if f in at]] = 1
+    out = np.zeros((len(texts), len(voters)))
+    for row, t in zip(out, texts, strict=True):
+        row[[at[f] for f in features(t) & at.keys()]] = 1
     return out
 
 
@@ -142,11 +148,11 @@ def fit(texts: list[str], toxic: np.ndarray, share: float = 0.1) -> Model:
     """The model from labelled texts. share: of toxic texts in the corpus."""
     share = min(0.9, max(0.001, share))
     alone = np.array(without_copies(texts), bool) if texts else np.zeros(0, bool)
-    sets, toxic = [features(t) for t, k in zip(texts, alone, strict=True) if k], toxic[alone].astype(bool)
-    voters = mine(sets, toxic) if toxic.any() and not toxic.all() else []
+    texts, toxic = [t for t, k in zip(texts, alone, strict=True) if k], toxic[alone].astype(bool)
+    voters = mine(texts, toxic) if toxic.any() and not toxic.all() else []
     if not voters:
         return Model({}, float(np.log(share / (1 - share))))
-    votes = vote(sets, voters)
+    votes = vote(texts, voters)
     post, _, _ = label_model(votes, toxic, share)
     w = logistic(votes, post)
     return Model(dict(zip(voters, w[:-1].tolist(), strict=True)), float(w[-1]))
