@@ -216,12 +216,16 @@ def _per_text(runs: DataFrame) -> DataFrame:
 
 
 def _with_runs(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
-    """Texts with their runs; the runs are broadcast if their measured size is within the bound, else the join shuffles."""
-    size = runs.agg(F.sum(64 + 8 * F.size("runs"))).first()[0] or 0
-    runs = F.broadcast(runs) if size <= BROADCAST_BYTES else runs
+    """Texts with their runs."""
     return docs.join(runs, docs["doc_id"].eqNullSafe(F.col("r_doc")) & (docs["key"] == F.col("r_key")), how).select("doc_id", "key", "text", "runs")
 
 
+def _if_small(runs: DataFrame) -> DataFrame:
+    """Runs that few texts have, marked for broadcast if their measured size is within the bound."""
+    size = runs.agg(F.sum(64 + 8 * F.size("runs"))).first()[0] or 0
+    return F.broadcast(runs) if size <= BROADCAST_BYTES else runs
+
+
 def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """From rows in the order of their ranks: runs whose string repeats (split false), and representatives of what must be split further.
 
@@ -289,8 +293,8 @@ def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, key, runs (lo, hi: windows, by their first byte, that repeat) of the texts that have some. docs: doc_id, key, text."""
     whole, left, first = _settled(docs.where(F.octet_length("text") >= LENGTH).mapInPandas(_anchors, ROW))
-    in_blocks, smaller, second = _settled(_with_runs(docs, left, "inner").mapInPandas(_blocks, ROW))
-    alone, _, third = _settled(_with_runs(docs, smaller, "inner").mapInPandas(_single, ROW))
+    in_blocks, smaller, second = _settled(_with_runs(docs, _if_small(left), "inner").mapInPandas(_blocks, ROW))
+    alone, _, third = _settled(_with_runs(docs, _if_small(smaller), "inner").mapInPandas(_single, ROW))
     all_runs = _per_text(reduce(DataFrame.unionByName, [x.select("doc_id", "key", "run") for x in (whole, in_blocks, alone)]))
     drop(first, second, third, left, smaller)
     return all_runs
