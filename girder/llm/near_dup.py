@@ -25,6 +25,7 @@ all of its component lack one; then component_id is null and it is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -152,26 +153,22 @@ def _block_linker(percent: int):
     """Links between members of two blocks of a bucket (or within one) that aren't of one component yet, as a forest: of links that join the same parts one is enough."""
     least = least_likely(percent / 100)
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = rows["i"].iat[0], rows["j"].iat[0]
-        left, right = rows[rows["block"] == i].reset_index(drop=True), rows[rows["block"] == j].reset_index(drop=True)
-        sketch = lambda x: np.frombuffer(b"".join(x["sketch"]), np.uint16).reshape(len(x), REGISTERS)
-        codes = {r: k for k, r in enumerate(rows["r"].unique())}
-        (la, na, oa), (lb, nb, ob) = ((x["r"].map(codes).to_numpy(), x["n"].to_numpy(), x["own"].to_numpy()) for x in (left, right))
-        sa, sb = sketch(left), sketch(right)
+    def links(block, n, own, label, sketch, hashes) -> list[tuple[int, int]]:
+        """Rows of one pair of blocks as arrays; pairs of row numbers."""
+        left, right = np.flatnonzero(block == block[0]), np.flatnonzero(block == block[-1])
         found: list[tuple[int, int]] = []
         for at in range(0, len(left), 64):
-            part = slice(at, at + 64)
-            both = np.minimum.outer((na - oa)[part], nb - ob)
-            maybe = (la[part, None] != lb) & (100 * both >= percent * (na[part, None] + nb - both))
+            part = left[at : at + 64]
+            both = np.minimum.outer((n - own)[part], (n - own)[right])
+            maybe = (label[part, None] != label[right]) & (100 * both >= percent * (n[part, None] + n[right] - both))
             if maybe.any():
-                maybe &= (sa[part, None, :] == sb).sum(axis=2) >= least
+                maybe &= (sketch[part, None, :] == sketch[right]).sum(axis=2) >= least
             p, q = np.nonzero(maybe)
             if len(p):
-                shared = _intersections(left["hashes"].iloc[at : at + 64].tolist(), right["hashes"].tolist(), p, q)
-                ok = 100 * shared >= percent * (na[part][p] + nb[q] - shared)
-                found += zip((p[ok] + at).tolist(), q[ok].tolist(), strict=True)
-        root = list(range(len(codes)))
+                shared = _intersections([hashes[i] for i in part], [hashes[i] for i in right], p, q)
+                ok = 100 * shared >= percent * (n[part][p] + n[right][q] - shared)
+                found += zip(part[p[ok]].tolist(), right[q[ok]].tolist(), strict=True)
+        root = dict(zip(label.tolist(), label.tolist(), strict=True))
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -181,13 +178,33 @@ def _block_linker(percent: int):
 
         out = []
         for p, q in found:
-            x, y = find(la[p]), find(lb[q])
+            x, y = find(label[p]), find(label[q])
             if x != y:
                 root[x] = y
-                out.append((left["a"].iat[p], right["a"].iat[q]))
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return links
+                out.append((p, q))
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows in the order of their pairs of blocks; the last pair waits for the next batch."""
+        wait = None
+        for batch in chain(batches, (None,)):
+            parts = [x for x in (wait, batch) if x is not None and len(x)]
+            if not parts:
+                continue
+            rows = pd.concat(parts, ignore_index=True)
+            key = rows[["bucket", "i", "j"]].to_numpy()
+            cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(rows))
+            if batch is not None:
+                cuts = cuts[:-1]
+                wait = rows.iloc[cuts[-1] :]
+            a, hashes = rows["a"].to_numpy(), rows["hashes"].to_numpy()
+            label = pd.factorize(rows["r"])[0]
+            sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint16).reshape(len(rows), REGISTERS)
+            columns = [rows[c].to_numpy() for c in ("block", "n", "own")] + [label, sketch, hashes]
+            out = [(a[s + p], a[s + q]) for s, e in pairwise(cuts.tolist()) for p, q in links(*[c[s:e] for c in columns])]
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    return run
 
 
 def _intersections(left: list[bytes], right: list[bytes], p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -279,7 +296,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     blocks = labelled.select("bucket", "a", "r").join(sizes.select("bucket", "k"), "bucket").withColumn("block", F.pmod(F.hash("a"), "k"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r")
     whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "own", "sketch", "hashes")
-    more = written(blocks.join(whole, "a").groupBy("bucket", "i", "j").applyInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
+    more = written(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
     roots = written(components(links.union(more)), "roots") if more.limit(1).count() else roots
 
     named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
