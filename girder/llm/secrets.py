@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_dir, table
 
 ASSIGNED = r"""(?i:\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential)\b\s{0,2}[=:]\s{0,2}["']?)[^\s"']{6,}"""
 OPAQUE = r"""(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,60}[0-9])[A-Za-z0-9_+/=-]{20,}"""
@@ -118,7 +118,9 @@ def labelled_findings(n: int = 1200, seed: int = 5) -> list[tuple[str, str, floa
 def forest(labelled: DataFrame) -> PipelineModel:
     """Trained on before, value, label."""
     stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), RandomForestClassifier(labelCol="label", numTrees=24, maxDepth=6, seed=7, subsamplingRate=0.8)]
-    return Pipeline(stages=stages).fit(described(labelled).coalesce(1))
+    path = shared_dir(labelled.sparkSession, "forest")
+    Pipeline(stages=stages).fit(described(labelled).coalesce(1)).save(path)
+    return PipelineModel.load(path)  # without its training summary, which holds the session and so can't always be sent to executors
 
 
 def secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
