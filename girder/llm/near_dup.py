@@ -9,8 +9,9 @@
    with the pivot that it shares most buckets with, then with its other pivots. Confirmed links join classes to
    components.
 4. Then only pairs that share a bucket but not yet a component are compared, so that a group of n copies costs about n
-   comparisons, not n * n. Shingles of its own bound what a class can share with any other, which rules out heavily
-   edited copies exactly, as classes against the bucket and as pairs. What is left of a bucket is compared in pairs of
+   comparisons, not n * n. Shingles that no other class of the large buckets holds bound what a class can share with
+   any of those (and with no one else), which rules out heavily edited copies exactly, as classes against a large
+   bucket and as pairs of classes that both have one. What is left of a bucket is compared in pairs of
    blocks of bounded size, which return the links that join components and no other pairs. Before a pair is confirmed
    on full sets, the joint likelihood of its registers (how many are equal, given the sizes) rules out those far below
    the threshold.
@@ -40,7 +41,7 @@ REGISTERS, ROWS = 128, 4
 BASE, TOP = 1.001, 65_534
 #: Members of a bucket that are compared with each other in one task; larger buckets are dealt to pairs of blocks.
 BLOCK = 1024
-#: Shingles of their own are counted for classes in buckets of more than so many members; others bound nothing.
+#: Shingles of their own are counted for, and among, classes in buckets of more than so many members; they bound what two of these share.
 LARGE = 8
 #: A pair is compared on full sets unless its registers are less likely than this many standard deviations below the threshold.
 SIGMAS = 5.0
@@ -261,8 +262,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = written(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
     crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi").select(F.xxhash64("set_id").alias("c"), "hashes")
     alone = crowded.mapInPandas(_hashes, "h long, c long").groupBy("h").agg(F.count("*").alias("df"), F.min("c").alias("c")).where("df = 1").groupBy("c").agg(F.count("*").alias("own"))
-    known = wanted.select("set_id").join(classes.select("set_id", "n", "sketch"), "set_id").withColumn("c", F.xxhash64("set_id")).join(alone, "c", "left")
-    info = written(known.select("set_id", "n", F.coalesce("own", F.lit(0)).alias("own"), "sketch"), "info")
+    known = wanted.select("set_id", "size").join(classes.select("set_id", "n", "sketch"), "set_id").withColumn("c", F.xxhash64("set_id")).join(alone, "c", "left")
+    info = written(known.select("set_id", "n", F.coalesce("own", F.lit(0)).alias("own"), (F.col("size") > LARGE).alias("crowded"), "sketch"), "info")
 
     def possible(n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
         """Whether two sets, given what each has for its own, can be alike enough."""
@@ -270,15 +271,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return 100 * both >= percent * (n + other_n - both)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("sketch").alias(f"s{x}"))
-        sized = pairs.join(side("a"), "a").join(side("b"), "b").where(possible(F.col("na"), F.col("oa"), F.col("nb"), F.col("ob")))
+        side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("crowded").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"))
+        own = lambda x: F.when(F.col("ca") & F.col("cb"), F.col(f"o{x}")).otherwise(0)
+        sized = pairs.join(side("a"), "a").join(side("b"), "b").where(possible(F.col("na"), own("a"), F.col("nb"), own("b")))
         likely = sized.where(_same(percent)("sa", "sb")).select("a", "b")
         full = lambda x: sets.select(F.col("set_id").alias(x), F.col("hashes").alias(f"h{x}"))
         return likely.join(full("a"), "a").join(full("b"), "b").where(_linked(percent)("ha", "hb")).select("a", "b")
 
-    sized = members.select("bucket", "a").join(info.select(F.col("set_id").alias("a"), "n", "own"), "a")
+    sized = members.join(info.select(F.col("set_id").alias("a"), "n", "own"), "a")
     pivots = sized.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "a")).alias("p"), F.min("n").alias("least_n")).select("bucket", F.col("p.a").alias("b"), "least_n")
-    placed = written(sized.join(pivots, "bucket"), "placed")
+    # all members of a large bucket are among those that own was counted for; of a smaller one some may not be
+    placed = written(sized.join(pivots, "bucket").withColumn("own", F.when(F.col("size") > LARGE, F.col("own")).otherwise(0)).drop("size"), "placed")
     stars = written(placed.where("a != b").groupBy("a", "b").agg(F.count("*").alias("n")), "stars")
     links = written(confirmed(stars.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))), "links")
     roots = written(components(links), "roots")
@@ -293,9 +296,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labelled = able.join(of("a"), "a", "left").withColumn("r", root("a"))
     open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("bucket")
     sizes = labelled.join(open_, "bucket", "left_semi").groupBy("bucket").agg(F.count("*").alias("size")).withColumn("k", F.ceil(F.col("size") / BLOCK).cast("int"))
-    blocks = labelled.select("bucket", "a", "r").join(sizes.select("bucket", "k"), "bucket").withColumn("block", F.pmod(F.hash("a"), "k"))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r")
-    whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "own", "sketch", "hashes")
+    blocks = labelled.select("bucket", "a", "r", "own").join(sizes.select("bucket", "k"), "bucket").withColumn("block", F.pmod(F.hash("a"), "k"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r", "own")
+    whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "sketch", "hashes")
     more = written(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
     roots = written(components(links.union(more)), "roots") if more.limit(1).count() else roots
 

@@ -123,6 +123,18 @@ def test_near_duplicate_groups(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in got})
 
 
+def test_near_copies_that_share_a_passage_with_many(spark):
+    """Of two near copies one may be in large buckets, for the passage, and the other not."""
+    passage = prose(900, 60)
+    rows = []
+    for k in range(150):
+        text = passage + " " + prose(1000 + k, 90)
+        rows += [(2 * k, text), (2 * k + 1, edited(text, k, 3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    same(map(tuple, got), brute_components([(i, t, None) for i, t in rows], 3, 85))
+
+
 def test_sketches_merge():
     a, b = (near_dup.shingle_set(prose(s, 300), 3) for s in (1, 2))
     union = near_dup.registers(np.union1d(a, b))
