@@ -17,7 +17,7 @@ from .common import alnum_words, let, table
 #: Phrases that always count: (words, label).
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
 
-#: (label, pattern of the name in words, the token that every match holds)
+#: (label, pattern of the name in words, tokens of which every match holds at least one)
 FAMILIES = [
     ("mit", "mit", "mit"),
     ("mit-0", "mit (?:0|no attribution)", "mit"),
@@ -25,18 +25,18 @@ FAMILIES = [
     ("expat", "expat", "expat"),
     ("apache-1", "apache (?:software )?(?:license )?(?:version )?1(?: [01])?", "apache"),
     ("apache-2", "apache (?:software )?(?:license )?(?:version )?2(?: 0)?", "apache"),
-    ("gpl-1", "(?:gnu )?(?:gpl|gplv1|general public license)(?: version)? 1(?: 0)?", "1"),
-    ("gpl-2", "(?:gnu )?(?:gpl|gplv2|general public license)(?: version)?(?: 2)(?: 0)?", "2"),
-    ("gpl-3", "(?:gnu )?(?:gpl|gplv3|general public license)(?: version)?(?: 3)(?: 0)?", "3"),
+    ("gpl-1", "(?:gnu )?(?:gplv1(?:(?: version)? 1)?|(?:gpl|general public license)(?: version)? v?1)(?: 0)?", "gpl gplv1 general"),
+    ("gpl-2", "(?:gnu )?(?:gplv2(?:(?: version)? 2)?|(?:gpl|general public license)(?: version)? v?2)(?: 0)?", "gpl gplv2 general"),
+    ("gpl-3", "(?:gnu )?(?:gplv3(?:(?: version)? 3)?|(?:gpl|general public license)(?: version)? v?3)(?: 0)?", "gpl gplv3 general"),
     ("gpl", "(?:gnu )?general public license", "general"),
-    ("gpl", "gnu gpl", "gpl"),
-    ("lgpl-2.1", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? 2 1", "2"),
-    ("lgpl-3", "(?:gnu )?(?:lgpl|lesser general public license)(?: version)? 3(?: 0)?", "3"),
-    ("lgpl", "(?:gnu )?lesser general public license", "lesser"),
+    ("gpl", "(?:gnu )?gpl", "gpl"),
+    ("lgpl-2.1", "(?:gnu )?(?:lgplv2|(?:lgpl|lesser general public license)(?: version)? v?2) 1", "lgpl lgplv2 lesser"),
+    ("lgpl-3", "(?:gnu )?(?:lgplv3(?:(?: version)? 3)?|(?:lgpl|lesser general public license)(?: version)? v?3)(?: 0)?", "lgpl lgplv3 lesser"),
+    ("lgpl", "(?:gnu )?(?:lgpl(?:v2)?|lesser general public license)", "lgpl lgplv2 lesser"),
     ("agpl-3", "(?:gnu )?affero general public license(?: version 3)?", "affero"),
-    ("agpl-3", "agpl(?: version)?(?: 3)?(?: 0)?", "agpl"),
+    ("agpl-3", "agpl(?:v3)?(?: version)?(?: v?3)?(?: 0)?", "agpl agplv3"),
     ("gfdl", "(?:gnu )?free documentation license", "documentation"),
-    ("bsd-2", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd"),
+    ("bsd-2", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd freebsd"),
     ("bsd-3", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)", "bsd"),
     ("bsd-4", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd"),
     ("bsd", "bsd(?: style)?", "bsd"),
@@ -45,12 +45,12 @@ FAMILIES = [
     ("mpl", "mozilla public license", "mozilla"),
     ("epl-1", "(?:epl|eclipse public license)(?: version)? 1(?: 0)?", "1"),
     ("epl-2", "(?:epl|eclipse public license)(?: version)? 2(?: 0)?", "2"),
-    ("cddl", "(?:cddl|common development and distribution license)", "distribution"),
-    ("eupl", "(?:eupl|european union public licen[cs]e)", "european"),
+    ("cddl", "(?:cddl|common development and distribution license)", "cddl distribution"),
+    ("eupl", "(?:eupl|european union public licen[cs]e)", "eupl european"),
     ("isc", "isc", "isc"),
     ("zlib", "zlib(?: libpng)?", "zlib"),
     ("unlicense", "unlicense", "unlicense"),
-    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl"),
+    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl fuck"),
     ("boost", "boost(?: software)?(?: license)?(?: version)?(?: 1 0)?", "boost"),
     ("artistic-2", "artistic (?:license )?2(?: 0)?", "artistic"),
     ("artistic", "artistic", "artistic"),
@@ -62,23 +62,23 @@ FAMILIES = [
     ("openssl", "openssl", "openssl"),
     ("ofl", "(?:sil )?open font license(?: 1 1)?", "font"),
     ("odbl", "open (?:data commons open )?database license", "database"),
-    ("cc0", "(?:cc0|creative commons zero)", "cc0"),
-    ("cc-by-nc-nd", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd"),
-    ("cc-by-nc-sa", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa"),
-    ("cc-by-nc", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)(?: [1-4] 0)?", "nc"),
-    ("cc-by-nd", "(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd"),
-    ("cc-by-sa", "(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa"),
-    ("cc-by", "(?:cc|creative commons) (?:by|attribution)(?: [1-4] 0)?", "cc"),
+    ("cc0", "(?:cc0|creative commons zero)", "cc0 zero"),
+    ("cc-by-nc-nd", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd noderivatives derivatives"),
+    ("cc-by-nc-sa", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa sharealike alike"),
+    ("cc-by-nc", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)(?: [1-4] 0)?", "nc noncommercial commercial"),
+    ("cc-by-nd", "(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd noderivatives derivatives"),
+    ("cc-by-sa", "(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa sharealike alike"),
+    ("cc-by", "(?:cc|creative commons) (?:by|attribution)(?: [1-4] 0)?", "cc creative"),
     ("cc-by", "creative commons attribution(?: [1-4] 0)?", "creative"),
 ]
-#: (pattern around the name N, tokens that it needs besides, priority, confidence)
+#: (pattern around the name N, tokens that it needs besides (any one of those parted by blanks), priority, confidence)
 FORMS = [
     ("(?:licensed|released|distributed|published|available|provided|covered|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:conditions of )?(?:the )?N(?: licen[sc]e)?", ("under",), 3, 0.95),
     ("(?:governed|covered) by (?:the )?(?:terms of )?(?:the )?N(?: licen[sc]e)?", ("by",), 3, 0.9),
     ("subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?N(?: licen[sc]e)?", ("subject",), 3, 0.9),
     ("spdx license identifier N(?: only| or later)?", ("spdx",), 4, 1.0),
     ("(?:the )?N license(?: agreement| terms| file)?", ("license",), 2, 0.7),
-    ("licen[sc]e(?:d)?(?: is| type)? N", ("license",), 2, 0.75),
+    ("licen[sc]e(?:d)?(?: is| type)? N", ("license licence licensed licenced",), 2, 0.75),
     ("N licence", ("licence",), 2, 0.7),
 ]
 #: Rules of their own: (label, pattern, tokens, priority, confidence)
@@ -108,7 +108,7 @@ BASE_PRIORITY = 5
 
 
 def rule_table() -> list[tuple[str, str, tuple[str, ...], int, float, bool]]:
-    """(label, pattern over words, tokens, priority, confidence, is a base phrase): the base, the single rules, and each family in each form."""
+    """(label, pattern over words, tokens (any one of those parted by blanks, of each), priority, confidence, is a base phrase): the base, the single rules, and each family in each form."""
     rules = [(label, phrase, tuple(sorted(set(phrase.split()))), BASE_PRIORITY, 1.0, True) for phrase, label in BASE]
     rules += [(label, pattern, tokens, priority, sure, False) for label, pattern, tokens, priority, sure in SINGLE]
     rules += [(label, form.replace("N", f"(?:{name})"), tuple(sorted({token, *tokens})), priority, sure, False) for label, name, token in FAMILIES for form, tokens, priority, sure in FORMS]
@@ -121,7 +121,7 @@ def _worded(pattern: str) -> str:
 
 
 def _rules(rules: list[tuple]) -> Column:
-    row = lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(_worded(r[1])).alias("regex"), F.array(*map(F.lit, r[2])).alias("tokens"), F.lit(r[3]).alias("priority"), F.lit(r[4]).alias("sure"), F.lit(r[5]).alias("base"))
+    row = lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(_worded(r[1])).alias("regex"), F.array(*[F.array(*map(F.lit, t.split())) for t in r[2]]).alias("tokens"), F.lit(r[3]).alias("priority"), F.lit(r[4]).alias("sure"), F.lit(r[5]).alias("base"))
     return F.array(*map(row, rules))
 
 
@@ -156,13 +156,13 @@ def _survivors(places: Column) -> Column:
 def licenses(docs: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """doc_id, n_words, places (array of start, end, priority, label, sure, base), labels and score of the surviving ones."""
     rules = rules or rule_table()
-    tokens = F.array(*map(F.lit, sorted({t for r in rules for t in r[2]})))
+    tokens = F.array(*map(F.lit, sorted({t for r in rules for any_of in r[2] for t in any_of.split()})))
     norm = lambda w: F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))
     seen = let(
         alnum_words(F.col("text")),
         lambda w: let(F.array_intersect(w, tokens), lambda s: F.struct(F.size(w).cast("long").alias("n_words"), s.alias("seen"), F.when(F.size(s) > 1, norm(w)).alias("norm"))),
     )
-    hits = lambda norm, seen: F.flatten(F.transform(F.filter(_rules(rules), lambda r: F.forall(r["tokens"], lambda t: F.array_contains(seen, t))), lambda r: _spans(norm, r)))
+    hits = lambda norm, seen: F.flatten(F.transform(F.filter(_rules(rules), lambda r: F.forall(r["tokens"], lambda any_of: F.exists(any_of, lambda t: F.array_contains(seen, t)))), lambda r: _spans(norm, r)))
     none = F.array().cast("array<struct<start:bigint,end:bigint,priority:int,label:string,sure:double,base:boolean>>")
     found = docs.select("doc_id", seen.alias("w")).select("doc_id", "w.n_words", F.when(F.col("w.norm").isNull(), none).otherwise(hits(F.col("w.norm"), F.col("w.seen"))).alias("places"))
     return found.select("doc_id", "n_words", "places", _survivors(F.col("places")).alias("kept")).select("doc_id", "n_words", "places", "kept.labels", "kept.score")

@@ -264,6 +264,55 @@ def test_license_rules_agree_with_re(spark):
     assert {(p.start, p.end, p.label) for p in got.places} == expected
 
 
+def spelled(pattern):
+    """All strings that a pattern of finite choices matches."""
+
+    def walk(nodes):
+        out = [""]
+        for op, x in nodes:
+            kind = str(op)
+            if kind == "LITERAL":
+                some = [chr(x)]
+            elif kind == "IN":
+                some = [chr(c) for how, v in x for c in (range(v[0], v[1] + 1) if str(how) == "RANGE" else [v])]
+            elif kind == "BRANCH":
+                some = [t for branch in x[1] for t in walk(branch)]
+            elif kind == "SUBPATTERN":
+                some = walk(x[3])
+            else:
+                assert kind == "MAX_REPEAT" and x[:2] == (0, 1)
+                some = ["", *walk(x[2])]
+            out = [a + b for a in out for b in some]
+        return out
+
+    return walk(re._parser.parse(pattern))
+
+
+def test_license_prefilter_drops_no_match(spark):
+    """The filtered rules against the rules alone, on each spelling of each name and of each form."""
+    names = [(label, text) for label, name, _ in licenses.FAMILIES for text in spelled(name)]
+    texts = [f"licensed under the {name}" for _, name in names] + [text for form, *_ in licenses.FORMS for text in spelled(form.replace("N", "mit"))] + [text for _, pattern, *_ in licenses.SINGLE for text in spelled(pattern)]
+    spaced = [" " + t.replace(" ", "  ") + " " for t in texts]
+    expected = Counter()
+    for label, pattern, *_ in licenses.rule_table():
+        rule = re.compile(licenses._worded(pattern))
+        expected.update({(i, len(t[: m.start()].split()), len(t[: m.end()].split()), label) for i, t in enumerate(spaced) for m in rule.finditer(t)})
+    got = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "places").collect()
+    found = {(r.doc_id, p.start, p.end, p.label) for r in got for p in r.places}
+    assert sorted({texts[i] for i, *_ in set(expected) - found}) == [] and found == set(expected)
+    assert {(i, label) for i, (label, _) in enumerate(names)} <= {(i, label) for i, _, _, label in found}
+
+
+def test_license_names_in_common_spellings(spark):
+    texts = {
+        "licensed under the EUPL": "eupl", "licensed under the CDDL": "cddl", "FreeBSD license": "bsd-2", "Licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 license": "cc-by-nc-sa",
+        "licensed under the Creative Commons Attribution NonCommercial 4.0": "cc-by-nc", "released under Creative Commons Zero": "cc0", "licensed under GPLv2": "gpl-2", "released under the GPL v3": "gpl-3", "licensed under the GPL": "gpl",
+        "License: LGPL": "lgpl", "licensed under LGPLv3": "lgpl-3", "licensed under LGPL v2.1": "lgpl-2.1", "License: AGPLv3": "agpl-3", "Licence: MIT": "mit",
+    }
+    got = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == {i: [label] for i, label in enumerate(texts.values())}
+
+
 def test_secrets(spark, docs, texts):
     rows = [(i, t) for i, t, _ in texts] + [
         (400, 'key token = "4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87" end'), (401, "commit 4bb0c75cc3b0398440b6ca30dd75e60ee4a65a87 and password: changeme here"), (402, "secret='your_token_here' x"),
