@@ -1,6 +1,6 @@
 """Secret scans: candidates by pattern, and a random forest that removes the false ones.
 
-Candidates are values assigned to a telling name and long opaque runs with a digit. They are cut out of the whole text
+Candidates are values assigned to a telling name, or to a longer name that holds one, and long opaque runs with a digit. They are cut out of the whole text
 by one projection, with what stands around them; the text itself goes no further. The forest looks at a candidate's
 length, its transitions between kinds of characters, how much of it dictionary words cover, whether it is part of a
 path, and the words before it. It is trained on labelled findings: those given, or else a fixed set of typical true
@@ -24,8 +24,12 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, table
 
-ASSIGNED = r"""(?i:\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential)\b\s{0,2}[=:]\s{0,2}["']?)[^\s"']{6,}"""
-OPAQUE = r"""(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]{0,60}[0-9])[A-Za-z0-9_+/=-]{20,}"""
+#: What stands between a name and its value; a name, which may be part of a longer one, up to its value; a value.
+SIGN = r"""[=:]=?=?>?\s*\\?["']?(?:(?i:bearer|basic)\s+)?"""
+NAME = r"""(?i:(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++\\?["']?\]?\s*[=:])(?>[A-Za-z0-9_-]*?(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth|credential))[A-Za-z0-9_-]*+\\?["']?\]?\s*)"""
+VALUE = r"""[^\s"']{6,}"""
+ASSIGNED = f"{NAME}{SIGN}{VALUE}"
+OPAQUE = r"""(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{20,}"""
 CANDIDATE = f"{ASSIGNED}|{OPAQUE}"
 CONTEXT = 48
 DICTIONARY = """about access account admin after again auth backup before build change client code commit config content data default demo digest document download dummy
@@ -49,7 +53,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.when(x["m"].isNull(), acc).otherwise(F.struct((at + F.char_length(x["m"])).alias("at"), F.concat(acc["found"], F.array(found)).alias("found")))
 
     each = docs.where(F.rlike(text, F.lit(CANDIDATE))).select("doc_id", F.explode(F.aggregate(parts, zero, step, lambda acc: acc["found"])).alias("c")).select("doc_id", "c.*")
-    value = F.regexp_extract("m", r"""(?is)^(?:\w[\w-]*?\s{0,2}[=:]\s{0,2}["']?)?(.*)$""", 1)
+    value = F.regexp_extract("m", f"^{NAME}{SIGN}({VALUE})$", 1)
     assigned = F.rlike("m", F.lit(rf"^(?:{ASSIGNED})$"))
     return each.select("doc_id", F.when(assigned, "assigned").otherwise("opaque").alias("kind"), F.when(assigned, value).otherwise(F.col("m")).alias("value"), "at", "m", "before").select(
         "doc_id", (F.col("at") + F.char_length("m") - F.char_length("value")).cast("long").alias("start"), "kind", "value",
@@ -75,7 +79,7 @@ def described(found: DataFrame) -> DataFrame:
         "in_path": yes(F.rlike("before", F.lit("[/.]$")) | F.rlike("value", F.lit("/.*/|^/"))),
         "telling": yes(F.rlike("before", F.lit(TELLING))),
         "harmless": yes(F.rlike("before", F.lit(HARMLESS))),
-        "assigned": yes(F.rlike("before", F.lit(r"""[=:]\s{0,2}["']?$"""))),
+        "assigned": yes(F.rlike("before", F.lit(f"{SIGN}$"))),
         "quoted": yes(F.rlike("before", F.lit("""["']$"""))),
     }
     return found.withColumns({k: v.cast("double") for k, v in features.items()})

@@ -329,6 +329,18 @@ def test_secrets(spark, docs, texts):
     assert not got[401, "changeme"] and not got[402, "your_token_here"] and got[403, "ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"]
 
 
+def test_secret_candidates_as_they_are_written(spark):
+    """Values by the way people write them, not by the patterns."""
+    cases = [
+        ('{"user": "x", "password": "S3cr3tPass!"}', "S3cr3tPass!"), ('DB_PASSWORD = "S3cr3tPass!"', "S3cr3tPass!"), ("client_secret: abc123def456", "abc123def456"), ("passwd = hunter22", "hunter22"),
+        ('password => "hunter22x"', "hunter22x"), ("api_key          = q8w7e6r5t4", "q8w7e6r5t4"), ("export GITHUB_TOKEN=q8w7e6r5t4", "q8w7e6r5t4"), ("config['secretKey'] = 'q8w7e6r5t4'", "q8w7e6r5t4"),
+        (r'say \"token\": \"q8w7e6r5t4', "q8w7e6r5t4"), ("Authorization: Bearer q8w7e6r5t4.u1", "q8w7e6r5t4.u1"), ("see " + "k" * 62 + "7" + "m" * 11, "k" * 62 + "7" + "m" * 11),
+        ("no telling name = q8w7e6r5t4", None), ("the password is long", None), ("token_" * 50_000, None), ("k" * 300, None),
+    ]
+    got = secrets.candidates(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    same([(r.doc_id, r.value, cases[r.doc_id][0].index(r.value) == r.start) for r in got], [(i, v, True) for i, (_, v) in enumerate(cases) if v])
+
+
 def test_secret_forest_on_unseen_findings(spark):
     schema = "before string, value string, label double"
     model = secrets.forest(spark.createDataFrame(secrets.labelled_findings(800, 1), schema))
