@@ -1,6 +1,7 @@
 """Line dedup: lines that many sites share are kept in one document and removed from the others.
 
-A line's spread is the number of distinct sites (sources) that hold it. One aggregation merges HyperLogLog sketches per
+A line's spread is the number of distinct sites (sources) that hold it; lines of MIN_SITES (10) sites or more go. The
+threshold is fixed: a corpus of fewer sites loses no line. One aggregation merges HyperLogLog sketches per
 line hash, from partial sketches made before the shuffle, so that a line in a third of all documents costs no more than
 another. Lines whose estimate is clear of the threshold are decided; those near it get exact distinct counts. Only
 spread lines reach the documents again, as hashes.
