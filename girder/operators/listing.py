@@ -29,6 +29,11 @@ def page(df: DataFrame, order: list, limit: int) -> Page:
     return Page(local, len(rows), seen.get.get("n", 0))
 
 
+def held(df: DataFrame) -> DataFrame:
+    """A page with what was looked up for it, as a local relation again, so that what follows is planned without the lookups."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def with_positions(values: list, df_schema: str, spark) -> DataFrame:
     """A request's keys in order, duplicates included."""
     return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"pos int, {df_schema}")

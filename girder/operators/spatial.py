@@ -2,76 +2,81 @@
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.functions.geometry import in_footprint, point_in_box, to_local
+from girder.functions.geometry import in_footprint
 
 CELL = 10.0
+#: Sizes of cells in a row of grids, each so many times the one before. Bounds go to the finest grid in which they span no more than that many cells, so they touch at most (SPAN + 1) ** 2.
+GRIDS, SPAN = 5, 16
+
+
+def _grid(extent: Column, cell: float) -> Column:
+    """The grid for bounds of this extent."""
+    found = F.lit(GRIDS - 1)
+    for g in reversed(range(GRIDS - 1)):
+        found = F.when(extent <= cell * SPAN ** (g + 1), g).otherwise(found)
+    return found.cast("int")
 
 
-def _cells(low: Column, high: Column, cell: float) -> Column:
-    return F.sequence(F.floor(low / cell), F.floor(high / cell))
+def _cells(bounds: DataFrame, cell: float) -> DataFrame:
+    """bounds (x0, y0, x1, y1) with g, cx and cy: a row for each cell that they touch."""
+    size = F.lit(cell) * F.pow(F.lit(float(SPAN)), F.col("g"))
+    gridded = bounds.withColumn("g", _grid(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")), cell))
+    span = lambda a: F.sequence(F.floor(F.col(f"{a}0") / size), F.floor(F.col(f"{a}1") / size))
+    return gridded.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y"))).drop("x0", "y0", "x1", "y1")
+
+
+def _placed(points: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
+    """points with g, cx and cy: a row for each grid."""
+    each = F.array(*[F.struct(F.lit(g).cast("int").alias("g"), F.floor(F.col(x) / (cell * SPAN**g)).alias("cx"), F.floor(F.col(y) / (cell * SPAN**g)).alias("cy")) for g in range(GRIDS)])
+    return points.withColumn("__cell", F.explode(each)).select("*", "__cell.*").drop("__cell")
 
 
 def rooms_at(points: DataFrame, rooms: DataFrame, cell: float = CELL) -> DataFrame:
     """key, room_id: the room around each point (key, doc_id, x, y, z), the one with the smallest id if several are; points outside all rooms are left out.
 
-    Rooms are dealt to the grid cells that their bounds touch, which makes the range join an equi-join; the exact tests
-    follow. A room's z bounds are half open, as its footprint is.
+    Rooms are dealt to the grid cells that their bounds touch, large ones to coarser grids, which makes the range join an
+    equi-join; the exact tests follow. A room's z bounds are half open, as its footprint is.
     """
     xs, ys = F.transform("footprint", lambda p: p["x"]), F.transform("footprint", lambda p: p["y"])
-    spread = (
-        rooms.where(F.size("footprint") >= 3)
-        .select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", _cells(F.array_min(xs), F.array_max(xs), cell).alias("cx"), _cells(F.array_min(ys), F.array_max(ys), cell).alias("cy"))
-        .withColumn("cx", F.explode("cx"))
-        .withColumn("cy", F.explode("cy"))
-    )
-    placed = points.withColumns({"cx": F.floor(F.col("x") / cell), "cy": F.floor(F.col("y") / cell)})
+    bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
     high = (F.col("z") >= F.coalesce("z_min", F.col("z"))) & (F.col("z_max").isNull() | (F.col("z") < F.col("z_max")))
-    met = placed.join(spread, ["doc_id", "cx", "cy"]).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
+    met = _placed(points, cell).join(_cells(bounds, cell), ["doc_id", "g", "cx", "cy"]).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
     return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
 
 
 def elements_in_boxes(elements: DataFrame, boxes: list[dict], cell: float = 50.0) -> DataFrame:
-    """Extension: doc_id, id, box_id of elements whose centroid is in one of many boxes (rows of scope_boxes, collected), each pair once.
+    """Extension: doc_id, id, box_id of elements whose centroid is in one of many boxes of their document (rows of scope_boxes, collected), each pair once.
 
-    Each box becomes a row of cells that its world bounds touch. The cells are dealt by hash like the elements, so
-    neither side must fit into memory.
+    Each box becomes a row of cells that its world bounds touch, in a grid coarse enough that they are few. The cells
+    are dealt by hash like the elements, so neither side must fit into memory.
     """
     spark = elements.sparkSession
     rows = []
     for b in boxes:
         low, high = _world_bounds(b)
-        rows.append((b["id"], low[0], low[1], high[0], high[1], [float(v) for a in ("min", "max") for v in b[a]], list(b["inverse"] or [])))
-    side = spark.createDataFrame(rows, "box_id long, x0 double, y0 double, x1 double, y1 double, bounds array<double>, inverse array<double>")
-    side = side.withColumn("cx", F.explode(_cells(F.col("x0"), F.col("x1"), cell))).withColumn("cy", F.explode(_cells(F.col("y0"), F.col("y1"), cell)))
+        rows.append((b["doc_id"], b["id"], low[0], low[1], high[0], high[1], [float(v) for a in ("min", "max") for v in b[a]], list(b["inverse"] or [])))
+    side = spark.createDataFrame(rows, "doc_id long, box_id long, x0 double, y0 double, x1 double, y1 double, bounds array<double>, inverse array<double>")
     at = F.coalesce("location", F.when(F.col("bbox").isNotNull(), F.struct(*[((F.col(f"bbox.min.{a}") + F.col(f"bbox.max.{a}")) * 0.5).alias(a) for a in "xyz"])))
-    placed = elements.select("doc_id", "id", at.alias("p")).where("p IS NOT NULL").withColumns({"cx": F.floor(F.col("p.x") / cell), "cy": F.floor(F.col("p.y") / cell)})
+    placed = _placed(elements.select("doc_id", "id", at.alias("p")).where("p IS NOT NULL"), cell, "p.x", "p.y")
     m = [F.get("inverse", F.lit(i)) for i in range(12)]
     p = F.col("p")
     local = [F.when(F.size("inverse") == 0, p[a]).otherwise(m[4 * i] * p["x"] + m[4 * i + 1] * p["y"] + m[4 * i + 2] * p["z"] + m[4 * i + 3]) for i, a in enumerate("xyz")]
     inside = F.lit(True)
     for i, v in enumerate(local):
         inside &= v.between(F.get("bounds", F.lit(i)), F.get("bounds", F.lit(3 + i)))
-    return placed.join(side, ["cx", "cy"]).where(inside).select("doc_id", "id", "box_id").distinct()
+    return placed.join(_cells(side, cell), ["doc_id", "g", "cx", "cy"]).where(inside).select("doc_id", "id", "box_id").distinct()
 
 
 def _world_bounds(box: dict) -> tuple[list[float], list[float]]:
     """x and y bounds in world coordinates of a box with an inverse transform."""
-    import itertools
-
-    import numpy as np
-
     corners = np.array(list(itertools.product(*zip(box["min"], box["max"], strict=True))), float)
     if box["inverse"]:
         m = np.array(box["inverse"], float).reshape(3, 4)
         corners = np.linalg.solve(m[:, :3], (corners - m[:, 3]).T).T
     return corners.min(axis=0).tolist(), corners.max(axis=0).tolist()
-
-
-def membership(elements: DataFrame, test: Column, name: str = "in_box") -> DataFrame:
-    return elements.withColumn(name, test)
-
-
-__all__ = ["elements_in_boxes", "membership", "point_in_box", "rooms_at", "to_local"]

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from girder.functions import params as P
 from girder.functions.geometry import probes
 from girder.operators.spatial import elements_in_boxes, rooms_at
+from girder.plans.args import QueryError
 from girder.plans.registry import run
 from girder.queries.sheets import visible_elements
-from girder.sources.driver_tables import BOXES, SESSION, building, linked, named
+from girder.sources.driver_tables import BOXES, SESSION, building, linked, named, odd
 
 
 def _totals(spark: SparkSession, envelope: dict) -> DataFrame:
@@ -33,6 +36,17 @@ def get_rooms_unplaced(spark, sf_dir):
     return _totals(spark, run(building(spark, sf_dir), SESSION, "get_rooms", {"include_unplaced": True, "limit": 50}).envelope)
 
 
+def get_rooms_fields(spark, sf_dir):
+    """The rows of the JSON answer with id and the fields asked for; unknown ones are left out."""
+    rows = run(building(spark, sf_dir), SESSION, "get_rooms", {"limit": 300, "fields": ["name", "number", "none"]}).to_dict()["rooms"]
+    return spark.createDataFrame([(json.dumps(r, separators=(",", ":")),) for r in rows], "room string")
+
+
+def get_rooms_without_area(spark, sf_dir):
+    """Rooms of area 0, or NaN, aren't placed."""
+    return run(odd(spark, sf_dir), SESSION, "get_rooms", {"limit": 1000}).df.select("id", "number", "area_sf")
+
+
 def get_views_page(spark, sf_dir):
     return run(building(spark, sf_dir), SESSION, "get_views", {"view_type": "economy"}).df.select("id", "unique_id", "name", "view_type", F.col("level.name").alias("level_name"))
 
@@ -90,9 +104,25 @@ def scope_box_view(spark, sf_dir):
     return _box(spark, sf_dir, scope_box_id=1, category="3-MEDIUM", view_id=5).df.select("id", "in_box")
 
 
+#: Arguments of a scope box query that fails.
+FAILING = [{"scope_box_id": 7, "category": "none"}, {"scope_box_id": 987_654_321, "scope_box_name": "zone a"}, {"scope_box_name": "zone z"}, {"scope_box_id": 1, "category": "none"}]
+
+
+def scope_box_errors(spark, sf_dir):
+    """Which of several faults is told."""
+    model = building(spark, sf_dir)
+    told = []
+    for k, args in enumerate(FAILING):
+        try:
+            run(model, SESSION, "filter_elements_by_scope_box", args)
+        except QueryError as e:
+            told.append((k, str(e)))
+    return spark.createDataFrame(told, "k int, message string")
+
+
 def scope_box_members(spark, sf_dir):
     """All elements against all boxes."""
-    boxes = [{"id": b[1], "min": b[3], "max": b[4], "inverse": b[5]} for b in BOXES]
+    boxes = [{"doc_id": b[0], "id": b[1], "min": b[3], "max": b[4], "inverse": b[5]} for b in BOXES]
     return elements_in_boxes(building(spark, sf_dir).elements, boxes).select("id", "box_id")
 
 
@@ -125,6 +155,12 @@ def sheet_views(spark, sf_dir):
     return found.df.select("sheet_number", "current_revision", F.explode_outer("views").alias("v")).select("sheet_number", "current_revision", F.col("v.view.unique_id").alias("view_uid"), F.col("v.view.name").alias("view_name"), F.col("v.view.view_type").alias("view_type"))
 
 
+def sheet_views_unresolved(spark, sf_dir):
+    """Viewports that resolve to no view are left out."""
+    found = run(odd(spark, sf_dir), SESSION, "get_sheets", {"limit": 500})
+    return found.df.select("sheet_number", F.coalesce(F.size("views"), F.lit(0)).alias("n_views"))
+
+
 def sheet_view_elements(spark, sf_dir):
     found = run(building(spark, sf_dir), SESSION, "get_sheets", {"sheet_number": "SUPPLIER#000000003", "include_elements": True, "element_limit": 5})
     each = found.df.select(F.explode("views").alias("v")).select("v.view.*")
@@ -158,9 +194,18 @@ def rooms_at_points(spark, sf_dir):
     return rooms_at(both.select("doc_id", F.col("id").alias("key"), at.alias("p")).select("doc_id", "key", "p.*"), model.rooms)
 
 
-NAMES = """get_levels get_rooms_page get_rooms_total get_rooms_unplaced get_views_page get_views_total get_links model_revision project_info scope_box_centroid scope_box_counts scope_box_intersects
-scope_box_rotated_inside scope_box_ids scope_box_selection scope_box_view scope_box_members element_by_uniqueid element_by_ifcguid element_classification element_params sheet_views sheet_view_elements
-view_elements_capped door_rooms door_rooms_no_stored rooms_at_points""".split()
+def rooms_at_slanted(spark, sf_dir):
+    """The geometric lookup in footprints that aren't along the axes; half of the openings face nowhere."""
+    model = odd(spark, sf_dir)
+    facing = model.openings.select("element_id", "facing", "host_wall_width")
+    both = model.elements.select("doc_id", "id", "location").where("location IS NOT NULL").join(facing, F.col("id") == F.col("element_id"))
+    at = probes(F.col("location"), F.col("facing"), F.col("host_wall_width"))[1]
+    return rooms_at(both.select("doc_id", F.col("id").alias("key"), at.alias("p")).select("doc_id", "key", "p.*"), model.rooms)
+
+
+NAMES = """get_levels get_rooms_page get_rooms_total get_rooms_unplaced get_rooms_fields get_rooms_without_area get_views_page get_views_total get_links model_revision project_info scope_box_centroid scope_box_counts scope_box_intersects
+scope_box_rotated_inside scope_box_ids scope_box_selection scope_box_view scope_box_members scope_box_errors element_by_uniqueid element_by_ifcguid element_classification element_params sheet_views sheet_views_unresolved sheet_view_elements
+view_elements_capped door_rooms door_rooms_no_stored rooms_at_points rooms_at_slanted""".split()
 QUERIES = {name: globals()[name] for name in NAMES}
 
 _EL = """el AS (SELECT o_orderkey AS id, o_custkey, o_orderpriority AS category, o_totalprice / 1000 AS x, (o_custkey % 1000) / 10 AS y, (o_orderkey % 100) / 10 AS z, o_orderkey % 4 <> 1 AS has_loc, o_orderkey % 5 <> 0 AS has_box,
@@ -185,6 +230,8 @@ ORACLE_SQL = {
     "get_rooms_page": "SELECT c_custkey AS id, 'r-' || c_custkey AS unique_id, c_name AS number, c_mktsegment AS name, c_acctbal AS area_sf, n_name AS level_name, n_regionkey * 3.0e0 AS elevation_ft FROM (SELECT * FROM customer WHERE c_acctbal > 0 ORDER BY c_name, c_custkey LIMIT 200) LEFT JOIN nation ON n_nationkey = c_nationkey",
     "get_rooms_total": "SELECT count(*)::BIGINT AS total, least(count(*), 1000)::BIGINT AS count, count(*) > 1000 AS truncated FROM customer WHERE c_acctbal > 0",
     "get_rooms_unplaced": "SELECT count(*)::BIGINT AS total, least(count(*), 50)::BIGINT AS count, count(*) > 50 AS truncated FROM customer",
+    "get_rooms_fields": "SELECT json_object('id', c_custkey, 'number', c_name, 'name', c_mktsegment)::VARCHAR AS room FROM (SELECT * FROM customer WHERE c_acctbal > 0 ORDER BY c_name, c_custkey LIMIT 300)",
+    "get_rooms_without_area": "SELECT c_custkey AS id, c_name AS number, c_acctbal AS area_sf FROM customer WHERE c_acctbal > 0 AND c_custkey % 5 > 1 ORDER BY c_name, c_custkey LIMIT 1000",
     "get_views_page": "SELECT p_partkey AS id, 'v-' || p_partkey AS unique_id, p_name AS name, p_type AS view_type, n_name AS level_name FROM (SELECT * FROM part WHERE lower(p_type) = 'economy' AND p_size NOT IN (49, 50) ORDER BY p_type, p_name, p_partkey LIMIT 200) LEFT JOIN nation ON n_nationkey = p_size % 30",
     "get_views_total": "SELECT count(*)::BIGINT AS total, least(count(*), 1000)::BIGINT AS count, count(*) > 1000 AS truncated FROM part WHERE p_size NOT IN (49, 50)",
     "get_links": f"SELECT 'l-' || r_regionkey AS unique_id, r_regionkey::BIGINT AS id, r_name AS name, r_regionkey <> 4 AS loaded, CASE WHEN r_regionkey <> 4 THEN r_name END AS title, CASE WHEN r_regionkey <> 4 THEN {_KEY} END AS project_key FROM region WHERE r_regionkey <> 0",
@@ -198,6 +245,7 @@ ORACLE_SQL = {
     "scope_box_selection": f"WITH {_EL}, {_MID} SELECT id, {_HIT} AS in_box FROM (VALUES (7), (3), (7), (11), (999999999)) w(k) JOIN mid ON id = k",
     "scope_box_view": f"WITH {_EL}, {_MID} SELECT id, {_HIT} AS in_box FROM mid WHERE category = '3-MEDIUM' AND id IN (SELECT l_orderkey FROM lineitem WHERE l_partkey = 5) ORDER BY id LIMIT 1000",
     "scope_box_members": f"WITH {_EL}, {_MID} SELECT id, 1::BIGINT AS box_id FROM mid WHERE {_HIT} UNION ALL SELECT id, 2 FROM mid WHERE (has_loc OR has_box) AND {_ROTATED}",
+    "scope_box_errors": "SELECT * FROM (VALUES (0, 'Element 7 is not a scope box (OST_VolumeOfInterest).'), (1, 'Provide scope_box_id or scope_box_name that resolves to a scope box.'), (2, 'Provide scope_box_id or scope_box_name that resolves to a scope box.'), (3, 'Unknown BuiltInCategory ''none''.')) t(k, message)",
     "element_by_uniqueid": f"""WITH e AS (SELECT n_regionkey AS doc, c_custkey AS id, (c_custkey % 50)::VARCHAR AS uid, c_name, c_mktsegment FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey <> 4),
 f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY uid ORDER BY doc, id) = 1)
 SELECT w.k AS unique_id, f.id IS NOT NULL AS found, f.id, c_name AS name, c_mktsegment AS category, CASE WHEN f.id IS NOT NULL THEN 'pdra' END AS source, uid AS "sourceLocalId", CASE WHEN f.id IS NOT NULL THEN {_KEY} END AS "projectKey", CASE WHEN doc <> 0 THEN true END AS from_link, CASE WHEN doc <> 0 THEN doc::BIGINT END AS link_instance_id, CASE WHEN doc <> 0 THEN r_name END AS link_title
@@ -209,6 +257,7 @@ FROM (VALUES ('SMALL RING'), ('zzz'), ('red Widget')) w(k) LEFT JOIN f ON lower(
     "element_params": f"""WITH {_TYPES} SELECT o_orderkey AS id, CASE WHEN o_orderkey % 9 = 0 THEN 'wide' WHEN o_orderkey % 3 = 0 THEN regexp_replace(regexp_replace(printf('%.3f', o_custkey / 8), '0+$', ''), '[.]$', '') ELSE p_size::VARCHAR END AS width,
   CASE WHEN o_orderkey % 2 = 1 THEN '' ELSE p_type END AS note FROM orders LEFT JOIN t ON l_orderkey = o_orderkey""",
     "sheet_views": "SELECT s_name AS sheet_number, CASE WHEN s_suppkey % 2 = 0 THEN 'A' END AS current_revision, 'v-' || p_partkey AS view_uid, p_name AS view_name, p_type AS view_type FROM (SELECT * FROM supplier ORDER BY s_name, s_suppkey LIMIT 100) LEFT JOIN (SELECT DISTINCT l_suppkey, p_partkey, p_name, p_type FROM lineitem JOIN part ON p_partkey = l_partkey) ON l_suppkey = s_suppkey",
+    "sheet_views_unresolved": "SELECT s_name AS sheet_number, count(DISTINCT p_partkey)::INT AS n_views FROM (SELECT * FROM supplier ORDER BY s_name, s_suppkey LIMIT 500) LEFT JOIN lineitem ON l_suppkey = s_suppkey LEFT JOIN part ON p_partkey = l_partkey AND l_partkey % 3 <> 0 GROUP BY s_suppkey, s_name",
     "sheet_view_elements": f"""WITH {_TYPES}, v AS (SELECT DISTINCT l_partkey AS v FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey WHERE upper(s_name) = 'SUPPLIER#000000003'),
 e AS (SELECT v, o_orderkey AS id FROM v JOIN (SELECT DISTINCT l_partkey, l_orderkey FROM lineitem) ON l_partkey = v JOIN orders ON o_orderkey = l_orderkey QUALIFY row_number() OVER (PARTITION BY v ORDER BY o_orderkey) <= 5)
 SELECT 'v-' || v AS view_uid, count(*) OVER (PARTITION BY v) = 5 AS elements_truncated, 'u-' || id AS unique_id, CASE WHEN id % 3 = 0 THEN 'g-' || id END AS ifc_guid, coalesce(CASE WHEN p_size > 25 THEN p_brand END, CASE WHEN id % 2 = 0 THEN 'inst' END) AS assembly_code FROM e LEFT JOIN t ON l_orderkey = id""",
@@ -222,4 +271,7 @@ FROM r LEFT JOIN t ON l_orderkey = r.id LEFT JOIN customer a ON a.c_custkey = f
     "door_rooms_no_stored": f"WITH {_DOORS.format(category='3-MEDIUM', limit=2000)} SELECT id, gf AS from_id, gt AS to_id, CASE WHEN gf IS NOT NULL OR gt IS NOT NULL THEN 'geometric' ELSE 'none' END AS resolution FROM g",
     "rooms_at_points": """WITH q AS (SELECT o_orderkey AS key, o_totalprice / 1000 + CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE 1 END * CASE WHEN o_orderkey % 4 = 0 THEN 5.0e0 ELSE 1.0e0 END AS x, (o_custkey % 1000) / 10 + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END * CASE WHEN o_orderkey % 4 = 0 THEN 5.0e0 ELSE 1.0e0 END AS y FROM orders WHERE o_orderkey % 4 <> 1)
 SELECT key, c_custkey AS room_id FROM q JOIN customer ON c_custkey = floor(x / 10) WHERE c_custkey < 50 AND y >= 0 AND y < 100""",
+    "rooms_at_slanted": """WITH f AS (SELECT *, CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 THEN 0 ELSE 1 END AS nx, CASE WHEN o_orderkey % 4 = 0 THEN 5.0e0 ELSE 1.0e0 END AS off FROM orders WHERE o_orderkey % 4 <> 1),
+q AS (SELECT o_orderkey AS key, o_totalprice / 1000 - nx * off AS x, (o_custkey % 1000) / 10 - (1 - nx) * off AS y FROM f)
+SELECT key, c_custkey AS room_id FROM q JOIN customer ON c_custkey = floor((x - y / 2) / 10) WHERE c_custkey < 50 AND y >= 0 AND y < 100""",
 }

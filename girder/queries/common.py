@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from girder.functions import params as P
-from girder.functions.text import filled
 from girder.operators.listing import with_positions
 from girder.operators.lookup import enrich
 from girder.plans import args as A
 from girder.plans.args import QueryError
 from girder.sources.model import Model, Session
 
+#: Fixed value: an error text.
 NO_DOCUMENT = "No active document."
 
 
@@ -22,9 +22,6 @@ def active(session: Session) -> int:
     return session.doc_id
 
 
-LEVEL = F.struct  # of id, name, elevation_ft, elevation_user_units
-
-
 def with_level(page: DataFrame, model: Model) -> DataFrame:
     """A bounded page (with doc_id, __pos, level_id, params) and level: that of level_id; where there is none, the first level parameter that names a level."""
     asked = page.select("__pos", "doc_id", F.posexplode(F.when(F.col("level_id").isNotNull() & (F.col("level_id") != -1), F.array("level_id")).otherwise(P.level_candidates(F.col("params")))).alias("__i", "__level"))
@@ -50,7 +47,8 @@ def by_ids(model: Model, doc: int, wanted: list[int]) -> DataFrame:
 
 
 def _is_view(model: Model, doc: int, view: int) -> bool:
-    return any(model.of(t, doc).where(F.col("id") == view).limit(1).count() for t in ("views", "sheets"))
+    views, sheets = (model.of(t, doc).where(F.col("id") == view).select("id") for t in ("views", "sheets"))
+    return not views.union(sheets).limit(1).isEmpty()
 
 
 def by_category(model: Model, doc: int, category: str, view: int | None) -> DataFrame:
@@ -69,7 +67,7 @@ def candidates(model: Model, session: Session, args: dict, default: str | None)
         return by_ids(model, doc, ids)
     view = A.long(args, "view_id")
     if (category := A.text(args, "category")) is not None:
-        if category not in model.categories:
+        if not model.knows(category):
             raise QueryError(f"Unknown BuiltInCategory '{category}'.")
         return by_category(model, doc, category, view)
     if session.selection:
@@ -77,7 +75,3 @@ def candidates(model: Model, session: Session, args: dict, default: str | None)
     if default is None:
         raise QueryError("Provide element_ids[], category, or a current selection to test.")
     return by_category(model, doc, default, view)
-
-
-def ifc_guid():
-    return filled(F.col("ifc_guid"))

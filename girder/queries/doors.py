@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from girder.functions import params as P
 from girder.functions.geometry import probes
 from girder.functions.text import same_text
-from girder.operators.listing import page
+from girder.operators.listing import held, page
 from girder.operators.lookup import enrich
 from girder.operators.spatial import rooms_at
 from girder.plans import args as A
@@ -41,30 +41,22 @@ def resolve_phase(model: Model, session: Session, args: dict) -> Row | None:
     return phases.orderBy(F.desc("ordinal"), "id").first()
 
 
-def with_rooms(doors: DataFrame, model: Model, doc: int, phase: int | None) -> DataFrame:
-    """Doors (a bounded page with __pos, id, location, facing, host_wall_width) and from_id, to_id and resolution.
+def room_sides(doors: DataFrame, model: Model, doc: int, phase: int | None) -> DataFrame:
+    """__pos, doc_id, side, stored, room_id for both sides of each of a bounded page of doors (__pos, location, facing, host_wall_width, from_id, to_id).
 
-    The stored rooms of the phase count if either side has one; only doors without any are resolved by where they are.
+    The stored rooms count if either side has one; only doors without any are resolved by where they are.
     """
-    if phase is None:
-        stored = doors.withColumns({"from_id": F.lit(None).cast("long"), "to_id": F.lit(None).cast("long")})
-    else:
-        of_phase = model.of("opening_rooms", doc).where(F.col("phase_id") == phase)
-        stored = enrich(doors, of_phase, {"doc_id": "doc_id", "id": "element_id"}, [F.col("from_room_id").alias("from_id"), F.col("to_room_id").alias("to_id")])
-    none = F.col("from_id").isNull() & F.col("to_id").isNull()
-    ends = dict(zip(("from", "to"), probes(F.col("location"), F.col("facing"), F.col("host_wall_width")), strict=True))
-    left = stored.where(none & F.col("location").isNotNull())
-    points = left.select("doc_id", F.explode(F.array(*[F.struct(F.struct(F.col("__pos").alias("pos"), F.lit(side).alias("side")).alias("key"), p.alias("p")) for side, p in ends.items()])).alias("e")).select("doc_id", "e.key", "e.p.*")
+    ends = zip(("from", "to"), probes(F.col("location"), F.col("facing"), F.col("host_wall_width")), strict=True)
+    each = F.array(*[F.struct(F.lit(side).alias("side"), F.col(f"{side}_id").alias("stored_id"), p.alias("p")) for side, p in ends])
+    stored = F.col("from_id").isNotNull() | F.col("to_id").isNotNull()
+    sides = doors.select("__pos", "doc_id", stored.alias("stored"), F.col("location").isNotNull().alias("placed"), F.explode(each).alias("e")).select("__pos", "doc_id", "stored", "placed", "e.*")
+    points = sides.where(~F.col("stored") & F.col("placed")).select("doc_id", F.struct("__pos", "side").alias("key"), "p.*")
     rooms = model.of("rooms", doc)
     if phase is not None:
         rooms = rooms.where(F.col("phase_id").isNull() | (F.col("phase_id") == phase))
-    met = rooms_at(points, rooms)
-    for side in ends:
-        hit = met.where(F.col("key.side") == side).select(F.col("key.pos").alias("__at"), F.col("room_id").alias(f"__{side}"))
-        stored = stored.join(F.broadcast(hit), F.col("__pos") == F.col("__at"), "left").drop("__at")
-    found = F.col("__from").isNotNull() | F.col("__to").isNotNull()
-    resolution = F.when(~none, "from_to_room").when(found, "geometric").otherwise("none")
-    return stored.select("*", resolution.alias("resolution"), *[F.coalesce(f"{s}_id", f"__{s}").alias(f"__{s}_room") for s in ends]).drop("from_id", "to_id", "__from", "__to").withColumnsRenamed({"__from_room": "from_id", "__to_room": "to_id"})
+    met = rooms_at(points, rooms).select(F.col("key.__pos").alias("__at"), F.col("key.side").alias("__side"), F.col("room_id").alias("met_id"))
+    both = sides.join(F.broadcast(met), (F.col("__pos") == F.col("__at")) & (F.col("side") == F.col("__side")), "left")
+    return both.select("__pos", "doc_id", "side", "stored", F.coalesce("stored_id", "met_id").alias("room_id"))
 
 
 def texts(names: list[str], value) -> Column:
@@ -73,17 +65,17 @@ def texts(names: list[str], value) -> Column:
     return F.map_filter(F.map_from_arrays(F.array(*map(F.lit, distinct)), F.array(*[value(n) for n in distinct])), lambda k, v: v.isNotNull())
 
 
-def with_room(doors: DataFrame, model: Model, side: str, names: list[str]) -> DataFrame:
-    """The room of a side as a struct: id, name, number, level_name, params."""
-    rooms = enrich(
-        doors.select("doc_id", F.col(f"{side}_id").alias("__room")).where("__room IS NOT NULL").distinct(),
-        model.rooms, {"doc_id": "doc_id", "__room": "id"},
-        [F.col("id"), F.col("name"), F.col("number"), F.col("level_id").alias("__level"), texts(names, lambda n: P.param_text(P.param(F.col("params"), n))).alias("params")],
-    )
-    leveled = enrich(rooms, model.levels, {"doc_id": "doc_id", "__level": "id"}, [F.col("name").alias("level_name")])
+def with_rooms(doors: DataFrame, model: Model, doc: int, phase: int | None, names: list[str]) -> DataFrame:
+    """Doors with from_room and to_room (id, name, number, level_name, params) and resolution; rooms and their levels are looked up once for both sides."""
+    sides = room_sides(doors, model, doc, phase)
+    room_columns = [F.col("id"), F.col("name"), F.col("number"), F.col("level_id").alias("__level"), texts(names, lambda n: P.param_text(P.param(F.col("params"), n))).alias("params")]
+    known = enrich(sides, model.of("rooms", doc), {"doc_id": "doc_id", "room_id": "id"}, room_columns)
+    leveled = enrich(known, model.of("levels", doc), {"doc_id": "doc_id", "__level": "id"}, [F.col("name").alias("level_name")])
     room = F.when(F.col("id").isNotNull(), F.struct("id", "name", "number", "level_name", "params"))
-    hit = leveled.select(F.col("doc_id").alias("__d"), "__room", room.alias(f"{side}_room"))
-    return doors.join(F.broadcast(hit), (F.col("doc_id") == F.col("__d")) & (F.col(f"{side}_id") == F.col("__room")), "left").drop("__d", "__room")
+    of_side = lambda side: F.first(F.when(F.col("side") == side, room), ignorenulls=True)
+    how = F.when(F.first("stored"), "from_to_room").when(F.max(F.col("room_id").isNotNull()), "geometric").otherwise("none")
+    per_door = leveled.groupBy(F.col("__pos").alias("__at")).agg(of_side("from").alias("from_room"), of_side("to").alias("to_room"), how.alias("resolution"))
+    return doors.join(F.broadcast(per_door), F.col("__pos") == F.col("__at"), "left").drop("__at")
 
 
 def get_door_rooms(model: Model, session: Session, args: dict) -> Result:
@@ -94,12 +86,17 @@ def get_door_rooms(model: Model, session: Session, args: dict) -> Result:
     doors = candidates(model, session, args, "OST_Doors").where("is_family_instance").select("pos", "doc_id", "id", "name", "type_id", "location", "params")
     found = page(doors, ["pos", "id"], limit)
     numbered = found.df.withColumn("__pos", F.struct("pos", "id"))
-    opened = enrich(numbered, model.openings, {"doc_id": "doc_id", "id": "element_id"}, [F.col("mark"), F.col("host_id"), F.col("host_wall_width"), F.col("facing")])
-    resolved = with_rooms(with_type(opened, model), model, doc, phase and phase["id"])
+    opened = enrich(numbered, model.of("openings", doc), {"doc_id": "doc_id", "id": "element_id"}, [F.col("mark"), F.col("host_id"), F.col("host_wall_width"), F.col("facing")])
+    if phase is None:
+        stored = opened.withColumns({"from_id": F.lit(None).cast("long"), "to_id": F.lit(None).cast("long")})
+    else:
+        of_phase = model.of("opening_rooms", doc).where(F.col("phase_id") == phase["id"])
+        stored = enrich(opened, of_phase, {"doc_id": "doc_id", "id": "element_id"}, [F.col("from_room_id").alias("from_id"), F.col("to_room_id").alias("to_id")])
     values = texts(door_params, lambda n: P.instance_or_type(n, F.col("params"), F.col("type_params")))
-    for side in ("from", "to"):
-        resolved = with_room(resolved, model, side, room_params)
-    df = resolved.withColumn("values", values).orderBy("__pos").select("id", "name", "type_name", "mark", "host_id", "values", "from_room", "to_room", "resolution")
+    columns = ["__pos", "doc_id", "id", "name", "type_name", "mark", "host_id", "location", "facing", "host_wall_width", "from_id", "to_id"]
+    typed = held(with_type(stored, model).select(*columns, values.alias("values")))
+    resolved = with_rooms(typed, model, doc, phase and phase["id"], room_params)
+    df = resolved.orderBy("__pos").select("id", "name", "type_name", "mark", "host_id", "values", "from_room", "to_room", "resolution")
 
     def row(r: dict) -> dict:
         rooms = {k: (dict(v) if v.get("params") else {x: y for x, y in v.items() if x != "params"}) if (v := r.pop(k)) else None for k in ("from_room", "to_room")}

@@ -8,19 +8,18 @@ from pyspark.sql import functions as F
 from girder.functions.identity import document_key
 from girder.functions.text import blank, filled
 from girder.operators.listing import page
-from girder.operators.lookup import enrich
 from girder.plans import args as A
 from girder.plans.args import QueryError
 from girder.plans.result import Result, drop_empty, projected
 from girder.sources.model import Model, Session
 
-from .common import active, with_level
+from .common import NO_DOCUMENT, active, with_level
 
 
 def _document(model: Model, session: Session) -> DataFrame:
     df = model.of("documents", active(session))
-    if not df.limit(1).count():
-        raise QueryError("No active document.")
+    if df.limit(1).isEmpty():
+        raise QueryError(NO_DOCUMENT)
     return df
 
 
@@ -88,5 +87,3 @@ def get_links(model: Model, session: Session, args: dict) -> Result:
 
     return Counted(df, {}, "links", row)
 
-
-__all__ = ["enrich", "get_levels", "get_links", "get_model_revision", "get_project_info", "get_rooms", "get_views"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -17,6 +19,15 @@ from girder.sources.model import Model, Session
 from .common import active, candidates, with_level
 
 
+#: Where a document's ids are.
+IDS = {"elements": "id", "element_types": "type_id", "levels": "id", "rooms": "id", "views": "id", "sheets": "id", "phases": "id", "links": "id"}
+
+
+def _names_something(model: Model, doc: int, number: int) -> bool:
+    found = [model.of(t, doc).where(F.col(c) == number).select(F.col(c).alias("id")) for t, c in IDS.items()]
+    return not reduce(DataFrame.union, found).limit(1).isEmpty()
+
+
 def resolve_box(model: Model, session: Session, args: dict) -> Row:
     """The box asked for, by id or else by name; a given id that resolves to nothing isn't followed by the name."""
     doc = active(session)
@@ -24,7 +35,7 @@ def resolve_box(model: Model, session: Session, args: dict) -> Row:
     number, name = A.long(args, "scope_box_id"), A.text(args, "scope_box_name")
     if number is not None:
         box = boxes.where(F.col("id") == number).first()
-        if box is None and model.of("elements", doc).where(F.col("id") == number).limit(1).count():
+        if box is None and _names_something(model, doc, number):
             raise QueryError(f"Element {number} is not a scope box (OST_VolumeOfInterest).")
     else:
         box = boxes.where(same_text(F.col("name"), name)).orderBy("id").first() if name is not None else None
@@ -54,8 +65,6 @@ def tested(model: Model, session: Session, args: dict, limit: int) -> tuple[Row,
 
 
 def filter_elements_by_scope_box(model: Model, session: Session, args: dict) -> Result:
-    active(session)
-    resolve_box(model, session, args)
     box, intersects, found = tested(model, session, args, A.number_limit(args, 1000, 10_000))
     n_in, n = found.agg(F.count_if("in_box"), F.count(F.lit(1))).first()
     if A.flag(args, "inside_only"):

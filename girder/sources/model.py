@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ VIEW_TYPES = (
     "FloorPlan", "CeilingPlan", "Elevation", "Section", "Detail", "ThreeD", "Schedule", "DraftingView", "Legend", "EngineeringPlan", "AreaPlan", "Walkthrough", "Rendering",
     "DrawingSheet", "ProjectBrowser", "Report", "SystemBrowser", "CostReport", "LoadsReport", "PresureLossReport", "PanelSchedule", "ColumnSchedule", "Internal", "Undefined",
 )
+#: Category codes that need no element to be known.
+CATEGORIES = frozenset(["OST_Doors", "OST_VolumeOfInterest"])
 
 
 @dataclass(frozen=True)
@@ -29,27 +31,29 @@ class Session:
 
 @dataclass
 class Model:
-    """Tables by name; those not given are empty. Every table keeps the schema of schema.TABLES."""
+    """Tables by name, or functions that make them when a query first asks; those not given are empty. Every table keeps the schema of schema.TABLES."""
 
     spark: SparkSession
-    tables: dict[str, DataFrame] = field(default_factory=dict)
+    tables: dict[str, DataFrame | Callable[[], DataFrame]] = field(default_factory=dict)
+    #: Category codes besides those that elements have.
+    codes: frozenset[str] = CATEGORIES
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        if name not in self.tables:
-            self.tables[name] = self.spark.createDataFrame([], TABLES[name])
-        return self.tables[name]
+        found = self.tables.get(name)
+        if not isinstance(found, DataFrame):
+            found = self.tables[name] = found() if found else self.spark.createDataFrame([], TABLES[name])
+        return found
 
     def of(self, name: str, doc_id: int) -> DataFrame:
         """A table's rows of one document; the filter reaches the scan."""
         df = getattr(self, name)
         return df.where(F.col("host_doc_id" if name == "links" else "doc_id") == doc_id)
 
-    @cached_property
-    def categories(self) -> frozenset[str]:
-        """Codes that a category filter accepts. A model has few categories; the distinct codes are all that leaves the cluster."""
-        return frozenset(r[0] for r in self.elements.select("category_code").where("category_code IS NOT NULL").distinct().limit(10_000).collect()) | {"OST_Doors", "OST_VolumeOfInterest"}
+    def knows(self, code: str) -> bool:
+        """Whether a category filter accepts a code: a given one, or one that some element has, which its partition or the scan's filter tells."""
+        return code in self.codes or not self.elements.where(F.col("category_code") == code).select("id").limit(1).isEmpty()
 
     def register(self, prefix: str = "") -> None:
         """Temp views for SQL."""
@@ -74,7 +78,8 @@ LAYOUT = {"elements": (["doc_id", "category_code"], ["unique_id"]), "view_elemen
 
 def write_model(model: Model, path: str, mode: str = "errorifexists") -> None:
     """Writes the given tables as Parquet, partitioned and sorted by LAYOUT."""
-    for name, df in model.tables.items():
+    for name in list(model.tables):
+        df = getattr(model, name)
         by, within = LAYOUT.get(name, (["doc_id"] if "doc_id" in df.columns else [], ["id"] if "id" in df.columns else []))
         writer = (df.sortWithinPartitions(*by, *within) if by or within else df).write.mode(mode)
         (writer.partitionBy(*by) if name in LAYOUT else writer).parquet(f"{path}/{name}.parquet")

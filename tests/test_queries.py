@@ -250,7 +250,7 @@ def test_turned_boxes_against_numpy(spark):
     assert [r["in_box"] for r in got["elements"]] == expected.tolist() and got["count_in"] == expected.sum()
     from girder.operators.spatial import elements_in_boxes
 
-    pairs = elements_in_boxes(model.elements, [{"id": 1000, "min": box[0][3], "max": box[0][4], "inverse": box[0][5]}], cell=2.0)
+    pairs = elements_in_boxes(model.elements, [{"doc_id": HOST, "id": 1000, "min": box[0][3], "max": box[0][4], "inverse": box[0][5]}], cell=2.0)
     assert sorted(r.id for r in pairs.collect()) == np.flatnonzero(expected).tolist()
 
 
