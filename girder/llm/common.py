@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+import re
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,6 +17,8 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Most rows and bytes of a side that is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
+#: Spark's setting by which shuffle files go with the job that made them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,27 +51,35 @@ def text_key(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, which is set here only if nothing has set it."""
-    if not (base := spark.conf.get("spark.checkpoint.dir", None)):
-        base = spark.sparkContext.getCheckpointDir() or "/tmp/checkpoints"
+    """A new folder that driver and executors share: below spark.checkpoint.dir. Only where driver and executors are one process may that be unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"{tempfile.gettempdir()}/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once: written as Parquet to the shared folder and read from there, so that no lost executor can take it along."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df, computed once: written as Parquet to the shared folder and read from there, so that no lost executor can take it along. The job's shuffle files go when it is over."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    try:
+        if before is not None:
+            spark.conf.set(CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing reads any more, and lets Spark clean up the shuffles of jobs that are over."""
+    """Deletes written tables that nothing reads any more."""
     for df in tables:
         for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    SparkSession.active()._jvm.System.gc()
 
 
 def small(df: DataFrame, row_bytes: int) -> bool:

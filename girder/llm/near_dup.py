@@ -1,24 +1,33 @@
 """MinHash near-dedup with SetSketch registers.
 
 1. Sketch: each text becomes the set of its word shingles (64-bit hashes) and 128 registers, exponentially spaced
-   truncated minima: register i is floor(1 - log_b(x_i)), x_i the least of the set's exponential draws. Registers of a
-   union are the maxima of the parts' registers.
+   truncated minima: register i is floor(1 - log_b(x_i)), x_i the least of the set's exponential draws at rate a.
+   Registers of a union are the maxima of the parts' registers. At rate a = 20 a register is 0 with a chance of e^-20,
+   also of a set of one shingle.
 2. Texts with equal sets are one class from here on; classes carry their smallest doc_id.
 3. Bands of four registers make buckets. Each bucket has a pivot, the member with the least share of shingles that no
    other candidate holds: among copies with edits, the original or the copy nearest to it. Each class is first compared
    with the pivot that it shares most buckets with, then with its other pivots. Confirmed links join classes to
    components.
-4. Then only pairs that share a bucket but not yet a component are compared, so that a group of n copies costs about n
-   comparisons, not n * n. Shingles that no other class of the large buckets holds bound what a class can share with
-   any of those (and with no one else), which rules out heavily edited copies exactly, as classes against a large
-   bucket and as pairs of classes that both have one. What is left of a bucket is compared in pairs of
-   blocks of bounded size, which return the links that join components and no other pairs. Before a pair is confirmed
-   on full sets, the joint likelihood of its registers (how many are equal, given the sizes) rules out those far below
-   the threshold.
-5. Links become components by alternating least-neighbour steps, written to the shared folder at each step.
-
-With 32 bands of four registers, a pair at similarity 0.85 misses all buckets with a probability of 1e-10, at 0.80
-of 5e-8. Texts without words (null, empty) have empty sets and are linked with nothing. Rows that repeat are one class;
+4. Then only pairs that share a bucket but not yet a component, and of which neither is the bucket's pivot, are
+   compared, so that a group of n copies costs about n comparisons, not n * n. Shingles that no other class of the
+   large buckets holds bound what a class can share with any of those (and with no one else), which rules out heavily
+   edited copies exactly, as classes against a large bucket and as pairs of classes that both have one. What is left of
+   a bucket, once for all buckets with the same members, is dealt to pairs of blocks of bounded size, which return the
+   links that join components and no other pairs.
+5. Before a pair is confirmed on full sets, its similarity is estimated jointly: the likelihood of how many registers
+   are greater, less and equal, given both sizes, is greatest at the estimate. A pair whose estimate is below the
+   threshold goes if the threshold is less likely by a factor of e^DOUBT.
+6. Links become components by alternating least-neighbour steps, written to the shared folder at each step.
+
+What is lost: with 32 bands of four registers, a pair at similarity 0.85 misses all buckets with a probability of 1e-10,
+at 0.80 of 5e-8; by the likelihood, a pair at the threshold goes with one of at most e^-DOUBT, 6e-8 (Chernoff's bound).
+Both are for one pair: a link between components is lost only if all pairs that would join them are. Tables that the
+result doesn't read are deleted before it is returned.
+
+An empty table has an empty result. Texts of any length are read whole; of a bucket's members so many meet in one task as
+have about ELEMENTS shingles in all, and two more. Other columns are ignored by near_duplicates and kept by
+deduplicated, whatever their names. Texts without words (null, empty) have empty sets and are linked with nothing. Rows that repeat are one class;
 rows that share the smallest doc_id of a component are all kept. A row without doc_id never names a component unless
 all of its component lack one; then component_id is null and it is kept.
 """
@@ -31,20 +40,20 @@ from itertools import chain, pairwise
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import broadcast_if_small, table, text_key, written
+from .common import broadcast_if_small, drop, table, text_key, written
 
 REGISTERS, ROWS = 128, 4
-BASE, TOP = 1.001, 65_534
-#: Members of a bucket that are compared with each other in one task; larger buckets are dealt to pairs of blocks.
-BLOCK = 1024
+BASE, RATE, TOP = 1.001, 20.0, 65_534
+#: Members of a bucket, and their shingles, in one block on average; larger buckets are dealt to pairs of blocks.
+BLOCK, ELEMENTS = 512, 1 << 20
 #: Shingles of their own are counted for, and among, classes in buckets of more than so many members; they bound what two of these share.
 LARGE = 8
-#: A pair is compared on full sets unless its registers are less likely than this many standard deviations below the threshold.
-SIGMAS = 5.0
+#: A pair is compared on full sets unless its registers are less likely at the threshold than at their estimate by so much in logarithms.
+DOUBT = 16.6
 
 _MULTIPLY = np.random.default_rng(20240601).integers(1 << 32, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FLIP = np.random.default_rng(20240602).integers(0, 1 << 63, REGISTERS, dtype=np.uint64)
@@ -76,7 +85,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     for i in range(0, len(hashes), 256):
         part = (hashes[i : i + 256, None] ^ _FLIP) * _MULTIPLY
         np.minimum(least, part.min(axis=0), out=least)
-    draws = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64)
+    draws = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64) / RATE
     return np.clip(np.floor(1 - np.log(draws) / np.log(BASE)), 0, TOP).astype(np.uint16)
 
 
@@ -115,26 +124,49 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sizes = [len(h) // 8 for h in batch["hashes"]]
-        yield pd.DataFrame({"h": np.frombuffer(b"".join(batch["hashes"]), np.int64), "c": np.repeat(batch["c"].to_numpy(np.int64), sizes)})
+        halves = np.frombuffer(b"".join(batch["set_id"]), ">i8").astype(np.int64).reshape(len(batch), 2).repeat(sizes, axis=0)
+        yield pd.DataFrame({"h": np.frombuffer(b"".join(batch["hashes"]), np.int64), "c1": halves[:, 0], "c2": halves[:, 1]})
 
 
-def least_likely(threshold: float) -> int:
-    """Equal registers below which a pair at the threshold is SIGMAS standard deviations away: equal registers of a pair with similarity J are about binomial with J."""
-    return int(REGISTERS * threshold - SIGMAS * (REGISTERS * threshold * (1 - threshold)) ** 0.5)
+def _greater(x: np.ndarray) -> np.ndarray:
+    """Chance that a register is greater than another's, from x: the share of the union that only its own set holds."""
+    return -np.log1p(-np.clip(x, 0, 1) * (1 - 1 / BASE)) / np.log(BASE)
+
+
+def log_likelihood(j, n_a, n_b, more, less) -> np.ndarray:
+    """Of similarity j, for sets of n_a and n_b elements of which more registers of the first are greater, less are less, and the rest are equal."""
+    u = n_a / (n_a + n_b)
+    p, q = _greater(u - (1 - u) * j), _greater((1 - u) - u * j)
+    at = lambda count, chance: np.where(count > 0, count * np.log(np.maximum(chance, 1e-12)), 0.0)
+    return at(more, p) + at(less, q) + at(REGISTERS - more - less, 1 - p - q)
+
+
+def estimate(n_a, n_b, more, less) -> np.ndarray:
+    """The similarity of greatest likelihood, in the limit of a base of 1, from which BASE is too near to tell."""
+    u = n_a / (n_a + n_b)
+    v, equal = 1 - u, REGISTERS - more - less
+    x, y = u**2 * (equal + less), v**2 * (equal + more)
+    return (x + y - np.sqrt((x - y) ** 2 + 4 * more * less * u**2 * v**2)) / (2 * REGISTERS * u * v)
+
+
+def likely(threshold: float, n_a, n_b, more, less) -> np.ndarray:
+    """Whether sizes and registers leave it open that a pair is at the threshold or above."""
+    best = np.clip(estimate(n_a, n_b, more, less), 0, 1)
+    sizes = np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) * (1 - 1e-12)
+    return sizes & ((best >= threshold) | (log_likelihood(best, n_a, n_b, more, less) - log_likelihood(threshold, n_a, n_b, more, less) <= DOUBT))
 
 
 def _same(percent: int):
-    """Filters pairs of sketches by their joint likelihood and sizes."""
-    least = least_likely(percent / 100)
+    """Filters pairs of sketches by their joint likelihood, given the sizes of the sets."""
 
     @F.pandas_udf(BooleanType())
-    def likely(a: pd.Series, b: pd.Series) -> pd.Series:
+    def same(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
         if not len(a):
             return pd.Series([], dtype=bool)
         x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(len(s), REGISTERS) for s in (a, b))
-        return pd.Series((x == y).sum(axis=1) >= least)
+        return pd.Series(likely(percent / 100, n_a.to_numpy(float), n_b.to_numpy(float), (x > y).sum(axis=1), (x < y).sum(axis=1)))
 
-    return likely
+    return same
 
 
 def _linked(percent: int):
@@ -152,7 +184,6 @@ def _linked(percent: int):
 
 def _block_linker(percent: int):
     """Links between members of two blocks of a bucket (or within one) that aren't of one component yet, as a forest: of links that join the same parts one is enough."""
-    least = least_likely(percent / 100)
 
     def links(block, n, own, label, sketch, hashes) -> list[tuple[int, int]]:
         """Rows of one pair of blocks as arrays; pairs of row numbers."""
@@ -162,9 +193,11 @@ def _block_linker(percent: int):
             part = left[at : at + 64]
             both = np.minimum.outer((n - own)[part], (n - own)[right])
             maybe = (label[part, None] != label[right]) & (100 * both >= percent * (n[part, None] + n[right] - both))
-            if maybe.any():
-                maybe &= (sketch[part, None, :] == sketch[right]).sum(axis=2) >= least
             p, q = np.nonzero(maybe)
+            if len(p):
+                more, less = (np.concatenate([test(sketch[part][p[i : i + 8192]], sketch[right][q[i : i + 8192]]).sum(axis=1) for i in range(0, len(p), 8192)]) for test in (np.greater, np.less))
+                open_ = likely(percent / 100, n[part][p].astype(float), n[right][q].astype(float), more, less)
+                p, q = p[open_], q[open_]
             if len(p):
                 shared = _intersections([hashes[i] for i in part], [hashes[i] for i in right], p, q)
                 ok = 100 * shared >= percent * (n[part][p] + n[right][q] - shared)
@@ -229,10 +262,12 @@ def _intersections(left: list[bytes], right: list[bytes], p: np.ndarray, q: np.n
     return shared[np.searchsorted(rows, p), np.searchsorted(cols, q)].astype(np.int64)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, root: the least node of each node's component, for nodes that have links (a, b)."""
+def components(links: DataFrame, scratch: list[DataFrame]) -> DataFrame:
+    """node, root: the least node of each node's component, for nodes that have links (a, b). scratch gets the table that is read."""
+    sums = ("count(*) n", "coalesce(bit_xor(xxhash64(a, b)), 0) x")
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    while True:
+    seen = edges.selectExpr(*sums).first()
+    while seen["n"]:
         # large star: each node's larger neighbours point to its least neighbour; small star: smaller ones do
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -240,30 +275,41 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a != b").distinct()
         after = written(small, "edges")
-        n, sums = after.count(), ("count(*) n", "bit_xor(xxhash64(a, b)) x")
-        if n == 0 or after.selectExpr(*sums).first() == edges.selectExpr(*sums).first():
-            break
+        before, seen = seen, after.selectExpr(*sums).first()
+        drop(edges)
         edges = after
-    return after.select(F.col("a").alias("node"), F.col("b").alias("root")).union(after.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        if seen == before:
+            break
+    scratch.append(edges)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, key (of the text), n_shingles, component_id for each row of docs."""
+    scratch: list[DataFrame] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(written(df, name))
+        return scratch[-1]
+
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    sketches = written(keyed.mapInPandas(_sketcher(width), "doc_id long, key long, n_shingles long, set_id binary, sketch binary"), "sketches")
-    classes = written(sketches.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "key")).alias("at"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    buckets = written(classes.select("set_id", "sketch").mapInPandas(_bands, "bucket long, set_id binary"), "bands")
+    sketches = kept(keyed.mapInPandas(_sketcher(width), "doc_id long, key long, n_shingles long, set_id binary, sketch binary"), "sketches")
+    classes = kept(sketches.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "key")).alias("at"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    buckets = kept(classes.select("set_id", "sketch").mapInPandas(_bands, "bucket long, set_id binary"), "bands")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(buckets.join(shared, "bucket").select("bucket", F.col("set_id").alias("a"), "size"), "members")
-
-    wanted = members.groupBy(F.col("a").alias("set_id")).agg(F.max("size").alias("size")).join(classes.select("set_id", "at"), "set_id").select("set_id", "size", F.col("at.doc_id").alias("w_doc"), F.col("at.key").alias("w_key"))
-    wanted = written(wanted, "wanted")
-    texts = keyed.join(broadcast_if_small(wanted, 64), F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
-    sets = written(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
-    crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi").select(F.xxhash64("set_id").alias("c"), "hashes")
-    alone = crowded.mapInPandas(_hashes, "h long, c long").groupBy("h").agg(F.count("*").alias("df"), F.min("c").alias("c")).where("df = 1").groupBy("c").agg(F.count("*").alias("own"))
-    known = wanted.select("set_id", "size").join(classes.select("set_id", "n", "sketch"), "set_id").withColumn("c", F.xxhash64("set_id")).join(alone, "c", "left")
-    info = written(known.select("set_id", "n", F.coalesce("own", F.lit(0)).alias("own"), (F.col("size") > LARGE).alias("crowded"), "sketch"), "info")
+    members = kept(buckets.join(shared, "bucket").select("bucket", F.col("set_id").alias("a"), "size"), "members")
+
+    largest = members.groupBy(F.col("a").alias("set_id")).agg(F.max("size").alias("size"))
+    wanted = kept(largest.join(classes, "set_id").select("set_id", "size", "n", "sketch", F.col("at.doc_id").alias("w_doc"), F.col("at.key").alias("w_key")), "wanted")
+    at = broadcast_if_small(wanted.select("set_id", "w_doc", "w_key"), 64)
+    texts = keyed.join(at, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
+    sets = kept(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
+    crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi")
+    once = crowded.mapInPandas(_hashes, "h long, c1 long, c2 long").groupBy("h").agg(F.count("*").alias("df"), F.bit_xor("c1").alias("c1"), F.bit_xor("c2").alias("c2")).where("df = 1")
+    alone = once.groupBy("c1", "c2").agg(F.count("*").alias("own"))
+    half = lambda k: F.conv(F.hex(F.substring("set_id", 8 * k + 1, 8)), 16, -10).cast("long")
+    known = wanted.withColumns({"c1": half(0), "c2": half(1)}).join(alone, ["c1", "c2"], "left")
+    info = kept(known.select("set_id", "n", F.coalesce("own", F.lit(0)).alias("own"), (F.col("size") > LARGE).alias("crowded"), "sketch"), "info")
 
     def possible(n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
         """Whether two sets, given what each has for its own, can be alike enough."""
@@ -274,38 +320,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("crowded").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"))
         own = lambda x: F.when(F.col("ca") & F.col("cb"), F.col(f"o{x}")).otherwise(0)
         sized = pairs.join(side("a"), "a").join(side("b"), "b").where(possible(F.col("na"), own("a"), F.col("nb"), own("b")))
-        likely = sized.where(_same(percent)("sa", "sb")).select("a", "b")
+        likely_ones = sized.where(_same(percent)("sa", "sb", "na", "nb")).select("a", "b")
         full = lambda x: sets.select(F.col("set_id").alias(x), F.col("hashes").alias(f"h{x}"))
-        return likely.join(full("a"), "a").join(full("b"), "b").where(_linked(percent)("ha", "hb")).select("a", "b")
+        return likely_ones.join(full("a"), "a").join(full("b"), "b").where(_linked(percent)("ha", "hb")).select("a", "b")
 
     sized = members.join(info.select(F.col("set_id").alias("a"), "n", "own"), "a")
     pivots = sized.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "a")).alias("p"), F.min("n").alias("least_n")).select("bucket", F.col("p.a").alias("b"), "least_n")
     # all members of a large bucket are among those that own was counted for; of a smaller one some may not be
-    placed = written(sized.join(pivots, "bucket").withColumn("own", F.when(F.col("size") > LARGE, F.col("own")).otherwise(0)).drop("size"), "placed")
-    stars = written(placed.where("a != b").groupBy("a", "b").agg(F.count("*").alias("n")), "stars")
-    links = written(confirmed(stars.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))), "links")
-    roots = written(components(links), "roots")
+    placed = kept(sized.join(pivots, "bucket").where("a != b").withColumn("own", F.when(F.col("size") > LARGE, F.col("own")).otherwise(0)).drop("size"), "placed")
+    most = Window.partitionBy("a").orderBy(F.desc("n"), "b")
+    stars = kept(placed.groupBy("a", "b").agg(F.count("*").alias("n")).select("a", "b", (F.row_number().over(most) == 1).alias("best")), "stars")
+    first = kept(confirmed(stars.where("best").select("a", "b")), "links")
+    roots = kept(components(first, scratch), "roots")
 
     root = lambda x: F.coalesce(f"r{x}", x)
     of = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
-    apart = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").where(root("a") != root("b")).select("a", "b")
-    links = written(links.union(confirmed(apart)), "links")
-    roots = written(components(links), "roots")
-    # a bucket whose members are of one component holds nothing more to find, nor does a class that can't be alike to any in it
+    apart = stars.where("NOT best").join(of("a"), "a", "left").join(of("b"), "b", "left").where(root("a") != root("b")).select("a", "b")
+    links = kept(first.union(confirmed(apart)), "links")
+    roots = kept(components(links, scratch), "roots")
+    # pairs with a pivot are done; a bucket whose other members are of one component holds nothing more to find, nor does a class that can't be alike to any in it
     able = placed.where(possible(F.col("n"), F.col("own"), F.greatest("least_n", F.col("n") - F.col("own")), F.lit(0))).select("bucket", "a", "n", "own")
-    labelled = able.join(of("a"), "a", "left").withColumn("r", root("a"))
-    open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo != hi").select("bucket")
-    sizes = labelled.join(open_, "bucket", "left_semi").groupBy("bucket").agg(F.count("*").alias("size")).withColumn("k", F.ceil(F.col("size") / BLOCK).cast("int"))
-    blocks = labelled.select("bucket", "a", "r", "own").join(sizes.select("bucket", "k"), "bucket").withColumn("block", F.pmod(F.hash("a"), "k"))
+    labelled = kept(able.join(of("a"), "a", "left").withColumn("r", root("a")), "labelled")
+    same_members = (F.count("*").alias("size"), F.sum("n").alias("elements"), F.bit_xor(F.xxhash64("a")).alias("x1"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("x2"))
+    open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), *same_members, F.max("own").alias("own")).where("lo != hi")
+    once = open_.groupBy("size", "x1", "x2").agg(F.min(F.struct("own", "bucket")).alias("o"), F.first("elements").alias("elements")).select("o.bucket", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / ELEMENTS)).cast("int").alias("k"))
+    blocks = labelled.select("bucket", "a", "r", "own").join(once, "bucket").withColumn("block", F.pmod(F.hash("a", F.lit(3)), "k"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r", "own")
     whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "sketch", "hashes")
-    more = written(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
-    roots = written(components(links.union(more)), "roots") if more.limit(1).count() else roots
+    more = kept(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
+    roots = components(links.union(more), scratch) if not more.isEmpty() else roots
 
     named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_set = named.join(least, "root").select("set_id", "component_id")
-    return sketches.drop("sketch").join(by_set, "set_id", "left").select("doc_id", "key", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    found = written(sketches.drop("sketch").join(by_set, "set_id", "left").select("doc_id", "key", "n_shingles", component.alias("component_id")), "found")
+    drop(*scratch)
+    return found
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -135,6 +135,56 @@ def test_near_copies_that_share_a_passage_with_many(spark):
     same(map(tuple, got), brute_components([(i, t, None) for i, t in rows], 3, 85))
 
 
+def templated(n, percent):
+    """Texts on one template that are far from each other, and of each a copy that is just a copy at the percentage."""
+    template, rows = prose(901, 70), []
+    for k in range(n):
+        text = f"{template} {prose(2000 + k, 110)}"
+        copy = edited(text, k, 1)
+        for edits in range(2, 30):
+            closer, copy = copy, edited(text, k, edits)
+            if len(brute_components([(0, text, None), (1, copy, None)], 3, percent)) and brute_components([(0, text, None), (1, copy, None)], 3, percent)[1][2]:
+                copy = closer
+                break
+        rows += [(2 * k, text), (2 * k + 1, copy)]
+    return rows
+
+
+def test_every_link_between_templated_texts_is_found(spark):
+    rows = templated(200, 85)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    expected = brute_components([(i, t, None) for i, t in rows], 3, 85)
+    assert len({c for *_, c in expected}) == 200
+    same(map(tuple, got), expected)
+
+
+def test_buckets_in_many_blocks(spark, monkeypatch):
+    """Copies too far from each other and from the pivot to be linked, but for a few, in blocks of three."""
+    monkeypatch.setattr(near_dup, "BLOCK", 3)
+    base = prose(21, 150)
+    rows = [(k, edited(base, k, 9)) for k in range(80)]
+    rows += [(100 + k, edited(rows[k * 7][1], 500 + k, 2)) for k in range(10)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    same(map(tuple, got), brute_components([(i, t, None) for i, t in rows], 3, 85))
+
+
+def test_joint_likelihood():
+    """The estimate is where the likelihood is greatest, near the true similarity, and a pair at the threshold is never ruled out here."""
+    rng = np.random.default_rng(8)
+    grid = np.linspace(0.001, 0.999, 999)
+    for n_a, n_b, both in ((400, 400, 368), (400, 350, 345), (3000, 2500, 1000), (40, 44, 20), (1, 1, 1), (5, 900, 0)):
+        for _ in range(5):
+            pool = rng.integers(0, 1 << 63, n_a + n_b - both, dtype=np.uint64)
+            x, y = near_dup.registers(pool[:n_a]), near_dup.registers(pool[n_a - both :])
+            more, less = (x > y).sum(), (x < y).sum()
+            true, found = both / len(pool), near_dup.estimate(n_a, n_b, more, less)
+            top = min(n_a / n_b, n_b / n_a)
+            allowed = grid[grid <= top] if top < 1 else grid
+            best = allowed[np.argmax(near_dup.log_likelihood(allowed, n_a, n_b, more, less))]
+            assert abs(found - best) < 0.02 and abs(found - true) < 5 * (true * (1 - true) / 128) ** 0.5 + 0.03
+            assert near_dup.likely(true, n_a, n_b, more, less) and near_dup.likely(0.85, n_a, n_b, more, less) == (true > 0.6)
+
+
 def test_sketches_merge():
     a, b = (near_dup.shingle_set(prose(s, 300), 3) for s in (1, 2))
     union = near_dup.registers(np.union1d(a, b))
