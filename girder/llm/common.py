@@ -45,6 +45,11 @@ def alnum_words(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), NOT_ALNUM), ""), ascii_lower)
 
 
+def label(value: Column) -> Column:
+    """A text for a value of any type, in which null differs from every value, also from an empty text."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-"))
+
+
 def text_key(text: Column) -> Column:
     """With doc_id, tells apart rows that share an id but not the text."""
     return F.xxhash64(F.coalesce(text, F.lit("")), F.lit(7))
@@ -82,11 +87,12 @@ def drop(*tables: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, row_bytes: int) -> bool:
-    """Whether a written table is within the bounds of a broadcast."""
-    return df.count() <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes)
+def small(df: DataFrame, row_bytes: int | Column) -> bool:
+    """Whether a written table is within the bounds of a broadcast. row_bytes: of each row, or what each row has."""
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A written table, marked for broadcast if its counted rows are within the bounds; else the join shuffles and AQE splits hot keys."""
+def broadcast_if_small(df: DataFrame, row_bytes: int | Column) -> DataFrame:
+    """A written table, marked for broadcast if its counted rows and bytes are within the bounds; else the join shuffles and AQE splits hot keys."""
     return F.broadcast(df) if small(df, row_bytes) else df

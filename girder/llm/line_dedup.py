@@ -8,8 +8,10 @@ spread lines reach the documents again, as hashes.
 
 Lines are what line feeds separate; a line without a word is never removed. Line hashes have 96 bits. The document
 with the smallest doc_id that holds a line keeps it (all rows of that id do), also several times; rows without doc_id
-keep it only if no row with one holds it. A null source is a site of its own. A null text stays null; if all lines go,
-the text is empty. Texts of any length are worked through whole; other columns stay as they are.
+keep it only if no row with one holds it. A null source is a site of its own, other than that of an empty name. A null
+text stays null; if all lines go, the text is empty. Rows that repeat count once for their site. An empty table stays
+empty. Texts of any length are worked through whole; other columns stay as they are, but for input columns named n_lines
+or n_removed, which are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, table, text_key, written
+from .common import broadcast_if_small, label, table, text_key, written
 
 MIN_SITES = 10
 LG_BUCKETS = 12
@@ -39,7 +41,7 @@ def _has_word(line: Column) -> Column:
 
 def lines(docs: DataFrame, site: str) -> DataFrame:
     """h1, h2, site, doc_id, key: each line with a word."""
-    each = docs.select("doc_id", text_key(F.col("text")).alias("key"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"), F.explode(_split(F.col("text"))).alias("line"))
+    each = docs.select("doc_id", text_key(F.col("text")).alias("key"), label(F.col(site)).alias("site"), F.explode(_split(F.col("text"))).alias("line"))
     return each.where(_has_word(F.col("line"))).select(_hash(F.col("line")).alias("h"), "site", "doc_id", "key").select("h.*", "site", "doc_id", "key")
 
 
@@ -59,7 +61,8 @@ def without_spread_lines(docs: DataFrame, site: str = "source", min_sites: int =
     """docs with the spread lines taken out of text, and n_lines and n_removed (input columns of these names are replaced)."""
     spread = broadcast_if_small(spread_lines(docs, site, min_sites), 56)
     hits = lines(docs, site).join(spread, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
-    per_doc = hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone"))
+    per_doc = written(hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")), "gone")
+    per_doc = broadcast_if_small(per_doc, 64 + 32 * F.size("__gone"))
     joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]) & (text_key(docs["text"]) == per_doc["__key"]), "left")
     gone = per_doc["__gone"]
     kept = F.filter(_split(docs["text"]), lambda x: ~(_has_word(x) & F.array_contains(gone, _hash(x))))
@@ -77,7 +80,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The text without its spread lines, from a view docs(r, doc_id, text, source); r tells rows apart.
 CLEANED = rf"""
-each_line AS (SELECT r, doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM docs),
+each_line AS (SELECT r, doc_id, coalesce('=' || source, '-') AS site, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM docs),
 spread AS (SELECT line, min(doc_id) AS first FROM each_line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line HAVING count(DISTINCT site) >= {MIN_SITES}),
 kept AS (SELECT r, count(*) FILTER (WHERE s.line IS NULL OR e.doc_id IS NOT DISTINCT FROM s.first) AS n_kept, count(*) AS n_lines,
   string_agg(e.line, chr(10) ORDER BY i) FILTER (WHERE s.line IS NULL OR e.doc_id IS NOT DISTINCT FROM s.first) AS text

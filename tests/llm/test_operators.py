@@ -241,16 +241,16 @@ def test_sorted_stream_settles_as_whole_groups_do(monkeypatch):
 
 def test_line_dedup(docs, texts, spark):
     rows = [(100 + k, f"Cookie notice for all\nown line {k}\n\nCookie notice for all", f"s{k % 11}") for k in range(33)] + [(200 + k, f"nine sites only\nx{k}", f"s{k % 9}") for k in range(30)]
-    rows += [(i, t, s) for i, t, s in texts]
+    rows += [(i, t, s) for i, t, s in texts] + [(300 + k, f"ten sites with none and empty\ny{k}", [None, "", *"abcdefgh"][k % 10]) for k in range(20)]
     spread = {}
     for i, t, s in rows:
         for line in set((t or "").split("\n")):
             if re.search(BLANKS, line):
                 sites, ids = spread.setdefault(line, (set(), set()))
-                sites.add(s or "")
+                sites.add(s)
                 ids.add(i)
     first = {line: min((i for i in ids if i is not None), default=None) for line, (sites, ids) in spread.items() if len(sites) >= line_dedup.MIN_SITES}
-    assert first
+    assert {"Cookie notice for all", "ten sites with none and empty"} <= first.keys() and "nine sites only" not in first
     df = spark.createDataFrame([(*r, "old", 7) for r in rows], "doc_id long, text string, source string, n_lines string, extra int")
     got = line_dedup.without_spread_lines(df).select("doc_id", "text", "n_removed").collect()
     expected = []
@@ -270,13 +270,18 @@ def test_mixing(spark, docs):
     assert None not in shares and all(abs(n - 2000) < 250 for n in shares.values())
     assert got.select("doc_id", "replica").distinct().count() == got.count()
     same(map(tuple, mixing.mixed(df.repartition(7), weights, total=14_000).collect()), map(tuple, got.collect()))
+    three = spark.createDataFrame([(k, [None, "", "a"][k % 3]) for k in range(900)], "doc_id long, source string")
+    assert {r.source: r["count"] > 800 for r in mixing.mixed(three, {None: 1.0, "a": 1.0}, total=1800).groupBy("source").count().collect()} == {None: True, "a": True}
     mixed = mixing.mixed(docs)
     assert mixed.columns.count("replica") == 1 and mixed.count() > 0
 
 
 def test_poisson_steps(spark):
     rate = 3.5
-    got = spark.range(1).select(mixing.poisson_steps(F.lit(rate)).alias("s")).first().s
+    means = spark.createDataFrame([("a", rate), ("none", 0.0), ("often", 3000.0)], "__source string, rate double")
+    steps = {r["__source"]: r["__steps"] for r in mixing.poisson_steps(means).collect()}
+    assert steps["none"] == [1.0] and abs(steps["often"][3000] - 0.5) < 0.01 and abs(steps["often"][-1] - 1) < 1e-9
+    got = steps["a"]
     p, total = np.exp(-rate), 0.0
     for k, x in enumerate(got):
         p = p if k == 0 else p * rate / k
