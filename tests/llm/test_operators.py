@@ -75,10 +75,36 @@ def test_decontamination(spark, docs, texts):
 
 
 def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "zero one two x three four five"), (2, "zero five")], "doc_id long, text string")
-    items = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
-    assert {r.doc_id for r in decontaminate.proximity_matches(docs, items, slack=2).collect()} == {1}
-    assert decontaminate.contamination(docs, items).where("n_hit > 0").count() == 0
+    """Passages with words changed, left out or put in, against brute force."""
+    item = prose(31, 60).split()
+    rows = [(k, prose(3000 + k, 40)) for k in range(30)]
+    for k in range(30, 90):
+        words, rng = item[k % 40 : k % 40 + 14], np.random.default_rng(k)
+        for _ in range(k % 4):
+            at = rng.integers(len(words))
+            words[at : at + rng.integers(0, 2)] = [f"new{k}"] * int(rng.integers(0, 3))
+        rows.append((k, prose(4000 + k, 6 * (k % 3)) + " " + " ".join(words)))
+    items = [(1, " ".join(item)), (2, "one two three"), (3, "never seen")]
+    texts = {i: re.findall(ALNUM, t.translate(LOWER)) for i, t in rows}
+    tf = Counter(w for words in texts.values() for w in words)
+    expected = []
+    for i, words in texts.items():
+        near = set()
+        for item_id, t in items:
+            whole = re.findall(ALNUM, t.translate(LOWER))
+            for s in range(max(1, len(whole) - 9)):
+                window = whole[s : s + 10]
+                least = -(-8 * len(window) // 10)
+                known = sorted((tf[w], at) for at, w in enumerate(window) if tf[w])
+                for p in range(len(words)) if len(known) >= least else ():
+                    start = p - known[0][1]
+                    here = [window[at] in words[max(0, start + at - 3) : start + at + 4] for at in range(len(window))] if start >= 0 and words[p] == window[known[0][1]] else []
+                    if sum(here) >= least and (len(known) < 2 or here[known[1][1]]) and words[start : start + len(window)] != window:
+                        near.add(item_id)
+        expected.append((i, sorted(near)))
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).select("doc_id", F.array_sort("near_ids")).collect()
+    assert 20 < sum(bool(x) for _, x in expected) < 60
+    same([(r[0], list(r[1])) for r in got], expected)
 
 
 def brute_components(texts, width, percent):
