@@ -30,9 +30,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def ascii_lower(word: Column) -> Column:
+def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, other letters as they are."""
-    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def blank_words(text: Column) -> Column:
@@ -42,7 +42,7 @@ def blank_words(text: Column) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """The maximal runs of ASCII letters, digits and non-ASCII characters, A-Z in lower case; none of a null text."""
-    return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), NOT_ALNUM), ""), ascii_lower)
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_ALNUM), "")
 
 
 def label(value: Column) -> Column:

@@ -1,14 +1,20 @@
 """License scans: ordered signature rules over the words of a text.
 
-A rule is a regular expression over words, the tokens it needs (the prefilter), a priority and a confidence. A text is
-cut into words once; the rules whose tokens it holds are evaluated, and a detection that lies within a kept one of the
-same or a higher priority is suppressed. All of it is one projection of built-in functions: nothing shuffles, a text of
-any length is read whole. A null or empty text has no words, no labels and score 0; repeated rows get equal results;
-other columns of the input are neither read nor touched.
+A rule is a regular expression over words, the tokens it needs (the prefilter), a priority and a confidence: phrases
+that state a license by name, identifiers, addresses, and sentences of the licenses themselves. A text is cut into words
+once; the rules whose tokens it holds are evaluated, and a detection that lies within a kept one of the same or a higher
+priority is suppressed. All of it is one projection of built-in functions: nothing shuffles, a text of any length is
+read whole.
+
+A null or empty text has no words, no labels and score 0; repeated rows get equal results; an empty table has an empty
+result; other columns of the input are neither read nor touched, whatever their names. Of detections at the same place
+with the same priority the labels come together.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +64,7 @@ FAMILIES = [
     ("ncsa", "(?:university of illinois )?ncsa", "ncsa"),
     ("postgresql", "postgresql", "postgresql"),
     ("python", "python software foundation license", "python"),
-    ("php", "php license", "php"),
+    ("php", "php", "php"),
     ("openssl", "openssl", "openssl"),
     ("ofl", "(?:sil )?open font license(?: 1 1)?", "font"),
     ("odbl", "open (?:data commons open )?database license", "database"),
@@ -70,6 +76,46 @@ FAMILIES = [
     ("cc-by-sa", "(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa sharealike alike"),
     ("cc-by", "(?:cc|creative commons) (?:by|attribution)(?: [1-4] 0)?", "cc creative"),
     ("cc-by", "creative commons attribution(?: [1-4] 0)?", "creative"),
+    ("cc-public-domain", "(?:cc|creative commons) public domain(?: mark)?(?: 1 0)?", "domain"),
+    ("0bsd", "(?:0bsd|zero clause bsd|bsd zero clause)", "0bsd zero"),
+    ("afl-3", "(?:afl|academic free license)(?: version)? v?3(?: 0)?", "afl academic"),
+    ("aladdin", "aladdin free public license", "aladdin"),
+    ("apl", "adaptive public license", "adaptive"),
+    ("apsl-2", "(?:apsl|apple public source license)(?: version)?(?: 2 0)?", "apsl apple"),
+    ("beerware", "beerware", "beerware"),
+    ("blueoak", "(?:blue oak|blueoak) model license(?: 1 0 0)?", "blue blueoak"),
+    ("busl", "(?:busl|business source license)(?: version)?(?: 1 1)?", "busl business"),
+    ("cecill", "cecill(?: [bc])?(?: 2 [01])?", "cecill"),
+    ("cpal", "(?:cpal|common public attribution license)(?: 1 0)?", "cpal attribution"),
+    ("cpl", "(?:cpl|common public license)(?: version)?(?: 1 0)?", "cpl common"),
+    ("dsl", "design science license", "design"),
+    ("ecl-2", "(?:ecl|educational community license)(?: version)?(?: 2 0)?", "ecl educational"),
+    ("elastic", "elastic license(?: 2 0)?", "elastic"),
+    ("etalab", "(?:etalab|licence ouverte|open licence)(?: 2 0)?", "etalab ouverte open"),
+    ("hpnd", "(?:hpnd|historical permission notice and disclaimer)", "hpnd historical"),
+    ("imagemagick", "imagemagick", "imagemagick"),
+    ("intel", "intel open source license", "intel"),
+    ("ipl", "ibm public license(?: 1 0)?", "ibm"),
+    ("json", "json license", "json"),
+    ("lppl", "(?:lppl|latex project public license)(?: version)?(?: 1 3[ac]?)?", "lppl latex"),
+    ("ms-rl", "(?:ms rl|microsoft reciprocal license)", "rl reciprocal"),
+    ("mulan-2", "(?:mulan permissive software license|mulanpsl)(?: v?2)?", "mulan mulanpsl"),
+    ("nasa", "nasa open source agreement", "nasa"),
+    ("odc-by", "(?:odc by|open data commons attribution license)(?: 1 0)?", "odc commons"),
+    ("ogl", "open government licen[cs]e(?: v?[123] 0)?", "government"),
+    ("opl", "open publication license", "publication"),
+    ("osl-3", "(?:osl|open software license)(?: version)? v?3(?: 0)?", "osl software"),
+    ("pddl", "(?:pddl|public domain dedication and license)", "pddl dedication"),
+    ("qpl", "q public license", "q"),
+    ("rpl", "reciprocal public license(?: 1 [15])?", "reciprocal"),
+    ("ruby", "ruby", "ruby"),
+    ("sleepycat", "sleepycat", "sleepycat"),
+    ("sspl", "(?:sspl|server side public license)(?: version)?(?: 1)?", "sspl server"),
+    ("tcl", "tcl tk", "tcl"),
+    ("upl", "(?:upl|universal permissive license)(?: version)?(?: 1 0)?", "upl universal"),
+    ("vim", "vim", "vim"),
+    ("w3c", "w3c software(?: notice)?", "w3c"),
+    ("zpl", "zope public license(?: 2 [01])?", "zope"),
 ]
 #: (pattern around the name N, tokens that it needs besides (any one of those parted by blanks), priority, confidence)
 FORMS = [
@@ -80,6 +126,48 @@ FORMS = [
     ("(?:the )?N license(?: agreement| terms| file)?", ("license",), 2, 0.7),
     ("licen[sc]e(?:d)?(?: is| type)? N", ("license licence licensed licenced",), 2, 0.75),
     ("N licence", ("licence",), 2, 0.7),
+    ("dual(?:ly)? licensed under (?:the )?N", ("licensed",), 3, 0.9),
+    ("N(?: or later| only) license", ("license",), 2, 0.7),
+]
+#: Names that need no words around them: (label, pattern, tokens)
+ALONE = [
+    ("gpl", "gnu general public license", ("gnu", "general")),
+    ("gpl-2", "gnu general public license(?: version)? v?2(?: 0)?", ("gnu", "general")),
+    ("gpl-3", "gnu general public license(?: version)? v?3(?: 0)?", ("gnu", "general")),
+    ("gpl-2", "gplv2(?: or later| only)?", ("gplv2",)),
+    ("gpl-2", "gpl 2 0(?: or later| only)?", ("gpl",)),
+    ("gpl-3", "gplv3(?: or later| only)?", ("gplv3",)),
+    ("gpl-3", "gpl 3 0(?: or later| only)?", ("gpl",)),
+    ("lgpl", "gnu (?:lesser|library) general public license", ("gnu", "general")),
+    ("lgpl-2.1", "(?:lgplv2 1|lgpl 2 1)(?: or later| only)?", ("lgpl lgplv2",)),
+    ("lgpl-3", "(?:lgplv3|lgpl 3 0)(?: or later| only)?", ("lgpl lgplv3",)),
+    ("agpl-3", "gnu affero general public license", ("affero",)),
+    ("agpl-3", "(?:agplv3|agpl 3 0)(?: or later| only)?", ("agpl agplv3",)),
+    ("gfdl", "gnu free documentation license", ("gnu", "documentation")),
+    ("apache-2", "apache(?: software)? license(?: version)? 2(?: 0)?", ("apache", "license")),
+    ("apache-2", "apache 2 0", ("apache",)),
+    ("mpl", "mozilla public license", ("mozilla",)),
+    ("mpl-2", "mozilla public license(?: version)? v?2(?: 0)?", ("mozilla", "2 v2")),
+    ("epl", "eclipse public license", ("eclipse",)),
+    ("cddl", "common development and distribution license", ("distribution",)),
+    ("eupl", "european union public licen[cs]e", ("european",)),
+    ("boost", "boost software license", ("boost",)),
+    ("ms-pl", "microsoft public license", ("microsoft",)),
+    ("ofl", "sil open font license", ("font",)),
+    ("odbl", "open (?:data commons open )?database license", ("database",)),
+    ("cc0", "cc0(?: 1 0)?(?: universal)?", ("cc0",)),
+    ("cc-by", "(?:cc by|creative commons attribution) [1-4] 0(?: international| unported| generic)?", ("creative by",)),
+    ("cc-by-sa", "cc by sa(?: [1-4] 0)?", ("cc", "sa")),
+    ("cc-by-nd", "cc by nd(?: [1-4] 0)?", ("cc", "nd")),
+    ("cc-by-nc", "cc by nc [1-4] 0", ("cc", "nc")),
+    ("cc-by-nc-sa", "cc by nc sa(?: [1-4] 0)?", ("cc", "sa")),
+    ("cc-by-nc-nd", "cc by nc nd(?: [1-4] 0)?", ("cc", "nd")),
+    ("bsd-2", "bsd 2 clause", ("bsd", "clause")),
+    ("bsd-3", "bsd 3 clause", ("bsd", "clause")),
+    ("artistic-2", "artistic license 2 0", ("artistic",)),
+    ("sspl", "server side public license", ("server",)),
+    ("busl", "business source license", ("business",)),
+    ("wtfpl", "wtfpl", ("wtfpl",)),
 ]
 #: Rules of their own: (label, pattern, tokens, priority, confidence)
 SINGLE = [
@@ -91,6 +179,50 @@ SINGLE = [
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered", "public", "domain"), 4, 1.0),
     ("public-domain", "(?:released|dedicated|placed) (?:to|into|in) the public domain", ("public", "domain"), 2, 0.8),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", ("redistribute", "modify", "gnu"), 4, 0.95),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies", ("permission", "notice", "copies"), 3, 0.85),
+    ("mit", "the software is provided as is without warranty of any kind express or implied", ("warranty", "express", "kind"), 2, 0.6),
+    ("bsd", "redistributions of source code must retain the above copyright notice", ("redistributions", "retain"), 3, 0.9),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", ("redistributions", "reproduce"), 3, 0.9),
+    ("bsd-3", "nor the names of (?:its|their) contributors may be used to endorse or promote products", ("contributors", "endorse"), 4, 0.95),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display", ("advertising", "mentioning"), 4, 0.95),
+    ("bsd", "this software is provided by the (?:copyright holders and contributors|author and contributors|regents and contributors) as is", ("provided", "contributors"), 3, 0.85),
+    ("apache-2", "you may not use this file except in compliance with the license", ("file", "compliance"), 3, 0.85),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license", ("unless", "applicable", "writing"), 3, 0.85),
+    ("gpl", "this program is free software you can redistribute it and or modify", ("program", "redistribute", "modify"), 3, 0.9),
+    ("lgpl", "this library is free software you can redistribute it and or modify", ("library", "redistribute", "modify"), 4, 0.95),
+    ("gpl", "distributed in the hope that it will be useful but without any warranty", ("hope", "warranty"), 3, 0.85),
+    ("gpl", "you should have received a copy of the gnu general public license", ("received", "gnu"), 3, 0.9),
+    ("lgpl", "you should have received a copy of the gnu (?:lesser|library) general public license", ("received", "gnu", "lesser library"), 4, 0.95),
+    ("agpl-3", "you should have received a copy of the gnu affero general public license", ("received", "affero"), 4, 0.95),
+    ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("source", "mozilla"), 4, 0.95),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", ("permission", "documentation"), 4, 0.95),
+    ("x11", "except as contained in this notice the name of the x consortium shall not be used", ("except", "consortium"), 4, 0.95),
+    ("zlib", "altered source versions must be plainly marked as such", ("altered", "plainly"), 4, 0.95),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", ("anyone", "compile"), 4, 0.95),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed", ("everyone", "verbatim", "allowed"), 4, 0.95),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", ("meet", "beer"), 4, 0.95),
+    ("ofl", "this font software is licensed under the sil open font license", ("font", "sil"), 4, 0.95),
+    ("eupl", "licensed under the eupl version 1 [12]", ("eupl",), 4, 0.95),
+    ("cc-by", "this work is licensed under a creative commons attribution [1-4] 0 (?:international|unported|generic) license", ("creative", "work"), 4, 0.95),
+    ("public-domain", "(?:is|are) in the public domain", ("public", "domain"), 2, 0.7),
+    ("json", "the software shall be used for good not evil", ("good", "evil"), 4, 0.95),
+    ("proprietary", "no part of this (?:publication|document|work|book) may be reproduced", ("part", "reproduced"), 2, 0.8),
+    ("proprietary", "unauthorized (?:copying|reproduction|use|distribution)(?: of this file)? (?:via any medium )?is (?:strictly )?prohibited", ("unauthorized", "prohibited"), 2, 0.8),
+    ("proprietary", "trade secrets? (?:of|and confidential)", ("trade",), 1, 0.6),
+    ("proprietary", "end user license agreement", ("user", "agreement"), 1, 0.6),
+    ("opl", "opencontent org openpub", ("opencontent", "openpub"), 3, 0.9),
+    ("unlicense", "unlicense org", ("unlicense",), 3, 0.95),
+    ("boost", "boost org license 1 0", ("boost",), 3, 0.95),
+    ("wtfpl", "wtfpl net", ("wtfpl",), 3, 0.95),
+    ("epl-2", "eclipse org legal epl (?:2 0|v20)", ("eclipse", "epl"), 3, 0.95),
+    ("epl-1", "eclipse org legal epl v10", ("eclipse", "epl"), 3, 0.95),
+    ("bsd-2", "opensource org licenses bsd 2 clause", ("opensource", "bsd"), 3, 0.95),
+    ("bsd-3", "opensource org licenses bsd 3 clause", ("opensource", "bsd"), 3, 0.95),
+    ("isc", "opensource org licenses isc", ("opensource", "isc"), 3, 0.95),
+    ("agpl-3", "www gnu org licenses agpl 3 0", ("gnu", "agpl"), 3, 0.95),
+    ("lgpl-3", "www gnu org licenses lgpl 3 0", ("gnu", "lgpl"), 3, 0.95),
+    ("lgpl-2.1", "www gnu org licenses (?:old licenses )?lgpl 2 1", ("gnu", "lgpl"), 3, 0.95),
+    ("odbl", "opendatacommons org licenses odbl", ("opendatacommons", "odbl"), 3, 0.95),
     ("proprietary", "all rights reserved", ("rights", "reserved"), 1, 0.5),
     ("proprietary", "confidential and proprietary", ("confidential", "proprietary"), 1, 0.6),
     ("apache-2", "www apache org licenses license 2 0", ("www", "apache", "licenses"), 3, 0.95),
@@ -103,6 +235,10 @@ SINGLE = [
     ("cc-by-nc", "creativecommons org licenses by nc [1-4] 0", ("creativecommons", "licenses", "nc"), 3, 0.95),
     ("cc0", "creativecommons org publicdomain zero", ("creativecommons", "zero"), 3, 0.95),
 ]
+#: Words that many texts hold; where a rule needs others too, those are looked for first.
+COMMON = set("""1 2 a and author binary business by common copies data design domain file free general good government history is kind library licence licenced license licensed name
+notice of open part permission process program provided public publication q received retain rights server service software source subject the trade under unless use used user v2 version
+with work writing""".split())
 PRIORITIES = 6
 BASE_PRIORITY = 5
 
@@ -111,6 +247,7 @@ def rule_table() -> list[tuple[str, str, tuple[str, ...], int, float, bool]]:
     """(label, pattern over words, tokens (any one of those parted by blanks, of each), priority, confidence, is a base phrase): the base, the single rules, and each family in each form."""
     rules = [(label, phrase, tuple(sorted(set(phrase.split()))), BASE_PRIORITY, 1.0, True) for phrase, label in BASE]
     rules += [(label, pattern, tokens, priority, sure, False) for label, pattern, tokens, priority, sure in SINGLE]
+    rules += [(label, pattern, tokens, 1, 0.6, False) for label, pattern, tokens in ALONE]
     rules += [(label, form.replace("N", f"(?:{name})"), tuple(sorted({token, *tokens})), priority, sure, False) for label, name, token in FAMILIES for form, tokens, priority, sure in FORMS]
     return rules
 
@@ -120,9 +257,20 @@ def _worded(pattern: str) -> str:
     return " " + pattern.replace(" ", "  ") + " "
 
 
-def _rules(rules: list[tuple]) -> Column:
-    row = lambda r: F.struct(F.lit(r[0]).alias("label"), F.lit(_worded(r[1])).alias("regex"), F.array(*[F.array(*map(F.lit, t.split())) for t in r[2]]).alias("tokens"), F.lit(r[3]).alias("priority"), F.lit(r[4]).alias("sure"), F.lit(r[5]).alias("base"))
-    return F.array(*map(row, rules))
+def _constant(value, kind: str) -> Column:
+    """A literal of any shape, which the optimizer makes of its JSON once."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _keyed(rules: list[tuple]) -> tuple[list[str], list[list[dict]]]:
+    """The prefilter: tokens, and for each the rules that are looked at if a text holds it. Of the tokens that a rule needs, those that say most are its keys."""
+    by_key: dict[str, list[dict]] = {}
+    for label, pattern, tokens, priority, sure, base in rules:
+        any_ofs = [t.split() for t in tokens]
+        row = {"label": label, "regex": _worded(pattern), "tokens": any_ofs, "priority": priority, "sure": sure, "base": base}
+        for key in min(any_ofs, key=lambda any_of: (sum(t in COMMON for t in any_of), len(any_of))):
+            by_key.setdefault(key, []).append(row)
+    return list(by_key), list(by_key.values())
 
 
 def _n_words(part: Column) -> Column:
@@ -156,15 +304,20 @@ def _survivors(places: Column) -> Column:
 def licenses(docs: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     """doc_id, n_words, places (array of start, end, priority, label, sure, base), labels and score of the surviving ones."""
     rules = rules or rule_table()
-    tokens = F.array(*map(F.lit, sorted({t for r in rules for any_of in r[2] for t in any_of.split()})))
+    rule = "struct<label:string,regex:string,tokens:array<array<string>>,priority:int,sure:double,base:boolean>"
+    keys, groups = _keyed(rules)
+    keys, groups = _constant(keys, "array<string>"), _constant(groups, f"array<array<{rule}>>")
+    tokens = _constant(sorted({t for r in rules for any_of in r[2] for t in any_of.split()}), "array<string>")
     norm = lambda w: F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))
     seen = let(
         alnum_words(F.col("text")),
-        lambda w: let(F.array_intersect(w, tokens), lambda s: F.struct(F.size(w).cast("long").alias("n_words"), s.alias("seen"), F.when(F.size(s) > 1, norm(w)).alias("norm"))),
+        lambda w: let(F.array_intersect(w, keys), lambda k: F.struct(F.size(w).cast("long").alias("n_words"), k.alias("keys"), F.when(F.size(k) > 0, F.array_intersect(w, tokens)).alias("seen"), F.when(F.size(k) > 0, norm(w)).alias("norm"))),
     )
-    hits = lambda norm, seen: F.flatten(F.transform(F.filter(_rules(rules), lambda r: F.forall(r["tokens"], lambda any_of: F.exists(any_of, lambda t: F.array_contains(seen, t)))), lambda r: _spans(norm, r)))
+    looked_at = F.array_distinct(F.flatten(F.transform("w.keys", lambda k: F.get(groups, F.array_position(keys, k).cast("int") - 1))))
+    passed = F.filter(looked_at, lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, F.col("w.seen"))))
+    hits = F.flatten(F.transform(passed, lambda r: _spans(F.col("w.norm"), r)))
     none = F.array().cast("array<struct<start:bigint,end:bigint,priority:int,label:string,sure:double,base:boolean>>")
-    found = docs.select("doc_id", seen.alias("w")).select("doc_id", "w.n_words", F.when(F.col("w.norm").isNull(), none).otherwise(hits(F.col("w.norm"), F.col("w.seen"))).alias("places"))
+    found = docs.select("doc_id", seen.alias("w")).select("doc_id", "w.n_words", F.when(F.col("w.norm").isNull(), none).otherwise(hits).alias("places"))
     return found.select("doc_id", "n_words", "places", _survivors(F.col("places")).alias("kept")).select("doc_id", "n_words", "places", "kept.labels", "kept.score")
 
 

@@ -335,6 +335,28 @@ def test_license_base(docs, texts, spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def brute_licenses(text):
+    """labels and score of a text: all rules without a filter, and every pair of places."""
+    words = re.findall(ALNUM, (text or "").translate(LOWER))
+    spaced = " " + "  ".join(words) + " " if words else ""
+    places = [(len(spaced[: m.start()].split()), len(spaced[: m.end()].split()), r[3], r[0], r[4]) for r in licenses.rule_table() for m in re.finditer(licenses._worded(r[1]), spaced)]
+    inside = lambda p, q: q != p and q[0] <= p[0] and p[1] <= q[1] and q[2] >= p[2] and ((q[0], q[1]) != (p[0], p[1]) or q[2] > p[2])
+    left = [p for p in places if not any(inside(p, q) for q in places)]
+    return {p[3] for p in left}, max((p[4] for p in left), default=0.0)
+
+
+def test_licenses_against_all_rules_on_all_pairs(spark, texts):
+    rng = np.random.default_rng(12)
+    parts = [f"{verb} the {name}" for _, name, _ in licenses.FAMILIES[:60:3] for verb in ("licensed under", "see")] + [p for _, p, *_ in licenses.SINGLE] + [p for _, p, _ in licenses.ALONE]
+    parts = [min(spelled(p), key=len) for p in parts]
+    rows = [t for _, t, _ in texts] + [" ".join(rng.choice(parts, rng.integers(1, 6)).tolist() + ["and", "by", "others"][: rng.integers(0, 4)]) for _ in range(150)]
+    got = licenses.licenses(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()
+    for r in got:
+        labels, score = brute_licenses(rows[r.doc_id])
+        assert (set(r.labels), r.score) == (labels, score), rows[r.doc_id]
+    assert sum(bool(r.labels) for r in got) > 140
+
+
 def test_license_rules_agree_with_re(spark):
     rules = licenses.rule_table()
     assert len(rules) > 300
@@ -372,7 +394,7 @@ def spelled(pattern):
 def test_license_prefilter_drops_no_match(spark):
     """The filtered rules against the rules alone, on each spelling of each name and of each form."""
     names = [(label, text) for label, name, _ in licenses.FAMILIES for text in spelled(name)]
-    texts = [f"licensed under the {name}" for _, name in names] + [text for form, *_ in licenses.FORMS for text in spelled(form.replace("N", "mit"))] + [text for _, pattern, *_ in licenses.SINGLE for text in spelled(pattern)]
+    texts = [f"licensed under the {name}" for _, name in names] + [text for form, *_ in licenses.FORMS for text in spelled(form.replace("N", "mit"))] + [text for _, pattern, *_ in licenses.SINGLE + licenses.ALONE for text in spelled(pattern)]
     spaced = [" " + t.replace(" ", "  ") + " " for t in texts]
     expected = Counter()
     for label, pattern, *_ in licenses.rule_table():
@@ -389,6 +411,8 @@ def test_license_names_in_common_spellings(spark):
         "licensed under the EUPL": "eupl", "licensed under the CDDL": "cddl", "FreeBSD license": "bsd-2", "Licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 license": "cc-by-nc-sa",
         "licensed under the Creative Commons Attribution NonCommercial 4.0": "cc-by-nc", "released under Creative Commons Zero": "cc0", "licensed under GPLv2": "gpl-2", "released under the GPL v3": "gpl-3", "licensed under the GPL": "gpl",
         "License: LGPL": "lgpl", "licensed under LGPLv3": "lgpl-3", "licensed under LGPL v2.1": "lgpl-2.1", "License: AGPLv3": "agpl-3", "Licence: MIT": "mit",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2", "GPLv2": "gpl-2", "GPLv3 or later": "gpl-3", "the PHP License": "php", "GNU General Public License": "gpl", "LGPLv3": "lgpl-3", "SPDX-License-Identifier: BUSL-1.1": "busl",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": "bsd", "you may not use this file except in compliance with the License": "apache-2", "https://www.gnu.org/licenses/agpl-3.0": "agpl-3",
     }
     got = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in got} == {i: [label] for i, label in enumerate(texts.values())}
