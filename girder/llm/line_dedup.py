@@ -4,7 +4,7 @@ A line's spread is the number of distinct sites (sources) that hold it; lines of
 threshold is fixed: a corpus of fewer sites loses no line. One aggregation merges HyperLogLog sketches per
 line hash, from partial sketches made before the shuffle, so that a line in a third of all documents costs no more than
 another. Lines whose estimate is clear of the threshold are decided; those near it get exact distinct counts. Only
-spread lines reach the documents again, as hashes.
+spread lines reach the documents again, as hashes; that join shuffles the texts once, at every size.
 
 Lines are what line feeds separate; a line without a word is never removed. Line hashes have 96 bits. The document
 with the smallest doc_id that holds a line keeps it (all rows of that id do), also several times; rows without doc_id
@@ -61,8 +61,7 @@ def without_spread_lines(docs: DataFrame, site: str = "source", min_sites: int =
     """docs with the spread lines taken out of text, and n_lines and n_removed (input columns of these names are replaced)."""
     spread = broadcast_if_small(spread_lines(docs, site, min_sites), 56)
     hits = lines(docs, site).join(spread, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
-    per_doc = written(hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")), "gone")
-    per_doc = broadcast_if_small(per_doc, 64 + 32 * F.size("__gone"))
+    per_doc = hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")).hint("merge")
     joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]) & (text_key(docs["text"]) == per_doc["__key"]), "left")
     gone = per_doc["__gone"]
     kept = F.filter(_split(docs["text"]), lambda x: ~(_has_word(x) & F.array_contains(gone, _hash(x))))
