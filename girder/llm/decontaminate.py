@@ -9,9 +9,9 @@ proximity  at least SHARE of the window's words stand within SLACK of their plac
            occurs in the corpus (of equally rare ones the first), and the next rarest is among them; a place starts at
            the text's first word or later, and its words don't all stand exactly
 
-Only terms of the benchmark reach a shuffle, and texts only where some have more candidates than can be broadcast. The
-benchmark is a stated query set; its tables and the candidates are broadcast only if their counted rows and bytes are
-within the bounds of common.py, and joined by shuffle beyond.
+Besides the texts, which meet their candidates in one shuffle at every size, only terms of the benchmark reach a shuffle.
+The benchmark is a stated query set; its tables are broadcast only if their counted rows and bytes are within the bounds
+of common.py, and joined by shuffle beyond.
 
 A null or empty text has no words, and an item without words no window. Rows that repeat are judged each by itself, also
 where they share a doc_id but not the text. Texts of any length are read whole; extra columns are kept, but for those
@@ -109,8 +109,7 @@ def _covered(spans: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack: int = SLACK, share: float = SHARE) -> DataFrame:
     """docs with n_words, n_hit and item_ids (of the items that have a window in the text), n_near and near_ids (places, and items, that proximity finds besides); input columns of these names are replaced."""
     per_doc = places(docs, items, width, slack, share)
-    size = 64 + F.aggregate("__places", F.lit(0).cast("long"), lambda n, p: n + 64 + 32 * p["n"] + 16 * F.size(p["items"]))
-    side = broadcast_if_small(per_doc, size)
+    side = per_doc.hint("merge")
     both = docs.join(side, docs["doc_id"].eqNullSafe(side["__doc"]) & (text_key(docs["text"]) == side["__key"]), "left")
     no_ids = F.array().cast(f"array<{items.schema['item_id'].dataType.simpleString()}>")
     ids = lambda found: F.array_distinct(F.flatten(F.transform(found, lambda h: h["items"])))
