@@ -1,22 +1,28 @@
 """Toxicity by weak supervision: many lexicon and pattern voters, a generative label model, and a linear classifier.
 
-1. A bounded sample of labelled rows (PER_CLASS of each class, by hash; learning rows only) yields voters: words and
-   word beginnings that toxic texts hold far more often than others. Near copies count once.
-2. The label model treats the true class as hidden and estimates, by expectation maximisation, how often each voter
-   fires in either class, and how voters correlate within a class; correlated voters share their weight. A voter that
-   doesn't fire abstains; that none fires is a vote of its own. The known label is one more voter, right with a
-   probability of 0.95.
-3. A logistic classifier on the voters' votes is trained on the posterior labels. It scores every whole text.
-
-Nothing but the text is an input of a score. An empty or null text fires no voter and gets the score of the intercept.
-Without learning rows of both classes there are no voters and every score is the intercept's. Repeated rows get equal
-scores; the model has at most MOST_VOTERS weights, whatever the input.
+1. A bounded sample of labelled rows (PER_CLASS of each class, by hash; learning rows only) yields lexicons: words and
+   word beginnings that toxic texts hold RATIO times as often as others, significantly. Each is a voter; the PATTERNS,
+   which were written without looking at labels, are further ones. A voter that doesn't fire abstains; that no lexicon
+   fires is a vote of its own, for clean. A pattern votes for the class in which it fires more often. Of near copies in
+   the sample one counts.
+2. The label model treats the true class as hidden and generates the votes from it: within a class, voters form a tree,
+   the one along which they tell most about each other, and each fires with a chance that depends on the class and on
+   whether its parent fired. So voters that go together count once. Expectation maximisation estimates these chances
+   (the voters' accuracies and correlations) and the posterior of each row. Labels lend their weight to the chances of
+   all rows, but are no vote on their own row: where voters contradict a label, the posterior follows the voters.
+3. A logistic classifier on the votes is trained on the posteriors. It scores every whole text.
+
+Texts are cut into features on executors; votes, as numbers, and voters are all that reaches the driver. Nothing but the
+text is an input of a score. An empty or null text fires no voter and gets the score of the intercept. A doc_id with
+labels of both kinds counts as toxic; of its rows in docs, the text with the least hash is read. Without learning rows of
+both classes there are no lexicons and every score is the intercept's. Repeated rows get equal scores, an empty table has
+an empty result, other columns are ignored, and texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,17 +32,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import table
+from .common import drop, table, text_key, written
 
 #: Most labelled rows of each class that the model is fitted on.
 PER_CLASS = 3000
 MOST_VOTERS = 400
+#: How much more often a lexicon's word is in toxic texts, in how many of them at least, and how significantly (twice the gain in log-likelihood).
+RATIO, LEAST, GAIN = 20, 4, 12.0
+#: What a label weighs against a posterior in the chances of the label model.
+TRUST = 1.0
 #: Share of rows held out: crc32(doc_id as text) mod FOLDS is 0.
 FOLDS = 5
-GOLD_ACCURACY = 0.95
 BEGINNINGS = (4, 5, 6)
 
+#: Pattern voters.
+PATTERNS = {
+    "~insult": r"(?i)\b(?:idiots?|morons?|stupid|dumb|losers?|scum|trash|worthless|pathetic|disgusting|clowns?|fools?|jerks?|creeps?|ugly|useless|bastards?|imbeciles?)\b",
+    "~at_you": r"(?i)\byou(?: are|'re| all)? (?:an? |such an? |so |all )?(?:idiot|moron|stupid|dumb|loser|scum|trash|worthless|pathetic|disgust|clown|fool|jerk|creep|ugly|useless)",
+    "~threat": r"(?i)\b(?:kill|hurt|destroy|hunt|beat) (?:you|him|her|them|yourself)\b|\byou (?:should|will|must) die\b",
+    "~send_off": r"(?i)\bshut up\b|\bgo away\b|\bget lost\b|\bhate (?:you|them|him|her)\b",
+    "~masked": r"\b[A-Za-z]{1,3}\*{2,}[A-Za-z]{0,3}\b",
+    "~polite": r"(?i)\b(?:please|thank you|thanks|welcome|best regards)\b",
+}
+
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_PATTERNS = {name: re.compile(p) for name, p in PATTERNS.items()}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -44,77 +64,130 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(text: str | None) -> set[str]:
-    """The words of a text, and the beginnings of longer words (with a star behind)."""
-    words = set(_WORD.findall(text.lower())) if text else set()
-    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n}
+    """The words of a text, the beginnings of longer words (with a star behind), and the patterns (with a wave before) that it holds."""
+    if not text:
+        return set()
+    words = set(_WORD.findall(text.lower()))
+    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n} | {name for name, p in _PATTERNS.items() if p.search(text)}
 
 
-def _copies(text: str) -> list[int]:
+def prints(text: str | None) -> list[int]:
     """A few least shingle hashes; near copies share one."""
-    words = text.lower().split()
+    words = (text or "").lower().split()
     grams = {" ".join(words[i : i + 4]).encode() for i in range(max(1, len(words) - 3))}
-    return [min(xxhash.xxh3_64_intdigest(g, seed) for g in grams) for seed in range(3)]
-
-
-def without_copies(texts: list[str]) -> list[bool]:
-    seen: set[int] = set()
-    kept = []
-    for t in texts:
-        h = {x * 4 + i for i, x in enumerate(_copies(t))}
-        kept.append(not h & seen)
-        seen |= h
-    return kept
-
-
-def mine(texts: list[str], toxic: np.ndarray) -> list[str]:
-    """Features that separate: ten times as frequent in toxic texts, significantly, best first. Texts are cut into features one at a time."""
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    one: Counter = Counter()
-    for t, y in zip(texts, toxic, strict=True):
-        if y:
-            one.update(features(t))
-    one = Counter({f: k for f, k in one.items() if k >= max(4, 0.004 * n1)})
-    zero: Counter = Counter()
-    for t, y in zip(texts, toxic, strict=True):
-        if not y:
-            zero.update(features(t) & one.keys())
-    scored = []
-    for f, k in one.items():
-        p, q = (k + 0.5) / (n1 + 1), (zero[f] + 0.5) / (n0 + 1)
-        if p > 10 * q:
-            both = (k + zero[f]) / (n1 + n0)
-            gain = 2 * (k * np.log(k / n1 / both) + (zero[f] * np.log(zero[f] / n0 / both) if zero[f] else 0))
-            if gain > 12:
-                scored.append((-gain, -len(f), f))
-    return [f for *_, f in sorted(scored)[:MOST_VOTERS]]
-
-
-def vote(texts: list[str], voters: list[str]) -> np.ndarray:
+    return [min(xxhash.xxh3_64_intdigest(g, seed) for g in grams) >> 1 for seed in range(3)]
+
+
+def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "prints": [prints(t) for t in batch["text"]], "features": [sorted(features(t)) for t in batch["text"]]})
+
+
+def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """doc_id, toxic, features of the bounded sample without near copies, and the share of toxic labels; held-out rows are never read."""
+    valid = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = valid.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    counts = dict(known.groupBy("toxic").count().collect())
+    picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("__id", F.lit(11)), "__id").limit(PER_CLASS) for y in (0, 1)]
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked[0].unionByName(picked[1])), F.col("doc_id") == F.col("__id"))
+    one = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(text_key(F.col("text")).alias("key"), "text"))["text"].alias("text"))
+    described = written(one.mapInPandas(_described, "doc_id long, toxic int, prints array<long>, features array<string>"), "toxic-sample")
+    seen: set[tuple[int, int]] = set()
+    alone = []
+    for doc_id, h in sorted(map(tuple, described.select("doc_id", "prints").collect())):
+        if not seen & set(enumerate(h)):
+            alone.append((doc_id,))
+        seen |= set(enumerate(h))
+    kept = described.join(F.broadcast(docs.sparkSession.createDataFrame(alone, "doc_id long")), "doc_id").select("doc_id", "toxic", "features")
+    total = sum(counts.values())
+    kept = written(kept, "toxic-features")
+    drop(described)
+    return kept, min(0.9, max(0.001, counts.get(1, 0) / total)) if total else 0.1
+
+
+def lexicons(rows: DataFrame) -> list[str]:
+    """The words and beginnings that separate, best first."""
+    n1, n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
+    if n1 in (0, n):
+        return []
+    n0 = n - n1
+    each = rows.select("toxic", F.explode("features").alias("f")).where(~F.startswith("f", F.lit("~")))
+    counted = each.groupBy("f").agg(F.sum("toxic").alias("k"), F.sum(1 - F.col("toxic")).alias("z")).where(F.col("k") >= max(LEAST, 0.004 * n1))
+    both = (F.col("k") + F.col("z")) / n
+    gain = 2 * (F.col("k") * F.log(F.col("k") / n1 / both) + F.when(F.col("z") > 0, F.col("z") * F.log(F.col("z") / n0 / both)).otherwise(0.0))
+    often = (F.col("k") + 0.5) / (n1 + 1) > RATIO * (F.col("z") + 0.5) / (n0 + 1)
+    best = counted.where(often).withColumn("gain", F.round(gain, 9)).where(F.col("gain") > GAIN).orderBy(F.desc("gain"), F.desc(F.length("f")), "f").limit(MOST_VOTERS)
+    return [r.f for r in best.collect()]
+
+
+def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The votes of the sample as a matrix, and the labels."""
     at = {f: i for i, f in enumerate(voters)}
-    out = np.zeros((len(texts), len(voters)))
-    for row, t in zip(out, texts, strict=True):
-        row[[at[f] for f in features(t) & at.keys()]] = 1
-    return out
-
-
-def label_model(votes: np.ndarray, gold: np.ndarray, prior: float, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Posterior of the toxic class per row; per voter how often it fires in either class (accuracies) and its weight among correlated voters."""
-    sure = np.log(GOLD_ACCURACY / (1 - GOLD_ACCURACY)) * np.where(gold, 1, -1)
-    fires = votes.sum(axis=1)
-    post = 1 / (1 + np.exp(-(sure + np.where(fires > 1, 1.0, -1.0))))
-    weight, rate = np.ones(votes.shape[1]), np.full((2, votes.shape[1]), 0.5)
-    for _ in range(rounds):
-        for y, p in enumerate((1 - post, post)):
-            rate[y] = (p @ votes + 0.1) / (p.sum() + 1)
-        rest = votes - np.outer(1 - post, rate[0]) - np.outer(post, rate[1])
-        norm = np.sqrt((rest**2).sum(axis=0)) + 1e-9
-        corr = (rest.T @ rest) / np.outer(norm, norm)
-        weight = 1 / np.clip(np.where(corr > 0.2, corr, 0).sum(axis=0), 1, None)
-        silent = fires == 0
-        none = np.log((post[silent].sum() + 0.1) / (post.sum() + 1)) - np.log(((1 - post)[silent].sum() + 0.1) / ((1 - post).sum() + 1))
-        odds = np.log(prior / (1 - prior)) + sure + votes @ (weight * np.log(rate[1] / rate[0])) + np.where(silent, none, 0)
+    found = rows.select("doc_id", "toxic", F.array_intersect("features", F.array(*map(F.lit, voters)) if voters else F.array().cast("array<string>")).alias("f")).orderBy("doc_id").collect()
+    out = np.zeros((len(found), len(voters)), np.float32)
+    for row, r in zip(out, found, strict=True):
+        row[[at[f] for f in r.f]] = 1
+    return out, np.array([r.toxic for r in found], bool)
+
+
+def parents(votes: np.ndarray, post: np.ndarray) -> np.ndarray:
+    """The tree of the voters (a forest; -1: a root): as many as possible of the strongest ties, by mutual information given the class, that are significant."""
+    info = np.zeros((votes.shape[1],) * 2)
+    for p in (post, 1 - post):
+        both = (votes.T @ (votes * p[:, None])).astype(float)
+        one, total = np.diag(both), p.sum()
+        cells = (both, one, one), (one[:, None] - both, one, total - one), (one - both, total - one, one), (total - one[:, None] - one + both, total - one, total - one)
+        for cell, a, b in cells:
+            cell = np.maximum(cell, 0)
+            info += 2 * cell * np.log((cell * total + 1e-9) / (np.outer(a, b) + 1e-9))
+    x, y = np.nonzero(np.triu(info, 1) > 4 * np.log(max(2, len(votes))))
+    root, near = list(range(len(info))), [[] for _ in info]
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for k in np.argsort(-info[x, y], kind="stable"):
+        i, j = int(x[k]), int(y[k])
+        if find(i) != find(j):
+            root[find(i)] = find(j)
+            near[i].append(j)
+            near[j].append(i)
+    parent, seen = np.full(len(info), -1), set()
+    for start in range(len(info)):
+        stack = [start] if start not in seen else []
+        seen.add(start)
+        while stack:
+            i = stack.pop()
+            for j in near[i]:
+                if j not in seen:
+                    seen.add(j)
+                    parent[j] = i
+                    stack.append(j)
+    return parent
+
+
+def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of the toxic class per row, and the voters' tree. The last column of votes is the vote that no lexicon fires."""
+    gold = labels.astype(float)
+    post = gold.copy()
+    tree = np.full(votes.shape[1], -1)
+    for k in range(rounds):
+        mixed = (post + TRUST * gold) / (1 + TRUST)
+        if k % 5 == 0:
+            tree = parents(votes[:, :-1], mixed)
+            tree = np.append(tree, -1)
+            above = votes[:, tree] * (tree >= 0)
+        odds = np.full(len(votes), np.log(prior / (1 - prior)))
+        for sign, p in ((1, mixed), (-1, 1 - mixed)):
+            fired, above_fired, with_above = p @ votes, p @ above, p @ (votes * above)
+            marginal = (fired + 0.5) / (p.sum() + 1)
+            rate_with, rate_without = (with_above + marginal) / (above_fired + 1), (fired - with_above + 0.5) / (p.sum() - above_fired + 1)
+            odds += sign * (votes * np.where(above > 0, np.log(rate_with), np.log(rate_without))).sum(axis=1)
         post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    return post, rate, weight
+    return post, tree
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
@@ -144,29 +217,20 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(odds, -30, 30))))
 
 
-def fit(texts: list[str], toxic: np.ndarray, share: float = 0.1) -> Model:
-    """The model from labelled texts. share: of toxic texts in the corpus."""
-    share = min(0.9, max(0.001, share))
-    alone = np.array(without_copies(texts), bool) if texts else np.zeros(0, bool)
-    texts, toxic = [t for t, k in zip(texts, alone, strict=True) if k], toxic[alone].astype(bool)
-    voters = mine(texts, toxic) if toxic.any() and not toxic.all() else []
-    if not voters:
-        return Model({}, float(np.log(share / (1 - share))))
-    votes = vote(texts, voters)
-    post, _, _ = label_model(votes, toxic, share)
-    w = logistic(votes, post)
-    return Model(dict(zip(voters, w[:-1].tolist(), strict=True)), float(w[-1]))
-
-
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on the bounded sample; rows that are held out are never read."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "toxic")
-    counts = dict(known.groupBy("toxic").count().collect())
-    picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(PER_CLASS) for y in (0, 1)]
-    sample = picked[0].unionByName(picked[1]).dropDuplicates(["doc_id"])
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").toPandas().sort_values("doc_id")
-    total = sum(counts.values())
-    return fit([t or "" for t in rows["text"]], rows["toxic"].to_numpy(bool), counts.get(1, 0) / total if total else 0.1)
+    rows, share = sample(docs, labels)
+    words = lexicons(rows)
+    if not words:
+        drop(rows)
+        return Model({}, float(np.log(share / (1 - share))))
+    voters = words + list(PATTERNS)
+    fired, toxic = votes(rows, voters)
+    drop(rows)
+    silent = fired[:, : len(words)].sum(axis=1) == 0
+    post, _ = label_model(np.column_stack([fired, silent.astype(np.float32)]), toxic, share)
+    w = logistic(fired, post)
+    return Model(dict(zip(voters, w[:-1].tolist(), strict=True)), float(w[-1]))
 
 
 def scorer(model: Model):

@@ -477,6 +477,31 @@ def test_toxicity(spark, docs):
     assert all(0 <= r.score <= 1 for r in scores) and {r.score for r in scores if not r.text} == {model.score("")}
 
 
+def test_label_model_finds_copied_voters_and_wrong_labels():
+    """Voters that go together count once, and a posterior follows the voters where they contradict a label."""
+    rng = np.random.default_rng(2)
+    toxic = rng.random(3000) < 0.2
+    fires = np.stack([rng.random(3000) < np.where(toxic, 0.5, 0.02) for _ in range(4)], axis=1)
+    copied = np.column_stack([fires, fires[:, 0], fires[:, 0]]).astype(np.float32)
+    silent = ~copied.any(axis=1)
+    labels = toxic ^ (rng.random(3000) < 0.05)
+    post, tree = toxicity.label_model(np.column_stack([copied, silent.astype(np.float32)]), labels, 0.2)
+    pairs = {frozenset((i, int(p))) for i, p in enumerate(tree) if p >= 0}
+    assert len(pairs & {frozenset(x) for x in ((0, 4), (0, 5), (4, 5))}) == 2
+    many = fires.sum(axis=1) >= 2
+    assert (post[many & ~labels] > 0.5).all() and (post[silent & labels] < 0.5).all()
+    single, _ = toxicity.label_model(np.column_stack([fires.astype(np.float32), silent.astype(np.float32)]), labels, 0.2)
+    assert ((post > 0.5) == (single > 0.5)).mean() > 0.99
+
+
+def test_conflicting_labels_and_repeated_rows(spark):
+    rows = toxic_rows(300)
+    data = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    again = labels.union(labels).union(labels.where("toxic = 1").withColumn("toxic", F.lit(0)))
+    assert toxicity.train(data.union(data), again) == toxicity.train(data, labels)
+
+
 def test_toxicity_never_learns_from_held_out_rows(spark):
     rows = toxic_rows(300)
     data = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
