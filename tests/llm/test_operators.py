@@ -530,12 +530,47 @@ def test_url_filter(spark):
     assert url_filter.judged(pages.limit(0)).count() == 0
 
 
+def all_splits(name):
+    for cut in range(2 ** (len(name) - 1)):
+        ends = [k + 1 for k in range(len(name) - 1) if cut >> k & 1] + [len(name)]
+        yield [name[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+
+def best_split(unigram, name):
+    return max(sum(unigram.get(w, -9.0 - 2.6 * len(w)) for w in ws) for ws in all_splits(name))
+
+
 def test_segmentation_is_the_best_split():
-    unigram = url_filter.model()[0]
-    cost = lambda ws: sum(unigram.get(w, -9.0 - 2.6 * len(w)) for w in ws)
-    for name in ("freecasino", "thering", "xbetwin", "abc"):
-        cuts = [[name[i:j] for i, j in zip([0, *c], [*c, len(name)], strict=True)] for m in range(2 ** (len(name) - 1)) for c in [[k + 1 for k in range(len(name) - 1) if m >> k & 1]]]
-        assert abs(cost(url_filter.segment(name)) - max(map(cost, cuts))) < 1e-9
+    model = url_filter.default_model()
+    for name in ("freecasino", "thering", "xbetwin", "abc", "mountainhik", "qqzxa"):
+        words = model.segment(name)
+        assert "".join(words) == name and abs(sum(model.unigram.get(w, -9.0 - 2.6 * len(w)) for w in words) - best_split(model.unigram, name)) < 1e-9
+
+
+def test_url_classifier_on_addresses_it_has_not_seen():
+    model = url_filter.default_model()
+    hosts = {host for host, _, _ in url_filter.labelled_urls()}
+    blocked = ["bestcasinoslots.com", "poker-bonus.net", "cheapviagrapills.org", "freetorrents.com", "sexchat.example.com", "seolinks.net", "virusscan-alert.com", "fastcashloans.biz", "clicktracking.com"]
+    allowed = ["citylibrary.org", "universityresearch.edu", "gardenrecipes.com", "footballnews.co", "museumtickets.org", "weatherguide.com", "opensourcecode.org", "qqqq.example.com", ""]
+    assert not {h.split(".")[0] for h in blocked + allowed} & hosts
+    assert [h for h in blocked if model.blocked(h, "") < url_filter.MOST] == [] and [h for h in allowed if model.blocked(h, "") >= url_filter.MOST] == []
+
+
+def test_url_verdicts_against_brute_force(spark):
+    """Every split of every name, and the classifier's formula from counts."""
+    unigram = url_filter.unigrams()
+    split = lambda host, path: [w for n in re.findall("[a-z]+", f"{host}/{path}".translate(LOWER)) if n not in url_filter.NEUTRAL for w in max(all_splits(n), key=lambda ws: sum(unigram.get(w, -9.0 - 2.6 * len(w)) for w in ws)) if w not in url_filter.NEUTRAL]
+    labelled = [("freeslots", "win", True), ("fastloan", "", True), ("citynews", "art", False), ("openbooks", "", False)]
+    counts = {y: Counter(w for h, p, b in labelled if b == y for w in split(h, p)) for y in (True, False)}
+    words = set(counts[True]) | set(counts[False])
+    chance = lambda w, y: (counts[y][w] + 0.5) / (sum(counts[y].values()) + 0.5 * (len(words) + 1))
+    urls = ["http://freeslots.org/x", "http://m.win-books.net", "https://cityloan.com/Art7/NEWS?slots", "http://a/b", "http://FastNews.example.com/slots", None, "http://openwin.net/"]
+    got = url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [], url_filter.train(unigram, labelled)).collect()
+    for r in got:
+        known = [w for w in split(r.host, re.sub("[0-9]", "", r.path)) if w in words]
+        odds = np.prod([chance(w, True) / chance(w, False) for w in known])
+        assert abs(r.score - odds / (1 + odds)) < 1e-9 and r.rule is None and r.verdict == ("block" if odds / (1 + odds) >= url_filter.MOST else "allow")
+    assert {r.verdict for r in got} == {"block", "allow"}
 
 
 def test_empty_tables(empty, spark):
