@@ -30,6 +30,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def laid_out(parts: Column, length: Callable[[Column], Column], make: Callable[[Column, Column], Column], kind: str) -> Column:
+    """make(x, at) of each x of parts, of type kind, where at is the sum of the lengths before it; nulls are left out.
+
+    Spark copies an array to append to it, so parts are folded in blocks of 256, and the blocks' results then appended.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    zero = lambda at, out: F.struct(at.alias("at"), out.alias("out"))
+    step = lambda acc, x: zero(acc["at"] + length(x), F.concat(acc["out"], F.array(make(x, acc["at"]))))
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(parts) - 1, F.lit(0)), F.lit(256)), lambda i: F.slice(parts, i + 1, 256))
+    whole = lambda acc, block: let(F.aggregate(block, zero(acc["at"], none), step), lambda b: zero(b["at"], F.concat(acc["out"], F.array(b["out"]))))
+    folded = F.aggregate(blocks, zero(F.lit(0).cast("long"), F.array().cast(f"array<array<{kind}>>")), whole, lambda acc: acc["out"])
+    return F.filter(F.flatten(folded), lambda x: x.isNotNull())
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, other letters as they are."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

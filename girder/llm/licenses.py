@@ -18,7 +18,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import alnum_words, let, table
+from .common import alnum_words, laid_out, let, table
 
 #: Phrases that always count: (words, label).
 BASE = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
@@ -277,15 +277,16 @@ def _n_words(part: Column) -> Column:
     return ((F.char_length(part) - F.char_length(F.replace(part, F.lit(" "), F.lit("")))) / 2).cast("long")
 
 
+#: A place of a rule.
+PLACE = "struct<start:bigint,end:bigint,priority:int,label:string,sure:double,base:boolean>"
+
+
 def _spans(norm: Column, rule: Column) -> Column:
-    """All places of a rule, in words: the gaps between matches and the matches, summed up."""
+    """All places of a rule, in words: the gaps between matches and the matches, one after the other."""
     parts = F.zip_with(F.split(norm, rule["regex"]), F.regexp_extract_all(norm, rule["regex"], F.lit(0)), lambda gap, m: F.struct(_n_words(gap).alias("gap"), _n_words(m).alias("n")))
-    start = lambda acc, x: acc["at"] + x["gap"]
-    place = lambda acc, x: F.struct(start(acc, x).alias("start"), (start(acc, x) + x["n"]).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["sure"].alias("sure"), rule["base"].alias("base"))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,priority:int,label:string,sure:double,base:boolean>>")
-    add = lambda acc, x: F.when(x["n"].isNull(), acc).otherwise(F.struct((start(acc, x) + x["n"]).alias("at"), F.concat(acc["places"], F.array(place(acc, x))).alias("places")))
-    folded = F.aggregate(parts, F.struct(F.lit(0).cast("long").alias("at"), none.alias("places")), add, lambda acc: acc["places"])
-    return F.when(F.rlike(norm, rule["regex"]), folded).otherwise(none)
+    place = lambda x, at: F.when(x["n"].isNotNull(), F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["n"]).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["sure"].alias("sure"), rule["base"].alias("base")))
+    found = let(parts, lambda p: laid_out(p, lambda x: x["gap"] + F.coalesce(x["n"], F.lit(0)), place, PLACE))
+    return F.when(F.rlike(norm, rule["regex"]), found).otherwise(F.array().cast(f"array<{PLACE}>"))
 
 
 def _survivors(places: Column) -> Column:
@@ -316,7 +317,7 @@ def licenses(docs: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     looked_at = F.array_distinct(F.flatten(F.transform("w.keys", lambda k: F.get(groups, F.array_position(keys, k).cast("int") - 1))))
     passed = F.filter(looked_at, lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, F.col("w.seen"))))
     hits = F.flatten(F.transform(passed, lambda r: _spans(F.col("w.norm"), r)))
-    none = F.array().cast("array<struct<start:bigint,end:bigint,priority:int,label:string,sure:double,base:boolean>>")
+    none = F.array().cast(f"array<{PLACE}>")
     found = docs.select("doc_id", seen.alias("w")).select("doc_id", "w.n_words", F.when(F.col("w.norm").isNull(), none).otherwise(hits).alias("places"))
     return found.select("doc_id", "n_words", "places", _survivors(F.col("places")).alias("kept")).select("doc_id", "n_words", "places", "kept.labels", "kept.score")
 
