@@ -45,18 +45,20 @@ TRUST = 1.0
 FOLDS = 5
 BEGINNINGS = (4, 5, 6)
 
-#: Pattern voters.
+#: Words of insults.
+INSULTS = "bastard bastards clown clowns creep creeps disgusting dumb fool fools idiot idiots imbecile imbeciles jerk jerks loser losers moron morons pathetic scum stupid trash ugly useless worthless"
+#: Pattern voters: words of which a text must hold one (none: any text), and the pattern.
 PATTERNS = {
-    "~insult": r"(?i)\b(?:idiots?|morons?|stupid|dumb|losers?|scum|trash|worthless|pathetic|disgusting|clowns?|fools?|jerks?|creeps?|ugly|useless|bastards?|imbeciles?)\b",
-    "~at_you": r"(?i)\byou(?: are|'re| all)? (?:an? |such an? |so |all )?(?:idiot|moron|stupid|dumb|loser|scum|trash|worthless|pathetic|disgust|clown|fool|jerk|creep|ugly|useless)",
-    "~threat": r"(?i)\b(?:kill|hurt|destroy|hunt|beat) (?:you|him|her|them|yourself)\b|\byou (?:should|will|must) die\b",
-    "~send_off": r"(?i)\bshut up\b|\bgo away\b|\bget lost\b|\bhate (?:you|them|him|her)\b",
-    "~masked": r"\b[A-Za-z]{1,3}\*{2,}[A-Za-z]{0,3}\b",
-    "~polite": r"(?i)\b(?:please|thank you|thanks|welcome|best regards)\b",
+    "~insult": (INSULTS, ""),
+    "~at_you": ("you", rf"(?i)\byou(?: are|'re| all)? (?:an? |such an? |so |all )?(?:{INSULTS.replace(' ', '|')})\b"),
+    "~threat": ("kill hurt destroy hunt beat die", r"(?i)\b(?:kill|hurt|destroy|hunt|beat) (?:you|him|her|them|yourself)\b|\byou (?:should|will|must) die\b"),
+    "~send_off": ("shut go get hate", r"(?i)\bshut up\b|\bgo away\b|\bget lost\b|\bhate (?:you|them|him|her)\b"),
+    "~masked": ("", r"\b[A-Za-z]{1,3}\*{2,}[A-Za-z]{0,3}\b"),
+    "~polite": ("please thank thanks welcome regards", ""),
 }
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_PATTERNS = {name: re.compile(p) for name, p in PATTERNS.items()}
+_PATTERNS = {name: (frozenset(words.split()), p and re.compile(p)) for name, (words, p) in PATTERNS.items()}
 
 
 def held_out(doc_id: Column) -> Column:
@@ -68,7 +70,8 @@ def features(text: str | None) -> set[str]:
     if not text:
         return set()
     words = set(_WORD.findall(text.lower()))
-    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n} | {name for name, p in _PATTERNS.items() if p.search(text)}
+    patterns = {name for name, (needed, p) in _PATTERNS.items() if (not needed or needed & words) and (not p or p.search(text))}
+    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) > n} | patterns
 
 
 def prints(text: str | None) -> list[int]:
