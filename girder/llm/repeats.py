@@ -1,8 +1,9 @@
 """Suffix-array dedup: every byte covered by a 200-byte string that also starts elsewhere, by distributed prefix doubling.
 
-A suffix array would rank all positions of the corpus; its ranks of 8 bytes each are many times the text. Here ranks
-are 64-bit fingerprints, doubled from 1 to 64, then 96, 128 and 200 bytes inside each text, and Spark sorts only
-sampled positions:
+A suffix array would rank all positions of the corpus; its ranks of 8 bytes each are many times the text (README has
+figures). Here ranks are 64-bit fingerprints, doubled from 1 to 64, then 96, 128 and 200 bytes inside each text, and
+Spark sorts pairs of ranks of sampled positions, in three rounds for strings of 96, 193 and 200 bytes and what extends
+them; each round goes on with the positions that are neither unique nor past the threshold:
 
 1. Each 200-byte window picks an anchor, its 96-byte string of least fingerprint. Equal windows pick equal anchors at
    the same offset, so windows whose anchor string is unique in the corpus are done. About one position in 53 is one.
@@ -10,14 +11,15 @@ sampled positions:
    together. Spark sorts the pairs (anchor's rank, that rank); where neighbours are equal, all the windows repeat.
 3. What is left is split into blocks of eight windows at fixed offsets to the anchor and sorted again: a block whose
    string repeats is done, and so is one whose core (the bytes that all its windows share) is unique.
-4. The windows of the blocks left are ranked and sorted one by one.
+4. The windows of the blocks left are ranked and sorted one by one, by two independent fingerprints of 64 bits.
 
 Steps 3 and 4 take one representative of each class of equal strings, so a passage that a third of all texts share
 costs as much as one that two share; and what repeats within a task is settled there and sends one row. Sorted rows
-are read as a stream: no group of equal ranks is ever held, however large. Nothing is capped: each step either proves a
-window repeated, or unique, or hands it on.
+are read as a stream: no group of equal ranks is ever held, however large. Of an anchor that stands in many contexts,
+each batch of texts sorts two and hands the others on to the next round, so that no task gets all of them. Nothing is
+capped: each step either proves a window repeated, or unique, or hands it on.
 
-A null text is empty. Texts below 200 bytes lose nothing. Rows that repeat are two texts that repeat each other, also
+An empty table has an empty result; other columns are ignored, whatever their names. A null text is empty. Texts below 200 bytes lose nothing. Rows that repeat are two texts that repeat each other, also
 when they share a doc_id. Texts are worked through in pieces of a million windows, so memory stays bounded.
 """
 
@@ -39,10 +41,12 @@ LENGTH, ANCHOR, BLOCK = 200, 96, 8
 PLACES = LENGTH - ANCHOR + 1
 PIECE = 1 << 20
 
-_RNG = np.random.default_rng(20240603)
-_BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = (1, 2, 4, 8, 16, 32, 64, 65, 72, 96)
-_FACTOR = dict(zip(_OFFSETS, _RNG.integers(0, 1 << 63, len(_OFFSETS), dtype=np.uint64) * np.uint64(2) + np.uint64(1), strict=True))
+#: What a fingerprint is made with: a number for each byte, and one for each offset. There are two, independent of each other.
+_NUMBERS = [np.random.default_rng(seed).integers(0, 1 << 63, 256 + len(_OFFSETS), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for seed in (20240603, 20240604)]
+_BYTES = [x[:256] for x in _NUMBERS]
+_FACTORS = [dict(zip(_OFFSETS, x[256:], strict=True)) for x in _NUMBERS]
+_FACTOR = _FACTORS[0]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -51,30 +55,30 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _pair(h: np.ndarray, offset: int, factor: np.uint64 | None = None) -> np.ndarray:
+def _pair(h: np.ndarray, offset: int, kind: int = 0, factor: np.uint64 | None = None) -> np.ndarray:
     """Ranks of longer strings, from the pairs of ranks at this offset."""
-    out = h[:-offset] * (factor or _FACTOR[offset])
+    out = h[:-offset] * (factor or _FACTORS[kind][offset])
     out += h[offset:]
     out ^= out >> np.uint64(29)
     return out
 
 
-def ranks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def ranks(data: np.ndarray, kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of the 64-byte and the 128-byte strings at each position; data has at least 128 bytes."""
-    h = _BYTES[data]
+    h = _BYTES[kind][data]
     for n in (1, 2, 4, 8, 16, 32):
-        h = _pair(h, n)
-    return h, _pair(h, 64)
+        h = _pair(h, n, kind)
+    return h, _pair(h, 64, kind)
 
 
-def window_ranks(h128: np.ndarray) -> np.ndarray:
-    return _pair(h128, LENGTH - 128)
+def window_ranks(h128: np.ndarray, kind: int = 0) -> np.ndarray:
+    return _pair(h128, LENGTH - 128, kind)
 
 
 def anchored(data: np.ndarray) -> tuple[np.ndarray, ...]:
     """first and last window, anchor, its rank, and the rank of what the windows make up, of each run of windows with one anchor."""
     h64, h128 = ranks(data)
-    h200, h96 = window_ranks(h128), _mix(_pair(h64, ANCHOR - 64, _FACTOR[96]))
+    h200, h96 = window_ranks(h128), _mix(_pair(h64, ANCHOR - 64, factor=_FACTOR[96]))
     least = (h96 & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h96), dtype=np.uint64)
     n = 1
     while 2 * n <= PLACES:
@@ -116,15 +120,26 @@ class _Rows:
             yield _combined(pd.concat([pd.DataFrame(columns), ids.loc[ids.index.repeat(self.counts)].reset_index(drop=True)], axis=1))
 
 
+#: Rows of one core that a batch sorts, if it has more.
+SORTED = 2
+#: What n says of a row. Not sorted: its string repeats, or is left to the next round. Sorted: it stands for itself, or for equal ones; with MORE added, its core has others that are handed on.
+SETTLED, HANDED_ON, ONE, MANY, MORE = 0, -1, 1, 2, 4
+
+
 def _combined(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows with n: 1. Of rows with equal ranks, which repeat each other, n is 0 and only a representative with n 2 is left to be sorted."""
+    """Rows with n. Rows with equal ranks repeat each other and are settled; a representative of them is left. Of a core's rows that are left SORTED are sorted and the others handed on."""
     rows = rows.iloc[np.lexsort((rows["union"], rows["core"]))].reset_index(drop=True)
     core, union = rows["core"].to_numpy(), rows["union"].to_numpy()
     same = np.append(False, (core[1:] == core[:-1]) & (union[1:] == union[:-1]))
     again = same | np.append(same[1:], False)
-    first = rows[again & ~same].assign(n=2)
-    core = np.where(again, core ^ rows["run"].to_numpy() * 0x9E3779B97F4A7C1 ^ rows["doc_id"].fillna(0).to_numpy(np.int64), core)  # settled rows are dealt out at random
-    return pd.concat([rows.assign(core=core, n=np.where(again, 0, 1)), first])
+    rows["n"], dealt = np.where(again, MANY, ONE), core ^ rows["run"].to_numpy() * 0x9E3779B97F4A7C1 ^ rows["doc_id"].fillna(0).to_numpy(np.int64)
+    settled = rows[again].assign(core=dealt[again], n=SETTLED)  # rows that aren't sorted are dealt out at random
+    rows, core, dealt = rows[~same], core[~same], dealt[~same]
+    start = np.searchsorted(core, core)
+    crowded = np.searchsorted(core, core, side="right") - start > SORTED
+    on = crowded & (np.arange(len(core)) - start >= SORTED)
+    n = np.where(on, HANDED_ON, rows["n"].to_numpy() + np.where(crowded, MORE, 0))
+    return pd.concat([rows.assign(core=np.where(on, dealt, core), n=n), settled])
 
 
 def _texts(batch: pd.DataFrame) -> Iterator[tuple]:
@@ -146,12 +161,12 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from rows.frames()
 
 
-def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _slices(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, kind: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each run of windows: its number, and the ranks of its strings of 128 and 200 bytes."""
     for i in range(0, len(lo), 4096):
         part = [data[a : b + LENGTH] for a, b in zip(lo[i : i + 4096].tolist(), hi[i : i + 4096].tolist(), strict=True)]
-        h128 = ranks(np.concatenate(part))[1]
-        h200 = window_ranks(np.append(h128, np.zeros(LENGTH, np.uint64)))
+        h128 = ranks(np.concatenate(part), kind)[1]
+        h200 = window_ranks(np.append(h128, np.zeros(LENGTH, np.uint64)), kind)
         start = 0
         for k, x in enumerate(part):
             yield i + k, h128[start : start + len(x) - 127], h200[start : start + len(x) - LENGTH + 1]
@@ -176,14 +191,14 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rank of each window of the runs."""
+    """Both ranks of each window of the runs."""
     for batch in batches:
         rows = _Rows("core", "union", "run")
         for (doc_id, key, data), runs in zip(_texts(batch), batch["runs"], strict=True):
             los, his, _ = _unpacked(runs)
-            for k, _, h200 in _slices(data, los, his):
+            for (k, _, h200), (*_, other) in zip(_slices(data, los, his), _slices(data, los, his, 1), strict=True):
                 at = los[k] + np.arange(len(h200))
-                rows.add(doc_id, key, h200, h200, _packed(at, at, at))
+                rows.add(doc_id, key, h200, other, _packed(at, at, at))
         yield from rows.frames()
 
 
@@ -229,7 +244,7 @@ def _if_small(runs: DataFrame) -> DataFrame:
 def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """From rows in the order of their ranks: runs whose string repeats (split false), and representatives of what must be split further.
 
-    A core is split if it has several classes of equal strings and one of them is alone. Only the rows of the last core
+    A core is split if it has several classes of equal strings and one of them is alone, or if rows of it were handed on. Only the rows of the last core
     wait for the next batch. If those become many, all but the last class go on, and the core counts as one to be split.
     """
     wait, many = None, None
@@ -238,10 +253,10 @@ def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not parts:
             return
         rows, wait = pd.concat(parts, ignore_index=True), None
-        settled = (rows["n"] == 0).to_numpy()
-        if settled.any():
-            yield rows.loc[settled, RUN].assign(split=False)
-            rows = rows[~settled].reset_index(drop=True)
+        n = rows["n"].to_numpy()
+        if (n <= SETTLED).any():
+            yield rows.loc[n <= SETTLED, RUN].assign(split=n[n <= SETTLED] == HANDED_ON)
+            rows = rows[n > SETTLED].reset_index(drop=True)
         if not len(rows):
             continue
         core, union = rows["core"].to_numpy(), rows["union"].to_numpy()
@@ -255,20 +270,20 @@ def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 forced |= core == many
             wait = rows.iloc[end:]
             if len(wait) > HELD:  # one class, which repeats: one row stands for it
-                yield wait.loc[wait["n"] == 1, RUN].assign(split=False)
-                wait = wait.iloc[:1].assign(n=2)
+                yield wait.loc[wait["n"] % MORE == ONE, RUN].assign(split=False)
+                wait = wait.iloc[:1].assign(n=MANY)
         if end:
             yield from _class_rows(rows.iloc[:end], new_core[:end], new_class[:end], forced[:end])
 
 
 def _class_rows(rows: pd.DataFrame, new_core: np.ndarray, new_class: np.ndarray, forced: np.ndarray) -> Iterator[pd.DataFrame]:
-    n = rows["n"].to_numpy()
+    n, more = rows["n"].to_numpy() % MORE, rows["n"].to_numpy() >= MORE
     at_class, at_core = np.flatnonzero(new_class), np.flatnonzero(new_core)
     size, first_class = np.add.reduceat(n, at_class), np.searchsorted(at_class, at_core)
     per_core = np.diff(np.append(first_class, len(at_class)))
     alone = np.add.reduceat((size == 1).astype(np.int64), first_class)
-    split = np.repeat(((per_core > 1) & (alone > 0)) | forced[at_core], per_core)
-    repeats = np.repeat(size > 1, np.diff(np.append(at_class, len(n)))) & (n == 1)
+    split = np.repeat(((per_core > 1) & (alone > 0)) | forced[at_core] | np.logical_or.reduceat(more, at_core), per_core)
+    repeats = np.repeat(size > 1, np.diff(np.append(at_class, len(n)))) & (n == ONE)
     yield rows.loc[repeats, RUN].assign(split=False)
     yield rows.iloc[at_class[split]][RUN].assign(split=True)
 

@@ -241,6 +241,19 @@ def test_suffix_dedup(docs, texts):
     same(map(tuple, got), brute_removed(texts))
 
 
+def test_suffix_dedup_of_one_passage_in_many_contexts(spark, monkeypatch):
+    """Anchors with a context of their own in each text, some of which repeat in part or whole, in batches of a few texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        passage, other = prose(61, 40), prose(62, 60)
+        rows = [(k, f"{prose(7000 + k, 30)} {passage} {prose(7000 + k % 40, 25)} {other[k % 60 :][:280]}") for k in range(90)]
+        rows += [(100 + k, f"{prose(8000 + k // 3, 12)} {passage} {prose(8100 + k // 2, 12)}") for k in range(30)]
+        got = repeats.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        same(map(tuple, got), brute_removed([(i, t, None) for i, t in rows]))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_suffix_dedup_in_pieces(docs, texts, monkeypatch):
     whole = repeats.anchored(np.frombuffer(prose(9, 900).encode(), np.uint8))
     assert (np.diff(whole[0]) > 0).all() and (whole[2] >= whole[1]).all() and (whole[2] - whole[0] < repeats.PLACES).all()
