@@ -5,6 +5,7 @@ import json
 import re
 from collections import Counter
 
+import doubling
 import numpy as np
 import pandas as pd
 from cases import edited, prose
@@ -241,6 +242,15 @@ def test_suffix_dedup(docs, texts):
     same(map(tuple, got), brute_removed(texts))
 
 
+def test_suffix_dedup_agrees_with_plain_doubling(spark):
+    rows = [(k, f"{prose(7200 + k % 9, 30)} {prose(7300 + k, 25)} {prose(7400 + k % 5, 40)}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = doubling.repeated_windows(docs).groupBy("d").agg(F.sort_array(F.collect_list("p")).alias("p")).collect()
+    removed = {r.d: len({x for p in r.p for x in range(p, p + 200)}) for r in found}
+    got = {r.doc_id: r.n_removed for r in repeats.suffix_dedup(docs).collect()}
+    assert got == {k: removed.get(k, 0) for k in range(40)} and sum(got.values()) > 5000
+
+
 def test_suffix_dedup_of_one_passage_in_many_contexts(spark, monkeypatch):
     """Anchors with a context of their own in each text, some of which repeat in part or whole, in batches of a few texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
