@@ -46,11 +46,11 @@ FAMILIES = [
     ("bsd-3", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)", "bsd"),
     ("bsd-4", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd"),
     ("bsd", "bsd(?: style)?", "bsd"),
-    ("mpl-1.1", "(?:mpl|mozilla public license)(?: version)? 1 1", "1"),
-    ("mpl-2", "(?:mpl|mozilla public license)(?: version)? 2(?: 0)?", "2"),
+    ("mpl-1.1", "(?:mpl|mozilla public license)(?: version)? 1 1", "mpl mozilla"),
+    ("mpl-2", "(?:mpl|mozilla public license)(?: version)? 2(?: 0)?", "mpl mozilla"),
     ("mpl", "mozilla public license", "mozilla"),
-    ("epl-1", "(?:epl|eclipse public license)(?: version)? 1(?: 0)?", "1"),
-    ("epl-2", "(?:epl|eclipse public license)(?: version)? 2(?: 0)?", "2"),
+    ("epl-1", "(?:epl|eclipse public license)(?: version)? 1(?: 0)?", "epl eclipse"),
+    ("epl-2", "(?:epl|eclipse public license)(?: version)? 2(?: 0)?", "epl eclipse"),
     ("cddl", "(?:cddl|common development and distribution license)", "cddl distribution"),
     ("eupl", "(?:eupl|european union public licen[cs]e)", "eupl european"),
     ("isc", "isc", "isc"),
@@ -69,11 +69,11 @@ FAMILIES = [
     ("ofl", "(?:sil )?open font license(?: 1 1)?", "font"),
     ("odbl", "open (?:data commons open )?database license", "database"),
     ("cc0", "(?:cc0|creative commons zero)", "cc0 zero"),
-    ("cc-by-nc-nd", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd noderivatives derivatives"),
-    ("cc-by-nc-sa", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa sharealike alike"),
-    ("cc-by-nc", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)(?: [1-4] 0)?", "nc noncommercial commercial"),
-    ("cc-by-nd", "(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "nd noderivatives derivatives"),
-    ("cc-by-sa", "(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "sa sharealike alike"),
+    ("cc-by-nc-nd", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "cc creative"),
+    ("cc-by-nc-sa", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "cc creative"),
+    ("cc-by-nc", "(?:cc|creative commons) (?:by|attribution) (?:nc|noncommercial|non commercial)(?: [1-4] 0)?", "cc creative"),
+    ("cc-by-nd", "(?:cc|creative commons) (?:by|attribution) (?:nd|noderivatives|no derivatives)(?: [1-4] 0)?", "cc creative"),
+    ("cc-by-sa", "(?:cc|creative commons) (?:by|attribution) (?:sa|sharealike|share alike)(?: [1-4] 0)?", "cc creative"),
     ("cc-by", "(?:cc|creative commons) (?:by|attribution)(?: [1-4] 0)?", "cc creative"),
     ("cc-by", "creative commons attribution(?: [1-4] 0)?", "creative"),
     ("cc-public-domain", "(?:cc|creative commons) public domain(?: mark)?(?: 1 0)?", "domain"),
@@ -156,7 +156,7 @@ ALONE = [
     ("ofl", "sil open font license", ("font",)),
     ("odbl", "open (?:data commons open )?database license", ("database",)),
     ("cc0", "cc0(?: 1 0)?(?: universal)?", ("cc0",)),
-    ("cc-by", "(?:cc by|creative commons attribution) [1-4] 0(?: international| unported| generic)?", ("creative by",)),
+    ("cc-by", "(?:cc by|creative commons attribution) [1-4] 0(?: international| unported| generic)?", ("creative cc",)),
     ("cc-by-sa", "cc by sa(?: [1-4] 0)?", ("cc", "sa")),
     ("cc-by-nd", "cc by nd(?: [1-4] 0)?", ("cc", "nd")),
     ("cc-by-nc", "cc by nc [1-4] 0", ("cc", "nc")),
@@ -239,6 +239,7 @@ SINGLE = [
 COMMON = set("""1 2 a and author binary business by common copies data design domain file free general good government history is kind library licence licenced license licensed name
 notice of open part permission process program provided public publication q received retain rights server service software source subject the trade under unless use used user v2 version
 with work writing""".split())
+EVERYWHERE = set("1 2 a and by is of the under use with work".split())
 PRIORITIES = 6
 BASE_PRIORITY = 5
 
@@ -268,7 +269,7 @@ def _keyed(rules: list[tuple]) -> tuple[list[str], list[list[dict]]]:
     for label, pattern, tokens, priority, sure, base in rules:
         any_ofs = [t.split() for t in tokens]
         row = {"label": label, "regex": _worded(pattern), "tokens": any_ofs, "priority": priority, "sure": sure, "base": base}
-        for key in min(any_ofs, key=lambda any_of: (sum(t in COMMON for t in any_of), len(any_of))):
+        for key in min(any_ofs, key=lambda any_of: (sum(t in EVERYWHERE for t in any_of), sum(t in COMMON for t in any_of), len(any_of))):
             by_key.setdefault(key, []).append(row)
     return list(by_key), list(by_key.values())
 
@@ -309,16 +310,14 @@ def licenses(docs: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     keys, groups = _keyed(rules)
     keys, groups = _constant(keys, "array<string>"), _constant(groups, f"array<array<{rule}>>")
     tokens = _constant(sorted({t for r in rules for any_of in r[2] for t in any_of.split()}), "array<string>")
-    norm = lambda w: F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))
-    seen = let(
-        alnum_words(F.col("text")),
-        lambda w: let(F.array_intersect(w, keys), lambda k: F.struct(F.size(w).cast("long").alias("n_words"), k.alias("keys"), F.when(F.size(k) > 0, F.array_intersect(w, tokens)).alias("seen"), F.when(F.size(k) > 0, norm(w)).alias("norm"))),
-    )
-    looked_at = F.array_distinct(F.flatten(F.transform("w.keys", lambda k: F.get(groups, F.array_position(keys, k).cast("int") - 1))))
-    passed = F.filter(looked_at, lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, F.col("w.seen"))))
-    hits = F.flatten(F.transform(passed, lambda r: _spans(F.col("w.norm"), r)))
     none = F.array().cast(f"array<{PLACE}>")
-    found = docs.select("doc_id", seen.alias("w")).select("doc_id", "w.n_words", F.when(F.col("w.norm").isNull(), none).otherwise(hits).alias("places"))
+    # what most texts don't need is computed for the others only: the tokens that are no keys, and the words as one text
+    looked_at = lambda k: F.array_distinct(F.flatten(F.transform(k, lambda x: F.get(groups, F.array_position(keys, x).cast("int") - 1))))
+    passed = lambda w, k: let(F.array_intersect(w, tokens), lambda seen: F.filter(looked_at(k), lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, seen))))
+    norm = lambda w: F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))
+    hits = lambda w, rules: F.when(F.size(rules) == 0, none).otherwise(let(norm(w), lambda text: F.flatten(F.transform(rules, lambda r: _spans(text, r)))))
+    places = lambda w: let(F.array_intersect(w, keys), lambda k: F.when(F.size(k) == 0, none).otherwise(let(passed(w, k), lambda rules: hits(w, rules))))
+    found = docs.select("doc_id", let(alnum_words(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), places(w).alias("places"))).alias("w")).select("doc_id", "w.n_words", "w.places")
     return found.select("doc_id", "n_words", "places", _survivors(F.col("places")).alias("kept")).select("doc_id", "n_words", "places", "kept.labels", "kept.score")
 
 
