@@ -5,6 +5,11 @@ line_dedup       lines on many sites stay in one document only; no document goes
 near_dedup       of documents alike in five-word shingles (0.8 or more), the one with the smallest doc_id stays
 decontamination  documents that hold ten consecutive words of a benchmark item go
 mixing           the rest is repeated and shuffled to the target weights of its sources
+
+Rows with nulls in any column, empty and very long texts, and rows that repeat go through all stages as their operators
+state: a null or empty text isn't toxic, holds no line, shingle or benchmark word, and stays; repeated rows are one
+document for near_dedup, which keeps the rows of the smallest doc_id. An empty table stays empty. Columns of documents
+keep their names and order, and columns besides those five are carried along; mixing adds replica and shuffle_key.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Quality rules: a table of thresholds, compiled into one projection of built-in functions.
 
 Nothing shuffles: each row is judged by itself. A null or empty text has no words and fails. A text of any length
-is read whole; repeated rows get equal verdicts; other columns of the input are neither read nor touched.
+is read whole; repeated rows get equal verdicts; an empty table has an empty result; other columns of the input are
+neither read nor touched, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from .common import blank_words, let, table
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
+#: How a line of a list begins.
+BULLET = r"^[\x20\x09]*[-*•]"
 #: Frequent words of four languages.
 STOP_WORDS = ("the of and to in is that for with was de la que el en los las un una por le les des et est du dans pour der die das und den von zu mit ist ein eine nicht").split()
 #: (rule, metric, least, most, words that a text has at least for the rule to hold). Metrics are the columns of metrics().
@@ -25,6 +28,9 @@ RULES = [
     ("shouting", "exclaim_ratio", None, 0.3, 0),
     ("stop_words", "stop_ratio", 0.01, None, 80),
     ("dup_lines", "dup_line_ratio", None, 0.5, 0),
+    ("bullets", "bullet_line_ratio", None, 0.9, 0),
+    ("ellipses", "ellipsis_line_ratio", None, 0.3, 0),
+    ("line_length", "mean_line_words", 1.5, None, 30),
 ]
 
 
@@ -64,7 +70,13 @@ def metrics(docs: DataFrame) -> DataFrame:
         "doc_id",
         text.alias("text"),
         let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"), repeat_words(w).cast("long").alias("n_repeat_words"))).alias("w"),
-        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("x"),
+        let(
+            lines,
+            lambda x: F.struct(
+                F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+                F.size(F.filter(x, lambda line: F.rlike(line, F.lit(BULLET)))).alias("n_bullets"), F.size(F.filter(x, lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…")))).alias("n_ellipses"),
+            ),
+        ).alias("x"),
     )
     per_word = lambda n: n / F.greatest(F.col("w.n_words"), F.lit(1))
     return base.select(
@@ -72,7 +84,8 @@ def metrics(docs: DataFrame) -> DataFrame:
         per_word(F.col("w.word_chars")).alias("mean_word_chars"),
         per_word(F.regexp_count("text", F.lit("!"))).alias("exclaim_ratio"),
         per_word(F.regexp_count("text", F.lit(r"(?i)(?<![^\x20\x09-\x0D])(?:" + "|".join(STOP_WORDS) + r")(?![^\x20\x09-\x0D.,;:!?])"))).alias("stop_ratio"),
-        (F.col("x.n_dup_lines") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias("dup_line_ratio"),
+        *[(F.col(f"x.{n}") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias(ratio) for n, ratio in (("n_dup_lines", "dup_line_ratio"), ("n_bullets", "bullet_line_ratio"), ("n_ellipses", "ellipsis_line_ratio"))],
+        (F.col("w.n_words") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias("mean_line_words"),
     )
 
 
@@ -107,15 +120,16 @@ win AS (SELECT r, i, CASE WHEN lead(i, 4) OVER o IS NOT NULL THEN w || ' ' || le
 rep AS (SELECT r, i FROM win WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
 cov AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, range(0, 5) t(k) GROUP BY r),
 lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
-dup AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+dup AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup, count(*) FILTER (WHERE regexp_matches(line, '^[\x20\x09]*[-*•]')) AS n_bul, count(*) FILTER (WHERE line LIKE '%...' OR line LIKE '%…') AS n_ell FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
 st AS (SELECT r, count(*) AS n FROM w WHERE regexp_matches(w, '^(?i:{"|".join(STOP_WORDS)})([.,;:!?]|$)') GROUP BY r),
 m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
   len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '!')) AS n_ex,
-  coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(st.n, 0) AS n_stop
+  coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_lines, 0) AS n_lines, coalesce(n_bul, 0) AS n_bul, coalesce(n_ell, 0) AS n_ell, coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(st.n, 0) AS n_stop
   FROM d LEFT JOIN cov USING (r) LEFT JOIN dup USING (r) LEFT JOIN st USING (r)),
 j AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed, greatest(n_words, 1) AS n FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   (NOT base_failed AND n_words BETWEEN 10 AND 1000000 AND word_chars / n BETWEEN 2.0 AND 14.0 AND n_symbols / n <= 0.1 AND n_ex / n <= 0.3
-   AND (n_stop / n >= 0.01 OR n_words < 80) AND n_dup_lines / greatest(n_lines, 1) <= 0.5) AS kept
+   AND (n_stop / n >= 0.01 OR n_words < 80) AND n_dup_lines / greatest(n_lines, 1) <= 0.5
+   AND n_bul / greatest(n_lines, 1) <= 0.9 AND n_ell / greatest(n_lines, 1) <= 0.3 AND (n_words / greatest(n_lines, 1) >= 1.5 OR n_words < 30)) AS kept
 FROM j
 """

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import re
+import zlib
 from collections import Counter
 
 import doubling
@@ -12,6 +13,7 @@ from cases import edited, prose
 from pyspark.sql import functions as F
 
 from girder.llm import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
+from girder.llm.queries import QUERIES
 
 BLANKS = r"[^\x20\x09-\x0D]+"
 ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,6 +44,9 @@ def test_quality_rules(spark):
     cases = [(1, clean), (2, " ".join(w + "***" for w in clean.split())), (3, clean + "\n" + "x\n" * 30), (4, " ".join(w.upper() + "!!" for w in clean.split())), (5, "one two three")]
     got = {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(cases, "doc_id long, text string")).collect()}
     assert got == {1: True, 2: False, 3: False, 4: False, 5: False}
+    lines = clean.split(" a ")
+    shapes = [(1, "\n".join(f"- {x}" for x in lines * 3)), (2, "\n".join(f"{x} number{k}..." for k, x in enumerate(lines))), (3, "\n".join(f"{w}{k}" for k, w in enumerate(clean.split() * 2))), (4, "\n".join(f"{x} {k}" for k, x in enumerate(lines)))]
+    assert {r.doc_id: r.kept for r in quality.quality(spark.createDataFrame(shapes, "doc_id long, text string")).collect()} == {1: False, 2: False, 3: False, 4: True}
 
 
 def test_repeated_windows(spark):
@@ -627,6 +632,35 @@ def test_url_verdicts_against_brute_force(spark):
     assert {r.verdict for r in got} == {"block", "allow"}
 
 
+def test_queries_over_odd_rows(spark, docs, texts, tmp_path):
+    """The digests that queries derive from what operators return."""
+    urls = ["http://A.Example.COM/en/79?x#y", None, "", "no scheme", "http://casinoslots.org/es/", "https://casinoslots.org/x"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, texts[0][1][:200])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(1, 21)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    extra = [(900, 'x password: "S3cr3t9Pass!" y under the MIT license, under the mit license'), (901, "Apache License, Version 2.0 or CC BY-NC 4.0 and under the mit license")]
+    more = spark.createDataFrame(extra, "doc_id long, text string")
+    docs.unionByName(more, allowMissingColumns=True).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(i, t) for i, t, _ in texts] + extra
+    got = {name: q(spark, str(tmp_path)).collect() for name, q in QUERIES.items()}
+    for name in got:
+        assert name in ("op2_secret_scan", "op3_poisson_mixing", "op10_url_filter") or Counter(r.doc_id for r in got[name]) == Counter(i for i, _ in rows)
+
+    secret = next(r for r in got["op2_secret_scan"] if r.doc_id == 900)
+    assert (secret.start, secret.n_chars, secret.kind, secret.value_sha256) == (13, 12, "assigned", hashlib.sha256(b"S3cr3t9Pass!").hexdigest()) and secret.is_secret == (secret.score >= 0.5)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in got["op5_toxicity"])
+
+    def licensed(doc_id, text):
+        words = re.findall(ALNUM, (text or "").translate(LOWER))
+        base = [(i, label) for phrase, label in licenses.BASE for p in [phrase.split()] for i in range(len(words)) if words[i : i + len(p)] == p]
+        labels, score = brute_licenses(text)
+        own = {label for _, label in base}
+        return doc_id, len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None), ",".join(sorted(own)), ",".join(sorted(own | labels)), score
+
+    same(map(tuple, got["op9_license_scan"]), [licensed(i, t) for i, t in rows])
+    assert {(r.rule, r.verdict) for r in got["op10_url_filter"]} == {("example.com/en/7", "allow"), (None, "allow"), ("org/es/", "block"), (None, "block")}
+
+
 def test_empty_tables(empty, spark):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     for df in (
