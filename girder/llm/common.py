@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 #: Spark's setting by which shuffle files go with the job that made them.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting of how many rows go to Python at once.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,17 +82,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once: written as Parquet to the shared folder and read from there, so that no lost executor can take it along. The job's shuffle files go when it is over."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    before = spark.conf.get(CLEANUP, None)
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Spark's settings for what runs within; those that this version of Spark doesn't know are left out."""
+    names = {"cleanup": CLEANUP, "batch": BATCH}
+    before = {names[k]: spark.conf.get(names[k], None) for k in values}
+    known = {names[k]: v for k, v in values.items() if before[names[k]] is not None}
     try:
-        if before is not None:
-            spark.conf.set(CLEANUP, "true")
-        df.write.parquet(path)
+        for k, v in known.items():
+            spark.conf.set(k, v)
+        yield
     finally:
-        if before is not None:
-            spark.conf.set(CLEANUP, before)
+        for k in known:
+            spark.conf.set(k, before[k])
+
+
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """df, computed once: written as Parquet to the shared folder and read from there, so that no lost executor can take it along.
+
+    The job's shuffle files go when it is over. batch: most rows that go to Python at once, where rows are large.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    with settings(spark, cleanup="true", **({"batch": str(batch)} if batch else {})):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

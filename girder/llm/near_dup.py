@@ -50,6 +50,8 @@ REGISTERS, ROWS = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_534
 #: Members of a bucket, and their shingles, in one block on average; larger buckets are dealt to pairs of blocks.
 BLOCK, ELEMENTS = 512, 1 << 20
+#: Texts, or sets, that go to Python at once.
+AT_ONCE = 1000
 #: Shingles of their own are counted for, and among, classes in buckets of more than so many members; they bound what two of these share.
 LARGE = 8
 #: A pair is compared on full sets unless its registers are less likely at the threshold than at their estimate by so much in logarithms.
@@ -289,7 +291,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     scratch: list[DataFrame] = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
-        scratch.append(written(df, name))
+        scratch.append(written(df, name, AT_ONCE))
         return scratch[-1]
 
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
