@@ -49,7 +49,7 @@ from .common import broadcast_if_small, drop, table, text_key, written
 REGISTERS, ROWS = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_534
 #: Members of a bucket, and their shingles, in one block on average; larger buckets are dealt to pairs of blocks.
-BLOCK, ELEMENTS = 512, 1 << 20
+BLOCK, ELEMENTS = 256, 1 << 20
 #: Texts, or sets, that go to Python at once.
 AT_ONCE = 1000
 #: Shingles of their own are counted for, and among, classes in buckets of more than so many members; they bound what two of these share.
