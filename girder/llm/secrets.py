@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import laid_out, let, shared_dir, table
+from .common import drop, laid_out, let, shared_dir, table, written
 
 #: What stands between a name and its value; a name, which may be part of a longer one, up to its value; a value.
 SIGN = r"""[=:]=?=?>?\s*\\?["']?(?:(?i:bearer|basic)\s+)?"""
@@ -173,7 +173,9 @@ def forest(findings: DataFrame) -> PipelineModel:
     """Trained on labelled findings (doc_id, text, marked, label); they are given by the caller, so they are bounded."""
     stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), RandomForestClassifier(labelCol="label", numTrees=40, maxDepth=9, seed=7, subsamplingRate=0.8)]
     path = shared_dir(findings.sparkSession, "forest")
-    Pipeline(stages=stages).fit(trained_on(findings).select("label", *FEATURES).coalesce(1)).save(path)
+    rows = written(trained_on(findings).select("label", *FEATURES), "findings")
+    Pipeline(stages=stages).fit(rows.coalesce(1).sortWithinPartitions("label", *FEATURES)).save(path)  # in one order, as trees draw rows by their place
+    drop(rows)
     return PipelineModel.load(path)  # without its training summary, which holds the session and so can't always be sent to executors
 
 
