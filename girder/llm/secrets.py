@@ -44,8 +44,10 @@ DICTIONARY = 1500
 TELLING = r"(?i)(?:token|secret|passw|pwd|key|auth|bearer|credential)"
 HARMLESS = r"(?i)(?:sha-?\d*|md5|checksum|digest|commit|revision|uuid|guid|hash|etag|version|build|example|sample|invoice|order|phone|isbn|request|trace|ids?|ref|base64|ssh-\w+|integrity|fingerprint|signature)\W{0,8}$"
 UNREAL = r"(?i)your|my[_-]|example|sample|dummy|placeholder|change|insert|redacted|hidden|todo|undefined|^null|^none|^true|^false|x{4,}|\*{3,}|\.{3,}|abcdef|123456"
+#: How values begin that well-known issuers hand out.
+ISSUED = r"^(?:A[KS]IA[0-9A-Z]|gh[pousr]_|github_pat_|glpat-|xox[abpros]-|[rs]k[_-](?:live|test|[A-Za-z0-9])|SG\.|eyJ[A-Za-z0-9]|AIza|ya29\.|npm_|pypi-|dop_v1_|hf_|EAA[A-Z])"
 CODE = r"[(){}\[\]<>$;]|\w\.\w|::|->"
-FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "variety", "is_hex", "dictionary", "vowels", "in_path", "unreal", "code", "telling", "harmless", "harmless_after", "called_after", "assigned", "quoted"]
+FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "variety", "mixed", "word_runs", "issuer", "is_hex", "dictionary", "vowels", "in_path", "unreal", "code", "telling", "harmless", "harmless_after", "called_after", "assigned", "quoted"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -90,6 +92,9 @@ def described(found: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         "marks": share("[^A-Za-z0-9]"),
         "transitions": share("(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"),
         "variety": F.size(F.array_distinct(F.split("value", ""))) / n,
+        "mixed": share("[A-Za-z][0-9]+(?=[A-Za-z])"),
+        "word_runs": 1 - F.char_length(F.regexp_replace("value", "[A-Z]?[a-z]{4,}", "")) / n,
+        "issuer": yes(F.rlike("value", F.lit(ISSUED))),
         "is_hex": yes(F.rlike("value", F.lit("^(?:[0-9a-f]+|[0-9A-F]+)$"))),
         "dictionary": 1 - F.char_length(F.regexp_replace(F.lower("value"), "|".join(dictionary(vocabulary)), "")) / n,
         "vowels": share("[aeiouAEIOU]"),
@@ -171,7 +176,7 @@ def trained_on(findings: DataFrame) -> DataFrame:
 
 def forest(findings: DataFrame) -> PipelineModel:
     """Trained on labelled findings (doc_id, text, marked, label); they are given by the caller, so they are bounded."""
-    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), RandomForestClassifier(labelCol="label", numTrees=40, maxDepth=9, seed=7, subsamplingRate=0.8)]
+    stages = [VectorAssembler(inputCols=FEATURES, outputCol="features"), RandomForestClassifier(labelCol="label", numTrees=60, maxDepth=6, seed=7, subsamplingRate=0.8)]
     path = shared_dir(findings.sparkSession, "forest")
     rows = written(trained_on(findings).select("label", *FEATURES), "findings")
     Pipeline(stages=stages).fit(rows.coalesce(1).sortWithinPartitions("label", *FEATURES)).save(path)  # in one order, as trees draw rows by their place
