@@ -7,6 +7,7 @@ import re
 _WHOLE = re.compile(r"\s*[+-]?\d+\s*")
 
 
+#: Its texts, in the queries, are fixed values: what a caller is told.
 class QueryError(Exception):
     """A query that can't be answered; the message goes to the caller."""
 

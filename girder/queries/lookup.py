@@ -42,6 +42,7 @@ def _spine(df: DataFrame, model: Model) -> DataFrame:
     return keyed.withColumns({"source": F.when(F.col("found"), F.lit(SOURCE)), "sourceLocalId": filled(F.col("__uid")), "projectKey": filled(F.col("projectKey"))})
 
 
+#: The fields of an answer, in their order.
 BY_UNIQUE_ID = ("found", "id", "name", "category", "type_id", "type_name", "ifc_guid", "source", "sourceLocalId", "projectKey", "level", "classification", "from_link", "link_instance_id", "link_title")
 BY_IFC_GUID = ("found", "id", "unique_id", "name", "category", "type_id", "type_name", "source", "sourceLocalId", "projectKey")
 _OMITTED = {"ifc_guid", "source", "sourceLocalId", "projectKey", "level", "classification", "from_link", "link_instance_id", "link_title"}
