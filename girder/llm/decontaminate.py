@@ -43,7 +43,8 @@ def windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
     words = items.select("item_id", alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)))
     each = words.select("item_id", "words", F.explode(starts).alias("at")).select("item_id", F.slice("words", F.col("at") + 1, width).alias("terms"))
-    return each.groupBy("terms").agg(F.collect_set("item_id").alias("items")).select(F.monotonically_increasing_id().alias("w"), "terms", F.size("terms").alias("n"), "items")
+    return each.groupBy("terms").agg(F.collect_set("item_id").alias("items")).select(F.monotonically_increasing_id().alias("w"), "terms", F.size("terms").alias("n"),
+        "items")
 
 
 def index_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -93,7 +94,8 @@ def places(docs: DataFrame, items: DataFrame, width: int, slack: int, share: flo
     postings = written(index.join(broadcast_if_small(rare, 16), "t"), "postings")
     size = 64 + 16 * F.size("terms") + F.octet_length(F.array_join("terms", "")) + 16 * F.size("items")
     candidates = intersect(postings, chosen, slack).join(broadcast_if_small(chosen.select("w", "n", "terms", "items"), size), "w")
-    per_doc = candidates.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("start", "n", "terms", "items")).alias("__places"))
+    per_doc = candidates.groupBy(F.col("doc_id").alias("__doc"),
+        F.col("key").alias("__key")).agg(F.collect_set(F.struct("start", "n", "terms", "items")).alias("__places"))
     per_doc = written(per_doc, "places")
     drop(found, terms, index, counts, chosen, rare, postings)
     return per_doc
@@ -102,7 +104,8 @@ def places(docs: DataFrame, items: DataFrame, width: int, slack: int, share: flo
 def _covered(spans: Column) -> Column:
     """Words in the union of spans (start, n) in the order of start; n may differ."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
-    step = lambda acc, s: F.struct(F.greatest(acc["end"], s["start"] + s["n"]).alias("end"), (acc["n"] + F.greatest(s["start"] + s["n"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("n"))
+    step = lambda acc, s: F.struct(F.greatest(acc["end"], s["start"] + s["n"]).alias("end"),
+        (acc["n"] + F.greatest(s["start"] + s["n"] - F.greatest(acc["end"], s["start"]), F.lit(0))).alias("n"))
     return F.aggregate(spans, zero, step, lambda acc: acc["n"])
 
 
@@ -115,7 +118,8 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack:
     ids = lambda found: F.array_distinct(F.flatten(F.transform(found, lambda h: h["items"])))
 
     def near(w: Column, c: Column) -> Column:
-        here = lambda i: F.array_contains(F.slice(w, F.greatest(c["start"] + i - slack, F.lit(0)) + 1, F.lit(2 * slack + 1) + F.least(c["start"] + i - slack, F.lit(0))), F.get(c["terms"], i))
+        here = lambda i: F.array_contains(F.slice(w, F.greatest(c["start"] + i - slack, F.lit(0)) + 1,
+            F.lit(2 * slack + 1) + F.least(c["start"] + i - slack, F.lit(0))), F.get(c["terms"], i))
         return F.size(F.filter(F.sequence(F.lit(0), c["n"] - 1), here)) >= needed(c["n"], share)
 
     def confirmed(w: Column) -> Column:
@@ -123,10 +127,12 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack:
         close = F.filter(side["__places"], lambda c: (F.slice(w, c["start"] + 1, c["n"]) != c["terms"]) & near(w, c))
         return let(
             F.struct(F.sort_array(exact).alias("hits"), close.alias("close")),
-            lambda x: F.struct(F.size(w).cast("long").alias("n_words"), _covered(x["hits"]).alias("n_hit"), ids(x["hits"]).alias("item_ids"), F.size(x["close"]).cast("long").alias("n_near"), ids(x["close"]).alias("near_ids")),
+            lambda x: F.struct(F.size(w).cast("long").alias("n_words"), _covered(x["hits"]).alias("n_hit"), ids(x["hits"]).alias("item_ids"),
+                F.size(x["close"]).cast("long").alias("n_near"), ids(x["close"]).alias("near_ids")),
         )
 
-    none = F.struct(F.size(cut(docs["text"])).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), no_ids.alias("item_ids"), F.lit(0).cast("long").alias("n_near"), no_ids.alias("near_ids"))
+    none = F.struct(F.size(cut(docs["text"])).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), no_ids.alias("item_ids"),
+        F.lit(0).cast("long").alias("n_near"), no_ids.alias("near_ids"))
     own = ("n_words", "n_hit", "item_ids", "n_near", "near_ids")
     columns = [c for c in docs.columns if c not in own]
     found = F.when(side["__places"].isNull(), none).otherwise(let(alnum_words(docs["text"]), confirmed))
@@ -136,7 +142,8 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, slack:
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").cast("long").alias("n_near_items"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), F.size("near_ids").cast("long").alias("n_near_items"))
 
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -119,7 +119,8 @@ FAMILIES = [
 ]
 #: (pattern around the name N, tokens that it needs besides (any one of those parted by blanks), priority, confidence)
 FORMS = [
-    ("(?:licensed|released|distributed|published|available|provided|covered|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:conditions of )?(?:the )?N(?: licen[sc]e)?", ("under",), 3, 0.95),
+    ("(?:licensed|released|distributed|published|available|provided|covered|redistributed) under (?:the )?(?:terms of )?(?:the )?(?:conditions of )?(?:the )?N(?: licen[sc]e)?",
+        ("under",), 3, 0.95),
     ("(?:governed|covered) by (?:the )?(?:terms of )?(?:the )?N(?: licen[sc]e)?", ("by",), 3, 0.9),
     ("subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?N(?: licen[sc]e)?", ("subject",), 3, 0.9),
     ("spdx license identifier N(?: only| or later)?", ("spdx",), 4, 1.0),
@@ -185,7 +186,8 @@ SINGLE = [
     ("bsd", "redistributions in binary form must reproduce the above copyright notice", ("redistributions", "reproduce"), 3, 0.9),
     ("bsd-3", "nor the names of (?:its|their) contributors may be used to endorse or promote products", ("contributors", "endorse"), 4, 0.95),
     ("bsd-4", "all advertising materials mentioning features or use of this software must display", ("advertising", "mentioning"), 4, 0.95),
-    ("bsd", "this software is provided by the (?:copyright holders and contributors|author and contributors|regents and contributors) as is", ("provided", "contributors"), 3, 0.85),
+    ("bsd", "this software is provided by the (?:copyright holders and contributors|author and contributors|regents and contributors) as is",
+        ("provided", "contributors"), 3, 0.85),
     ("apache-2", "you may not use this file except in compliance with the license", ("file", "compliance"), 3, 0.85),
     ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license", ("unless", "applicable", "writing"), 3, 0.85),
     ("gpl", "this program is free software you can redistribute it and or modify", ("program", "redistribute", "modify"), 3, 0.9),
@@ -195,11 +197,13 @@ SINGLE = [
     ("lgpl", "you should have received a copy of the gnu (?:lesser|library) general public license", ("received", "gnu", "lesser library"), 4, 0.95),
     ("agpl-3", "you should have received a copy of the gnu affero general public license", ("received", "affero"), 4, 0.95),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", ("source", "mozilla"), 4, 0.95),
-    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", ("permission", "documentation"), 4, 0.95),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license",
+        ("permission", "documentation"), 4, 0.95),
     ("x11", "except as contained in this notice the name of the x consortium shall not be used", ("except", "consortium"), 4, 0.95),
     ("zlib", "altered source versions must be plainly marked as such", ("altered", "plainly"), 4, 0.95),
     ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", ("anyone", "compile"), 4, 0.95),
-    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed", ("everyone", "verbatim", "allowed"), 4, 0.95),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed",
+        ("everyone", "verbatim", "allowed"), 4, 0.95),
     ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", ("meet", "beer"), 4, 0.95),
     ("ofl", "this font software is licensed under the sil open font license", ("font", "sil"), 4, 0.95),
     ("eupl", "licensed under the eupl version 1 [12]", ("eupl",), 4, 0.95),
@@ -207,7 +211,8 @@ SINGLE = [
     ("public-domain", "(?:is|are) in the public domain", ("public", "domain"), 2, 0.7),
     ("json", "the software shall be used for good not evil", ("good", "evil"), 4, 0.95),
     ("proprietary", "no part of this (?:publication|document|work|book) may be reproduced", ("part", "reproduced"), 2, 0.8),
-    ("proprietary", "unauthorized (?:copying|reproduction|use|distribution)(?: of this file)? (?:via any medium )?is (?:strictly )?prohibited", ("unauthorized", "prohibited"), 2, 0.8),
+    ("proprietary", "unauthorized (?:copying|reproduction|use|distribution)(?: of this file)? (?:via any medium )?is (?:strictly )?prohibited",
+        ("unauthorized", "prohibited"), 2, 0.8),
     ("proprietary", "trade secrets? (?:of|and confidential)", ("trade",), 1, 0.6),
     ("proprietary", "end user license agreement", ("user", "agreement"), 1, 0.6),
     ("opl", "opencontent org openpub", ("opencontent", "openpub"), 3, 0.9),
@@ -249,7 +254,8 @@ def rule_table() -> list[tuple[str, str, tuple[str, ...], int, float, bool]]:
     rules = [(label, phrase, tuple(sorted(set(phrase.split()))), BASE_PRIORITY, 1.0, True) for phrase, label in BASE]
     rules += [(label, pattern, tokens, priority, sure, False) for label, pattern, tokens, priority, sure in SINGLE]
     rules += [(label, pattern, tokens, 1, 0.6, False) for label, pattern, tokens in ALONE]
-    rules += [(label, form.replace("N", f"(?:{name})"), tuple(sorted({token, *tokens})), priority, sure, False) for label, name, token in FAMILIES for form, tokens, priority, sure in FORMS]
+    rules += [(label, form.replace("N", f"(?:{name})"), tuple(sorted({token, *tokens})), priority, sure, False) for label, name, token in FAMILIES for form, tokens,
+        priority, sure in FORMS]
     return rules
 
 
@@ -284,21 +290,26 @@ PLACE = "struct<start:bigint,end:bigint,priority:int,label:string,sure:double,ba
 
 def _spans(norm: Column, rule: Column) -> Column:
     """All places of a rule, in words: the gaps between matches and the matches, one after the other."""
-    parts = F.zip_with(F.split(norm, rule["regex"]), F.regexp_extract_all(norm, rule["regex"], F.lit(0)), lambda gap, m: F.struct(_n_words(gap).alias("gap"), _n_words(m).alias("n")))
-    place = lambda x, at: F.when(x["n"].isNotNull(), F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["n"]).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"), rule["sure"].alias("sure"), rule["base"].alias("base")))
+    parts = F.zip_with(F.split(norm, rule["regex"]), F.regexp_extract_all(norm, rule["regex"], F.lit(0)), lambda gap,
+        m: F.struct(_n_words(gap).alias("gap"), _n_words(m).alias("n")))
+    place = lambda x, at: F.when(x["n"].isNotNull(),
+        F.struct((at + x["gap"]).alias("start"), (at + x["gap"] + x["n"]).alias("end"), rule["priority"].alias("priority"), rule["label"].alias("label"),
+        rule["sure"].alias("sure"), rule["base"].alias("base")))
     found = let(parts, lambda p: laid_out(p, lambda x: x["gap"] + F.coalesce(x["n"], F.lit(0)), place, PLACE))
     return F.when(F.rlike(norm, rule["regex"]), found).otherwise(F.array().cast(f"array<{PLACE}>"))
 
 
 def _survivors(places: Column) -> Column:
     """labels and the highest confidence of the places that no place of the same or a higher priority contains."""
-    ordered = F.sort_array(F.transform(places, lambda p: F.struct(p["start"].alias("start"), (-p["end"]).alias("back"), (-p["priority"]).alias("rank"), p["label"].alias("label"), p["sure"].alias("sure"))))
+    ordered = F.sort_array(F.transform(places,
+        lambda p: F.struct(p["start"].alias("start"), (-p["end"]).alias("back"), (-p["priority"]).alias("rank"), p["label"].alias("label"), p["sure"].alias("sure"))))
     zero = F.struct(F.array(*[F.lit(-1).cast("long")] * PRIORITIES).alias("ends"), F.array().cast("array<string>").alias("labels"), F.lit(0.0).alias("score"))
 
     def step(acc: Column, p: Column) -> Column:
         inside = F.exists(F.slice(acc["ends"], 1 - p["rank"], F.lit(PRIORITIES)), lambda end: end >= -p["back"])
         ends = F.transform(acc["ends"], lambda end, i: F.when(i == -p["rank"], F.greatest(end, -p["back"])).otherwise(end))
-        return F.when(inside, acc).otherwise(F.struct(ends.alias("ends"), F.array_union(acc["labels"], F.array(p["label"])).alias("labels"), F.greatest(acc["score"], p["sure"]).alias("score")))
+        return F.when(inside, acc).otherwise(F.struct(ends.alias("ends"), F.array_union(acc["labels"], F.array(p["label"])).alias("labels"),
+            F.greatest(acc["score"], p["sure"]).alias("score")))
 
     return F.aggregate(ordered, zero, step, lambda acc: F.struct(acc["labels"].alias("labels"), acc["score"].alias("score")))
 
@@ -313,11 +324,13 @@ def licenses(docs: DataFrame, rules: list[tuple] | None = None) -> DataFrame:
     none = F.array().cast(f"array<{PLACE}>")
     # what most texts don't need is computed for the others only: the tokens that are no keys, and the words as one text
     looked_at = lambda k: F.array_distinct(F.flatten(F.transform(k, lambda x: F.get(groups, F.array_position(keys, x).cast("int") - 1))))
-    passed = lambda w, k: let(F.array_intersect(w, tokens), lambda seen: F.filter(looked_at(k), lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, seen))))
+    passed = lambda w, k: let(F.array_intersect(w, tokens),
+        lambda seen: F.filter(looked_at(k), lambda r: F.forall(r["tokens"], lambda any_of: F.arrays_overlap(any_of, seen))))
     norm = lambda w: F.concat(F.lit(" "), F.array_join(w, "  "), F.lit(" "))
     hits = lambda w, rules: F.when(F.size(rules) == 0, none).otherwise(let(norm(w), lambda text: F.flatten(F.transform(rules, lambda r: _spans(text, r)))))
     places = lambda w: let(F.array_intersect(w, keys), lambda k: F.when(F.size(k) == 0, none).otherwise(let(passed(w, k), lambda rules: hits(w, rules))))
-    found = docs.select("doc_id", let(alnum_words(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), places(w).alias("places"))).alias("w")).select("doc_id", "w.n_words", "w.places")
+    found = docs.select("doc_id", let(alnum_words(F.col("text")),
+        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), places(w).alias("places"))).alias("w")).select("doc_id", "w.n_words", "w.places")
     return found.select("doc_id", "n_words", "places", _survivors(F.col("places")).alias("kept")).select("doc_id", "n_words", "places", "kept.labels", "kept.score")
 
 

@@ -50,9 +50,11 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     low, high = min_sites * (1 - MARGIN) - 1, min_sites * (1 + MARGIN) + 1
     each = lines(docs, site)
     sketched = each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.hll_sketch_agg("site", LG_BUCKETS).alias("sketch"))
-    estimated = written(sketched.where(F.col("n") >= min_sites).select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= low), "spread")
+    estimated = written(sketched.where(F.col("n") >= min_sites).select("h1", "h2", "first",
+        F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= low), "spread")
     near = written(estimated.where(F.col("sites") <= high).select("h1", "h2"), "near")
-    exact = each.join(broadcast_if_small(near, 48), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= min_sites)
+    exact = each.join(broadcast_if_small(near, 48), ["h1", "h2"], "left_semi").groupBy("h1",
+        "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= min_sites)
     counted = estimated.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi").select("h1", "h2", "first")
     return written(estimated.where(F.col("sites") > high).select("h1", "h2", "first").unionByName(counted), "boilerplate")
 

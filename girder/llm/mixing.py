@@ -67,7 +67,8 @@ def mixed(docs: DataFrame, weights: dict[str, float] | None = None, total: int |
     times = F.size(F.filter(F.transform(per_source["__steps"], lambda s: s <= _uniform(F.lit(str(seed)), doc_id)), lambda x: x))
     chosen = joined.select(*[docs[c] for c in columns], times.alias("__times")).where("__times > 0")
     replicas = chosen.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("replica"))
-    keyed = replicas.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("replica").cast("string"))))
+    keyed = replicas.withColumn("shuffle_key",
+        F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("replica").cast("string"))))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

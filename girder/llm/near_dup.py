@@ -197,7 +197,8 @@ def _block_linker(percent: int):
             maybe = (label[part, None] != label[right]) & (100 * both >= percent * (n[part, None] + n[right] - both))
             p, q = np.nonzero(maybe)
             if len(p):
-                more, less = (np.concatenate([test(sketch[part][p[i : i + 8192]], sketch[right][q[i : i + 8192]]).sum(axis=1) for i in range(0, len(p), 8192)]) for test in (np.greater, np.less))
+                more, less = (np.concatenate([test(sketch[part][p[i : i + 8192]], sketch[right][q[i : i + 8192]]).sum(axis=1) for i in range(0, len(p),
+                    8192)]) for test in (np.greater, np.less))
                 open_ = likely(percent / 100, n[part][p].astype(float), n[right][q].astype(float), more, less)
                 p, q = p[open_], q[open_]
             if len(p):
@@ -248,7 +249,8 @@ def _intersections(left: list[bytes], right: list[bytes], p: np.ndarray, q: np.n
     rows, cols = np.unique(p), np.unique(q)
     sets = [np.frombuffer(left[i], np.uint64) for i in rows] + [np.frombuffer(right[i], np.uint64) for i in cols]
     if len(p) <= 2 * len(sets):
-        return np.array([len(np.intersect1d(np.frombuffer(left[i], np.uint64), np.frombuffer(right[k], np.uint64), assume_unique=True)) for i, k in zip(p, q, strict=True)], np.int64)
+        return np.array([len(np.intersect1d(np.frombuffer(left[i], np.uint64), np.frombuffer(right[k], np.uint64), assume_unique=True)) for i,
+            k in zip(p, q, strict=True)], np.int64)
     _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     common = count[code] > 1
@@ -275,7 +277,8 @@ def components(links: DataFrame, scratch: list[DataFrame]) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a != b").distinct()
+        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")),
+            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a != b").distinct()
         after = written(small, "edges")
         before, seen = seen, after.selectExpr(*sums).first()
         drop(edges)
@@ -296,7 +299,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     sketches = kept(keyed.mapInPandas(_sketcher(width), "doc_id long, key long, n_shingles long, set_id binary, sketch binary"), "sketches")
-    classes = kept(sketches.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "key")).alias("at"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    classes = kept(sketches.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "key")).alias("at"),
+        F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     buckets = kept(classes.select("set_id", "sketch").mapInPandas(_bands, "bucket long, set_id binary"), "bands")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = kept(buckets.join(shared, "bucket").select("bucket", F.col("set_id").alias("a"), "size"), "members")
@@ -307,7 +311,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     texts = keyed.join(at, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
     sets = kept(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
     crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi")
-    once = crowded.mapInPandas(_hashes, "h long, c1 long, c2 long").groupBy("h").agg(F.count("*").alias("df"), F.bit_xor("c1").alias("c1"), F.bit_xor("c2").alias("c2")).where("df = 1")
+    once = crowded.mapInPandas(_hashes, "h long, c1 long, c2 long").groupBy("h").agg(F.count("*").alias("df"), F.bit_xor("c1").alias("c1"),
+        F.bit_xor("c2").alias("c2")).where("df = 1")
     alone = once.groupBy("c1", "c2").agg(F.count("*").alias("own"))
     half = lambda k: F.conv(F.hex(F.substring("set_id", 8 * k + 1, 8)), 16, -10).cast("long")
     known = wanted.withColumns({"c1": half(0), "c2": half(1)}).join(alone, ["c1", "c2"], "left")
@@ -319,7 +324,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return 100 * both >= percent * (n + other_n - both)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("crowded").alias(f"c{x}"), F.col("sketch").alias(f"s{x}"))
+        side = lambda x: info.select(F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("own").alias(f"o{x}"), F.col("crowded").alias(f"c{x}"),
+            F.col("sketch").alias(f"s{x}"))
         own = lambda x: F.when(F.col("ca") & F.col("cb"), F.col(f"o{x}")).otherwise(0)
         sized = pairs.join(side("a"), "a").join(side("b"), "b").where(possible(F.col("na"), own("a"), F.col("nb"), own("b")))
         likely_ones = sized.where(_same(percent)("sa", "sb", "na", "nb")).select("a", "b")
@@ -327,7 +333,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         return likely_ones.join(full("a"), "a").join(full("b"), "b").where(_linked(percent)("ha", "hb")).select("a", "b")
 
     sized = members.join(info.select(F.col("set_id").alias("a"), "n", "own"), "a")
-    pivots = sized.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "a")).alias("p"), F.min("n").alias("least_n")).select("bucket", F.col("p.a").alias("b"), "least_n")
+    pivots = sized.groupBy("bucket").agg(F.min(F.struct(F.col("own") / F.col("n"), "a")).alias("p"), F.min("n").alias("least_n")).select("bucket",
+        F.col("p.a").alias("b"), "least_n")
     # all members of a large bucket are among those that own was counted for; of a smaller one some may not be
     placed = kept(sized.join(pivots, "bucket").where("a != b").withColumn("own", F.when(F.col("size") > LARGE, F.col("own")).otherwise(0)).drop("size"), "placed")
     most = Window.partitionBy("a").orderBy(F.desc("n"), "b")
@@ -345,14 +352,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     labelled = kept(able.join(of("a"), "a", "left").withColumn("r", root("a")), "labelled")
     same_members = (F.count("*").alias("size"), F.sum("n").alias("elements"), F.bit_xor(F.xxhash64("a")).alias("x1"), F.bit_xor(F.xxhash64("a", F.lit(1))).alias("x2"))
     open_ = labelled.groupBy("bucket").agg(F.min("r").alias("lo"), F.max("r").alias("hi"), *same_members, F.max("own").alias("own")).where("lo != hi")
-    once = open_.groupBy("size", "x1", "x2").agg(F.min(F.struct("own", "bucket")).alias("o"), F.first("elements").alias("elements")).select("o.bucket", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / ELEMENTS)).cast("int").alias("k"))
+    once = open_.groupBy("size", "x1", "x2").agg(F.min(F.struct("own", "bucket")).alias("o"), F.first("elements").alias("elements")).select("o.bucket",
+        F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("elements") / ELEMENTS)).cast("int").alias("k"))
     blocks = labelled.select("bucket", "a", "r", "own").join(once, "bucket").withColumn("block", F.pmod(F.hash("a", F.lit(3)), "k"))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "a", "r", "own")
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("bucket", F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"), "block", "a", "r", "own")
     whole = info.join(sets, "set_id").select(F.col("set_id").alias("a"), "n", "sketch", "hashes")
-    more = kept(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent), "a binary, b binary").distinct(), "links")
+    more = kept(blocks.join(whole, "a").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInPandas(_block_linker(percent),
+        "a binary, b binary").distinct(), "links")
     roots = components(links.union(more), scratch) if not more.isEmpty() else roots
 
-    named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    named = classes.select("set_id", "least_id").join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root",
+        F.coalesce("root", "set_id"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_set = named.join(least, "root").select("set_id", "component_id")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

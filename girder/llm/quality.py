@@ -56,7 +56,8 @@ def repeat_words(words: Column) -> Column:
 
         return F.sort_array(let(pairs, equal_to_neighbour))
 
-    covered = lambda p: F.aggregate(F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW))), F.lit(0), lambda n, x: n + x)
+    covered = lambda p: F.aggregate(F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.coalesce(F.least(b - a, F.lit(WINDOW)), F.lit(WINDOW))), F.lit(0),
+        lambda n, x: n + x)
     counted = let(let(hashes, five), lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(let(places(w), covered)))
     return F.when(F.size(words) < WINDOW + 1, 0).otherwise(counted)
 
@@ -69,12 +70,14 @@ def metrics(docs: DataFrame) -> DataFrame:
     base = docs.select(
         "doc_id",
         text.alias("text"),
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"), repeat_words(w).cast("long").alias("n_repeat_words"))).alias("w"),
+        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeat_words(w).cast("long").alias("n_repeat_words"))).alias("w"),
         let(
             lines,
             lambda x: F.struct(
                 F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-                F.size(F.filter(x, lambda line: F.rlike(line, F.lit(BULLET)))).alias("n_bullets"), F.size(F.filter(x, lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…")))).alias("n_ellipses"),
+                F.size(F.filter(x, lambda line: F.rlike(line, F.lit(BULLET)))).alias("n_bullets"),
+                    F.size(F.filter(x, lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…")))).alias("n_ellipses"),
             ),
         ).alias("x"),
     )
@@ -84,7 +87,8 @@ def metrics(docs: DataFrame) -> DataFrame:
         per_word(F.col("w.word_chars")).alias("mean_word_chars"),
         per_word(F.regexp_count("text", F.lit("!"))).alias("exclaim_ratio"),
         per_word(F.regexp_count("text", F.lit(r"(?i)(?<![^\x20\x09-\x0D])(?:" + "|".join(STOP_WORDS) + r")(?![^\x20\x09-\x0D.,;:!?])"))).alias("stop_ratio"),
-        *[(F.col(f"x.{n}") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias(ratio) for n, ratio in (("n_dup_lines", "dup_line_ratio"), ("n_bullets", "bullet_line_ratio"), ("n_ellipses", "ellipsis_line_ratio"))],
+        *[(F.col(f"x.{n}") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias(ratio) for n,
+            ratio in (("n_dup_lines", "dup_line_ratio"), ("n_bullets", "bullet_line_ratio"), ("n_ellipses", "ellipsis_line_ratio"))],
         (F.col("w.n_words") / F.greatest(F.col("x.n_lines"), F.lit(1))).alias("mean_line_words"),
     )
 

@@ -318,7 +318,8 @@ def repeated(docs: DataFrame) -> DataFrame:
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes, end exclusive) of each row."""
     keyed = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    return _with_runs(keyed, repeated(keyed), "left").mapInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
+    return _with_runs(keyed, repeated(keyed), "left").mapInPandas(_removed,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,8 @@ UNREAL = r"(?i)your|my[_-]|example|sample|dummy|placeholder|change|insert|redact
 #: How values begin that well-known issuers hand out.
 ISSUED = r"^(?:A[KS]IA[0-9A-Z]|gh[pousr]_|github_pat_|glpat-|xox[abpros]-|[rs]k[_-](?:live|test|[A-Za-z0-9])|SG\.|eyJ[A-Za-z0-9]|AIza|ya29\.|npm_|pypi-|dop_v1_|hf_|EAA[A-Z])"
 CODE = r"[(){}\[\]<>$;]|\w\.\w|::|->"
-FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "variety", "mixed", "word_runs", "issuer", "is_hex", "dictionary", "vowels", "in_path", "unreal", "code", "telling", "harmless", "harmless_after", "called_after", "assigned", "quoted"]
+FEATURES = ["length", "digits", "uppers", "lowers", "marks", "transitions", "variety", "mixed", "word_runs", "issuer", "is_hex", "dictionary", "vowels", "in_path",
+    "unreal", "code", "telling", "harmless", "harmless_after", "called_after", "assigned", "quoted"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -56,16 +57,21 @@ def candidates(docs: DataFrame) -> DataFrame:
     cut = F.zip_with(F.split(text, CANDIDATE), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
     # each part with its neighbours: a match may be next to another
     ends = lambda x: F.concat(F.coalesce(x["gap"], F.lit("")), F.coalesce(x["m"], F.lit("")))
-    after = lambda parts: F.zip_with(parts, F.slice(parts, 2, F.size(parts)), lambda x, y: F.struct(x["gap"].alias("gap"), x["m"].alias("m"), F.left(ends(y), F.lit(CONTEXT)).alias("after")))
+    after = lambda parts: F.zip_with(parts, F.slice(parts, 2, F.size(parts)), lambda x,
+        y: F.struct(x["gap"].alias("gap"), x["m"].alias("m"), F.left(ends(y), F.lit(CONTEXT)).alias("after")))
     last = lambda x: F.right(F.concat(F.coalesce(x["before_gap"], F.lit("")), F.coalesce(x["x"]["gap"], F.lit(""))), F.lit(CONTEXT))
-    both = lambda parts: F.zip_with(parts, F.concat(F.array(F.lit("")), F.transform(parts, lambda p: F.right(F.coalesce(p["m"], F.lit("")), F.lit(CONTEXT)))), lambda x, b: F.struct(x.alias("x"), b.alias("before_gap")))
+    both = lambda parts: F.zip_with(parts, F.concat(F.array(F.lit("")), F.transform(parts, lambda p: F.right(F.coalesce(p["m"], F.lit("")), F.lit(CONTEXT)))),
+        lambda x, b: F.struct(x.alias("x"), b.alias("before_gap")))
     n = lambda c: F.coalesce(F.char_length(c), F.lit(0)).cast("long")
-    place = lambda p, at: F.when(p["x"]["m"].isNotNull(), F.struct((at + n(p["x"]["gap"])).alias("at"), p["x"]["m"].alias("m"), last(p).alias("before"), p["x"]["after"].alias("after")))
-    found = let(cut, lambda parts: let(after(parts), lambda x: let(both(x), lambda p: laid_out(p, lambda q: n(q["x"]["gap"]) + n(q["x"]["m"]), place, "struct<at:bigint,m:string,before:string,after:string>"))))
+    place = lambda p, at: F.when(p["x"]["m"].isNotNull(),
+        F.struct((at + n(p["x"]["gap"])).alias("at"), p["x"]["m"].alias("m"), last(p).alias("before"), p["x"]["after"].alias("after")))
+    found = let(cut, lambda parts: let(after(parts),
+        lambda x: let(both(x), lambda p: laid_out(p, lambda q: n(q["x"]["gap"]) + n(q["x"]["m"]), place, "struct<at:bigint,m:string,before:string,after:string>"))))
     each = docs.where(F.rlike(text, F.lit(CANDIDATE))).select("doc_id", F.explode(found).alias("c")).select("doc_id", "c.*")
     value = F.regexp_extract("m", f"^{NAME}{SIGN}({VALUE})$", 1)
     assigned = F.rlike("m", F.lit(rf"^(?:{ASSIGNED})$"))
-    return each.select("doc_id", F.when(assigned, "assigned").otherwise("opaque").alias("kind"), F.when(assigned, value).otherwise(F.col("m")).alias("value"), "at", "m", "before", "after").select(
+    return each.select("doc_id", F.when(assigned, "assigned").otherwise("opaque").alias("kind"), F.when(assigned, value).otherwise(F.col("m")).alias("value"), "at",
+        "m", "before", "after").select(
         "doc_id", (F.col("at") + F.char_length("m") - F.char_length("value")).cast("long").alias("start"), "kind", "value",
         F.concat("before", F.left("m", F.char_length("m") - F.char_length("value"))).alias("before"), F.coalesce("after", F.lit("")).alias("after"),
     )
@@ -142,10 +148,15 @@ def made(template: str, rng: random.Random, words: list[str]) -> tuple[str, str]
         if name == "n":
             return str(rng.randint(1, 9999))
         kinds = {
-            "hex": lambda: run(hexes, n), "HEX": lambda: run(hexes, n).upper(), "alnum": lambda: run(alnum, n), "digits": lambda: run(string.digits, n), "b64_": lambda: run(alnum + "+/", n), "marks": lambda: run(alnum + "!#%&*+-^_~", n),
-            "uuid": lambda: "-".join(run(hexes, k) for k in (8, 4, 4, 4, 12)), "akia": lambda: "AKIA" + run(string.ascii_uppercase + string.digits, 16), "ghp": lambda: rng.choice(["ghp_", "gho_"]) + run(alnum, 36),
-            "xox": lambda: f"xoxb-{run(string.digits, 11)}-{run(string.digits, 12)}-{run(alnum, 24)}", "sk": lambda: rng.choice(["sk_live_", "sk-", "rk_live_"]) + run(alnum, rng.choice([24, 32])), "jwt": lambda: f"eyJ{run(alnum, 33)}.eyJ{run(alnum, 60)}.{run(alnum + '-_', 43)}",
-            "pw": lambda: rng.choice([rng.choice(words).capitalize() + str(rng.randint(10, 2030)) + rng.choice("!#?*") * rng.randint(0, 1), run(alnum + "!#%*-_", rng.randint(8, 20)), f"{rng.choice(words)}-{run(hexes, 4)}-{rng.randint(10, 99)}"]),
+            "hex": lambda: run(hexes, n), "HEX": lambda: run(hexes, n).upper(), "alnum": lambda: run(alnum, n), "digits": lambda: run(string.digits, n),
+                "b64_": lambda: run(alnum + "+/", n), "marks": lambda: run(alnum + "!#%&*+-^_~", n),
+            "uuid": lambda: "-".join(run(hexes, k) for k in (8, 4, 4, 4, 12)), "akia": lambda: "AKIA" + run(string.ascii_uppercase + string.digits, 16),
+                "ghp": lambda: rng.choice(["ghp_", "gho_"]) + run(alnum, 36),
+            "xox": lambda: f"xoxb-{run(string.digits, 11)}-{run(string.digits, 12)}-{run(alnum, 24)}",
+                "sk": lambda: rng.choice(["sk_live_", "sk-", "rk_live_"]) + run(alnum, rng.choice([24, 32])),
+                "jwt": lambda: f"eyJ{run(alnum, 33)}.eyJ{run(alnum, 60)}.{run(alnum + '-_', 43)}",
+            "pw": lambda: rng.choice([rng.choice(words).capitalize() + str(rng.randint(10, 2030)) + rng.choice("!#?*") * rng.randint(0, 1),
+                run(alnum + "!#%*-_", rng.randint(8, 20)), f"{rng.choice(words)}-{run(hexes, 4)}-{rng.randint(10, 99)}"]),
         }
         values.append(kinds[re.sub(r"\d+$", "", name)]())
         return values[-1]

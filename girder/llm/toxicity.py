@@ -83,7 +83,8 @@ def prints(text: str | None) -> list[int]:
 
 def _described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "prints": [prints(t) for t in batch["text"]], "features": [sorted(features(t)) for t in batch["text"]]})
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "prints": [prints(t) for t in batch["text"]],
+            "features": [sorted(features(t)) for t in batch["text"]]})
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
@@ -126,7 +127,8 @@ def lexicons(rows: DataFrame) -> list[str]:
 def votes(rows: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The votes of the sample as a matrix, and the labels."""
     at = {f: i for i, f in enumerate(voters)}
-    found = rows.select("doc_id", "toxic", F.array_intersect("features", F.array(*map(F.lit, voters)) if voters else F.array().cast("array<string>")).alias("f")).orderBy("doc_id").collect()
+    found = rows.select("doc_id", "toxic",
+        F.array_intersect("features", F.array(*map(F.lit, voters)) if voters else F.array().cast("array<string>")).alias("f")).orderBy("doc_id").collect()
     out = np.zeros((len(found), len(voters)), np.float32)
     for row, r in zip(out, found, strict=True):
         row[[at[f] for f in r.f]] = 1

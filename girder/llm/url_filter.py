@@ -174,7 +174,8 @@ def judged(pages: DataFrame, rules: list[tuple] = RULES, model: Model | None = N
         fits = ((F.col("host") == h) | F.endswith("host", F.lit(f".{h}"))) & F.startswith("path", F.lit(p))
         rule, verdict = F.when(fits, h + p).otherwise(rule), F.when(fits, what).otherwise(verdict)
     scored = cut.withColumn("score", score("host", "path"))
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(F.col("score") >= MOST, "block").otherwise("allow")).alias("verdict"), "score")
+    return scored.select("page_id", "host", "path", rule.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("score") >= MOST, "block").otherwise("allow")).alias("verdict"), "score")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
