@@ -65,5 +65,6 @@ def in_footprint(x: Column, y: Column, footprint: Column) -> Column:
     """Whether a point is in a polygon, by ray casting. Of an edge the lower end belongs to it and the upper doesn't, so of rooms side by side one holds each point."""
     n = F.size(footprint)
     after = F.concat(F.slice(footprint, 2, F.greatest(n - 1, F.lit(0))), F.slice(footprint, 1, 1))
-    crossed = F.zip_with(footprint, after, lambda a, b: F.when(((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]), 1).otherwise(0))
+    crossed = F.zip_with(footprint, after, lambda a,
+        b: F.when(((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]), 1).otherwise(0))
     return F.when(n >= 3, F.aggregate(crossed, F.lit(0), lambda acc, c: acc + c) % 2 == 1).otherwise(F.lit(False))

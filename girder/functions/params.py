@@ -13,7 +13,8 @@ LEVEL_PARAMS = (
     "INSTANCE_SCHEDULE_ONLY_LEVEL_PARAM", "ROOM_LEVEL_ID", "LEVEL_PARAM", "STAIRS_BASE_LEVEL_PARAM", "GROUP_LEVEL",
 )
 #: The labels of a classification and the parameters that hold them.
-CLASSIFICATION = {"assembly_code": "UNIFORMAT_CODE", "assembly_description": "UNIFORMAT_DESCRIPTION", "omniclass_code": "OMNICLASS_CODE", "omniclass_description": "OMNICLASS_DESCRIPTION"}
+CLASSIFICATION = {"assembly_code": "UNIFORMAT_CODE", "assembly_description": "UNIFORMAT_DESCRIPTION", "omniclass_code": "OMNICLASS_CODE",
+    "omniclass_description": "OMNICLASS_DESCRIPTION"}
 
 
 def param(params: Column, name: str) -> Column:
@@ -23,7 +24,8 @@ def param(params: Column, name: str) -> Column:
 def param_text(p: Column) -> Column:
     """A parameter as text: the host's rendering if there is one, else its value; up to six decimals, no trailing zeros."""
     number = F.regexp_replace(F.call_function("format_number", p["d"], F.lit("0.######")), "^-0$", "0")
-    by_storage = F.when(p["storage"] == "String", p["s"]).when(p["storage"] == "Integer", p["i"].cast("string")).when(p["storage"] == "Double", number).when(p["storage"] == "ElementId", p["eid"].cast("string"))
+    by_storage = F.when(p["storage"] == "String", p["s"]).when(p["storage"] == "Integer", p["i"].cast("string")).when(p["storage"] == "Double",
+        number).when(p["storage"] == "ElementId", p["eid"].cast("string"))
     return F.coalesce(filled(p["display"]), by_storage)
 
 

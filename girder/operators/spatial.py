@@ -33,7 +33,8 @@ def _cells(bounds: DataFrame, cell: float) -> DataFrame:
 
 def _placed(points: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
     """points with g, cx and cy: a row for each grid."""
-    each = F.array(*[F.struct(F.lit(g).cast("int").alias("g"), F.floor(F.col(x) / (cell * SPAN**g)).alias("cx"), F.floor(F.col(y) / (cell * SPAN**g)).alias("cy")) for g in range(GRIDS)])
+    each = F.array(*[F.struct(F.lit(g).cast("int").alias("g"), F.floor(F.col(x) / (cell * SPAN**g)).alias("cx"),
+        F.floor(F.col(y) / (cell * SPAN**g)).alias("cy")) for g in range(GRIDS)])
     return points.withColumn("__cell", F.explode(each)).select("*", "__cell.*").drop("__cell")
 
 
@@ -44,7 +45,8 @@ def rooms_at(points: DataFrame, rooms: DataFrame, cell: float = CELL) -> DataFra
     equi-join; the exact tests follow. A room's z bounds are half open, as its footprint is.
     """
     xs, ys = F.transform("footprint", lambda p: p["x"]), F.transform("footprint", lambda p: p["y"])
-    bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
+    bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"),
+        F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
     high = (F.col("z") >= F.coalesce("z_min", F.col("z"))) & (F.col("z_max").isNull() | (F.col("z") < F.col("z_max")))
     met = _placed(points, cell).join(_cells(bounds, cell), ["doc_id", "g", "cx", "cy"]).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
     return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
@@ -66,7 +68,8 @@ def elements_in_boxes(elements: DataFrame, boxes: list[dict], cell: float = 50.0
     placed = _placed(elements.select("doc_id", "id", at.alias("p")).where("p IS NOT NULL"), cell, "p.x", "p.y")
     m = [F.get("inverse", F.lit(i)) for i in range(12)]
     p = F.col("p")
-    local = [F.when(F.size("inverse") == 0, p[a]).otherwise(m[4 * i] * p["x"] + m[4 * i + 1] * p["y"] + m[4 * i + 2] * p["z"] + m[4 * i + 3]) for i, a in enumerate("xyz")]
+    local = [F.when(F.size("inverse") == 0, p[a]).otherwise(m[4 * i] * p["x"] + m[4 * i + 1] * p["y"] + m[4 * i + 2] * p["z"] + m[4 * i + 3]) for i,
+        a in enumerate("xyz")]
     inside = F.lit(True)
     for i, v in enumerate(local):
         inside &= v.between(F.get("bounds", F.lit(i)), F.get("bounds", F.lit(3 + i)))

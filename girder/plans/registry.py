@@ -30,9 +30,11 @@ _CANDIDATES = {
     "view_id": of("integer", "Only what this view shows, of a category."),
 }
 QUERIES = [
-    Query("get_rooms", "Rooms by number, with level and area; unplaced ones only if asked for.", schema(include_unplaced=of("boolean", "Rooms without an area too."), limit=limit_schema(), fields=FIELDS), flat.get_rooms),
+    Query("get_rooms", "Rooms by number, with level and area; unplaced ones only if asked for.",
+        schema(include_unplaced=of("boolean", "Rooms without an area too."), limit=limit_schema(), fields=FIELDS), flat.get_rooms),
     Query("get_levels", "Levels by elevation.", NOTHING, flat.get_levels),
-    Query("get_views", "Views by type and name, without templates and sheets.", schema(view_type=of("string", "Only views of this type."), limit=limit_schema(), fields=FIELDS), flat.get_views),
+    Query("get_views", "Views by type and name, without templates and sheets.",
+        schema(view_type=of("string", "Only views of this type."), limit=limit_schema(), fields=FIELDS), flat.get_views),
     Query(
         "get_sheets", "Sheets by number, the views on each, and on request the elements visible in them.",
         schema(
@@ -45,13 +47,16 @@ QUERIES = [
     Query(
         "filter_elements_by_scope_box", "Which elements are inside a scope box, whatever its rotation.",
         schema(
-            scope_box_id=of("integer", "The box."), scope_box_name=of("string", "The box, by name."), **_CANDIDATES, mode=of("string", "centroid (default) or intersects."),
+            scope_box_id=of("integer", "The box."), scope_box_name=of("string", "The box, by name."), **_CANDIDATES,
+                mode=of("string", "centroid (default) or intersects."),
             inside_only=of("boolean", "Only elements inside."), limit=of("integer", "Elements to test at most (default 1000, up to 10000)."),
         ),
         scope_box.filter_elements_by_scope_box,
     ),
-    Query("get_element_by_uniqueid", "Elements by unique id, in the host and its loaded links.", schema(unique_id=of("string", "One id."), unique_ids=of("array", "Several ids.", "string")), lookup.get_element_by_uniqueid),
-    Query("get_element_by_ifcguid", "Elements of the host by IFC id.", schema(ifc_guid=of("string", "One id."), ifc_guids=of("array", "Several ids.", "string")), lookup.get_element_by_ifcguid),
+    Query("get_element_by_uniqueid", "Elements by unique id, in the host and its loaded links.",
+        schema(unique_id=of("string", "One id."), unique_ids=of("array", "Several ids.", "string")), lookup.get_element_by_uniqueid),
+    Query("get_element_by_ifcguid", "Elements of the host by IFC id.", schema(ifc_guid=of("string", "One id."), ifc_guids=of("array", "Several ids.", "string")),
+        lookup.get_element_by_ifcguid),
     Query(
         "get_door_rooms", "Doors and the rooms that they lead from and to.",
         schema(

@@ -8,10 +8,12 @@ from girder.sources.model import Model
 #: name -> (parameters, columns, body); {p} is the prefix of the tables' views. Rows aren't limited: ORDER BY and LIMIT are the caller's.
 FUNCTIONS = {
     "rooms_of": (
-        "doc BIGINT, include_unplaced BOOLEAN DEFAULT false", "unique_id STRING, id BIGINT, number STRING, name STRING, area_sf DOUBLE, area_user_units STRING, level_id BIGINT",
+        "doc BIGINT, include_unplaced BOOLEAN DEFAULT false",
+            "unique_id STRING, id BIGINT, number STRING, name STRING, area_sf DOUBLE, area_user_units STRING, level_id BIGINT",
         "SELECT unique_id, id, number, name, area_sf, area_user_units, level_id FROM {p}rooms WHERE doc_id = rooms_of.doc AND (rooms_of.include_unplaced OR (area_sf > 0 AND NOT isnan(area_sf)))",
     ),
-    "levels_of": ("doc BIGINT", "unique_id STRING, id BIGINT, name STRING, elevation_ft DOUBLE, elevation_user_units STRING", "SELECT unique_id, id, name, elevation_ft, elevation_user_units FROM {p}levels WHERE doc_id = levels_of.doc"),
+    "levels_of": ("doc BIGINT", "unique_id STRING, id BIGINT, name STRING, elevation_ft DOUBLE, elevation_user_units STRING",
+        "SELECT unique_id, id, name, elevation_ft, elevation_user_units FROM {p}levels WHERE doc_id = levels_of.doc"),
     "views_of": (
         "doc BIGINT, kind STRING DEFAULT NULL", "unique_id STRING, id BIGINT, name STRING, view_type STRING, level_id BIGINT",
         "SELECT unique_id, id, name, view_type, level_id FROM {p}views WHERE doc_id = views_of.doc AND NOT is_template AND NOT is_sheet AND (views_of.kind IS NULL OR lower(view_type) = lower(views_of.kind))",

@@ -24,7 +24,9 @@ def active(session: Session) -> int:
 
 def with_level(page: DataFrame, model: Model) -> DataFrame:
     """A bounded page (with doc_id, __pos, level_id, params) and level: that of level_id; where there is none, the first level parameter that names a level."""
-    asked = page.select("__pos", "doc_id", F.posexplode(F.when(F.col("level_id").isNotNull() & (F.col("level_id") != -1), F.array("level_id")).otherwise(P.level_candidates(F.col("params")))).alias("__i", "__level"))
+    asked = page.select("__pos", "doc_id",
+        F.posexplode(F.when(F.col("level_id").isNotNull() & (F.col("level_id") != -1),
+        F.array("level_id")).otherwise(P.level_candidates(F.col("params")))).alias("__i", "__level"))
     level = F.struct(F.col("id"), F.col("name"), F.col("elevation_ft"), F.col("elevation_user_units"))
     found = enrich(asked, model.levels, {"doc_id": "doc_id", "__level": "id"}, [level.alias("level")]).where("level IS NOT NULL")
     first = found.groupBy(F.col("__pos").alias("__p")).agg(F.min_by("level", "__i").alias("level"))

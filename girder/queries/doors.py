@@ -49,7 +49,8 @@ def room_sides(doors: DataFrame, model: Model, doc: int, phase: int | None) -> D
     ends = zip(("from", "to"), probes(F.col("location"), F.col("facing"), F.col("host_wall_width")), strict=True)
     each = F.array(*[F.struct(F.lit(side).alias("side"), F.col(f"{side}_id").alias("stored_id"), p.alias("p")) for side, p in ends])
     stored = F.col("from_id").isNotNull() | F.col("to_id").isNotNull()
-    sides = doors.select("__pos", "doc_id", stored.alias("stored"), F.col("location").isNotNull().alias("placed"), F.explode(each).alias("e")).select("__pos", "doc_id", "stored", "placed", "e.*")
+    sides = doors.select("__pos", "doc_id", stored.alias("stored"), F.col("location").isNotNull().alias("placed"), F.explode(each).alias("e")).select("__pos",
+        "doc_id", "stored", "placed", "e.*")
     points = sides.where(~F.col("stored") & F.col("placed")).select("doc_id", F.struct("__pos", "side").alias("key"), "p.*")
     rooms = model.of("rooms", doc)
     if phase is not None:
@@ -68,7 +69,8 @@ def texts(names: list[str], value) -> Column:
 def with_rooms(doors: DataFrame, model: Model, doc: int, phase: int | None, names: list[str]) -> DataFrame:
     """Doors with from_room and to_room (id, name, number, level_name, params) and resolution; rooms and their levels are looked up once for both sides."""
     sides = room_sides(doors, model, doc, phase)
-    room_columns = [F.col("id"), F.col("name"), F.col("number"), F.col("level_id").alias("__level"), texts(names, lambda n: P.param_text(P.param(F.col("params"), n))).alias("params")]
+    room_columns = [F.col("id"), F.col("name"), F.col("number"), F.col("level_id").alias("__level"),
+        texts(names, lambda n: P.param_text(P.param(F.col("params"), n))).alias("params")]
     known = enrich(sides, model.of("rooms", doc), {"doc_id": "doc_id", "room_id": "id"}, room_columns)
     leveled = enrich(known, model.of("levels", doc), {"doc_id": "doc_id", "__level": "id"}, [F.col("name").alias("level_name")])
     room = F.when(F.col("id").isNotNull(), F.struct("id", "name", "number", "level_name", "params"))
@@ -86,7 +88,8 @@ def get_door_rooms(model: Model, session: Session, args: dict) -> Result:
     doors = candidates(model, session, args, "OST_Doors").where("is_family_instance").select("pos", "doc_id", "id", "name", "type_id", "location", "params")
     found = page(doors, ["pos", "id"], limit)
     numbered = found.df.withColumn("__pos", F.struct("pos", "id"))
-    opened = enrich(numbered, model.of("openings", doc), {"doc_id": "doc_id", "id": "element_id"}, [F.col("mark"), F.col("host_id"), F.col("host_wall_width"), F.col("facing")])
+    opened = enrich(numbered, model.of("openings", doc), {"doc_id": "doc_id", "id": "element_id"},
+        [F.col("mark"), F.col("host_id"), F.col("host_wall_width"), F.col("facing")])
     if phase is None:
         stored = opened.withColumns({"from_id": F.lit(None).cast("long"), "to_id": F.lit(None).cast("long")})
     else:

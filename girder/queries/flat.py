@@ -25,14 +25,16 @@ def _document(model: Model, session: Session) -> DataFrame:
 
 def get_model_revision(model: Model, session: Session, args: dict) -> Result:
     df = _document(model, session)
-    return Result(df.select("title", filled(F.col("path")).alias("path"), "version_guid", "number_of_saves", F.col("is_modified").alias("has_unsaved_changes"), "is_workshared"))
+    return Result(df.select("title", filled(F.col("path")).alias("path"), "version_guid", "number_of_saves", F.col("is_modified").alias("has_unsaved_changes"),
+        "is_workshared"))
 
 
 def get_project_info(model: Model, session: Session, args: dict) -> Result:
     df = _document(model, session)
     info = F.col("project_info")
     name = F.coalesce(filled(info["name"]), blank(F.col("title"))).alias("name")
-    return Result(df.select(name, *[blank(info[c]).alias(c) for c in ("number", "client", "address", "building")], blank(F.col("title")).alias("title"), blank(F.col("path")).alias("path")))
+    return Result(df.select(name, *[blank(info[c]).alias(c) for c in ("number", "client", "address", "building")], blank(F.col("title")).alias("title"),
+        blank(F.col("path")).alias("path")))
 
 
 def _listing(df: DataFrame, order: list, limit: int, model: Model) -> tuple[DataFrame, dict]:
@@ -80,7 +82,8 @@ def get_views(model: Model, session: Session, args: dict) -> Result:
 def get_links(model: Model, session: Session, args: dict) -> Result:
     links = model.of("links", active(session))
     targets = model.documents.select(F.col("doc_id").alias("__doc"), F.col("title"), document_key().alias("project_key"))
-    df = links.join(targets, links["target_doc_id"] == targets["__doc"], "left").select("unique_id", "id", "name", F.col("__doc").isNotNull().alias("loaded"), "title", "project_key").orderBy("name", "id")
+    df = links.join(targets, links["target_doc_id"] == targets["__doc"], "left").select("unique_id", "id", "name", F.col("__doc").isNotNull().alias("loaded"),
+        "title", "project_key").orderBy("name", "id")
 
     def row(r: dict) -> dict:
         return r if r["loaded"] else {k: r[k] for k in ("unique_id", "id", "name", "loaded")}

@@ -43,7 +43,8 @@ def _spine(df: DataFrame, model: Model) -> DataFrame:
 
 
 #: The fields of an answer, in their order.
-BY_UNIQUE_ID = ("found", "id", "name", "category", "type_id", "type_name", "ifc_guid", "source", "sourceLocalId", "projectKey", "level", "classification", "from_link", "link_instance_id", "link_title")
+BY_UNIQUE_ID = ("found", "id", "name", "category", "type_id", "type_name", "ifc_guid", "source", "sourceLocalId", "projectKey", "level", "classification",
+    "from_link", "link_instance_id", "link_title")
 BY_IFC_GUID = ("found", "id", "unique_id", "name", "category", "type_id", "type_name", "source", "sourceLocalId", "projectKey")
 _OMITTED = {"ifc_guid", "source", "sourceLocalId", "projectKey", "level", "classification", "from_link", "link_instance_id", "link_title"}
 
@@ -63,13 +64,16 @@ def _row(key: str):
 def unique_id_rows(model: Model, session: Session, keys: list[str]) -> DataFrame:
     """Rows of get_element_by_uniqueid: the host's element, else the first loaded link's; links in the order of ordinal."""
     host = active(session)
-    links = model.of("links", host).where("target_doc_id IS NOT NULL").select(F.col("target_doc_id").alias("__doc"), F.col("id").alias("__link"), F.col("ordinal").alias("__ordinal"))
+    links = model.of("links", host).where("target_doc_id IS NOT NULL").select(F.col("target_doc_id").alias("__doc"), F.col("id").alias("__link"),
+        F.col("ordinal").alias("__ordinal"))
     documents = model.spark.createDataFrame([(host, None, -1)], "__doc long, __link long, __ordinal int").unionByName(links)
     elements = _asked(model.elements, F.col("unique_id"), keys, model).join(F.broadcast(documents), F.col("doc_id") == F.col("__doc"))
-    hits = first_matches(elements, F.col("unique_id"), F.struct(F.col("__link").isNotNull(), "__ordinal", "__link", "id")).withColumn("__uid", F.col("unique_id")).drop("unique_id", "__doc")
+    hits = first_matches(elements, F.col("unique_id"), F.struct(F.col("__link").isNotNull(), "__ordinal", "__link", "id")).withColumn("__uid",
+        F.col("unique_id")).drop("unique_id", "__doc")
     page = with_classification(with_level(with_type(_answered(model, keys, "unique_id", hits), model), model))
     linked = _spine(page, model).withColumns({"ifc_guid": filled(F.col("ifc_guid")), "link_instance_id": F.col("__link")})
-    return linked.withColumns({"from_link": F.when(F.col("__link").isNotNull(), F.lit(True)), "link_title": F.when(F.col("__link").isNotNull(), F.col("__title"))}).orderBy("__pos").select("unique_id", *BY_UNIQUE_ID)
+    return linked.withColumns({"from_link": F.when(F.col("__link").isNotNull(), F.lit(True)),
+        "link_title": F.when(F.col("__link").isNotNull(), F.col("__title"))}).orderBy("__pos").select("unique_id", *BY_UNIQUE_ID)
 
 
 def ifc_guid_rows(model: Model, session: Session, keys: list[str]) -> DataFrame:

@@ -25,11 +25,14 @@ def placed_views(sheets: DataFrame, model: Model, doc: int) -> DataFrame:
 def visible_elements(views: DataFrame, model: Model, doc: int, cap: int) -> DataFrame:
     """view_id, rn, unique_id, ifc_guid, classification: the first cap elements with a category of each view, in ascending id."""
     shown = model.of("view_elements", doc).join(views.select("view_id").distinct(), "view_id", "left_semi")
-    elements = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull()).select(F.col("id").alias("element_id"), "unique_id", "ifc_guid", "type_id", "params")
-    ranked = shown.select("view_id", "element_id").distinct().join(elements, "element_id").withColumn("rn", F.row_number().over(Window.partitionBy("view_id").orderBy("element_id"))).where(F.col("rn") <= cap)
+    elements = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull()).select(F.col("id").alias("element_id"), "unique_id", "ifc_guid",
+        "type_id", "params")
+    ranked = shown.select("view_id", "element_id").distinct().join(elements, "element_id").withColumn("rn",
+        F.row_number().over(Window.partitionBy("view_id").orderBy("element_id"))).where(F.col("rn") <= cap)
     types = model.of("element_types", doc).select(F.col("type_id").alias("__type"), F.col("params").alias("type_params"))
     full = ranked.join(types, ranked["type_id"] == types["__type"], "left")
-    return full.select("view_id", "rn", "unique_id", filled(F.col("ifc_guid")).alias("ifc_guid"), P.classification(F.col("type_params"), F.col("params")).alias("classification"))
+    return full.select("view_id", "rn", "unique_id", filled(F.col("ifc_guid")).alias("ifc_guid"),
+        P.classification(F.col("type_params"), F.col("params")).alias("classification"))
 
 
 def get_sheets(model: Model, session: Session, args: dict) -> Result:
@@ -42,15 +45,18 @@ def get_sheets(model: Model, session: Session, args: dict) -> Result:
     views = placed_views(found.df, model, doc)
     columns = [F.col("unique_id"), F.col("name"), F.col("view_type")]
     if with_elements:
-        each = visible_elements(views, model, doc, cap).groupBy("view_id").agg(F.sort_array(F.collect_list(F.struct("rn", "unique_id", "ifc_guid", "classification"))).alias("elements"))
+        each = visible_elements(views, model, doc,
+            cap).groupBy("view_id").agg(F.sort_array(F.collect_list(F.struct("rn", "unique_id", "ifc_guid", "classification"))).alias("elements"))
         views = views.join(each, "view_id", "left").withColumn("elements", F.coalesce("elements", F.array().cast(each.schema["elements"].dataType)))
         columns += [F.col("elements"), (F.size("elements") == cap).alias("elements_truncated")]
     per_sheet = views.groupBy("sheet_id").agg(F.sort_array(F.collect_list(F.struct("ordinal", "view_id", F.struct(*columns).alias("view")))).alias("views"))
-    df = found.df.join(per_sheet, F.col("id") == F.col("sheet_id"), "left").orderBy("sheet_number", "id").select("unique_id", "sheet_number", "sheet_name", "current_revision", "views")
+    df = found.df.join(per_sheet, F.col("id") == F.col("sheet_id"), "left").orderBy("sheet_number", "id").select("unique_id", "sheet_number", "sheet_name",
+        "current_revision", "views")
 
     def element(e: dict) -> dict:
         cls = e["classification"]
-        return drop_empty({"unique_id": e["unique_id"], "ifc_guid": e["ifc_guid"], "classification": cls and {k: v for k, v in cls.items() if v is not None}}, "ifc_guid", "classification")
+        return drop_empty({"unique_id": e["unique_id"], "ifc_guid": e["ifc_guid"], "classification": cls and {k: v for k, v in cls.items() if v is not None}},
+            "ifc_guid", "classification")
 
     def row(r: dict) -> dict:
         views = [v["view"] for v in r.pop("views") or []]

@@ -25,7 +25,8 @@ PHASES = [(0, 1, "Existing", 0), (0, 2, "New Construction", 1)]
 
 def _param(storage: str, value: Column, display: Column | None = None) -> Column:
     at = {"String": "s", "Integer": "i", "Double": "d", "ElementId": "eid"}[storage]
-    parts = {f.name: F.lit(None).cast(f.dataType) for f in PARAM} | {"storage": F.lit(storage), at: value.cast(PARAM[at].dataType)} | ({"display": display} if display is not None else {})
+    parts = {f.name: F.lit(None).cast(f.dataType) for f in PARAM} | {"storage": F.lit(storage),
+        at: value.cast(PARAM[at].dataType)} | ({"display": display} if display is not None else {})
     return F.struct(*[parts[f.name].alias(f.name) for f in PARAM])
 
 
@@ -50,11 +51,15 @@ def building(spark: SparkSession, sf_dir: str) -> Model:
     key, okey, ckey = F.col("r_regionkey"), F.col("o_orderkey"), F.col("c_custkey")
 
     def documents() -> DataFrame:
-        saved = read("events").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last"), F.count_if(F.col("event_type") == "purchase").alias("saves"), F.max(F.when(F.col("event_type").isin("click", "signup"), F.col("ts"))).alias("touched")).withColumn("__doc", F.lit(0))
-        info = F.struct(F.concat(F.lit("info-"), key).alias("unique_id"), F.when(key == 2, F.concat(F.lit("Project "), F.col("r_name"))).otherwise("").alias("name"), F.concat(F.lit("N"), key).alias("number"), F.lit(None).cast("string").alias("client"), F.lit("").alias("address"), F.when(key == 1, "Main").alias("building"))
+        saved = read("events").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last"),
+            F.count_if(F.col("event_type") == "purchase").alias("saves"),
+            F.max(F.when(F.col("event_type").isin("click", "signup"), F.col("ts"))).alias("touched")).withColumn("__doc", F.lit(0))
+        info = F.struct(F.concat(F.lit("info-"), key).alias("unique_id"), F.when(key == 2, F.concat(F.lit("Project "), F.col("r_name"))).otherwise("").alias("name"),
+            F.concat(F.lit("N"), key).alias("number"), F.lit(None).cast("string").alias("client"), F.lit("").alias("address"), F.when(key == 1, "Main").alias("building"))
         return read("region").join(F.broadcast(saved), key == F.col("__doc"), "left").select(
             key.alias("doc_id"), F.col("r_name").alias("title"), F.when(key == 3, "").otherwise(F.concat(F.lit("/models/"), F.lower("r_name"))).alias("path"),
-            F.when(key == 0, F.md5(F.date_format("last", "yyyy-MM-dd HH:mm:ss"))).alias("version_guid"), F.when(key == 0, F.col("saves")).alias("number_of_saves"), F.coalesce(F.when(key == 0, F.col("touched") > F.col("last")), F.lit(False)).alias("is_modified"),
+            F.when(key == 0, F.md5(F.date_format("last", "yyyy-MM-dd HH:mm:ss"))).alias("version_guid"), F.when(key == 0, F.col("saves")).alias("number_of_saves"),
+                F.coalesce(F.when(key == 0, F.col("touched") > F.col("last")), F.lit(False)).alias("is_modified"),
             (key % 2 == 0).alias("is_workshared"), (key != 0).alias("is_linked"), (key == 0).alias("is_active"), F.when(key.isin(1, 2), info).alias("project_info"),
         )
 
@@ -62,41 +67,62 @@ def building(spark: SparkSession, sf_dir: str) -> Model:
         x, y, z = F.col("o_totalprice") / 1000, (F.col("o_custkey") % 1000) / 10, (okey % 100) / 10
         type_of = read("lineitem").groupBy(F.col("l_orderkey").alias("__order")).agg(F.min("l_partkey").alias("type_id"))
         return read("orders").join(type_of, okey == F.col("__order"), "left").select(
-            F.lit(0).alias("doc_id"), okey.alias("id"), F.concat(F.lit("u-"), okey).alias("unique_id"), F.concat(F.lit("Order "), okey).alias("name"), F.col("o_orderpriority").alias("category"), F.col("o_orderpriority").alias("category_code"), "type_id",
-            F.lit(False).alias("is_type"), (okey % 7 != 3).alias("is_family_instance"), F.when(okey % 2 == 0, F.col("o_custkey") % 40).alias("level_id"), F.when(okey % 3 == 0, F.concat(F.lit("g-"), okey)).alias("ifc_guid"),
-            F.when(okey % 4 != 1, _point(x, y, z)).alias("location"), F.when(okey % 5 != 0, F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))).alias("bbox"),
+            F.lit(0).alias("doc_id"), okey.alias("id"), F.concat(F.lit("u-"), okey).alias("unique_id"), F.concat(F.lit("Order "), okey).alias("name"),
+                F.col("o_orderpriority").alias("category"), F.col("o_orderpriority").alias("category_code"), "type_id",
+            F.lit(False).alias("is_type"), (okey % 7 != 3).alias("is_family_instance"), F.when(okey % 2 == 0, F.col("o_custkey") % 40).alias("level_id"),
+                F.when(okey % 3 == 0, F.concat(F.lit("g-"), okey)).alias("ifc_guid"),
+            F.when(okey % 4 != 1, _point(x, y, z)).alias("location"),
+                F.when(okey % 5 != 0, F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))).alias("bbox"),
             F.when(okey % 10 == 0, F.struct((okey % 3).alias("id"), F.lit("Option").alias("name"), (okey % 20 == 0).alias("is_primary"))).alias("design_option"),
             _params(
-                UNIFORMAT_CODE=F.when(okey % 2 == 0, _param("String", F.lit("inst"))), FAMILY_LEVEL_PARAM=F.when(okey % 3 == 0, _param("ElementId", F.lit(99))), LEVEL_PARAM=_param("ElementId", okey % 30),
-                width=F.when(okey % 3 == 0, _param("Double", F.col("o_custkey") / 8, F.when(okey % 9 == 0, F.lit("wide")))), note=F.when(okey % 2 == 1, _param("String", F.lit(""))),
+                UNIFORMAT_CODE=F.when(okey % 2 == 0, _param("String", F.lit("inst"))), FAMILY_LEVEL_PARAM=F.when(okey % 3 == 0, _param("ElementId", F.lit(99))),
+                    LEVEL_PARAM=_param("ElementId", okey % 30),
+                width=F.when(okey % 3 == 0, _param("Double", F.col("o_custkey") / 8, F.when(okey % 9 == 0, F.lit("wide")))),
+                    note=F.when(okey % 2 == 1, _param("String", F.lit(""))),
             ).alias("params"),
         )
 
     def types() -> DataFrame:
         return read("part").select(
             F.lit(0).alias("doc_id"), F.col("p_partkey").alias("type_id"), F.col("p_name").alias("name"),
-            _params(UNIFORMAT_CODE=_param("String", F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise("")), width=_param("Integer", F.col("p_size")), note=_param("String", F.col("p_type"))).alias("params"),
+            _params(UNIFORMAT_CODE=_param("String", F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise("")), width=_param("Integer", F.col("p_size")),
+                note=_param("String", F.col("p_type"))).alias("params"),
         )
 
     def rooms() -> DataFrame:
         corner = lambda dx, dy: F.struct((ckey * 10 + dx).cast("double").alias("x"), F.lit(float(dy)).alias("y"))
         return read("customer").select(
-            F.lit(0).alias("doc_id"), ckey.alias("id"), F.concat(F.lit("r-"), ckey).alias("unique_id"), F.col("c_name").alias("number"), F.col("c_mktsegment").alias("name"), F.col("c_acctbal").alias("area_sf"), F.col("c_nationkey").alias("level_id"),
-            F.when(ckey < 50, F.array(corner(0, 0), corner(10, 0), corner(10, 100), corner(0, 100))).alias("footprint"), _params(use=F.when(ckey % 2 == 0, _param("String", F.col("c_mktsegment")))).alias("params"),
+            F.lit(0).alias("doc_id"), ckey.alias("id"), F.concat(F.lit("r-"), ckey).alias("unique_id"), F.col("c_name").alias("number"),
+                F.col("c_mktsegment").alias("name"), F.col("c_acctbal").alias("area_sf"), F.col("c_nationkey").alias("level_id"),
+            F.when(ckey < 50, F.array(corner(0, 0), corner(10, 0), corner(10, 100), corner(0, 100))).alias("footprint"),
+                _params(use=F.when(ckey % 2 == 0, _param("String", F.col("c_mktsegment")))).alias("params"),
         )
 
     def views() -> DataFrame:
-        return read("part").select(F.lit(0).alias("doc_id"), F.col("p_partkey").alias("id"), F.concat(F.lit("v-"), "p_partkey").alias("unique_id"), F.col("p_name").alias("name"), F.col("p_type").alias("view_type"), (F.col("p_size") == 50).alias("is_template"), (F.col("p_size") == 49).alias("is_sheet"), (F.col("p_size") % 30).alias("level_id"))
+        return read("part").select(F.lit(0).alias("doc_id"), F.col("p_partkey").alias("id"), F.concat(F.lit("v-"), "p_partkey").alias("unique_id"),
+            F.col("p_name").alias("name"), F.col("p_type").alias("view_type"), (F.col("p_size") == 50).alias("is_template"),
+            (F.col("p_size") == 49).alias("is_sheet"), (F.col("p_size") % 30).alias("level_id"))
 
     tables = {
         "documents": documents, "elements": elements, "element_types": types, "rooms": rooms, "views": views,
-        "links": lambda: read("region").where(key != 0).select(F.lit(0).alias("host_doc_id"), key.alias("id"), F.concat(F.lit("l-"), key).alias("unique_id"), F.col("r_name").alias("name"), F.when(key != 4, key).alias("target_doc_id"), key.alias("ordinal")),
-        "levels": lambda: read("nation").select(F.lit(0).alias("doc_id"), F.col("n_nationkey").alias("id"), F.concat(F.lit("n-"), "n_nationkey").alias("unique_id"), F.col("n_name").alias("name"), (F.col("n_regionkey") * 3.0).alias("elevation_ft"), F.concat((F.col("n_regionkey") * 3).cast("string"), F.lit(" ft")).alias("elevation_user_units")),
-        "sheets": lambda: read("supplier").select(F.lit(0).alias("doc_id"), F.col("s_suppkey").alias("id"), F.concat(F.lit("s-"), "s_suppkey").alias("unique_id"), F.col("s_name").alias("sheet_number"), F.lit("Sheet").alias("sheet_name"), F.when(F.col("s_suppkey") % 2 == 0, "A").alias("current_revision"), F.lit(False).alias("is_template")),
-        "viewports": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_suppkey").alias("sheet_id"), F.col("l_partkey").alias("view_id"), F.col("l_partkey").alias("ordinal")).distinct(),
-        "view_elements": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_partkey").alias("view_id"), F.col("l_orderkey").alias("element_id")).distinct(),
-        "openings": lambda: read("orders").select(F.lit(0).alias("doc_id"), okey.alias("element_id"), F.concat(F.lit("M"), okey % 1000).alias("mark"), F.when(okey % 2 == 0, okey + 1).alias("host_id"), F.when(okey % 4 == 0, F.lit(9.0)).alias("host_wall_width"), _point(F.when(okey % 3 == 0, 0.0).otherwise(2.0), F.lit(0.0), F.lit(1.0)).alias("facing")),
-        "opening_rooms": lambda: read("orders").select(F.lit(0).alias("doc_id"), okey.alias("element_id"), F.lit(2).alias("phase_id"), F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("from_room_id"), F.when(F.col("o_orderstatus") == "O", F.col("o_custkey") + 1).alias("to_room_id")),
+        "links": lambda: read("region").where(key != 0).select(F.lit(0).alias("host_doc_id"), key.alias("id"), F.concat(F.lit("l-"), key).alias("unique_id"),
+            F.col("r_name").alias("name"), F.when(key != 4, key).alias("target_doc_id"), key.alias("ordinal")),
+        "levels": lambda: read("nation").select(F.lit(0).alias("doc_id"), F.col("n_nationkey").alias("id"), F.concat(F.lit("n-"), "n_nationkey").alias("unique_id"),
+            F.col("n_name").alias("name"), (F.col("n_regionkey") * 3.0).alias("elevation_ft"),
+            F.concat((F.col("n_regionkey") * 3).cast("string"), F.lit(" ft")).alias("elevation_user_units")),
+        "sheets": lambda: read("supplier").select(F.lit(0).alias("doc_id"), F.col("s_suppkey").alias("id"), F.concat(F.lit("s-"), "s_suppkey").alias("unique_id"),
+            F.col("s_name").alias("sheet_number"), F.lit("Sheet").alias("sheet_name"), F.when(F.col("s_suppkey") % 2 == 0, "A").alias("current_revision"),
+            F.lit(False).alias("is_template")),
+        "viewports": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_suppkey").alias("sheet_id"), F.col("l_partkey").alias("view_id"),
+            F.col("l_partkey").alias("ordinal")).distinct(),
+        "view_elements": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_partkey").alias("view_id"),
+            F.col("l_orderkey").alias("element_id")).distinct(),
+        "openings": lambda: read("orders").select(F.lit(0).alias("doc_id"), okey.alias("element_id"), F.concat(F.lit("M"), okey % 1000).alias("mark"),
+            F.when(okey % 2 == 0, okey + 1).alias("host_id"), F.when(okey % 4 == 0, F.lit(9.0)).alias("host_wall_width"),
+            _point(F.when(okey % 3 == 0, 0.0).otherwise(2.0), F.lit(0.0), F.lit(1.0)).alias("facing")),
+        "opening_rooms": lambda: read("orders").select(F.lit(0).alias("doc_id"), okey.alias("element_id"), F.lit(2).alias("phase_id"),
+            F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")).alias("from_room_id"),
+            F.when(F.col("o_orderstatus") == "O", F.col("o_custkey") + 1).alias("to_room_id")),
     }
     shaped = {name: lambda name=name, made=made: _shaped(made(), name) for name, made in tables.items()}
     given = {name: lambda name=name, rows=rows: spark.createDataFrame(rows, TABLES[name]) for name, rows in (("scope_boxes", BOXES), ("phases", PHASES))}
@@ -123,7 +149,8 @@ def linked(spark: SparkSession, sf_dir: str) -> Model:
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     nation = read("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     ckey = F.col("c_custkey")
-    people = read("customer").join(nation, "c_nationkey").select(F.col("n_regionkey").alias("doc_id"), ckey.alias("id"), (ckey % 50).cast("string").alias("unique_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("category"), F.lit(False).alias("is_type"))
+    people = read("customer").join(nation, "c_nationkey").select(F.col("n_regionkey").alias("doc_id"), ckey.alias("id"),
+        (ckey % 50).cast("string").alias("unique_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("category"), F.lit(False).alias("is_type"))
     model.tables["elements"] = _shaped(people, "elements")
     return model
 
@@ -133,6 +160,8 @@ def named(spark: SparkSession, sf_dir: str) -> Model:
     model = building(spark, sf_dir)
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     key = F.col("p_partkey")
-    parts = part.select(F.lit(0).alias("doc_id"), key.alias("id"), F.concat(F.lit("p-"), key).alias("unique_id"), F.col("p_brand").alias("name"), F.col("p_type").alias("category"), (key % 10 == 0).alias("is_type"), F.when(key % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("ifc_guid"), (key + 1).alias("type_id"))
+    parts = part.select(F.lit(0).alias("doc_id"), key.alias("id"), F.concat(F.lit("p-"), key).alias("unique_id"), F.col("p_brand").alias("name"),
+        F.col("p_type").alias("category"), (key % 10 == 0).alias("is_type"), F.when(key % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name")).alias("ifc_guid"),
+        (key + 1).alias("type_id"))
     model.tables["elements"] = _shaped(parts, "elements")
     return model

@@ -12,8 +12,10 @@ from .schema import TABLES
 
 #: The names of view types that a filter accepts.
 VIEW_TYPES = (
-    "FloorPlan", "CeilingPlan", "Elevation", "Section", "Detail", "ThreeD", "Schedule", "DraftingView", "Legend", "EngineeringPlan", "AreaPlan", "Walkthrough", "Rendering",
-    "DrawingSheet", "ProjectBrowser", "Report", "SystemBrowser", "CostReport", "LoadsReport", "PresureLossReport", "PanelSchedule", "ColumnSchedule", "Internal", "Undefined",
+    "FloorPlan", "CeilingPlan", "Elevation", "Section", "Detail", "ThreeD", "Schedule", "DraftingView", "Legend", "EngineeringPlan", "AreaPlan", "Walkthrough",
+        "Rendering",
+    "DrawingSheet", "ProjectBrowser", "Report", "SystemBrowser", "CostReport", "LoadsReport", "PresureLossReport", "PanelSchedule", "ColumnSchedule", "Internal",
+        "Undefined",
 )
 #: Category codes that need no element to be known.
 CATEGORIES = frozenset(["OST_Doors", "OST_VolumeOfInterest"])
@@ -73,7 +75,8 @@ def read_model(spark: SparkSession, path: str) -> Model:
 
 
 #: How tables are laid out: pruned by document (and category), and clustered by what lookups join on.
-LAYOUT = {"elements": (["doc_id", "category_code"], ["unique_id"]), "view_elements": (["doc_id"], ["view_id"]), "viewports": (["doc_id"], ["sheet_id"]), "opening_rooms": (["doc_id"], ["element_id"])}
+LAYOUT = {"elements": (["doc_id", "category_code"], ["unique_id"]), "view_elements": (["doc_id"], ["view_id"]), "viewports": (["doc_id"], ["sheet_id"]),
+    "opening_rooms": (["doc_id"], ["element_id"])}
 
 
 def write_model(model: Model, path: str, mode: str = "errorifexists") -> None:

@@ -23,7 +23,8 @@ TABLES: dict[str, StructType] = {
         project_info=_struct(unique_id=_STRING, name=_STRING, number=_STRING, client=_STRING, address=_STRING, building=_STRING),
     ),
     "elements": _struct(
-        doc_id=_LONG, id=_LONG, unique_id=_STRING, name=_STRING, category=_STRING, category_code=_STRING, type_id=_LONG, is_type=_BOOL, is_family_instance=_BOOL, level_id=_LONG,
+        doc_id=_LONG, id=_LONG, unique_id=_STRING, name=_STRING, category=_STRING, category_code=_STRING, type_id=_LONG, is_type=_BOOL, is_family_instance=_BOOL,
+            level_id=_LONG,
         ifc_guid=_STRING, location=POINT, bbox=BOX, design_option=_struct(id=_LONG, name=_STRING, is_primary=_BOOL), params=PARAMS,
     ),
     "element_types": _struct(doc_id=_LONG, type_id=_LONG, name=_STRING, params=PARAMS),
@@ -32,7 +33,8 @@ TABLES: dict[str, StructType] = {
         doc_id=_LONG, id=_LONG, unique_id=_STRING, number=_STRING, name=_STRING, area_sf=_DOUBLE, area_user_units=_STRING, level_id=_LONG, phase_id=_LONG,
         footprint=ArrayType(_struct(x=_DOUBLE, y=_DOUBLE)), z_min=_DOUBLE, z_max=_DOUBLE, params=PARAMS,
     ),
-    "views": _struct(doc_id=_LONG, id=_LONG, unique_id=_STRING, name=_STRING, view_type=_STRING, is_template=_BOOL, is_sheet=_BOOL, level_id=_LONG, phase_id=_LONG, params=PARAMS),
+    "views": _struct(doc_id=_LONG, id=_LONG, unique_id=_STRING, name=_STRING, view_type=_STRING, is_template=_BOOL, is_sheet=_BOOL, level_id=_LONG, phase_id=_LONG,
+        params=PARAMS),
     "sheets": _struct(doc_id=_LONG, id=_LONG, unique_id=_STRING, sheet_number=_STRING, sheet_name=_STRING, current_revision=_STRING, is_template=_BOOL),
     "viewports": _struct(doc_id=_LONG, sheet_id=_LONG, view_id=_LONG, ordinal=_INT),
     "view_elements": _struct(doc_id=_LONG, view_id=_LONG, element_id=_LONG),
