@@ -5,14 +5,16 @@ import json
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import doubling
 import numpy as np
 import pandas as pd
+import pytest
 from cases import edited, prose
 from pyspark.sql import functions as F
 
-from girder.llm import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
+from girder.llm import common, decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
 from girder.llm.queries import QUERIES
 
 BLANKS = r"[^\x20\x09-\x0D]+"
@@ -661,6 +663,16 @@ def test_queries_over_odd_rows(spark, docs, texts, tmp_path):
     assert {(r.rule, r.verdict) for r in got["op10_url_filter"]} == {("example.com/en/7", "allow"), (None, "allow"), ("org/es/", "block"), (None, "block")}
 
 
+def test_tables_go_to_the_shared_folder_only():
+    """Without spark.checkpoint.dir a cluster is refused; only where driver and executors are one process there is a folder besides."""
+    session = lambda master, base=None, given=None: SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: base), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: given))
+    assert common.shared_dir(session("yarn", "hdfs://x/y/"), "t").startswith("hdfs://x/y/t-") and common.shared_dir(session("spark://h:7077", None, "s3a://b"), "t").startswith("s3a://b/t-")
+    assert "/checkpoints/t-" in common.shared_dir(session("local[4]"), "t")
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+            common.shared_dir(session(master), "t")
+
+
 def test_empty_tables(empty, spark):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     for df in (
