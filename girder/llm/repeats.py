@@ -40,6 +40,8 @@ LENGTH, ANCHOR, BLOCK = 200, 96, 8
 #: Anchors are chosen among so many places of a window.
 PLACES = LENGTH - ANCHOR + 1
 PIECE = 1 << 20
+#: Texts that go to Python at once with their runs; in the first round, where they go without, Spark's setting holds.
+AT_ONCE = 2000
 
 _OFFSETS = (1, 2, 4, 8, 16, 32, 64, 65, 72, 96)
 #: What a fingerprint is made with: a number for each byte, and one for each offset. There are two, independent of each other.
@@ -298,18 +300,18 @@ def _and_end(batches: Iterator) -> Iterator:
     yield None
 
 
-def _settled(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _settled(rows: DataFrame, batch: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(runs whose string repeats, representatives of what must be split further), each as runs per text; and the table below both."""
     ordered = rows.repartition("core").sortWithinPartitions("core", "union")
-    found = written(ordered.mapInPandas(_classified, "doc_id long, key int, run long, split boolean"), "settled")
+    found = written(ordered.mapInPandas(_classified, "doc_id long, key int, run long, split boolean"), "settled", batch)
     return found.where("NOT split"), _per_text(found.where("split")), found
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, key, runs (lo, hi: windows, by their first byte, that repeat) of the texts that have some. docs: doc_id, key, text."""
     whole, left, first = _settled(docs.where(F.octet_length("text") >= LENGTH).mapInPandas(_anchors, ROW))
-    in_blocks, smaller, second = _settled(_with_runs(docs, _if_small(left), "inner").mapInPandas(_blocks, ROW))
-    alone, _, third = _settled(_with_runs(docs, _if_small(smaller), "inner").mapInPandas(_single, ROW))
+    in_blocks, smaller, second = _settled(_with_runs(docs, _if_small(left), "inner").mapInPandas(_blocks, ROW), AT_ONCE)
+    alone, _, third = _settled(_with_runs(docs, _if_small(smaller), "inner").mapInPandas(_single, ROW), AT_ONCE)
     all_runs = _per_text(reduce(DataFrame.unionByName, [x.select("doc_id", "key", "run") for x in (whole, in_blocks, alone)]))
     drop(first, second, third, left, smaller)
     return all_runs
@@ -318,8 +320,11 @@ def repeated(docs: DataFrame) -> DataFrame:
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes, end exclusive) of each row."""
     keyed = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    return _with_runs(keyed, repeated(keyed), "left").mapInPandas(_removed,
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
+    runs = repeated(keyed)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
+    found = written(_with_runs(keyed, runs, "left").mapInPandas(_removed, schema), "removed", AT_ONCE)
+    drop(runs)
+    return found
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
