@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, line_dedup, mixing, near_dup, quality, repeats, secrets, toxicity, url_filter
+from . import decontaminate, licenses, line_dedup, merkle, mixing, near_dup, quality, repeats, secrets, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_minhash_near_dedup": near_dup.op8_minhash_near_dedup,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_url_filter": url_filter.op10_url_filter,
+    "op11_simhash_near_dedup": simhash.op11_simhash_near_dedup,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
@@ -22,4 +24,5 @@ ORACLE_SQL = {
     "op4_quality_rules": quality.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op8_minhash_near_dedup": near_dup.ORACLE_SQL,
+    "op12_merkle_manifest": merkle.ORACLE_SQL,
 }
