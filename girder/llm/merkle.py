@@ -259,7 +259,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     found = each.join(of, F.col("g").eqNullSafe(F.col("s_g"))).withColumn("folded_root", folded(F.coalesce("other", "digest"), F.col("path")))
     result = found.select(F.col("g").alias("lang"), "doc_id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), siblings(F.col("path")).alias("proof"), "folded_root",
         (F.col("folded_root") == root).alias("verified"))
-    drop(*[x for x in scratch if not {*x.inputFiles()} & {*result.inputFiles()}])
+    read = {*result.inputFiles()}
+    drop(*[x for x in scratch if not {*x.inputFiles()} & read])
     return result
 
 
