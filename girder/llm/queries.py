@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, line_dedup, merkle, mixing, near_dup, quality, repeats, secrets, simhash, toxicity, url_filter
+from . import conversations, decontaminate, licenses, line_dedup, merkle, mixing, near_dup, quality, repeats, secrets, simhash, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
     "op11_simhash_near_dedup": simhash.op11_simhash_near_dedup,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.ORACLE_SQL,
