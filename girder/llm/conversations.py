@@ -371,3 +371,37 @@ def repairs(turns: DataFrame, conversations: DataFrame) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return repairs(damaged(rows), rows)
+
+
+#: The same edits, each conversation as a whole, with the repaired text carried along; crc32 bit by bit.
+ORACLE_SQL = r"""
+WITH RECURSIVE k AS (SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(name, ''), lambda x: ord(x)::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)),
+    4294967295::UBIGINT) % 20 AS fate FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM h, range(2) c(copy) WHERE fate <> 0 AND (copy = 0 OR fate = 3)),
+o AS (SELECT *, left(role, 1) AS ch, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM d),
+f AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+    lag(ch) OVER (PARTITION BY conv_id ORDER BY pos) || ch AS pair FROM o),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS last FROM f GROUP BY conv_id),
+g (a, ch, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+made (a, n, b, made) AS (VALUES (0, 0, 0, ''), (0, 1, 2, chr(10) || 'user:'), (0, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 0, 1, ''), (1, 1, 2, chr(10) || 'user:'),
+    (1, 2, 3, chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 0, 2, ''), (2, 1, 3, chr(10) || 'assistant:'), (3, 0, 3, ''), (3, 1, 2, chr(10) || 'user:')),
+e AS (SELECT conv_id, pos, a, a AS b, 4 AS cost, 'D' AS audit, '' AS out FROM f, range(4) s(a)
+  UNION ALL SELECT conv_id, pos, m.a, g.b, 3 * m.n + if(fault = 'truncated', 3, 0), repeat('I', m.n) || 'K', made || chr(10) || role || ':' || text
+    FROM f JOIN g ON g.ch = f.ch JOIN made m ON m.b = g.a WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, pos, m.a, g.b, 3 * m.n + 3 + if(fault = 'truncated', 3, 0), repeat('I', m.n) || 'R', made || chr(10) || if(g.ch = 'u', 'user', 'assistant') || ':' || text
+    FROM f JOIN g ON g.ch <> 's' JOIN made m ON m.b = g.a WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')),
+p (conv_id, pos, a, cost, audit, out) AS (SELECT conv_id, 0::BIGINT, 0, 0::BIGINT, '', '' FROM n UNION ALL
+  SELECT conv_id, pos, b, x.cost, x.audit, x.out FROM (SELECT p.conv_id, e.pos, e.b, min(struct_pack(cost := p.cost + e.cost, audit := p.audit || e.audit, out := p.out || e.out)) AS x
+    FROM p JOIN e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.pos = p.pos + 1 AND e.a = p.a GROUP BY p.conv_id, e.pos, e.b)),
+w AS (SELECT p.conv_id, min(struct_pack(cost := p.cost + 3 * m.n, audit := audit || repeat('I', m.n), out := p.out || made)) AS x
+  FROM p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND n.last = p.pos JOIN made m ON m.a = p.a AND m.b IN (0, 3) GROUP BY p.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(x.cost, 0)::BIGINT AS cost, coalesce(x.audit, '') AS audit, sha256(coalesce(x.out[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

@@ -26,4 +26,5 @@ ORACLE_SQL = {
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op8_minhash_near_dedup": near_dup.ORACLE_SQL,
     "op12_merkle_manifest": merkle.ORACLE_SQL,
+    "op13_conversation_repair": conversations.ORACLE_SQL,
 }
