@@ -274,7 +274,7 @@ ORACLE_SQL = r"""
 WITH RECURSIVE f AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
   list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::UBIGINT)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)) AS crc FROM documents),
-h AS (SELECT lang, doc_id, xor(crc, 4294967295::UBIGINT) % 3 = 0 AS hit,
+h AS (SELECT lang, doc_id, doc_id IS NOT NULL AND xor(crc, 4294967295::UBIGINT) % 3 = 0 AS hit,
   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
     || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
   coalesce(strlen(text) || ':' || text, '-') AS t, coalesce(strlen(low) || ':' || low, '-') AS l FROM f),
