@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from girder.functions import params as P
@@ -22,17 +22,31 @@ def active(session: Session) -> int:
     return session.doc_id
 
 
+def _level_ids() -> Column:
+    """Where a row's level may be: level_id alone if there is one, else what its level parameters hold."""
+    own = F.col("level_id").isNotNull() & (F.col("level_id") != -1)
+    return F.when(own, F.array("level_id")).otherwise(P.level_candidates(F.col("params")))
+
+
 def with_level(page: DataFrame, model: Model) -> DataFrame:
     """A bounded page (with doc_id, __pos, level_id, params) and level: that of level_id; where there is none, the first level parameter that names a level."""
-    asked = page.select("__pos", "doc_id",
-        F.posexplode(F.when(F.col("level_id").isNotNull() & (F.col("level_id") != -1),
-        F.array("level_id")).otherwise(P.level_candidates(F.col("params")))).alias("__i", "__level"))
+    asked = page.select("__pos", "doc_id", F.posexplode(_level_ids()).alias("__i", "__level"))
     level = F.struct(F.col("id"), F.col("name"), F.col("elevation_ft"), F.col("elevation_user_units"))
     found = enrich(asked, model.levels, {"doc_id": "doc_id", "__level": "id"}, [level.alias("level")]).where("level IS NOT NULL")
     first = found.groupBy(F.col("__pos").alias("__p")).agg(F.min_by("level", "__i").alias("level"))
     return page.join(F.broadcast(first), F.col("__pos") == F.col("__p"), "left").drop("__p")
 
 
+def with_level_of_all(rows: DataFrame, model: Model) -> DataFrame:
+    """As with_level, for rows of any number: a document's levels meet its rows as one map, so rows are shuffled once at most, and wherever they are many AQE splits a document's."""
+    level = F.struct(F.col("id"), F.col("name"), F.col("elevation_ft"), F.col("elevation_user_units"))
+    each = model.levels.groupBy(F.col("doc_id").alias("__doc"), "id").agg(F.min(level).alias("level"))
+    by_document = each.groupBy("__doc").agg(F.map_from_entries(F.collect_list(F.struct("id", "level"))).alias("__levels"))
+    known = F.filter(_level_ids(), lambda i: F.map_contains_key("__levels", i))
+    met = rows.join(by_document, F.col("doc_id") == F.col("__doc"), "left")
+    return met.withColumn("level", F.try_element_at("__levels", F.get(known, F.lit(0)))).drop("__doc", "__levels")
+
+
 def with_type(page: DataFrame, model: Model) -> DataFrame:
     """A bounded page with type_name and type_params."""
     return enrich(page, model.element_types, {"doc_id": "doc_id", "type_id": "type_id"}, [F.col("name").alias("type_name"), F.col("params").alias("type_params")])
