@@ -29,8 +29,8 @@ def _bits(key: Column) -> Column:
     return out
 
 
-def prefiltered(rows: DataFrame, key: Column, keys: DataFrame, other: Column) -> DataFrame:
-    """The rows whose key may be among keys, before anything is shuffled.
+def flagged(rows: DataFrame, key: Column, keys: DataFrame, other: Column) -> DataFrame:
+    """rows with __maybe: false only where the key is surely not among keys.
 
     A Bloom filter is made of the keys, each in one word of 64 bits, as a table of at most WORDS words. That table is
     broadcast, so its size is bounded whatever the number of keys; the keys never are.
@@ -38,10 +38,15 @@ def prefiltered(rows: DataFrame, key: Column, keys: DataFrame, other: Column) ->
     n = keys.count()
     words = max(1, min(WORDS, -(-n * BITS // 64)))
     if n * LEAST_BITS > words * 64:
-        return rows
+        return rows.withColumn("__maybe", F.lit(True))
     table = keys.where(other.isNotNull()).groupBy(_word(other, words).alias("__word")).agg(F.bit_or(_bits(other)).alias("__bits"))
-    met = rows.join(F.broadcast(table), _word(key, words) == F.col("__word")).where(F.col("__bits").bitwiseAND(_bits(key)) == _bits(key))
-    return met.drop("__word", "__bits")
+    met = rows.join(F.broadcast(table), _word(key, words) == F.col("__word"), "left")
+    return met.withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(_bits(key)) == _bits(key), F.lit(False))).drop("__word", "__bits")
+
+
+def prefiltered(rows: DataFrame, key: Column, keys: DataFrame, other: Column) -> DataFrame:
+    """The rows whose key may be among keys, before anything is shuffled."""
+    return flagged(rows, key, keys, other).where("__maybe").drop("__maybe")
 
 
 def first_of_each(requests: DataFrame, key: Column, rows: DataFrame, row_key: Column, order: Column) -> DataFrame:
