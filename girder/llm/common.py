@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ BROADCAST_BYTES = 32 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's setting of how many rows go to Python at once.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's setting of how many bytes go to Python at once, and its value where rows are large.
+BATCH_BYTES, AT_MOST = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,11 +85,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _setting(spark: SparkSession, name: str) -> str | None:
+    """A setting's value, also where that is Spark's own; None where this version of Spark doesn't know it."""
+    try:
+        return spark.conf.get(name)
+    except PySparkException:
+        return None
+
+
 @contextmanager
 def settings(spark: SparkSession, **values: str) -> Iterator[None]:
     """Spark's settings for what runs within; those that this version of Spark doesn't know are left out."""
-    names = {"cleanup": CLEANUP, "batch": BATCH}
-    before = {names[k]: spark.conf.get(names[k], None) for k in values}
+    names = {"cleanup": CLEANUP, "batch": BATCH, "batch_bytes": BATCH_BYTES}
+    before = {names[k]: _setting(spark, names[k]) for k in values}
     known = {names[k]: v for k, v in values.items() if before[names[k]] is not None}
     try:
         for k, v in known.items():
@@ -103,7 +114,7 @@ def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     The job's shuffle files go when it is over. batch: most rows that go to Python at once, where rows are large.
     """
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    with settings(spark, cleanup="true", **({"batch": str(batch)} if batch else {})):
+    with settings(spark, cleanup="true", **({"batch": str(batch), "batch_bytes": str(AT_MOST)} if batch else {})):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

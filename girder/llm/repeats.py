@@ -31,17 +31,19 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, drop, table, written
+from girder.operators.keys import flagged, prefiltered
+
+from .common import drop, table, written
 
 LENGTH, ANCHOR, BLOCK = 200, 96, 8
 #: Anchors are chosen among so many places of a window.
 PLACES = LENGTH - ANCHOR + 1
 PIECE = 1 << 20
 #: Texts that go to Python at once with their runs; in the first round, where they go without, Spark's setting holds.
-AT_ONCE = 2000
+AT_ONCE = 500
 
 _OFFSETS = (1, 2, 4, 8, 16, 32, 64, 65, 72, 96)
 #: What a fingerprint is made with: a number for each byte, and one for each offset. There are two, independent of each other.
@@ -104,22 +106,34 @@ def _unpacked(run: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return lo, lo + (run >> 16 & 0xFFFF), lo + (run & 0xFFFF)
 
 
+#: Rows that are gathered before they are reduced and sent on.
+GATHERED = 100_000
+
+
 class _Rows:
-    """Columns of rows of many texts, gathered as arrays."""
+    """Columns of rows of many texts, gathered as arrays until they are many."""
 
     def __init__(self, *names: str):
-        self.names, self.parts, self.ids, self.counts = names, [], [], []
+        self.names = names
+        self._clear()
+
+    def _clear(self) -> None:
+        self.parts, self.ids, self.counts, self.size = [], [], [], 0
 
     def add(self, doc_id, key: int, *columns: np.ndarray) -> None:
         self.parts.append(columns)
         self.ids.append((doc_id, key))
         self.counts.append(len(columns[0]))
+        self.size += len(columns[0])
 
-    def frames(self) -> Iterator[pd.DataFrame]:
-        if self.parts:
+    def frames(self, least: int = 1) -> Iterator[pd.DataFrame]:
+        """What is gathered, if it has so many rows."""
+        if self.size >= least:
             ids = pd.DataFrame(self.ids, columns=["doc_id", "key"]).astype({"doc_id": "Int64"})
             columns = {n: np.concatenate(c).view(np.int64) for n, c in zip(self.names, zip(*self.parts, strict=True), strict=True)}
-            yield _combined(pd.concat([pd.DataFrame(columns), ids.loc[ids.index.repeat(self.counts)].reset_index(drop=True)], axis=1))
+            gathered = pd.concat([pd.DataFrame(columns), ids.loc[ids.index.repeat(self.counts)].reset_index(drop=True)], axis=1)
+            self._clear()
+            yield _combined(gathered)
 
 
 #: Rows of one core that a batch sorts, if it has more.
@@ -160,6 +174,7 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for i in range(0, len(data) - LENGTH + 1, PIECE):
                 first, last, at, core, union = anchored(data[i : i + PIECE + LENGTH - 1])
                 rows.add(doc_id, key, core, union, _packed(first + i, last + i, at + i))
+                yield from rows.frames(GATHERED)
         yield from rows.frames()
 
 
@@ -189,6 +204,7 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 place = ((q - p) * 2 * BLOCK + most - p).astype(np.uint64)
                 union = _mix(h200[p - lo] * _FACTOR[1] + _mix(h200[q - lo] * _FACTOR[2] + place))
                 rows.add(doc_id, key, core, union, _packed(p, q, most))
+                yield from rows.frames(GATHERED)
         yield from rows.frames()
 
 
@@ -201,6 +217,7 @@ def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for (k, _, h200), (*_, other) in zip(_slices(data, los, his), _slices(data, los, his, 1), strict=True):
                 at = los[k] + np.arange(len(h200))
                 rows.add(doc_id, key, h200, other, _packed(at, at, at))
+                yield from rows.frames(GATHERED)
         yield from rows.frames()
 
 
@@ -232,15 +249,15 @@ def _per_text(runs: DataFrame) -> DataFrame:
     return written(runs.groupBy(F.col("doc_id").alias("r_doc"), F.col("key").alias("r_key")).agg(F.sort_array(F.collect_list("run")).alias("runs")), "runs")
 
 
-def _with_runs(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
-    """Texts with their runs."""
-    return docs.join(runs, docs["doc_id"].eqNullSafe(F.col("r_doc")) & (docs["key"] == F.col("r_key")), how).select("doc_id", "key", "text", "runs")
+def _id(doc_id: str, key: str) -> Column:
+    return F.xxhash64(doc_id, key)
 
 
-def _if_small(runs: DataFrame) -> DataFrame:
-    """Runs that few texts have, marked for broadcast if their measured size is within the bound."""
-    size = runs.agg(F.sum(64 + 8 * F.size("runs"))).first()[0] or 0
-    return F.broadcast(runs) if size <= BROADCAST_BYTES else runs
+def _with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The texts that have runs, with them: by one plan at any size, a merge join of what a filter of bounded size lets pass."""
+    possible = prefiltered(docs, _id("doc_id", "key"), runs.select(_id("r_doc", "r_key").alias("id")), F.col("id"))
+    same = F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("key") == F.col("r_key"))
+    return possible.join(runs.hint("merge"), same).select("doc_id", "key", "text", "runs")
 
 
 def _classified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -310,19 +327,30 @@ def _settled(rows: DataFrame, batch: int | None = None) -> tuple[DataFrame, Data
 def repeated(docs: DataFrame) -> DataFrame:
     """doc_id, key, runs (lo, hi: windows, by their first byte, that repeat) of the texts that have some. docs: doc_id, key, text."""
     whole, left, first = _settled(docs.where(F.octet_length("text") >= LENGTH).mapInPandas(_anchors, ROW))
-    in_blocks, smaller, second = _settled(_with_runs(docs, _if_small(left), "inner").mapInPandas(_blocks, ROW), AT_ONCE)
-    alone, _, third = _settled(_with_runs(docs, _if_small(smaller), "inner").mapInPandas(_single, ROW), AT_ONCE)
+    in_blocks, smaller, second = _settled(_with_runs(docs, left).mapInPandas(_blocks, ROW), AT_ONCE)
+    alone, _, third = _settled(_with_runs(docs, smaller).mapInPandas(_single, ROW), AT_ONCE)
     all_runs = _per_text(reduce(DataFrame.unionByName, [x.select("doc_id", "key", "run") for x in (whole, in_blocks, alone)]))
     drop(first, second, third, left, smaller)
     return all_runs
 
 
+REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
+
+
 def suffix_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes, end exclusive) of each row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes, end exclusive) of each row.
+
+    Texts that surely have no runs are hashed where they are read; the others meet their runs.
+    """
     keyed = docs.select("doc_id", F.hash(F.coalesce("text", F.lit(""))).alias("key"), "text")
     runs = repeated(keyed)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
-    found = written(_with_runs(keyed, runs, "left").mapInPandas(_removed, schema), "removed", AT_ONCE)
+    marked = flagged(keyed, _id("doc_id", "key"), runs.select(_id("r_doc", "r_key").alias("id")), F.col("id"))
+    same = F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("key") == F.col("r_key"))
+    cut = marked.where("__maybe").join(runs.hint("merge"), same, "left").select("doc_id", "text", "runs").mapInPandas(_removed, REMOVED)
+    whole, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    kept = marked.where("NOT __maybe").select("doc_id", F.octet_length(whole).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+        F.sha2(whole, 256).alias("kept_sha256"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    found = written(cut.union(kept), "removed", AT_ONCE)
     drop(runs)
     return found
 
