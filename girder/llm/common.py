@@ -27,6 +27,10 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES, AT_MOST = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
+#: Names of the folders that were made for tables here.
+_MADE: set[str] = set()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -82,7 +86,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{tempfile.gettempdir()}/checkpoints"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    own = f"{name}-{uuid.uuid4().hex}"
+    _MADE.add(own)
+    return f"{base.rstrip('/')}/{own}"
 
 
 def _setting(spark: SparkSession, name: str) -> str | None:
@@ -119,12 +125,29 @@ def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folders(df: DataFrame) -> set[str]:
+    return {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop(*tables: DataFrame) -> None:
     """Deletes written tables that nothing reads any more."""
     for df in tables:
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in _folders(df):
+            delete(df.sparkSession, folder)
+
+
+def passed_on(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """df, written; the written tables that it was made from go. Only for what nothing else reads them for."""
+    spark, found = df.sparkSession, written(df, name, batch)
+    for folder in _folders(df):
+        if folder.rsplit("/", 1)[1] in _MADE:
+            delete(spark, folder)
+    return found
 
 
 def small(df: DataFrame, row_bytes: int | Column) -> bool:

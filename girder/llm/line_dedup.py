@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, label, table, text_key, written
+from .common import broadcast_if_small, drop, label, table, text_key, written
 
 MIN_SITES = 10
 LG_BUCKETS = 12
@@ -40,9 +40,10 @@ def _has_word(line: Column) -> Column:
 
 
 def lines(docs: DataFrame, site: str) -> DataFrame:
-    """h1, h2, site, doc_id, key: each line with a word."""
-    each = docs.select("doc_id", text_key(F.col("text")).alias("key"), label(F.col(site)).alias("site"), F.explode(_split(F.col("text"))).alias("line"))
-    return each.where(_has_word(F.col("line"))).select(_hash(F.col("line")).alias("h"), "site", "doc_id", "key").select("h.*", "site", "doc_id", "key")
+    """h1, h2, site, doc_id, key, pos: each line with a word, and its place in the text."""
+    each = docs.select("doc_id", text_key(F.col("text")).alias("key"), label(F.col(site)).alias("site"), F.posexplode(_split(F.col("text"))).alias("pos", "line"))
+    found = each.where(_has_word(F.col("line"))).select(_hash(F.col("line")).alias("h"), "site", "doc_id", "key", "pos")
+    return found.select("h.*", "site", "doc_id", "key", "pos")
 
 
 def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -56,17 +57,25 @@ def spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SIT
     exact = each.join(broadcast_if_small(near, 48), ["h1", "h2"], "left_semi").groupBy("h1",
         "h2").agg(F.count_distinct("site").alias("exact")).where(F.col("exact") >= min_sites)
     counted = estimated.join(exact.select("h1", "h2"), ["h1", "h2"], "left_semi").select("h1", "h2", "first")
-    return written(estimated.where(F.col("sites") > high).select("h1", "h2", "first").unionByName(counted), "boilerplate")
+    found = written(estimated.where(F.col("sites") > high).select("h1", "h2", "first").unionByName(counted), "boilerplate")
+    drop(estimated, near)
+    return found
+
+
+def _without(items: Column, places: Column) -> Column:
+    """items without those at places (from 0, in order): what stands between one place and the next, so that each item is looked at once."""
+    before, after = F.concat(F.array(F.lit(-1)), places), F.concat(places, F.array(F.size(items)))
+    return F.flatten(F.zip_with(before, after, lambda a, b: F.slice(items, a + 2, b - a - 1)))
 
 
 def without_spread_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """docs with the spread lines taken out of text, and n_lines and n_removed (input columns of these names are replaced)."""
     spread = broadcast_if_small(spread_lines(docs, site, min_sites), 56)
     hits = lines(docs, site).join(spread, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("first")))
-    per_doc = hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")).hint("merge")
+    per_doc = hits.groupBy(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).agg(F.sort_array(F.collect_set("pos")).alias("__gone")).hint("merge")
     joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["__doc"]) & (text_key(docs["text"]) == per_doc["__key"]), "left")
     gone = per_doc["__gone"]
-    kept = F.filter(_split(docs["text"]), lambda x: ~(_has_word(x) & F.array_contains(gone, _hash(x))))
+    kept = _without(_split(docs["text"]), gone)
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     n_lines = F.coalesce(F.size(_split(docs["text"])), F.lit(0)).cast("long")
     text = F.when(gone.isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))

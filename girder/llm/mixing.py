@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, label, table, written
+from .common import broadcast_if_small, label, passed_on, table, written
 
 TEMPERATURE = 0.7
 SEED = 17
@@ -31,7 +31,8 @@ def _uniform(*parts: Column | str) -> Column:
 def poisson_steps(means: DataFrame) -> DataFrame:
     """means (rows of rate) with __steps: the cumulative Poisson probabilities of 0, 1, 2, ... up to where they are 1 in all digits that matter.
 
-    Each source has a row for each of its steps, and running sums over them, so that no rate is too large.
+    Each source has a row for each of its steps, and running sums over them. Its steps then are one array, about as long
+    as its rate, so rates (repetitions of one document) are bounded by a task's memory: some tens of millions.
     """
     most = F.when(F.col("rate") > 0, F.col("rate") + 12 * F.sqrt("rate") + 20).otherwise(0).cast("long")
     each = means.select("__source", "rate", F.explode(F.sequence(F.lit(0).cast("long"), most)).alias("k"))
@@ -60,7 +61,7 @@ def rates(docs: DataFrame, by: str, weights: dict[str | None, float] | None, tot
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None, by: str = "source", seed: int = SEED) -> DataFrame:
     """docs, each row as often as its Poisson number says, with replica (from 1) and shuffle_key, in the order of shuffle_key within each partition."""
-    per_source = broadcast_if_small(written(rates(docs, by, weights, total), "rates"), 64 + F.octet_length("__source") + 8 * F.size("__steps"))
+    per_source = broadcast_if_small(passed_on(rates(docs, by, weights, total), "rates"), 64 + F.octet_length("__source") + 8 * F.size("__steps"))
     columns = [c for c in docs.columns if c not in ("replica", "shuffle_key")]
     joined = docs.join(per_source, label(docs[by]) == per_source["__source"])
     doc_id = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))

@@ -376,6 +376,7 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     """The rows of docs but those of a component that aren't its smallest doc_id."""
     found = near_duplicates(docs, width, percent)
     gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct(), "gone")
+    drop(found)
     return docs.join(broadcast_if_small(gone, 40), docs["doc_id"].eqNullSafe(gone["__doc"]) & (text_key(docs["text"]) == gone["__key"]), "left_anti")
 
 

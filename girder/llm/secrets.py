@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop, laid_out, let, shared_dir, table, written
+from .common import delete, drop, laid_out, let, shared_dir, table, written
 
 #: What stands between a name and its value; a name, which may be part of a longer one, up to its value; a value.
 SIGN = r"""[=:]=?=?>?\s*\\?["']?(?:(?i:bearer|basic)\s+)?"""
@@ -192,7 +192,9 @@ def forest(findings: DataFrame) -> PipelineModel:
     rows = written(trained_on(findings).select("label", *FEATURES), "findings")
     Pipeline(stages=stages).fit(rows.coalesce(1).sortWithinPartitions("label", *FEATURES)).save(path)  # in one order, as trees draw rows by their place
     drop(rows)
-    return PipelineModel.load(path)  # without its training summary, which holds the session and so can't always be sent to executors
+    model = PipelineModel.load(path)  # without its training summary, which holds the session and so can't always be sent to executors
+    delete(findings.sparkSession, path)
+    return model
 
 
 def secrets(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -99,3 +100,13 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_run_leaves_what_its_result_reads(spark, sf_dir):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    result = corpus_pipeline.run(spark, sf_dir)
+    left = {p.name for p in shared.iterdir()} - before
+    assert left == {f.rsplit("/", 2)[1] for f in result.inputFiles()}
+    assert {x.rsplit("-", 1)[0] for x in left} == {"stage-decontamination", "rates"}
+    assert result.count() > 0
