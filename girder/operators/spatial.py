@@ -8,7 +8,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.functions.geometry import in_footprint
+from girder.functions.geometry import corners, in_footprint, midpoint, point
+
+from .quadtree import CELL as TREE_CELL
+from .quadtree import grown
 
 CELL = 10.0
 #: Sizes of cells in a row of grids, each so many times the one before. Bounds go to the finest grid in which they span no more than that many cells, so they touch at most (SPAN + 1) ** 2.
@@ -83,3 +86,74 @@ def _world_bounds(box: dict) -> tuple[list[float], list[float]]:
         m = np.array(box["inverse"], float).reshape(3, 4)
         corners = np.linalg.solve(m[:, :3], (corners - m[:, 3]).T).T
     return corners.min(axis=0).tolist(), corners.max(axis=0).tolist()
+
+
+def rooms_at_all(points: DataFrame, rooms: DataFrame, **growth) -> DataFrame:
+    """As rooms_at, for tables of any size and shape: cells are split where a sample of the points is dense, and where one room holds very many, they are dealt over salts.
+
+    A point is in one cell, so it is shuffled once and meets each room once.
+    """
+    xs, ys = F.transform("footprint", lambda p: p["x"]), F.transform("footprint", lambda p: p["y"])
+    bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"),
+        F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
+    tree = grown(points, **growth)
+    cell = [F.col(c) for c in TREE_CELL]
+    dealt = tree.dealt(points.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1"), F.col("key")).select(*cell, "key", "x", "y", "z")
+    copied = tree.copied(bounds).select(*cell, "room_id", "footprint", "z_min", "z_max")
+    high = (F.col("z") >= F.coalesce("z_min", F.col("z"))) & (F.col("z_max").isNull() | (F.col("z") < F.col("z_max")))
+    met = dealt.join(copied, TREE_CELL).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
+    return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
+
+
+def _world(inverse: Column, p: Column) -> Column:
+    """A point of a box's own coordinates in the world's: the inverse of its inverse transform, by cofactors."""
+    m = [[F.get(inverse, F.lit(4 * i + j)) for j in range(4)] for i in range(3)]
+    minor = lambda i, j: m[(i + 1) % 3][(j + 1) % 3] * m[(i + 2) % 3][(j + 2) % 3] - m[(i + 1) % 3][(j + 2) % 3] * m[(i + 2) % 3][(j + 1) % 3]
+    det = m[0][0] * minor(0, 0) + m[0][1] * minor(0, 1) + m[0][2] * minor(0, 2)
+    d = [p[a] - m[i][3] for i, a in enumerate("xyz")]
+    world = [(minor(0, k) * d[0] + minor(1, k) * d[1] + minor(2, k) * d[2]) / det for k in range(3)]
+    return point(*world)
+
+
+def _local(inverse: Column, p: Column) -> Column:
+    """A point in the coordinates of a box; the world's where it has no transform."""
+    row = lambda i: F.get(inverse, F.lit(4 * i)) * p["x"] + F.get(inverse, F.lit(4 * i + 1)) * p["y"] + F.get(inverse, F.lit(4 * i + 2)) * p["z"] + F.get(inverse, F.lit(4 * i + 3))
+    return F.when(F.coalesce(F.size(inverse), F.lit(0)) > 0, point(row(0), row(1), row(2))).otherwise(p)
+
+
+def _bounds(points: Column, margin: float) -> list[Column]:
+    """x0, y0, x1, y1 of an array of points, with a margin for rounding."""
+    edge = lambda least, a: least(F.transform(points, lambda p: p[a]))
+    out = lambda v, sign, name: (v + sign * margin * (1 + F.abs(v))).alias(name)
+    return [out(edge(F.array_min, "x"), -1, "x0"), out(edge(F.array_min, "y"), -1, "y0"), out(edge(F.array_max, "x"), 1, "x1"), out(edge(F.array_max, "y"), 1, "y1")]
+
+
+def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, **growth) -> DataFrame:
+    """doc_id, id, box_id: the elements in each scope box of their document, for tables of any size: by centroid, or by corners and middle of bounding boxes.
+
+    Elements and boxes go to the cells of a tree that their bounds touch. Bounds that overlap do so in several cells, but
+    the lower left corner of what they share is in one, and only there a pair is tested, so none comes up twice.
+    """
+    turned = F.coalesce(F.size("inverse"), F.lit(0)) > 0
+    local = corners(F.struct("min", "max"))
+    world = F.when(turned, F.transform(local, lambda p: _world(F.col("inverse"), p))).otherwise(local)
+    sides = boxes.where("min IS NOT NULL AND max IS NOT NULL").select("doc_id", F.col("id").alias("box_id"), "min", "max", "inverse", *_bounds(world, 1e-9))
+    if intersects:
+        tested = F.concat(corners(F.col("bbox")), F.array(midpoint(F.col("bbox"))))
+    else:
+        tested = F.array(F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox")))))
+    kept = elements.where(F.col("bbox").isNotNull() if intersects else F.coalesce("location", F.col("bbox.min")).isNotNull())
+    slim = kept.select("doc_id", "id", tested.alias("points")).select("*", *_bounds(F.col("points"), 0.0))
+    tree = grown(slim.select("doc_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y")), **growth)
+    own = ["id", "points", "x0", "y0", "x1", "y1"]
+    other = sides.select("doc_id", "box_id", "min", "max", "inverse", *[F.col(c) for c in own[2:]])
+    few = tree.copied(other).select(*TREE_CELL, "box_id", "min", "max", "inverse", *[F.col(c).alias(f"b_{c}") for c in own[2:]])
+    both = tree.dealt(slim, F.col("id")).select(*TREE_CELL, *own).join(few, TREE_CELL)
+    x, y = F.greatest("x0", "b_x0"), F.greatest("y0", "b_y0")
+    here = (x <= F.least("x1", "b_x1")) & (y <= F.least("y1", "b_y1")) & tree.holds(x, y)
+
+    def inside(p: Column) -> Column:
+        at = _local(F.col("inverse"), p)
+        return at["x"].between(F.col("min.x"), F.col("max.x")) & at["y"].between(F.col("min.y"), F.col("max.y")) & at["z"].between(F.col("min.z"), F.col("max.z"))
+
+    return both.where(here).where(F.exists("points", inside)).select("doc_id", "id", "box_id")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from girder.plans.bulk import door_lines, room_lines
 from girder.queries.common import with_level_of_all
 from girder.queries.lookup import ifc_guids_of, unique_ids_of
-from girder.sources.driver_tables import SESSION, building, linked, named, odd, renamed
+from girder.operators.spatial import boxes_met, rooms_at_all
+from girder.sources.driver_tables import SESSION, boxed_city, building, city, linked, named, odd, renamed
 from girder.sources.guid_index import GuidIndex
 
 
@@ -71,7 +72,26 @@ def element_levels(spark, sf_dir):
     return with_level_of_all(slim, model).select("id", F.col("level.id").alias("level_id"), F.col("level.name").alias("level_name"), F.col("level.elevation_ft").alias("elevation_ft"))
 
 
-NAMES = "rooms_json_lines rooms_json_fields door_json_lines unique_ids_bulk ifc_guids_bulk guid_index_entries element_levels".split()
+def rooms_at_city(spark, sf_dir):
+    """The room around every element, among as many rooms as there are customers; a third of the elements are in one block."""
+    model = city(spark, sf_dir)
+    return rooms_at_all(model.elements.select("doc_id", F.col("id").alias("key"), "location.x", "location.y", "location.z"), model.rooms)
+
+
+def box_members_centroid(spark, sf_dir):
+    """All elements by all scope boxes of a table, by centroid."""
+    model = boxed_city(spark, sf_dir)
+    return boxes_met(model.elements, model.scope_boxes).select("id", "box_id")
+
+
+def box_members_intersects(spark, sf_dir):
+    """All elements by all scope boxes of a table, by corners and middle of bounding boxes."""
+    model = boxed_city(spark, sf_dir)
+    return boxes_met(model.elements, model.scope_boxes, intersects=True).select("id", "box_id")
+
+
+NAMES = """rooms_json_lines rooms_json_fields door_json_lines unique_ids_bulk ifc_guids_bulk guid_index_entries element_levels rooms_at_city box_members_centroid
+box_members_intersects""".split()
 QUERIES = {name: globals()[name] for name in NAMES}
 
 _KEY = "CASE r_regionkey WHEN 1 THEN 'revit:info-1' WHEN 2 THEN 'revit:info-2' WHEN 3 THEN r_name ELSE substr(sha256('/models/' || lower(r_name)), 1, 16) END"
@@ -79,7 +99,19 @@ _LEVEL = """'{"id":' || n_nationkey || ',"name":"' || n_name || '","elevation_ft
 _ROOM = """CASE WHEN {c}.c_custkey IS NULL THEN 'null' ELSE '{{"id":' || {c}.c_custkey || ',"name":"' || {c}.c_mktsegment || '","number":"' || {c}.c_name || '","level_name":"' || {n}.n_name || '"'
     || CASE WHEN {c}.c_custkey % 2 = 0 THEN ',"params":{{"use":"' || {c}.c_mktsegment || '"}}' ELSE '' END || '}}' END"""
 _ADDED = """CASE WHEN id % 9 = 0 THEN 'wide' WHEN id % 3 = 0 THEN regexp_replace(regexp_replace(printf('%.3f', o_custkey / 8), '0+$', ''), '[.]$', '') ELSE p_size::VARCHAR END"""
+_CITY = """el AS (SELECT o_orderkey AS id, o_orderkey % 5 <> 0 AS has_box, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 17 + (o_orderkey % 7) / 8 ELSE o_custkey % 100 * 10 + o_orderkey % 10 + 0.5e0 END AS x,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 13 + 0.25e0 ELSE o_custkey // 100 * 10 + o_orderkey % 9 + 0.75e0 END AS y, (o_orderkey % 100) / 10 AS z FROM orders)"""
+_BOXES = """bx AS (SELECT s_suppkey AS box_id, s_suppkey % 2 = 0 AS turned, (s_suppkey * 37 % 1000)::DOUBLE AS ox, (s_suppkey * 53 % 200)::DOUBLE AS oy,
+  CASE WHEN s_suppkey % 10 = 0 THEN 60e0 ELSE 12e0 END AS half FROM supplier),
+b AS (SELECT *, CASE WHEN turned THEN 0e0 ELSE ox END AS cx, CASE WHEN turned THEN 0e0 ELSE oy END AS cy, 0.6e0 * -ox + 0.8e0 * -oy AS tx, 0.8e0 * ox + 0.6e0 * -oy AS ty FROM bx)"""
+_INSIDE = """CASE WHEN turned THEN 0.6e0 * px + 0.8e0 * py + 0e0 * pz + tx ELSE px END BETWEEN cx - half AND cx + half
+  AND CASE WHEN turned THEN -0.8e0 * px + 0.6e0 * py + 0e0 * pz + ty ELSE py END BETWEEN cy - half AND cy + half AND pz BETWEEN 2 AND 8"""
 ORACLE_SQL = {
+    "rooms_at_city": f"""WITH {_CITY} SELECT id AS key, c_custkey AS room_id FROM el JOIN customer ON c_custkey = floor(x / 10)::BIGINT + 100 * floor(y / 10)::BIGINT AND x < 1000""",
+    "box_members_centroid": f"""WITH {_CITY}, {_BOXES}, p AS (SELECT id, x AS px, y AS py, z AS pz FROM el) SELECT id, box_id FROM p JOIN b ON {_INSIDE}""",
+    "box_members_intersects": f"""WITH {_CITY}, {_BOXES}, p AS (SELECT id, x + i * 3 AS px, y + j * 3 AS py, z + k AS pz FROM el, (VALUES (-1), (1)) a(i), (VALUES (-1), (1)) c(j), (VALUES (-1), (1)) d(k)
+  WHERE has_box UNION ALL SELECT id, ((x - 3) + (x + 3)) * 0.5e0, ((y - 3) + (y + 3)) * 0.5e0, ((z - 1) + (z + 1)) * 0.5e0 FROM el WHERE has_box)
+  SELECT DISTINCT id, box_id FROM p JOIN b ON {_INSIDE}""",
     "rooms_json_lines": f"""SELECT c_custkey AS id, '{{"unique_id":"r-' || c_custkey || '","id":' || c_custkey || ',"number":"' || c_name || '","name":"' || c_mktsegment
   || '","area_sf":' || c_acctbal::VARCHAR || ',"level":' || {_LEVEL} || '}}' AS line FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal > 0 AND c_custkey % 5 > 1""",
     "rooms_json_fields": f"""SELECT c_custkey AS id, '{{"id":' || c_custkey || ',"number":"' || c_name || '","level":' || {_LEVEL} || '}}' AS line

@@ -10,7 +10,7 @@ from girder.functions.geometry import probes
 from girder.functions.text import same_text
 from girder.operators.listing import held, page
 from girder.operators.lookup import enrich
-from girder.operators.spatial import rooms_at
+from girder.operators.spatial import rooms_at, rooms_at_all
 from girder.plans import args as A
 from girder.plans.args import QueryError
 from girder.plans.result import Result
@@ -139,7 +139,7 @@ def doors_of_all(model: Model, category: str, door_params: list[str], room_param
     sides = _sides(full, "doc_id", "id")
     points = sides.where(~F.col("stored") & F.col("placed")).select("doc_id", F.struct("doc_id", "id", "side").alias("key"), "p.*")
     in_phase = model.rooms.join(phases, F.col("doc_id") == F.col("p_doc"), "left").where(F.col("phase").isNull() | F.col("phase_id").isNull() | (F.col("phase_id") == F.col("phase")))
-    met = rooms_at(points, in_phase).select(F.col("key.doc_id").alias("__doc"), F.col("key.id").alias("__id"), F.col("key.side").alias("__side"), F.col("room_id").alias("met_id"))
+    met = rooms_at_all(points, in_phase).select(F.col("key.doc_id").alias("__doc"), F.col("key.id").alias("__id"), F.col("key.side").alias("__side"), F.col("room_id").alias("met_id"))
     both = sides.join(met, same_door & (F.col("side") == F.col("__side")), "left").select("doc_id", "id", "side", "stored", F.coalesce("stored_id", "met_id").alias("room_id"))
     levels = model.levels.select(F.col("doc_id").alias("l_doc"), F.col("id").alias("l_id"), F.col("name").alias("level_name"))
     rooms = model.rooms.select(F.col("doc_id").alias("__doc"), F.col("id").alias("r_id"), F.col("name").alias("r_name"), "number", F.col("level_id").alias("r_level"),

@@ -174,3 +174,37 @@ def renamed(spark: SparkSession, sf_dir: str) -> Model:
     own = _params(name=F.when(key % 6 == 0, _param("String", F.concat(F.lit('Re "named" '), key))), resolution=F.when(key % 5 == 0, _param("String", F.lit("mine"))))
     model.tables["elements"] = model.elements.withColumn("params", F.map_concat("params", own))
     return model
+
+#: Rooms of the city stand in rows of so many, each as wide and deep as this.
+ROW, ROOM = 100, 10
+
+
+def city(spark: SparkSession, sf_dir: str) -> Model:
+    """Every customer as a room with a footprint, in rows of a city; orders as elements in their customers' rooms, but a third of all in one block of a few rooms."""
+    model = building(spark, sf_dir)
+    key, order, custkey = F.col("id"), F.col("o_orderkey"), F.col("o_custkey")
+    corner = lambda dx, dy: F.struct((key % ROW * ROOM + dx).cast("double").alias("x"), (F.floor(key / ROW) * ROOM + dy).cast("double").alias("y"))
+    model.tables["rooms"] = model.rooms.withColumn("footprint", F.array(corner(0, 0), corner(ROOM, 0), corner(ROOM, ROOM), corner(0, ROOM)))
+    crowd = order % 3 == 0
+    x = F.when(crowd, custkey % 17 + (order % 7) / 8).otherwise(custkey % ROW * ROOM + order % 10 + 0.5)
+    y = F.when(crowd, order % 13 + 0.25).otherwise(F.floor(custkey / ROW) * ROOM + order % 9 + 0.75)
+    z = (order % 100) / 10
+    boxed = F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))
+    at = spark.read.parquet(f"{sf_dir}/orders.parquet").select(order.alias("__order"), _point(x, y, z).alias("location"), F.when(order % 5 != 0, boxed).alias("bbox"))
+    model.tables["elements"] = model.elements.drop("location", "bbox").join(at, key == F.col("__order")).select(*[f.name for f in TABLES["elements"]])
+    return model
+
+
+def boxed_city(spark: SparkSession, sf_dir: str) -> Model:
+    """The city with a scope box for each supplier: every other one is turned, some are large."""
+    model = city(spark, sf_dir)
+    k = F.col("s_suppkey")
+    x, y, half = (k * 37 % 1000).cast("double"), (k * 53 % 200).cast("double"), F.when(k % 10 == 0, 60.0).otherwise(12.0)
+    m = [0.6, 0.8, 0.0, 0.6 * -x + 0.8 * -y, -0.8, 0.6, 0.0, 0.8 * x + 0.6 * -y, 0.0, 0.0, 1.0, 0.0]
+    turned = F.array(*[v if isinstance(v, Column) else F.lit(v) for v in m])
+    own = lambda v: F.when(k % 2 == 0, 0.0).otherwise(v)
+    low, high = _point(own(x) - half, own(y) - half, F.lit(2.0)), _point(own(x) + half, own(y) + half, F.lit(8.0))
+    boxes = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.lit(0).alias("doc_id"), k.alias("id"), F.col("s_name").alias("name"), low.alias("min"), high.alias("max"),
+        F.when(k % 2 == 0, turned).alias("inverse"))
+    model.tables["scope_boxes"] = _shaped(boxes, "scope_boxes")
+    return model
