@@ -44,7 +44,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import broadcast_if_small, drop, table, text_key, written
+from girder.operators.keys import flagged, prefiltered
+
+from .common import drop, table, text_key, written
 
 REGISTERS, ROWS = 128, 4
 BASE, RATE, TOP = 1.001, 20.0, 65_534
@@ -307,8 +309,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     largest = members.groupBy(F.col("a").alias("set_id")).agg(F.max("size").alias("size"))
     wanted = kept(largest.join(classes, "set_id").select("set_id", "size", "n", "sketch", F.col("at.doc_id").alias("w_doc"), F.col("at.key").alias("w_key")), "wanted")
-    at = broadcast_if_small(wanted.select("set_id", "w_doc", "w_key"), 64)
-    texts = keyed.join(at, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))).select("set_id", "text")
+    # one plan at any size: what a filter of bounded size lets pass meets the classes by a merge join
+    at = wanted.select("set_id", "w_doc", "w_key")
+    possible = prefiltered(keyed, F.xxhash64("doc_id", "key"), at.select(F.xxhash64("w_doc", "w_key").alias("id")), F.col("id"))
+    same_text = F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("key") == F.col("w_key"))
+    texts = possible.join(at.hint("merge"), same_text).select("set_id", "text")
     sets = kept(texts.mapInPandas(_set_maker(width), "set_id binary, hashes binary").dropDuplicates(["set_id"]), "sets")
     crowded = sets.join(wanted.where(F.col("size") > LARGE).select("set_id"), "set_id", "left_semi")
     once = crowded.mapInPandas(_hashes, "h long, c1 long, c2 long").groupBy("h").agg(F.count("*").alias("df"), F.bit_xor("c1").alias("c1"),
@@ -377,7 +382,16 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     found = near_duplicates(docs, width, percent)
     gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct(), "gone")
     drop(found)
-    return docs.join(broadcast_if_small(gone, 40), docs["doc_id"].eqNullSafe(gone["__doc"]) & (text_key(docs["text"]) == gone["__key"]), "left_anti")
+    return without(docs, gone)
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but the rows that a written table (__doc, __key) names. Rows that are surely not named stay where they are read; the others meet it by a merge join."""
+    keyed = docs.withColumn("__text_key", text_key(F.col("text")))
+    marked = flagged(keyed, F.xxhash64("doc_id", "__text_key"), gone.select(F.xxhash64("__doc", "__key").alias("id")), F.col("id"))
+    named = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__text_key") == F.col("__key"))
+    rest = marked.where("__maybe").join(gone.hint("merge"), named, "left_anti")
+    return marked.where("NOT __maybe").union(rest).select(*docs.columns)
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

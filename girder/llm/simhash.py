@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, drop, table, text_key, written
-from .near_dup import components
+from .near_dup import components, without
 
 WIDTH, SEED, BITS, DISTANCE = 4, 42, 64, 4
 #: Blocks of bits, and how many of them a bucket has alike: as many as DISTANCE leaves.
@@ -180,7 +180,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     found = fingerprints_linked(docs)
     gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key")).distinct(), "gone")
     drop(found)
-    return docs.join(broadcast_if_small(gone, 40), docs["doc_id"].eqNullSafe(gone["__doc"]) & (text_key(docs["text"]) == gone["__key"]), "left_anti")
+    return without(docs, gone)
 
 
 def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
