@@ -27,21 +27,23 @@ def _capital(letter: str) -> str:
 
 
 @cache
-def _letters() -> tuple[str, str]:
-    """Letters beyond ASCII that have a capital, and those capitals."""
-    pairs = [(chr(i), _capital(chr(i))) for i in range(128, 0x20000) if not 0xD800 <= i < 0xE000]
+def letters() -> tuple[str, str]:
+    """Letters that have a capital, and those capitals."""
+    pairs = [(chr(i), _capital(chr(i))) for i in range(0x20000) if not 0xD800 <= i < 0xE000]
     changed = [(a, b) for a, b in pairs if a != b]
     return "".join(a for a, _ in changed), "".join(b for _, b in changed)
 
 
 def folded(c: Column) -> Column:
     """Text as an ordinal comparison without regard to case sees it: each code point by itself in upper case, so that no text changes its length."""
-    small, capital = _letters()
-    ascii_only = F.octet_length(c) == F.char_length(c)
-    small, capital = small + "abcdefghijklmnopqrstuvwxyz", capital + "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.when(ascii_only, F.upper(c)).otherwise(F.translate(c, small, capital))
+    return F.when(F.octet_length(c) == F.char_length(c), F.upper(c)).otherwise(F.translate(c, *letters()))
 
 
 def same_text(a: Column, b: Column | str) -> Column:
     """Equal without regard to case, as an ordinal comparison folds it."""
     return folded(a) == folded(F.lit(b) if isinstance(b, str) else b)
+
+
+def in_order(name: str, collation: str | None) -> list[Column]:
+    """What orders rows by a text: its code points, or a collation's order and, where that sees no difference, code points."""
+    return [F.collate(F.col(name), collation), F.col(name)] if collation else [F.col(name)]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Points of a sample, and the share of them, one in so many, that a cell holds before it is split. A tree has at most about PARTS * 4 * DEPTH cells, whatever the tables' size.
-SAMPLE, PARTS, DEPTH = 40_000, 512, 20
+SAMPLE, PARTS, DEPTH = 40_000, 512, 40
 #: Cells are split down to this width (in feet); a smaller one that holds too much is salted instead.
 LEAST = 10.0
 
@@ -38,7 +38,7 @@ class Tree:
         found = areas.withColumn("level", F.lit(0)).withColumn("cx", F.explode(span("x", self.size))).withColumn("cy", F.explode(span("y", self.size)))
         for level in sorted({c[1] for c in self.split}):
             cells = self._table([c for c in self.split if c[1] == level], "")
-            met = found.join(cells, (F.col("doc_id") == F.col("__doc")) & (F.col("level") == F.col("__level")) & (F.col("cx") == F.col("__cx")) & (F.col("cy") == F.col("__cy")), "left")
+            met = found.join(cells, self._same_cell(), "left")
             low = lambda a: F.greatest(2 * F.col(f"c{a}"), F.floor(F.col(f"{a}0") / self.width(level + 1)))  # noqa: B023, E731
             high = lambda a: F.least(2 * F.col(f"c{a}") + 1, F.floor(F.col(f"{a}1") / self.width(level + 1)))  # noqa: B023, E731
             inner = lambda a: F.when(F.col("__doc").isNull(), F.array(F.col(f"c{a}"))).otherwise(F.sequence(low(a), high(a)))  # noqa: B023, E731
@@ -47,16 +47,34 @@ class Tree:
             found = halves.withColumn("cx", F.explode("__xs")).withColumn("cy", F.explode("__ys")).drop("__xs", "__ys", "__doc", "__level", "__cx", "__cy")
         return found
 
+    def _leaves(self) -> list[tuple]:
+        """(doc_id, level, cx, cy, unsplit, salts) of the cells below split ones, of salted ones, and of split ones of level 0."""
+        below = {(d, level + 1, 2 * x + i, 2 * y + j) for d, level, x, y in self.split for i in (0, 1) for j in (0, 1)}
+        known = below | set(self.salts) | {c for c in self.split if c[1] == 0}
+        return [(*c, c not in self.split, self.salts.get(c, 1)) for c in known if c not in self.split or c[1] == 0]
+
+    def placed_points(self, points: DataFrame) -> DataFrame:
+        """points (doc_id, x0, y0, ...) with level, cx, cy of the unsplit cell that each is in, and __n, its salts: of a point's cells in all levels one stays."""
+        at = lambda level: F.struct(F.lit(level).alias("level"), F.floor(F.col("x0") / self.width(level)).alias("cx"), F.floor(F.col("y0") / self.width(level)).alias("cy"))
+        deepest = max((c[1] + 1 for c in self.split), default=0)
+        each = points.withColumn("__at", F.explode(F.array(*map(at, range(deepest + 1))))).select("*", "__at.*").drop("__at")
+        cells = self._table(self._leaves(), ", __unsplit boolean, __n int")
+        met = each.join(cells, self._same_cell(), "left").where(F.coalesce("__unsplit", F.col("level") == 0))
+        return met.withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__doc", "__level", "__cx", "__cy", "__unsplit")
+
+    @staticmethod
+    def _same_cell() -> Column:
+        return (F.col("doc_id") == F.col("__doc")) & (F.col("level") == F.col("__level")) & (F.col("cx") == F.col("__cx")) & (F.col("cy") == F.col("__cy"))
+
     def _salted(self, placed: DataFrame) -> DataFrame:
-        if not self.salts:
-            return placed.withColumn("__n", F.lit(1))
         cells = self._table([(*c, n) for c, n in self.salts.items()], ", __n int")
-        met = placed.join(cells, (F.col("doc_id") == F.col("__doc")) & (F.col("level") == F.col("__level")) & (F.col("cx") == F.col("__cx")) & (F.col("cy") == F.col("__cy")), "left")
+        met = placed.join(cells, self._same_cell(), "left")
         return met.withColumn("__n", F.coalesce("__n", F.lit(1))).drop("__doc", "__level", "__cx", "__cy")
 
-    def dealt(self, many: DataFrame, by: Column) -> DataFrame:
-        """The larger side with level, cx, cy and salt: one salt for each row, by a hash of what tells rows apart."""
-        return self._salted(self.placed(many)).withColumn("salt", F.pmod(F.hash(by), F.col("__n"))).drop("__n")
+    def dealt(self, many: DataFrame, by: Column, points: bool = False) -> DataFrame:
+        """The larger side with level, cx, cy and salt: one salt for each row, by a hash of what tells rows apart. points: its areas are points."""
+        placed = self.placed_points(many) if points else self._salted(self.placed(many))
+        return placed.withColumn("salt", F.pmod(F.hash(by), F.col("__n"))).drop("__n")
 
     def copied(self, few: DataFrame) -> DataFrame:
         """The smaller side with level, cx, cy and salt: a row for each salt of a cell."""
@@ -72,18 +90,31 @@ class Tree:
 CELL = ["doc_id", "level", "cx", "cy", "salt"]
 
 
-def grown(points: DataFrame, parts: int = PARTS, sample: int = SAMPLE, least: float = LEAST) -> Tree:
-    """A tree for points (doc_id, x, y): no unsplit cell, or salt of one, holds much more than one in parts of the sample.
+def _reach(areas: DataFrame) -> Column:
+    """How far from the origin areas (x0, y0, x1, y1) reach."""
+    return F.coalesce(F.max(F.greatest(*[F.abs(F.col(c)) for c in ("x0", "y0", "x1", "y1")])), F.lit(0.0))
+
+
+def finite(areas: DataFrame) -> DataFrame:
+    """The areas whose bounds are numbers within 10 ** 15."""
+    kept = F.lit(True)
+    for c in ("x0", "y0", "x1", "y1"):
+        kept &= F.abs(F.col(c)) <= 1e15  # NaN is larger than any number
+    return areas.where(kept)
+
+
+def grown(many: DataFrame, few: DataFrame, parts: int = PARTS, sample: int = SAMPLE, least: float = LEAST) -> Tree:
+    """A tree for two sides of areas (doc_id, x0, y0, x1, y1): of the larger one no unsplit cell, or salt of one, holds much more than one in parts.
 
-    The sample, of at most about the given size, is all that the driver sees. It decides who does what, never what is found.
+    A sample of that side, of at most about the given size, is all that the driver sees. It decides who does what, never
+    what is found. Cells of level 0 are so wide that no area touches more than 65 * 65.
     """
-    n = points.count()
-    some = points.select("doc_id", "x", "y").where("x IS NOT NULL AND y IS NOT NULL")
-    taken = some.sample(min(1.0, sample / max(n, 1)), seed=7).limit(2 * sample).collect()
-    seen = [(r["doc_id"], r["x"], r["y"]) for r in taken if math.isfinite(r["x"]) and math.isfinite(r["y"])]
-    extent = max((abs(v) for _, x, y in seen for v in (x, y)), default=1.0)
-    tree = Tree(points.sparkSession, 2.0 ** max(0, math.ceil(math.log2(max(extent, least)))))
-    most, level, left = max(1, len(seen) // parts), 0, seen
+    n, reach = many.agg(F.count(F.lit(1)), _reach(many)).first()
+    extent = max(reach, few.agg(_reach(few)).first()[0], least)
+    tree = Tree(many.sparkSession, max(2.0 ** math.ceil(math.log2(extent / 32)), least))
+    middle = [((F.col(f"{a}0") + F.col(f"{a}1")) / 2).alias(a) for a in "xy"]
+    left = [tuple(r) for r in many.select("doc_id", *middle).sample(min(1.0, sample / max(n, 1)), seed=7).limit(2 * sample).collect()]
+    most, level = max(1, len(left) // parts), 0
     while left:
         cell = lambda p: (p[0], level, math.floor(p[1] / tree.width(level)), math.floor(p[2] / tree.width(level)))  # noqa: B023, E731
         counts = Counter(map(cell, left))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from girder.functions.geometry import corners, in_footprint, midpoint, point
 
 from .quadtree import CELL as TREE_CELL
-from .quadtree import grown
+from .quadtree import finite, grown
 
 CELL = 10.0
 #: Sizes of cells in a row of grids, each so many times the one before. Bounds go to the finest grid in which they span no more than that many cells, so they touch at most (SPAN + 1) ** 2.
@@ -96,9 +96,10 @@ def rooms_at_all(points: DataFrame, rooms: DataFrame, **growth) -> DataFrame:
     xs, ys = F.transform("footprint", lambda p: p["x"]), F.transform("footprint", lambda p: p["y"])
     bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"),
         F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
-    tree = grown(points, **growth)
+    dots, bounds = finite(points.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1")), finite(bounds)
+    tree = grown(dots, bounds, **growth)
     cell = [F.col(c) for c in TREE_CELL]
-    dealt = tree.dealt(points.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1"), F.col("key")).select(*cell, "key", "x", "y", "z")
+    dealt = tree.dealt(dots, F.col("key"), points=True).select(*cell, "key", "x", "y", "z")
     copied = tree.copied(bounds).select(*cell, "room_id", "footprint", "z_min", "z_max")
     high = (F.col("z") >= F.coalesce("z_min", F.col("z"))) & (F.col("z_max").isNull() | (F.col("z") < F.col("z_max")))
     met = dealt.join(copied, TREE_CELL).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
@@ -143,12 +144,12 @@ def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, *
     else:
         tested = F.array(F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox")))))
     kept = elements.where(F.col("bbox").isNotNull() if intersects else F.coalesce("location", F.col("bbox.min")).isNotNull())
-    slim = kept.select("doc_id", "id", tested.alias("points")).select("*", *_bounds(F.col("points"), 0.0))
-    tree = grown(slim.select("doc_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y")), **growth)
+    slim, sides = finite(kept.select("doc_id", "id", tested.alias("points")).select("*", *_bounds(F.col("points"), 0.0))), finite(sides)
+    tree = grown(slim, sides, **growth)
     own = ["id", "points", "x0", "y0", "x1", "y1"]
     other = sides.select("doc_id", "box_id", "min", "max", "inverse", *[F.col(c) for c in own[2:]])
     few = tree.copied(other).select(*TREE_CELL, "box_id", "min", "max", "inverse", *[F.col(c).alias(f"b_{c}") for c in own[2:]])
-    both = tree.dealt(slim, F.col("id")).select(*TREE_CELL, *own).join(few, TREE_CELL)
+    both = tree.dealt(slim, F.col("id"), points=not intersects).select(*TREE_CELL, *own).join(few, TREE_CELL)
     x, y = F.greatest("x0", "b_x0"), F.greatest("y0", "b_y0")
     here = (x <= F.least("x1", "b_x1")) & (y <= F.least("y1", "b_y1")) & tree.holds(x, y)
 

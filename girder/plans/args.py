@@ -94,6 +94,8 @@ def fields(args: dict) -> set[str] | None:
 NOTHING = {"type": "object", "properties": {}, "additionalProperties": False}
 FIELDS = {"type": "array", "items": {"type": "string"}, "description": "Columns to keep in each row; id always stays."}
 
+COLLATION = {"type": "string", "description": "Order of texts, by the name of a collation (such as UNICODE or en); by code points if there is none."}
+
 
 def limit_schema(default: int = 200, most: int = 1000) -> dict:
     return {"type": "integer", "description": f"Rows to return at most (default {default}, up to {most})."}

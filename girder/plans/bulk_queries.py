@@ -9,10 +9,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from girder.plans.bulk import door_lines, room_lines
+from girder.plans.registry import run
+from girder.plans.sql import register_functions
 from girder.queries.common import with_level_of_all
 from girder.queries.lookup import ifc_guids_of, unique_ids_of
 from girder.operators.spatial import boxes_met, rooms_at_all
 from girder.sources.driver_tables import SESSION, boxed_city, building, city, linked, named, odd, renamed
+from girder.queries.sheets import visible_elements
 from girder.sources.guid_index import GuidIndex
 
 
@@ -90,8 +93,30 @@ def box_members_intersects(spark, sf_dir):
     return boxes_met(model.elements, model.scope_boxes, intersects=True).select("id", "box_id")
 
 
+def box_members_sql(spark, sf_dir):
+    """The same by the SQL table function, whose arguments are columns of the table of boxes."""
+    model = boxed_city(spark, sf_dir)
+    register_functions(model, "city_")
+    return spark.sql("SELECT f.id, b.id AS box_id FROM city_scope_boxes b, LATERAL city_elements_in_box(b.doc_id, b.id) f")
+
+
+def views_in_order(spark, sf_dir):
+    """Views by a collation that sees no case first: by name, then by code points, then by id."""
+    found = run(building(spark, sf_dir), SESSION, "get_views", {"collation": "UNICODE_CI", "limit": 1000})
+    return found.df.select("id", "name", "view_type")
+
+
+def view_elements_of_all(spark, sf_dir):
+    """The first elements of every view, where one view shows a third of all elements and some elements twice."""
+    model = building(spark, sf_dir)
+    crowd = model.elements.where(F.col("id") % 3 == 0).select(F.lit(0).cast("long").alias("doc_id"), F.lit(1).cast("long").alias("view_id"), F.col("id").alias("element_id"))
+    model.tables["view_elements"] = model.view_elements.unionByName(crowd)
+    found = visible_elements(model.views.select(F.col("id").alias("view_id")), model, 0, 50)
+    return found.select("view_id", "rn", "unique_id", "ifc_guid", F.col("classification.assembly_code").alias("assembly_code"))
+
+
 NAMES = """rooms_json_lines rooms_json_fields door_json_lines unique_ids_bulk ifc_guids_bulk guid_index_entries element_levels rooms_at_city box_members_centroid
-box_members_intersects""".split()
+box_members_intersects box_members_sql views_in_order view_elements_of_all""".split()
 QUERIES = {name: globals()[name] for name in NAMES}
 
 _KEY = "CASE r_regionkey WHEN 1 THEN 'revit:info-1' WHEN 2 THEN 'revit:info-2' WHEN 3 THEN r_name ELSE substr(sha256('/models/' || lower(r_name)), 1, 16) END"
@@ -109,6 +134,13 @@ _INSIDE = """CASE WHEN turned THEN 0.6e0 * px + 0.8e0 * py + 0e0 * pz + tx ELSE
 ORACLE_SQL = {
     "rooms_at_city": f"""WITH {_CITY} SELECT id AS key, c_custkey AS room_id FROM el JOIN customer ON c_custkey = floor(x / 10)::BIGINT + 100 * floor(y / 10)::BIGINT AND x < 1000""",
     "box_members_centroid": f"""WITH {_CITY}, {_BOXES}, p AS (SELECT id, x AS px, y AS py, z AS pz FROM el) SELECT id, box_id FROM p JOIN b ON {_INSIDE}""",
+    "box_members_sql": f"""WITH {_CITY}, {_BOXES}, p AS (SELECT id, x AS px, y AS py, z AS pz FROM el) SELECT id, box_id FROM p JOIN b ON {_INSIDE}""",
+    "views_in_order": """SELECT p_partkey AS id, p_name AS name, p_type AS view_type FROM part WHERE p_size NOT IN (49, 50) ORDER BY lower(p_type), p_type, lower(p_name), p_name, p_partkey LIMIT 1000""",
+    "view_elements_of_all": """WITH ty AS (SELECT l_orderkey, min(l_partkey) AS type_id FROM lineitem GROUP BY 1),
+v AS (SELECT l_partkey AS view_id, l_orderkey AS id FROM lineitem JOIN part ON p_partkey = l_partkey UNION SELECT 1, o_orderkey FROM orders WHERE o_orderkey % 3 = 0),
+r AS (SELECT view_id, id, row_number() OVER (PARTITION BY view_id ORDER BY id)::INT AS rn FROM v JOIN orders ON o_orderkey = id QUALIFY rn <= 50)
+SELECT view_id, rn, 'u-' || id AS unique_id, CASE WHEN id % 3 = 0 THEN 'g-' || id END AS ifc_guid,
+  coalesce(CASE WHEN p_size > 25 THEN p_brand END, CASE WHEN id % 2 = 0 THEN 'inst' END) AS assembly_code FROM r LEFT JOIN ty ON l_orderkey = id LEFT JOIN part ON p_partkey = type_id""",
     "box_members_intersects": f"""WITH {_CITY}, {_BOXES}, p AS (SELECT id, x + i * 3 AS px, y + j * 3 AS py, z + k AS pz FROM el, (VALUES (-1), (1)) a(i), (VALUES (-1), (1)) c(j), (VALUES (-1), (1)) d(k)
   WHERE has_box UNION ALL SELECT id, ((x - 3) + (x + 3)) * 0.5e0, ((y - 3) + (y + 3)) * 0.5e0, ((z - 1) + (z + 1)) * 0.5e0 FROM el WHERE has_box)
   SELECT DISTINCT id, box_id FROM p JOIN b ON {_INSIDE}""",

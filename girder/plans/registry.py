@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from girder.plans.args import FIELDS, NOTHING, limit_schema, of, schema
+from girder.plans.args import COLLATION, FIELDS, NOTHING, limit_schema, of, schema
 from girder.plans.result import Result
 from girder.queries import doors, flat, lookup, scope_box, sheets
 from girder.sources.model import Model, Session
@@ -31,19 +31,19 @@ _CANDIDATES = {
 }
 QUERIES = [
     Query("get_rooms", "Rooms by number, with level and area; unplaced ones only if asked for.",
-        schema(include_unplaced=of("boolean", "Rooms without an area too."), limit=limit_schema(), fields=FIELDS), flat.get_rooms),
+        schema(include_unplaced=of("boolean", "Rooms without an area too."), limit=limit_schema(), fields=FIELDS, collation=COLLATION), flat.get_rooms),
     Query("get_levels", "Levels by elevation.", NOTHING, flat.get_levels),
     Query("get_views", "Views by type and name, without templates and sheets.",
-        schema(view_type=of("string", "Only views of this type."), limit=limit_schema(), fields=FIELDS), flat.get_views),
+        schema(view_type=of("string", "Only views of this type."), limit=limit_schema(), fields=FIELDS, collation=COLLATION), flat.get_views),
     Query(
         "get_sheets", "Sheets by number, the views on each, and on request the elements visible in them.",
         schema(
             sheet_number=of("string", "Only this sheet."), include_elements=of("boolean", "List the elements of each view."),
-            element_limit=of("integer", "Elements of a view at most (default 100, up to 1000)."), limit=limit_schema(100, 500), fields=FIELDS,
+            element_limit=of("integer", "Elements of a view at most (default 100, up to 1000)."), limit=limit_schema(100, 500), fields=FIELDS, collation=COLLATION,
         ),
         sheets.get_sheets,
     ),
-    Query("get_links", "Linked models by name, and whether they are loaded.", NOTHING, flat.get_links),
+    Query("get_links", "Linked models by name, and whether they are loaded.", schema(collation=COLLATION), flat.get_links),
     Query(
         "filter_elements_by_scope_box", "Which elements are inside a scope box, whatever its rotation.",
         schema(

@@ -1,10 +1,34 @@
-"""The listings and the box test as SQL table functions over the model's tables."""
+"""The listings, the box test, the identity lookups and doors' rooms as SQL table functions over the model's tables.
+
+A function's arguments can be columns of a table: `FROM boxes b, LATERAL bim_elements_in_box(b.doc_id, b.id)` tests all
+elements against all rows of boxes, and Spark plans it as a join.
+"""
 
 from __future__ import annotations
 
 from girder.functions.identity import PROJECT_PREFIX
+from girder.functions.text import letters
 from girder.sources.model import Model
 
+#: An element's place: its location, else the middle of its bounding box. What is tested of a bounding box: its corners and its middle.
+_MIDDLE = "struct((bbox.min.x + bbox.max.x) * 0.5D AS x, (bbox.min.y + bbox.max.y) * 0.5D AS y, (bbox.min.z + bbox.max.z) * 0.5D AS z)"
+_CENTRE = f"coalesce(location, CASE WHEN bbox IS NOT NULL THEN {_MIDDLE} END)"
+_CORNERS = ", ".join(f"struct(bbox.{i}.x AS x, bbox.{j}.y AS y, bbox.{k}.z AS z)" for k in ("min", "max") for j in ("min", "max") for i in ("min", "max"))
+_TESTED = f"array({_CORNERS}, {_MIDDLE})"
+
+
+def _in_box(at: str) -> str:
+    """Whether a point is in box b, in the box's own coordinates if it is turned."""
+    own = lambda i: " + ".join([*(f"get(b.inverse, {4 * i + j}) * {at}.{a}" for j, a in enumerate("xyz")), f"get(b.inverse, {4 * i + 3})"])
+    return " AND ".join(f"CASE WHEN coalesce(size(b.inverse), 0) > 0 THEN {own(i)} ELSE {at}.{a} END BETWEEN b.min.{a} AND b.max.{a}" for i, a in enumerate("xyz"))
+
+
+def _folded(text: str) -> str:
+    """As girder.functions.text.folded."""
+    small, capital = letters()
+    return f"CASE WHEN octet_length({text}) = char_length({text}) THEN upper({text}) ELSE translate({text}, '{small}', '{capital}') END"
+
+
 #: name -> (parameters, columns, body); {p} is the prefix of the tables' views. Rows aren't limited: ORDER BY and LIMIT are the caller's.
 FUNCTIONS = {
     "rooms_of": (
@@ -29,6 +53,37 @@ FUNCTIONS = {
         """SELECT s.sheet_number, s.id, v.ordinal, w.id, w.name, w.view_type FROM {p}sheets s LEFT JOIN ({p}viewports v JOIN {p}views w ON w.doc_id = v.doc_id AND w.id = v.view_id)
             ON v.doc_id = s.doc_id AND v.sheet_id = s.id WHERE s.doc_id = sheet_views_of.doc AND NOT s.is_template""",
     ),
+    "elements_in_box": (
+        "doc BIGINT, box BIGINT", "id BIGINT, name STRING, category STRING",
+        f"""SELECT e.id, e.name, e.category FROM (SELECT *, {_CENTRE} AS c FROM {{p}}elements) e JOIN {{p}}scope_boxes b ON b.doc_id = e.doc_id
+            WHERE b.doc_id = elements_in_box.doc AND b.id = elements_in_box.box AND {_in_box("c")}""",
+    ),
+    "elements_meeting_box": (
+        "doc BIGINT, box BIGINT", "id BIGINT, name STRING, category STRING",
+        f"""SELECT e.id, e.name, e.category FROM {{p}}elements e JOIN {{p}}scope_boxes b ON b.doc_id = e.doc_id
+            WHERE b.doc_id = elements_meeting_box.doc AND b.id = elements_meeting_box.box AND e.bbox IS NOT NULL AND exists({_TESTED}, c -> {_in_box("c")})""",
+    ),
+    "element_by_uniqueid": (
+        "host BIGINT, uid STRING", "doc_id BIGINT, id BIGINT, name STRING, category STRING, link_instance_id BIGINT",
+        """SELECT f.r.doc_id, f.r.id, f.r.name, f.r.category, f.r.link FROM (
+            SELECT s.host, e.unique_id, min_by(struct(e.doc_id, e.id, e.name, e.category, s.link), struct(s.link IS NOT NULL, s.ordinal, s.link, e.id)) AS r FROM {p}elements e JOIN (
+                SELECT doc_id AS host, doc_id AS doc, CAST(NULL AS BIGINT) AS link, -1 AS ordinal FROM {p}documents
+                UNION ALL SELECT host_doc_id, target_doc_id, id, ordinal FROM {p}links WHERE target_doc_id IS NOT NULL) s ON s.doc = e.doc_id
+            GROUP BY s.host, e.unique_id) f WHERE f.host = element_by_uniqueid.host AND f.unique_id = element_by_uniqueid.uid""",
+    ),
+    "element_by_ifcguid": (
+        "doc BIGINT, guid STRING", "id BIGINT, unique_id STRING, name STRING, category STRING",
+        f"""SELECT f.r.id, f.r.unique_id, f.r.name, f.r.category FROM (
+            SELECT doc_id, {_folded("ifc_guid")} AS k, min_by(struct(id, unique_id, name, category), id) AS r FROM {{p}}elements WHERE NOT is_type AND ifc_guid != '' GROUP BY 1, 2) f
+            WHERE f.doc_id = element_by_ifcguid.doc AND f.k = {_folded("element_by_ifcguid.guid")}""",
+    ),
+    "stored_rooms_of": (
+        "doc BIGINT, phase BIGINT", "element_id BIGINT, side STRING, room_id BIGINT, number STRING, name STRING, level_name STRING",
+        """SELECT o.element_id, o.side, r.id, r.number, r.name, l.name FROM (
+                SELECT doc_id, phase_id, element_id, 'from' AS side, from_room_id AS room_id FROM {p}opening_rooms UNION ALL SELECT doc_id, phase_id, element_id, 'to', to_room_id FROM {p}opening_rooms) o
+            JOIN {p}rooms r ON r.doc_id = o.doc_id AND r.id = o.room_id LEFT JOIN {p}levels l ON l.doc_id = r.doc_id AND l.id = r.level_id
+            WHERE o.doc_id = stored_rooms_of.doc AND o.phase_id = stored_rooms_of.phase""",
+    ),
 }
 
 

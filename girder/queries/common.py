@@ -12,6 +12,8 @@ from girder.plans import args as A
 from girder.plans.args import QueryError
 from girder.sources.model import Model, Session
 
+#: Collations by Spark's names without a locale, with those that see no case or no accents.
+OWN_COLLATIONS = {f"UNICODE{a}{b}" for a in ("", "_CI") for b in ("", "_AI")} | {"UTF8_BINARY", "UTF8_LCASE"}
 #: Fixed value: an error text.
 NO_DOCUMENT = "No active document."
 
@@ -22,6 +24,16 @@ def active(session: Session) -> int:
     return session.doc_id
 
 
+def collation(model: Model, args: dict) -> str | None:
+    """The collation asked for, by one of the names that Spark knows; without one, texts are in the order of code points."""
+    if not (asked := A.text(args, "collation")):
+        return None
+    known = model.spark.sql("SELECT name FROM collations()").where(F.lower("name") == asked.lower()).first()
+    if known is None and asked.upper() not in OWN_COLLATIONS:
+        raise QueryError(f"Unknown collation '{asked}'.")
+    return known["name"] if known else asked.upper()
+
+
 def _level_ids() -> Column:
     """Where a row's level may be: level_id alone if there is one, else what its level parameters hold."""
     own = F.col("level_id").isNotNull() & (F.col("level_id") != -1)

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from girder.functions.identity import document_key
-from girder.functions.text import blank, filled
+from girder.functions.text import blank, filled, in_order
 from girder.operators.listing import page
 from girder.plans import args as A
 from girder.plans.args import QueryError
 from girder.plans.result import Result, drop_empty, projected
 from girder.sources.model import Model, Session
 
-from .common import NO_DOCUMENT, active, with_level
+from .common import NO_DOCUMENT, active, collation, with_level
 
 
 def _document(model: Model, session: Session) -> DataFrame:
@@ -48,7 +48,7 @@ def get_rooms(model: Model, session: Session, args: dict) -> Result:
     rooms = model.of("rooms", active(session)).drop("footprint")
     if not A.flag(args, "include_unplaced"):
         rooms = rooms.where((F.col("area_sf") > 0) & ~F.isnan("area_sf"))
-    df, envelope = _listing(rooms, ["number", "id"], A.limit(args), model)
+    df, envelope = _listing(rooms, [*in_order("number", collation(model, args)), "id"], A.limit(args), model)
     fields = A.fields(args)
     rows = df.select("unique_id", "id", "number", "name", "area_sf", "area_user_units", "level")
     return Result(rows, envelope, "rooms", lambda r: projected(drop_empty(r, "area_user_units", "level"), fields))
@@ -74,7 +74,8 @@ def get_views(model: Model, session: Session, args: dict) -> Result:
         if kind is None:
             raise QueryError(f"Unknown ViewType '{wanted}'. Valid values: {', '.join(session.view_types)}.")
         views = views.where(F.col("view_type") == kind)
-    df, envelope = _listing(views, ["view_type", "name", "id"], A.limit(args), model)
+    by = collation(model, args)
+    df, envelope = _listing(views, [*in_order("view_type", by), *in_order("name", by), "id"], A.limit(args), model)
     fields = A.fields(args)
     return Result(df.select("unique_id", "id", "name", "view_type", "level"), envelope, "views", lambda r: projected(drop_empty(r, "level"), fields))
 
@@ -83,7 +84,7 @@ def get_links(model: Model, session: Session, args: dict) -> Result:
     links = model.of("links", active(session))
     targets = model.documents.select(F.col("doc_id").alias("__doc"), F.col("title"), document_key().alias("project_key"))
     df = links.join(targets, links["target_doc_id"] == targets["__doc"], "left").select("unique_id", "id", "name", F.col("__doc").isNotNull().alias("loaded"),
-        "title", "project_key").orderBy("name", "id")
+        "title", "project_key").orderBy(*in_order("name", collation(model, args)), "id")
 
     def row(r: dict) -> dict:
         return r if r["loaded"] else {k: r[k] for k in ("unique_id", "id", "name", "loaded")}

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from girder.functions import params as P
-from girder.functions.text import filled, same_text
+from girder.functions.text import filled, in_order, same_text
 from girder.operators.listing import page
 from girder.plans import args as A
 from girder.plans.result import Result, drop_empty, projected
 from girder.sources.model import Model, Session
 
-from .common import active
+from .common import active, collation
 
 
 def placed_views(sheets: DataFrame, model: Model, doc: int) -> DataFrame:
@@ -23,14 +23,19 @@ def placed_views(sheets: DataFrame, model: Model, doc: int) -> DataFrame:
 
 
 def visible_elements(views: DataFrame, model: Model, doc: int, cap: int) -> DataFrame:
-    """view_id, rn, unique_id, ifc_guid, classification: the first cap elements with a category of each view, in ascending id."""
-    shown = model.of("view_elements", doc).join(views.select("view_id").distinct(), "view_id", "left_semi")
-    elements = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull()).select(F.col("id").alias("element_id"), "unique_id", "ifc_guid",
-        "type_id", "params")
-    ranked = shown.select("view_id", "element_id").distinct().join(elements, "element_id").withColumn("rn",
-        F.row_number().over(Window.partitionBy("view_id").orderBy("element_id"))).where(F.col("rn") <= cap)
+    """view_id, rn, unique_id, ifc_guid, classification: the first cap elements with a category of each view, in ascending id.
+
+    Only ids are ranked, and in each task before they are shuffled, so a view that shows a third of all elements sends cap
+    rows from each task. What else is known of elements meets the rows that are left.
+    """
+    shown = model.of("view_elements", doc).join(views.select("view_id").distinct(), "view_id", "left_semi").select("view_id", "element_id")
+    listed = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull())
+    known = shown.join(listed.select(F.col("id").alias("element_id")), "element_id", "left_semi")
+    rank = F.dense_rank().over(Window.partitionBy("view_id").orderBy("element_id")).alias("rn")  # an element that a view shows twice has one rank
+    ranked = known.select("view_id", "element_id", rank).where(F.col("rn") <= cap).distinct()
+    elements = listed.select(F.col("id").alias("__element"), "unique_id", "ifc_guid", "type_id", "params")
     types = model.of("element_types", doc).select(F.col("type_id").alias("__type"), F.col("params").alias("type_params"))
-    full = ranked.join(types, ranked["type_id"] == types["__type"], "left")
+    full = ranked.join(elements, F.col("element_id") == F.col("__element")).join(types, F.col("type_id") == F.col("__type"), "left")
     return full.select("view_id", "rn", "unique_id", filled(F.col("ifc_guid")).alias("ifc_guid"),
         P.classification(F.col("type_params"), F.col("params")).alias("classification"))
 
@@ -40,7 +45,8 @@ def get_sheets(model: Model, session: Session, args: dict) -> Result:
     sheets = model.of("sheets", doc).where(~F.col("is_template"))
     if number := A.text(args, "sheet_number"):
         sheets = sheets.where(same_text(F.col("sheet_number"), number))
-    found = page(sheets, ["sheet_number", "id"], A.limit(args, 100, 500))
+    order = [*in_order("sheet_number", collation(model, args)), "id"]
+    found = page(sheets, order, A.limit(args, 100, 500))
     with_elements, cap, fields = A.flag(args, "include_elements"), A.limit(args, 100, 1000, "element_limit"), A.fields(args)
     views = placed_views(found.df, model, doc)
     columns = [F.col("unique_id"), F.col("name"), F.col("view_type")]
@@ -50,7 +56,7 @@ def get_sheets(model: Model, session: Session, args: dict) -> Result:
         views = views.join(each, "view_id", "left").withColumn("elements", F.coalesce("elements", F.array().cast(each.schema["elements"].dataType)))
         columns += [F.col("elements"), (F.size("elements") == cap).alias("elements_truncated")]
     per_sheet = views.groupBy("sheet_id").agg(F.sort_array(F.collect_list(F.struct("ordinal", "view_id", F.struct(*columns).alias("view")))).alias("views"))
-    df = found.df.join(per_sheet, F.col("id") == F.col("sheet_id"), "left").orderBy("sheet_number", "id").select("unique_id", "sheet_number", "sheet_name",
+    df = found.df.join(per_sheet, F.col("id") == F.col("sheet_id"), "left").orderBy(*order).select("unique_id", "sheet_number", "sheet_name",
         "current_revision", "views")
 
     def element(e: dict) -> dict:
