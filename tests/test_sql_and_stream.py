@@ -7,7 +7,7 @@ from girder.streaming.freshness import stamps
 
 
 def test_table_functions(model):  # noqa: F811
-    assert len(register_functions(model)) == 5
+    assert len(register_functions(model)) == 10
     sql = lambda text: [tuple(r) for r in model.spark.sql(text).collect()]
     assert [r[0] for r in sql("SELECT id FROM bim_rooms_of(1) ORDER BY number, id")] == [1, 2]
     assert len(sql("SELECT * FROM bim_rooms_of(1, true)")) == 5
