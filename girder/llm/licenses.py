@@ -14,6 +14,7 @@ with the same priority the labels come together.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,7 +126,7 @@ FORMS = [
     ("subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?N(?: licen[sc]e)?", ("subject",), 3, 0.9),
     ("spdx license identifier N(?: only| or later)?", ("spdx",), 4, 1.0),
     ("(?:the )?N license(?: agreement| terms| file)?", ("license",), 2, 0.7),
-    ("licen[sc]e(?:d)?(?: is| type)? N", ("license licence licensed licenced",), 2, 0.75),
+    ("licen[sc]e(?: is| type)? N", ("license licence",), 2, 0.75),
     ("N licence", ("licence",), 2, 0.7),
     ("dual(?:ly)? licensed under (?:the )?N", ("licensed",), 3, 0.9),
     ("N(?: or later| only) license", ("license",), 2, 0.7),
@@ -169,7 +170,145 @@ ALONE = [
     ("sspl", "server side public license", ("server",)),
     ("busl", "business source license", ("business",)),
     ("wtfpl", "wtfpl", ("wtfpl",)),
+    ("gpl-2", "gpl version 2(?: or later| only)?", ("gpl", "2")),
+    ("gpl-3", "gpl version 3(?: or later| only)?", ("gpl", "3")),
+    ("lgpl-2.1", "gnu (?:lesser|library) general public license(?: version)? v?2 1", ("gnu", "general")),
+    ("lgpl-3", "gnu lesser general public license(?: version)? v?3(?: 0)?", ("gnu", "general")),
+    ("agpl-3", "gnu affero general public license(?: version)? v?3(?: 0)?", ("affero",)),
+    ("mpl-1.1", "mozilla public license(?: version)? v?1 1", ("mozilla",)),
+    ("epl-1", "eclipse public license(?: version)? v?1(?: 0)?", ("eclipse",)),
+    ("epl-2", "eclipse public license(?: version)? v?2(?: 0)?", ("eclipse",)),
+    ("apache-1", "apache(?: software)? license(?: version)? 1 [01]", ("apache", "license")),
+    ("afl-3", "academic free license(?: version)? v?3(?: 0)?", ("academic",)),
+    ("aladdin", "aladdin free public license", ("aladdin",)),
+    ("apl", "adaptive public license", ("adaptive",)),
+    ("apsl-2", "apple public source license(?: version)?(?: v?2 0)?", ("apple",)),
+    ("blueoak", "blue oak model license(?: version)?(?: 1 0 0)?", ("blue", "oak")),
+    ("cecill", "cecill(?: free software)? license(?: agreement)?", ("cecill",)),
+    ("cpal", "common public attribution license(?: version)?(?: 1 0)?", ("attribution", "common")),
+    ("cpl", "common public license(?: version)?(?: v?1 0)?", ("common", "license")),
+    ("dsl", "design science license", ("design", "science")),
+    ("ecl-2", "educational community license(?: version)?(?: v?2 0)?", ("educational",)),
+    ("elastic", "elastic license(?: version)?(?: v?2 0)?", ("elastic",)),
+    ("hpnd", "historical permission notice and disclaimer", ("historical", "disclaimer")),
+    ("intel", "intel open source license", ("intel",)),
+    ("ipl", "ibm public license(?: version)?(?: v?1 0)?", ("ibm",)),
+    ("json", "(?:the )?json license", ("json",)),
+    ("lppl", "latex project public license(?: version)?(?: v?1 3[ac]?)?", ("latex",)),
+    ("ms-rl", "microsoft reciprocal license", ("microsoft",)),
+    ("mulan-2", "mulan (?:psl|permissive software license)(?: version)? v?2", ("mulan",)),
+    ("nasa", "nasa open source agreement", ("nasa",)),
+    ("odc-by", "open data commons attribution license(?: version)?(?: v?1 0)?", ("attribution", "commons")),
+    ("ogl", "open government licen[cs]e(?: version)?(?: v?[123] 0)?", ("government",)),
+    ("opl", "open publication license", ("publication",)),
+    ("osl-3", "open software license(?: version)? v?3(?: 0)?", ("open", "software", "license")),
+    ("pddl", "public domain dedication and license", ("dedication",)),
+    ("python", "python software foundation license(?: version)?(?: 2)?", ("python", "foundation")),
+    ("qpl", "q public license(?: version)?(?: 1 0)?", ("q", "public")),
+    ("rpl", "reciprocal public license(?: version)?(?: 1 [15])?", ("reciprocal",)),
+    ("upl", "universal permissive license(?: version)?(?: v?1 0)?", ("universal", "permissive")),
+    ("zpl", "zope public license(?: version)?(?: v?2 [01])?", ("zope",)),
+    ("cc-by-sa", "creative commons attribution (?:sharealike|share alike)(?: [1-4] 0)?(?: international| unported| generic)?", ("creative", "sharealike alike")),
+    ("cc-by-nd", "creative commons attribution (?:noderivatives|no derivatives|noderivs|no derivs)(?: [1-4] 0)?(?: international| unported| generic)?", ("creative", "noderivatives noderivs derivatives derivs")),
+    ("cc-by-nc", "creative commons attribution (?:noncommercial|non commercial)(?: [1-4] 0)?(?: international| unported| generic)?", ("creative", "noncommercial commercial")),
+    ("cc-by-nc-sa", "creative commons attribution (?:noncommercial|non commercial) (?:sharealike|share alike)(?: [1-4] 0)?(?: international| unported| generic)?", ("creative", "sharealike alike")),
+    ("cc-by-nc-nd", "creative commons attribution (?:noncommercial|non commercial) (?:noderivatives|no derivatives|noderivs|no derivs)(?: [1-4] 0)?(?: international| unported| generic)?",
+        ("creative", "noderivatives noderivs derivatives derivs")),
 ]
+#: Identifiers of the SPDX list, and the labels that they stand for.
+SPDX = dict(line.split() for line in """
+0BSD 0bsd
+AFL-3.0 afl-3
+AGPL-3.0 agpl-3
+Aladdin aladdin
+Apache-1.0 apache-1
+Apache-1.1 apache-1
+Apache-2.0 apache-2
+APL-1.0 apl
+APSL-2.0 apsl-2
+Artistic-1.0 artistic
+Artistic-2.0 artistic-2
+Beerware beerware
+BlueOak-1.0.0 blueoak
+BSD-2-Clause bsd-2
+BSD-3-Clause bsd-3
+BSD-4-Clause bsd-4
+BSL-1.0 boost
+BUSL-1.1 busl
+CC-BY-3.0 cc-by
+CC-BY-4.0 cc-by
+CC-BY-NC-4.0 cc-by-nc
+CC-BY-NC-ND-4.0 cc-by-nc-nd
+CC-BY-NC-SA-4.0 cc-by-nc-sa
+CC-BY-ND-4.0 cc-by-nd
+CC-BY-SA-3.0 cc-by-sa
+CC-BY-SA-4.0 cc-by-sa
+CC0-1.0 cc0
+CDDL-1.0 cddl
+CDDL-1.1 cddl
+CECILL-2.1 cecill
+CPAL-1.0 cpal
+CPL-1.0 cpl
+DSL dsl
+ECL-2.0 ecl-2
+Elastic-2.0 elastic
+EPL-1.0 epl-1
+EPL-2.0 epl-2
+etalab-2.0 etalab
+EUPL-1.1 eupl
+EUPL-1.2 eupl
+GFDL-1.3 gfdl
+GPL-1.0 gpl-1
+GPL-2.0 gpl-2
+GPL-3.0 gpl-3
+HPND hpnd
+ImageMagick imagemagick
+Intel intel
+IPL-1.0 ipl
+ISC isc
+JSON json
+LGPL-2.0 lgpl
+LGPL-2.1 lgpl-2.1
+LGPL-3.0 lgpl-3
+LPPL-1.3c lppl
+MIT mit
+MIT-0 mit-0
+MPL-1.1 mpl-1.1
+MPL-2.0 mpl-2
+MS-PL ms-pl
+MS-RL ms-rl
+MulanPSL-2.0 mulan-2
+NASA-1.3 nasa
+NCSA ncsa
+ODbL-1.0 odbl
+ODC-By-1.0 odc-by
+OFL-1.1 ofl
+OGL-UK-3.0 ogl
+OpenSSL openssl
+OSL-3.0 osl-3
+PDDL-1.0 pddl
+PHP-3.01 php
+PostgreSQL postgresql
+PSF-2.0 python
+Python-2.0 python
+QPL-1.0 qpl
+RPL-1.5 rpl
+Ruby ruby
+Sleepycat sleepycat
+SSPL-1.0 sspl
+TCL tcl
+Unlicense unlicense
+UPL-1.0 upl
+Vim vim
+W3C w3c
+WTFPL wtfpl
+X11 x11
+Zlib zlib
+ZPL-2.1 zpl
+""".strip().splitlines())
+#: An identifier after the tag, or as a later operand of an expression: (form, priority). A longer expression has a lower priority, so that it doesn't suppress the operands within it; beyond five operands the last one counts.
+_OPERAND = "(?: (?!(?:or|and) )[^ ]+){1,9} (?:or|and)"
+SPDX_FORMS = [(f"spdx license identifier(?:{_OPERAND}){{{n}}} N(?: only| or later)?", 4 - k) for k, n in enumerate(("0", "1", "2", "3", "4,12"))]
 #: Rules of their own: (label, pattern, tokens, priority, confidence)
 SINGLE = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ("permission", "hereby", "granted"), 4, 0.95),
@@ -256,7 +395,10 @@ def rule_table() -> list[tuple[str, str, tuple[str, ...], int, float, bool]]:
     rules += [(label, pattern, tokens, 1, 0.6, False) for label, pattern, tokens in ALONE]
     rules += [(label, form.replace("N", f"(?:{name})"), tuple(sorted({token, *tokens})), priority, sure, False) for label, name, token in FAMILIES for form, tokens,
         priority, sure in FORMS]
-    return rules
+    for name, label in SPDX.items():
+        words = re.findall("[a-z0-9]+", name.lower())
+        rules += [(label, form.replace("N", " ".join(words)), ("spdx", words[0]), priority, 1.0, False) for form, priority in SPDX_FORMS]
+    return [(label, pattern if base else pattern.replace("(?: version)?", "(?: version| v)?"), *rest, base) for label, pattern, *rest, base in rules]
 
 
 def _worded(pattern: str) -> str:

@@ -681,3 +681,31 @@ def test_empty_tables(empty, spark):
     ):
         assert df.count() == 0
     assert json.dumps(toxicity.Model({}, -2.0).weights) == "{}"
+
+
+def test_licenses_by_name_identifier_and_expression(spark):
+    """Names, identifiers and headers as they stand in projects, not as the rules spell them."""
+    texts = {
+        "the Elastic License 2.0": "elastic", "Zope Public License 2.1": "zpl", "This code uses the JSON License.": "json", "Q Public License 1.0": "qpl",
+        "Universal Permissive License (UPL), Version 1.0": "upl", "Open Software License 3.0": "osl-3", "Academic Free License v3.0": "afl-3",
+        "LaTeX Project Public License 1.3c": "lppl", "Common Public License 1.0": "cpl", "IBM Public License": "ipl", "Python Software Foundation License": "python",
+        "Mulan PSL v2": "mulan-2", "GNU GPL version 2 or later": "gpl-2", "Creative Commons Attribution-ShareAlike 4.0 International": "cc-by-sa",
+        "SPDX-License-Identifier: OFL-1.1": "ofl", "# SPDX-License-Identifier: BSL-1.0": "boost", "SPDX-License-Identifier: Apache-2.0 OR MIT": "apache-2 mit",
+        "SPDX-License-Identifier: (GPL-2.0-only OR MIT) AND BSD-3-Clause": "bsd-3 gpl-2 mit", "SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0": "gpl-2",
+        "SPDX-License-Identifier: MIT OR Zlib OR ISC OR 0BSD OR X11": "0bsd isc mit x11 zlib", "SPDX-License-Identifier: LGPL-2.1-or-later OR MPL-2.0": "lgpl-2.1 mpl-2",
+        "Mozilla Public License, v. 2.0": "mpl-2", "Eclipse Public License - v 2.0": "epl-2", "GNU Lesser General Public License version 2.1": "lgpl-2.1",
+        "Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported": "cc-by-nc-nd", "Microsoft Reciprocal License": "ms-rl", "Blue Oak Model License 1.0.0": "blueoak",
+        "licensed ruby developers are rare": "", "an elastic band and a common public garden": "", "apples or mit students": "", "the python and its software": "",
+    }
+    got = licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r["doc_id"]]: " ".join(sorted(r["labels"])) for r in got} == texts
+
+
+def test_every_identifier(spark):
+    """Each identifier gets its label, alone and as the second of an expression."""
+    names = list(licenses.SPDX)
+    rows = [(k, f"// SPDX-License-Identifier: {n}") for k, n in enumerate(names)] + [(1000 + k, f"SPDX-License-Identifier: Zlib OR {n}") for k, n in enumerate(names)]
+    got = {r["doc_id"]: set(r["labels"]) for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, n in enumerate(names):
+        assert licenses.SPDX[n] in got[k], n
+        assert {licenses.SPDX[n], "zlib"} <= got[1000 + k], n
