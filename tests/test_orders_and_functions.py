@@ -3,8 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
-from test_queries import DATA, HOST, LINK_A, SESSION, element, model, s  # noqa: F401
+from test_queries import HOST, SESSION, element, model, s  # noqa: F401
 
 from girder.operators.spatial import boxes_met
 from girder.plans.args import QueryError
