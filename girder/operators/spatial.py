@@ -139,14 +139,13 @@ def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, *
     local = corners(F.struct("min", "max"))
     world = F.when(turned, F.transform(local, lambda p: _world(F.col("inverse"), p))).otherwise(local)
     sides = boxes.where("min IS NOT NULL AND max IS NOT NULL").select("doc_id", F.col("id").alias("box_id"), "min", "max", "inverse", *_bounds(world, 1e-9))
-    if intersects:
-        tested = F.concat(corners(F.col("bbox")), F.array(midpoint(F.col("bbox"))))
-    else:
-        tested = F.array(F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox")))))
-    kept = elements.where(F.col("bbox").isNotNull() if intersects else F.coalesce("location", F.col("bbox.min")).isNotNull())
-    slim, sides = finite(kept.select("doc_id", "id", tested.alias("points")).select("*", *_bounds(F.col("points"), 0.0))), finite(sides)
+    what = F.col("bbox") if intersects else F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox"))))
+    kept = elements.select("doc_id", "id", what.alias("what")).where("what IS NOT NULL")
+    low, high = (F.col("what.min"), F.col("what.max")) if intersects else (F.col("what"), F.col("what"))
+    edges = [edge(low[a], high[a]).alias(f"{a}{i}") if intersects else low[a].alias(f"{a}{i}") for i, edge in enumerate((F.least, F.greatest)) for a in "xy"]
+    slim, sides = finite(kept.select("*", *edges)), finite(sides)
     tree = grown(slim, sides, **growth)
-    own = ["id", "points", "x0", "y0", "x1", "y1"]
+    own = ["id", "what", "x0", "y0", "x1", "y1"]
     other = sides.select("doc_id", "box_id", "min", "max", "inverse", *[F.col(c) for c in own[2:]])
     few = tree.copied(other).select(*TREE_CELL, "box_id", "min", "max", "inverse", *[F.col(c).alias(f"b_{c}") for c in own[2:]])
     both = tree.dealt(slim, F.col("id"), points=not intersects).select(*TREE_CELL, *own).join(few, TREE_CELL)
@@ -157,4 +156,5 @@ def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, *
         at = _local(F.col("inverse"), p)
         return at["x"].between(F.col("min.x"), F.col("max.x")) & at["y"].between(F.col("min.y"), F.col("max.y")) & at["z"].between(F.col("min.z"), F.col("max.z"))
 
-    return both.where(here).where(F.exists("points", inside)).select("doc_id", "id", "box_id")
+    met = F.exists(F.concat(corners(F.col("what")), F.array(midpoint(F.col("what")))), inside) if intersects else inside(F.col("what"))
+    return both.where(here).where(met).select("doc_id", "id", "box_id")
