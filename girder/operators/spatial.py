@@ -97,12 +97,14 @@ def rooms_at_all(points: DataFrame, rooms: DataFrame, **growth) -> DataFrame:
     bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"),
         F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
     dots, bounds = finite(points.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1")), finite(bounds)
-    tree = grown(dots, bounds, **growth)
+    tree = grown(dots, bounds, points=True, **growth)
     cell = [F.col(c) for c in TREE_CELL]
     dealt = tree.dealt(dots, F.col("key"), points=True).select(*cell, "key", "x", "y", "z")
-    copied = tree.copied(bounds).select(*cell, "room_id", "footprint", "z_min", "z_max")
+    edges = ["x0", "y0", "x1", "y1"]
+    copied = tree.copied(bounds).select(*cell, "room_id", "footprint", "z_min", "z_max", *edges)
+    near = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
     high = (F.col("z") >= F.coalesce("z_min", F.col("z"))) & (F.col("z_max").isNull() | (F.col("z") < F.col("z_max")))
-    met = dealt.join(copied, TREE_CELL).where(high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
+    met = dealt.join(copied, TREE_CELL).where(near & high & in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
     return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
 
 

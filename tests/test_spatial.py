@@ -139,3 +139,18 @@ def test_pairs_need_no_distinct(spark):
     boxes, elements = boxes_and_elements()
     plan = boxes_met(table(spark, "elements", elements), table(spark, "scope_boxes", boxes), True)._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("points", [True, False])
+def test_a_cell_holds_few_pairs_whatever_the_size(spark, points):
+    """Cells that hold many areas are divided: as many times the areas make as many times the pairs, not their square."""
+    pairs = []
+    for n in (32, 64):
+        many = spark.range(n * n).selectExpr("1L AS doc_id", "id AS key", f"id % {n} * 10 + 5.0D AS x0", f"floor(id / {n}) * 10 + 5.0D AS y0").selectExpr("*", f"x0 + {0 if points else 3} AS x1", f"y0 + {0 if points else 3} AS y1")
+        few = spark.range(n * n).selectExpr("1L AS doc_id", "id AS room", f"id % {n} * 10.0D AS x0", f"floor(id / {n}) * 10.0D AS y0").selectExpr("*", "x0 + 9 AS x1", "y0 + 9 AS y1")
+        tree = quadtree.grown(many, few, parts=8, points=points)
+        dealt, copied = tree.dealt(many, F.col("key"), points=points).select(*quadtree.CELL, "key"), tree.copied(few).select(*quadtree.CELL, "room")
+        met = dealt.join(copied, quadtree.CELL)
+        pairs.append(met.count() / (n * n))
+        assert met.select("key").distinct().count() == n * n and copied.count() <= 5 * n * n and dealt.count() <= 3 * n * n
+    assert pairs[0] <= 16 and pairs[1] <= 1.3 * pairs[0]
