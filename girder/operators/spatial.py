@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from girder.functions.geometry import corners, in_footprint, midpoint, point
+from girder.functions.geometry import in_footprint, midpoint
 
 from .quadtree import CELL as TREE_CELL
 from .quadtree import finite, grown
@@ -108,55 +108,86 @@ def rooms_at_all(points: DataFrame, rooms: DataFrame, **growth) -> DataFrame:
     return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
 
 
-def _world(inverse: Column, p: Column) -> Column:
-    """A point of a box's own coordinates in the world's: the inverse of its inverse transform, by cofactors."""
-    m = [[F.get(inverse, F.lit(4 * i + j)) for j in range(4)] for i in range(3)]
-    minor = lambda i, j: m[(i + 1) % 3][(j + 1) % 3] * m[(i + 2) % 3][(j + 2) % 3] - m[(i + 1) % 3][(j + 2) % 3] * m[(i + 2) % 3][(j + 1) % 3]
-    det = m[0][0] * minor(0, 0) + m[0][1] * minor(0, 1) + m[0][2] * minor(0, 2)
-    d = [p[a] - m[i][3] for i, a in enumerate("xyz")]
-    world = [(minor(0, k) * d[0] + minor(1, k) * d[1] + minor(2, k) * d[2]) / det for k in range(3)]
-    return point(*world)
+def _held(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """df with columns that are computed once: they come out of a generator, so filters on them and uses of them aren't planned as copies of what they are made of."""
+    return df.withColumn("__held", F.explode(F.array(F.struct(*[v.alias(k) for k, v in values.items()])))).select("*", "__held.*").drop("__held")
 
 
-def _local(inverse: Column, p: Column) -> Column:
-    """A point in the coordinates of a box; the world's where it has no transform."""
-    row = lambda i: F.get(inverse, F.lit(4 * i)) * p["x"] + F.get(inverse, F.lit(4 * i + 1)) * p["y"] + F.get(inverse, F.lit(4 * i + 2)) * p["z"] + F.get(inverse, F.lit(4 * i + 3))
-    return F.when(F.coalesce(F.size(inverse), F.lit(0)) > 0, point(row(0), row(1), row(2))).otherwise(p)
+def _world_sides(boxes: DataFrame, margin: float) -> DataFrame:
+    """boxes with x0, y0, x1, y1, their bounds in the world with a margin for rounding, and as numbers turned, m0 to m11 and the bounds lx to hz in their own coordinates.
 
-
-def _bounds(points: Column, margin: float) -> list[Column]:
-    """x0, y0, x1, y1 of an array of points, with a margin for rounding."""
-    edge = lambda least, a: least(F.transform(points, lambda p: p[a]))
-    out = lambda v, sign, name: (v + sign * margin * (1 + F.abs(v))).alias(name)
-    return [out(edge(F.array_min, "x"), -1, "x0"), out(edge(F.array_min, "y"), -1, "y0"), out(edge(F.array_max, "x"), 1, "x1"), out(edge(F.array_max, "y"), 1, "y1")]
-
-
-def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, **growth) -> DataFrame:
-    """doc_id, id, box_id: the elements in each scope box of their document, for tables of any size: by centroid, or by corners and middle of bounding boxes.
+    The inverse of a turned box's inverse transform is made by cofactors; its middle and half of its extent go through it.
+    Each step is on numbers, which stays in generated code.
+    """
+    m = [f"m{i}" for i in range(12)]
+    flat = boxes.select("doc_id", F.col("id").alias("box_id"), (F.coalesce(F.size("inverse"), F.lit(0)) > 0).alias("turned"), *[F.get("inverse", F.lit(i)).alias(c) for i, c in enumerate(m)],
+        *[F.col(f"{b}.{a}").alias(f"{e}{a}") for e, b in (("l", "min"), ("h", "max")) for a in "xyz"])
+    at = lambda i, j: F.col(m[4 * (i % 3) + j % 3])
+    minor = lambda i, j: at(i + 1, j + 1) * at(i + 2, j + 2) - at(i + 1, j + 2) * at(i + 2, j + 1)
+    minors = {f"c{i}{j}": minor(i, j) for i in range(3) for j in range(2)}
+    det = F.col("m0") * minors["c00"] + F.col("m1") * minors["c01"] + F.col("m2") * minor(0, 2)
+    middle = [(F.col(f"l{a}") + F.col(f"h{a}")) / 2 - F.col(m[4 * i + 3]) for i, a in enumerate("xyz")]
+    half = [F.abs(F.col(f"h{a}") - F.col(f"l{a}")) / 2 for a in "xyz"]
+    sides, seen = _held(flat, minors | {"det": det}), {}
+    total = lambda parts: parts[0] + parts[1] + parts[2]
+    for k, a in enumerate("xy"):
+        column = [F.col(f"c{i}{k}") / F.col("det") for i in range(3)]
+        centre = F.when(F.col("turned"), total([c * v for c, v in zip(column, middle, strict=True)])).otherwise((F.col(f"l{a}") + F.col(f"h{a}")) / 2)
+        reach = F.when(F.col("turned"), total([F.abs(c) * v for c, v in zip(column, half, strict=True)])).otherwise(half[k])
+        # terms may cancel each other out: rounding is in proportion to their sizes
+        size = F.when(F.col("turned"), total([F.abs(c * v) for c, v in zip(column, middle, strict=True)])).otherwise(F.lit(0.0)) + F.abs(centre) + reach
+        seen |= {f"__c{a}": centre, f"__r{a}": reach + margin * (1 + size)}
+    edge = {f"{a}{i}": F.col(f"__c{a}") + sign * F.col(f"__r{a}") for i, sign in ((0, -1), (1, 1)) for a in "xy"}
+    return _held(_held(sides, seen), edge).select("doc_id", "box_id", "turned", *m, *[f"{e}{a}" for e in "lh" for a in "xyz"], *edge)
+
+
+def _in_box(at: dict[str, Column]) -> tuple[Column, Column]:
+    """Whether a point is in a box of _world_sides, if it is turned and if it isn't."""
+    m = [F.col(f"m{i}") for i in range(12)]
+    turned, straight = F.lit(True), F.lit(True)
+    for i, a in enumerate("xyz"):
+        own = m[4 * i] * at["x"] + m[4 * i + 1] * at["y"] + m[4 * i + 2] * at["z"] + m[4 * i + 3]
+        turned &= own.between(F.col(f"l{a}"), F.col(f"h{a}"))
+        straight &= at[a].between(F.col(f"l{a}"), F.col(f"h{a}"))
+    return turned, straight
+
+
+def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, keep: tuple[str, ...] = (), **growth) -> DataFrame:
+    """doc_id, id, box_id, and columns to keep of elements: the elements in each scope box of their document, for tables of any size: by centroid, or by corners and middle of bounding boxes.
 
     Elements and boxes go to the cells of a tree that their bounds touch. Bounds that overlap do so in several cells, but
-    the lower left corner of what they share is in one, and only there a pair is tested, so none comes up twice.
+    the lower left corner of what they share is in one, and only there a pair is tested, so none comes up twice. Tests are
+    on numbers, not arrays, which keeps them in generated code.
     """
-    turned = F.coalesce(F.size("inverse"), F.lit(0)) > 0
-    local = corners(F.struct("min", "max"))
-    world = F.when(turned, F.transform(local, lambda p: _world(F.col("inverse"), p))).otherwise(local)
-    sides = boxes.where("min IS NOT NULL AND max IS NOT NULL").select("doc_id", F.col("id").alias("box_id"), "min", "max", "inverse", *_bounds(world, 1e-9))
-    what = F.col("bbox") if intersects else F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox"))))
-    kept = elements.select("doc_id", "id", what.alias("what")).where("what IS NOT NULL")
-    low, high = (F.col("what.min"), F.col("what.max")) if intersects else (F.col("what"), F.col("what"))
-    edges = [edge(low[a], high[a]).alias(f"{a}{i}") if intersects else low[a].alias(f"{a}{i}") for i, edge in enumerate((F.least, F.greatest)) for a in "xy"]
-    slim, sides = finite(kept.select("*", *edges)), finite(sides)
-    tree = grown(slim, sides, **growth)
-    own = ["id", "what", "x0", "y0", "x1", "y1"]
-    other = sides.select("doc_id", "box_id", "min", "max", "inverse", *[F.col(c) for c in own[2:]])
-    few = tree.copied(other).select(*TREE_CELL, "box_id", "min", "max", "inverse", *[F.col(c).alias(f"b_{c}") for c in own[2:]])
-    both = tree.dealt(slim, F.col("id"), points=not intersects).select(*TREE_CELL, *own).join(few, TREE_CELL)
+    sides = finite(_world_sides(boxes.where("min IS NOT NULL AND max IS NOT NULL"), 1e-9))
+    if intersects:
+        named = [F.col(f"bbox.{b}.{a}").alias(f"{e}{a}") for e, b in (("p", "min"), ("q", "max")) for a in "xyz"]
+        corners_of = elements.where("bbox IS NOT NULL").select("doc_id", "id", *keep, *named)
+        edges = [edge(f"p{a}", f"q{a}").alias(f"{a}{i}") for i, edge in enumerate((F.least, F.greatest)) for a in "xy"]
+        kept = corners_of.select("*", *edges)
+    else:
+        at = F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox"))))
+        named = [F.col(f"what.{a}").alias(f"p{a}") for a in "xyz"]
+        kept = elements.select("doc_id", "id", *keep, at.alias("what")).where("what IS NOT NULL").select("doc_id", "id", *keep, *named).selectExpr("*", "px x0", "py y0", "px x1", "py y1")
+    slim = finite(kept)
+    tree = grown(slim, sides, points=not intersects, **growth)
+    edges = ["x0", "y0", "x1", "y1"]
+    few = tree.copied(sides).withColumnsRenamed({c: f"b_{c}" for c in edges})
+    both = tree.dealt(slim, F.col("id"), points=not intersects).join(few, TREE_CELL)
     x, y = F.greatest("x0", "b_x0"), F.greatest("y0", "b_y0")
     here = (x <= F.least("x1", "b_x1")) & (y <= F.least("y1", "b_y1")) & tree.holds(x, y)
-
-    def inside(p: Column) -> Column:
-        at = _local(F.col("inverse"), p)
-        return at["x"].between(F.col("min.x"), F.col("max.x")) & at["y"].between(F.col("min.y"), F.col("max.y")) & at["z"].between(F.col("min.z"), F.col("max.z"))
-
-    met = F.exists(F.concat(corners(F.col("what")), F.array(midpoint(F.col("what")))), inside) if intersects else inside(F.col("what"))
-    return both.where(here).where(met).select("doc_id", "id", "box_id")
+    p = {a: F.col(f"p{a}") for a in "xyz"}
+    if intersects:
+        q = {a: F.col(f"q{a}") for a in "xyz"}
+        turned, straight = _in_box({a: (p[a] + q[a]) * 0.5 for a in "xyz"})
+        either = F.lit(True)  # of a box along the axes: a corner is in it if one of either coordinate is, along each
+        for a in "xyz":
+            either &= p[a].between(F.col(f"l{a}"), F.col(f"h{a}")) | q[a].between(F.col(f"l{a}"), F.col(f"h{a}"))
+        straight |= either
+        for k, j, i in itertools.product((p, q), repeat=3):
+            turned |= _in_box({"x": i["x"], "y": j["y"], "z": k["z"]})[0]
+    else:
+        turned, straight = _in_box(p)
+    # one generated method with all nine points is too long for the JVM to compile; beside a lambda, Spark makes a method of each part of a condition instead
+    is_turned = F.exists(F.array("turned"), lambda t: t) if intersects else F.col("turned")
+    return both.where(here).where(F.when(is_turned, turned).otherwise(straight)).select("doc_id", "id", "box_id", *keep)
