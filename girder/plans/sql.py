@@ -1,28 +1,17 @@
 """The listings, the box test, the identity lookups and doors' rooms as SQL table functions over the model's tables.
 
 A function's arguments can be columns of a table: `FROM boxes b, LATERAL bim_elements_in_box(b.doc_id, b.id)` tests all
-elements against all rows of boxes, and Spark plans it as a join.
+elements against all rows of boxes, and Spark plans it as a join. The two box tests read views of girder.operators.spatial's
+range join, whose cells are shaped by a sample when the functions are registered; coordinates beyond 10 ** 15 meet no box.
 """
 
 from __future__ import annotations
 
 from girder.functions.identity import PROJECT_PREFIX
 from girder.functions.text import letters
+from girder.operators.spatial import boxes_met
 from girder.sources.model import Model
 
-#: An element's place: its location, else the middle of its bounding box. What is tested of a bounding box: its corners and its middle.
-_MIDDLE = "struct((bbox.min.x + bbox.max.x) * 0.5D AS x, (bbox.min.y + bbox.max.y) * 0.5D AS y, (bbox.min.z + bbox.max.z) * 0.5D AS z)"
-_CENTRE = f"coalesce(location, CASE WHEN bbox IS NOT NULL THEN {_MIDDLE} END)"
-_CORNERS = ", ".join(f"struct(bbox.{i}.x AS x, bbox.{j}.y AS y, bbox.{k}.z AS z)" for k in ("min", "max") for j in ("min", "max") for i in ("min", "max"))
-_TESTED = f"array({_CORNERS}, {_MIDDLE})"
-
-
-def _in_box(at: str) -> str:
-    """Whether a point is in box b, in the box's own coordinates if it is turned."""
-    own = lambda i: " + ".join([*(f"get(b.inverse, {4 * i + j}) * {at}.{a}" for j, a in enumerate("xyz")), f"get(b.inverse, {4 * i + 3})"])
-    return " AND ".join(f"CASE WHEN coalesce(size(b.inverse), 0) > 0 THEN {own(i)} ELSE {at}.{a} END BETWEEN b.min.{a} AND b.max.{a}" for i, a in enumerate("xyz"))
-
-
 def _folded(text: str) -> str:
     """As girder.functions.text.folded."""
     small, capital = letters()
@@ -55,13 +44,11 @@ FUNCTIONS = {
     ),
     "elements_in_box": (
         "doc BIGINT, box BIGINT", "id BIGINT, name STRING, category STRING",
-        f"""SELECT e.id, e.name, e.category FROM (SELECT *, {_CENTRE} AS c FROM {{p}}elements) e JOIN {{p}}scope_boxes b ON b.doc_id = e.doc_id
-            WHERE b.doc_id = elements_in_box.doc AND b.id = elements_in_box.box AND {_in_box("c")}""",
+        "SELECT m.id, m.name, m.category FROM {p}pairs_in m WHERE m.doc_id = elements_in_box.doc AND m.box_id = elements_in_box.box",
     ),
     "elements_meeting_box": (
         "doc BIGINT, box BIGINT", "id BIGINT, name STRING, category STRING",
-        f"""SELECT e.id, e.name, e.category FROM {{p}}elements e JOIN {{p}}scope_boxes b ON b.doc_id = e.doc_id
-            WHERE b.doc_id = elements_meeting_box.doc AND b.id = elements_meeting_box.box AND e.bbox IS NOT NULL AND exists({_TESTED}, c -> {_in_box("c")})""",
+        "SELECT m.id, m.name, m.category FROM {p}pairs_meeting m WHERE m.doc_id = elements_meeting_box.doc AND m.box_id = elements_meeting_box.box",
     ),
     "element_by_uniqueid": (
         "host BIGINT, uid STRING", "doc_id BIGINT, id BIGINT, name STRING, category STRING, link_instance_id BIGINT",
@@ -90,6 +77,8 @@ FUNCTIONS = {
 def register_functions(model: Model, prefix: str = "bim_") -> list[str]:
     """Registers the tables as views and the functions as temporary table functions, all with the prefix; returns the functions' names."""
     model.register(prefix)
+    for name, intersects in (("pairs_in", False), ("pairs_meeting", True)):
+        boxes_met(model.elements, model.scope_boxes, intersects, keep=("name", "category")).createOrReplaceTempView(prefix + name)
     for name, (parameters, columns, body) in FUNCTIONS.items():
         text = body.format(p=prefix).replace(f"{name}.", f"{prefix}{name}.")
         model.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({parameters}) RETURNS TABLE({columns}) RETURN {text}")

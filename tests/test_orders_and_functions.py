@@ -86,6 +86,13 @@ def test_lateral_boxes_are_a_join(functions, model):  # noqa: F811
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("name", ["elements_in_box", "elements_meeting_box"])
+def test_lateral_boxes_meet_in_cells(functions, model, name):  # noqa: F811
+    """Elements and boxes meet on cells, not on their document alone, which would test all pairs."""
+    plan = model.spark.sql(f"SELECT f.id, b.id FROM fn_scope_boxes b, LATERAL fn_{name}(b.doc_id, b.id) f")._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join" in line and line.count(" cx#") + line.count("(cx#") >= 1 and "salt#" in line for line in plan.splitlines())
+
+
 def test_elements_of_a_crowded_view(spark, model):  # noqa: F811
     """A view shows a third of all elements, some twice; ids are cut off below the shuffle, and what is wide is joined above it."""
     elements = [element(HOST, k, f"u{k}", "n", category=None if k % 5 == 0 else "Walls", ifc=f"g{k}", is_type=k % 7 == 0, params={"UNIFORMAT_CODE": s(f"c{k}")}) for k in range(900)]
