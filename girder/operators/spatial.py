@@ -55,13 +55,21 @@ def rooms_at(points: DataFrame, rooms: DataFrame, cell: float = CELL) -> DataFra
     return met.groupBy("key").agg(F.min("room_id").alias("room_id"))
 
 
+#: Boxes of a list whose cells, at most (SPAN + 1) ** 2 each, are broadcast; longer lists are joined as tables.
+LISTED = 100
+
+
 def elements_in_boxes(elements: DataFrame, boxes: list[dict], cell: float = 50.0) -> DataFrame:
     """Extension: doc_id, id, box_id of elements whose centroid is in one of many boxes of their document (rows of scope_boxes, collected), each pair once.
 
-    Each box becomes a row of cells that its world bounds touch, in a grid coarse enough that they are few. The cells
-    are dealt by hash like the elements, so neither side must fit into memory.
+    Each box becomes a row of cells that its world bounds touch, in a grid coarse enough that they are few. The cells of
+    a short list are broadcast, so elements aren't shuffled however many are in one cell; a long list is joined as a table.
     """
     spark = elements.sparkSession
+    if len(boxes) > LISTED:
+        table = spark.createDataFrame([tuple(b[c] for c in ("doc_id", "id", "min", "max", "inverse")) for b in boxes],
+            "doc_id long, id long, min struct<x: double, y: double, z: double>, max struct<x: double, y: double, z: double>, inverse array<double>")
+        return boxes_met(elements, table).distinct()
     rows = []
     for b in boxes:
         low, high = _world_bounds(b)
@@ -76,7 +84,7 @@ def elements_in_boxes(elements: DataFrame, boxes: list[dict], cell: float = 50.0
     inside = F.lit(True)
     for i, v in enumerate(local):
         inside &= v.between(F.get("bounds", F.lit(i)), F.get("bounds", F.lit(3 + i)))
-    return placed.join(_cells(side, cell), ["doc_id", "g", "cx", "cy"]).where(inside).select("doc_id", "id", "box_id").distinct()
+    return placed.join(F.broadcast(_cells(side, cell)), ["doc_id", "g", "cx", "cy"]).where(inside).select("doc_id", "id", "box_id").distinct()
 
 
 def _world_bounds(box: dict) -> tuple[list[float], list[float]]:

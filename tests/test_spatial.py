@@ -154,3 +154,11 @@ def test_a_cell_holds_few_pairs_whatever_the_size(spark, points):
         pairs.append(met.count() / (n * n))
         assert met.select("key").distinct().count() == n * n and copied.count() <= 5 * n * n and dealt.count() <= 3 * n * n
     assert pairs[0] <= 16 and pairs[1] <= 1.3 * pairs[0]
+
+
+def test_elements_of_a_short_list_of_boxes_stay_where_they_are(spark):
+    """Most elements share a coarse cell: they meet a list's boxes without a shuffle, only pairs are shuffled."""
+    boxes, elements = boxes_and_elements(6)
+    found = elements_in_boxes(table(spark, "elements", elements), [b for b in boxes if b["min"]])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
