@@ -62,9 +62,14 @@ def probes(location: Column, facing: Column, wall_width: Column) -> tuple[Column
 
 
 def in_footprint(x: Column, y: Column, footprint: Column) -> Column:
-    """Whether a point is in a polygon, by ray casting. Of an edge the lower end belongs to it and the upper doesn't, so of rooms side by side one holds each point."""
+    """Whether a point is in a polygon, by ray casting. Of an edge the lower end belongs to it and the upper doesn't, so of rooms side by side one holds each point.
+
+    An edge is taken from its lower end up, whichever way the polygon goes round, and the point is moved along it to that
+    end: rooms on either side of an edge round alike.
+    """
     n = F.size(footprint)
     after = F.concat(F.slice(footprint, 2, F.greatest(n - 1, F.lit(0))), F.slice(footprint, 1, 1))
+    moved = lambda a, b: x - (b["x"] - a["x"]) / (b["y"] - a["y"]) * (y - F.least(a["y"], b["y"]))
     crossed = F.zip_with(footprint, after, lambda a,
-        b: F.when(((a["y"] > y) != (b["y"] > y)) & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]), 1).otherwise(0))
+        b: F.when(((a["y"] > y) != (b["y"] > y)) & (moved(a, b) < F.when(a["y"] < b["y"], a["x"]).otherwise(b["x"])), 1).otherwise(0))
     return F.when(n >= 3, F.aggregate(crossed, F.lit(0), lambda acc, c: acc + c) % 2 == 1).otherwise(F.lit(False))

@@ -162,3 +162,15 @@ def test_elements_of_a_short_list_of_boxes_stay_where_they_are(spark):
     found = elements_in_boxes(table(spark, "elements", elements), [b for b in boxes if b["min"]])
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rooms_side_by_side_round_alike(spark):
+    """(299.65, 99.3) is a little to the left of the slanted edge from (250, 0) to (300, 100); each point near an edge is in the one room that the edge's formula gives."""
+    rooms = [{"doc_id": 1, "id": k, "footprint": [(10.0 * k + dx + y / 2, y) for dx, y in ((0, 0.0), (10, 0.0), (10, 100.0), (0, 100.0))]} for k in range(50)]
+    points = [(1, 0, 299.65, 99.3, 0.0)] + [(1, 1000 * k + j, round(10 * k + j / 20, 2), j / 10, 0.0) for k in range(1, 50) for j in range(1, 1000, 7)]
+    places, dots = table(spark, "rooms", rooms), spark.createDataFrame(points, POINTS)
+    want = {key: math.floor((x - y / 2) / 10) for _, key, x, y, _ in points}
+    pairs = dots.join(places.select("doc_id", "id", "footprint"), "doc_id").where(in_footprint(F.col("x"), F.col("y"), F.col("footprint")))
+    assert pairs.count() == len(points)
+    for found in (rooms_at(dots, places), rooms_at_all(dots, places)):
+        assert {r["key"]: r["room_id"] for r in found.collect()} == want and want[0] == 24
