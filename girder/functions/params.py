@@ -39,10 +39,20 @@ def instance_or_type(name: str, instance: Column, of_type: Column) -> Column:
     return F.coalesce(param_text(param(instance, name)), param_text(param(of_type, name)))
 
 
+def labels(params: Column) -> Column:
+    """What parameters alone hold of a classification: a text or null for each label."""
+    return F.struct(*[filled(string_value(param(params, p))).alias(label) for label, p in CLASSIFICATION.items()])
+
+
+def classified(of_type: Column, instance: Column) -> Column:
+    """A classification from the labels of a type and those of an instance: for each the type's, else the instance's; null if there is none at all."""
+    values = [F.coalesce(of_type[label], instance[label]).alias(label) for label in CLASSIFICATION]
+    return F.when(F.coalesce(*values).isNotNull(), F.struct(*values))
+
+
 def classification(of_type: Column, instance: Column) -> Column:
     """For each label the type's text, else the instance's, empty ones skipped; null if there is none at all."""
-    values = [F.coalesce(filled(string_value(param(of_type, p))), filled(string_value(param(instance, p)))).alias(label) for label, p in CLASSIFICATION.items()]
-    return F.when(F.coalesce(*values).isNotNull(), F.struct(*values))
+    return classified(labels(of_type), labels(instance))
 
 
 def level_candidates(params: Column) -> Column:

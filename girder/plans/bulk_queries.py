@@ -14,7 +14,7 @@ from girder.plans.registry import run
 from girder.plans.sql import register_functions
 from girder.queries.common import with_level_of_all
 from girder.queries.lookup import ifc_guids_of, unique_ids_of
-from girder.queries.sheets import visible_elements
+from girder.queries.sheets import visible_elements_of_all
 from girder.sources.driver_tables import SESSION, boxed_city, building, city, linked, named, odd, renamed
 from girder.sources.guid_index import GuidIndex
 
@@ -111,7 +111,7 @@ def view_elements_of_all(spark, sf_dir):
     model = building(spark, sf_dir)
     crowd = model.elements.where(F.col("id") % 3 == 0).select(F.lit(0).cast("long").alias("doc_id"), F.lit(1).cast("long").alias("view_id"), F.col("id").alias("element_id"))
     model.tables["view_elements"] = model.view_elements.unionByName(crowd)
-    found = visible_elements(model.views.select(F.col("id").alias("view_id")), model, 0, 50)
+    found = visible_elements_of_all(model, 0, 50)
     return found.select("view_id", "rn", "unique_id", "ifc_guid", F.col("classification.assembly_code").alias("assembly_code"))
 
 

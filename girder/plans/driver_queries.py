@@ -12,7 +12,7 @@ from girder.functions.geometry import probes
 from girder.operators.spatial import elements_in_boxes, rooms_at
 from girder.plans.args import QueryError
 from girder.plans.registry import run
-from girder.queries.sheets import visible_elements
+from girder.queries.sheets import visible_elements_of_all
 from girder.sources.driver_tables import BOXES, SESSION, building, linked, named, odd
 
 
@@ -175,8 +175,7 @@ def sheet_view_elements(spark, sf_dir):
 
 def view_elements_capped(spark, sf_dir):
     """The first three elements of every view."""
-    model = building(spark, sf_dir)
-    return visible_elements(model.views.select(F.col("id").alias("view_id")), model, 0, 3).select("view_id", "rn", "unique_id")
+    return visible_elements_of_all(building(spark, sf_dir), 0, 3).select("view_id", "rn", "unique_id")
 
 
 def door_rooms(spark, sf_dir):

@@ -40,6 +40,41 @@ def visible_elements(views: DataFrame, model: Model, doc: int, cap: int) -> Data
         P.classification(F.col("type_params"), F.col("params")).alias("classification"))
 
 
+#: Rows of views' elements, and elements, for each task.
+TASK_ROWS = 1_000_000
+
+
+def _dealt(df: DataFrame, parts: int, *by: str) -> DataFrame:
+    """df in so many parts, which AQE doesn't put together again, and in no fewer than a shuffle has, as joins would take that number instead; where one would do, Spark decides."""
+    return df.repartition(max(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *by) if parts > 1 else df
+
+
+def visible_elements_of_all(model: Model, doc: int, cap: int) -> DataFrame:
+    """As visible_elements, for all views of a document: what a task sorts is bounded, whatever the number of rows and the session's number of partitions.
+
+    Rows are counted and dealt to as many tasks as they need. A view's elements are ranked in stripes first, each of which
+    goes to a task of its own, so a view that shows a third of all elements sends cap rows from each stripe. Views are
+    looked up for the rows that are left, and of parameters only labels meet them.
+    """
+    shown = model.of("view_elements", doc).select("view_id", "element_id")
+    listed = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull())
+    parts = -(-(shown.count() + listed.count()) // TASK_ROWS)
+    known = _dealt(shown, parts, "element_id").join(listed.select(F.col("id").alias("element_id")), "element_id", "left_semi")
+    striped = _dealt(known.withColumn("stripe", F.pmod(F.hash("element_id"), F.lit(max(1, parts)))), parts, "view_id", "stripe")
+    first = F.dense_rank().over(Window.partitionBy("view_id", "stripe").orderBy("element_id"))
+    left = _dealt(striped.withColumn("rn", first).where(F.col("rn") <= cap).select("view_id", "element_id"), parts, "view_id")
+    viewed = left.join(model.of("views", doc).select(F.col("id").alias("view_id")), "view_id", "left_semi")
+    whole = Window.partitionBy("view_id").orderBy("element_id")
+    ranks = viewed.withColumns({"rn": F.dense_rank().over(whole), "again": F.coalesce(F.lag("element_id").over(whole) == F.col("element_id"), F.lit(False))})
+    ranked = ranks.where((F.col("rn") <= cap) & ~F.col("again")).drop("again")
+    types = model.of("element_types", doc).select(F.col("type_id").alias("__type"), P.labels(F.col("params")).alias("__of_type"))
+    elements = listed.select(F.col("id").alias("__element"), "unique_id", filled(F.col("ifc_guid")).alias("ifc_guid"), "type_id", P.labels(F.col("params")).alias("__own"))
+    described = elements.join(types, F.col("type_id") == F.col("__type"), "left").select("__element", "unique_id", "ifc_guid",
+        P.classified(F.col("__of_type"), F.col("__own")).alias("classification"))
+    full = _dealt(ranked, parts, "element_id").join(_dealt(described, parts, "__element"), F.col("element_id") == F.col("__element"))
+    return full.select("view_id", "rn", "unique_id", "ifc_guid", "classification")
+
+
 def get_sheets(model: Model, session: Session, args: dict) -> Result:
     doc = active(session)
     sheets = model.of("sheets", doc).where(~F.col("is_template"))

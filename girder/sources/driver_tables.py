@@ -116,7 +116,7 @@ def building(spark: SparkSession, sf_dir: str) -> Model:
         "viewports": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_suppkey").alias("sheet_id"), F.col("l_partkey").alias("view_id"),
             F.col("l_partkey").alias("ordinal")).distinct(),
         "view_elements": lambda: read("lineitem").select(F.lit(0).alias("doc_id"), F.col("l_partkey").alias("view_id"),
-            F.col("l_orderkey").alias("element_id")).distinct(),
+            F.col("l_orderkey").alias("element_id")),  # an element that a view shows twice is told apart where it matters
         "openings": lambda: read("orders").select(F.lit(0).alias("doc_id"), okey.alias("element_id"), F.concat(F.lit("M"), okey % 1000).alias("mark"),
             F.when(okey % 2 == 0, okey + 1).alias("host_id"), F.when(okey % 4 == 0, F.lit(9.0)).alias("host_wall_width"),
             _point(F.when(okey % 3 == 0, 0.0).otherwise(2.0), F.lit(0.0), F.lit(1.0)).alias("facing")),

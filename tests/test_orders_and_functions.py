@@ -3,12 +3,15 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from test_queries import HOST, SESSION, element, model, s  # noqa: F401
 
 from girder.operators.spatial import boxes_met
+from girder.plans import bulk_queries, driver_queries
 from girder.plans.args import QueryError
 from girder.plans.registry import run
 from girder.plans.sql import FUNCTIONS, register_functions
+from girder.queries import sheets
 from girder.queries.sheets import visible_elements
 from girder.sources.model import Model
 from girder.sources.schema import TABLES
@@ -110,6 +113,31 @@ def test_elements_of_a_crowded_view(spark, model):  # noqa: F811
     assert all("params" not in line for line in plan[limits[0] : limits[1]]) and depth("WindowGroupLimit")
 
 
+def test_elements_of_all_views(spark, model, monkeypatch):  # noqa: F811
+    """Rows are dealt to as many tasks as they need, not as many as a shuffle has, and what is found is the same: a crowded view, elements shown twice, views that don't exist."""
+    elements = [element(HOST, k, f"u{k}", "n", category=None if k % 5 == 0 else "Walls", ifc=f"g{k}" if k % 2 else "", is_type=k % 7 == 0, params={"UNIFORMAT_CODE": s(f"c{k}")} if k % 4 else {}) for k in range(900)]
+    shown = [(HOST, 20, k) for k in range(0, 900, 3)] + [(HOST, 20, k) for k in range(0, 90, 3)] + [(HOST, 22, k) for k in range(4)] + [(HOST, 22, 5000), (HOST, 9999, 1)]
+    shown += [(HOST, 22, k % 50 + 600) for k in range(100)]
+    many = Model(spark, dict(model.tables) | {"elements": spark.createDataFrame(elements, TABLES["elements"]), "view_elements": spark.createDataFrame(shown, TABLES["view_elements"]).repartition(4)})
+    columns = ["view_id", "rn", "unique_id", "ifc_guid", "classification"]
+    want = sorted(map(str, visible_elements(many.of("views", HOST).select(F.col("id").alias("view_id")), many, HOST, 20).select(*columns).collect()))
+    assert len(want) == 40 and "'c9'" in str(want)
+    for rows, parts in ((100, 11), (10**6, None)):
+        monkeypatch.setattr(sheets, "TASK_ROWS", rows)
+        found = sheets.visible_elements_of_all(many, HOST, 20).select(*columns)
+        assert sorted(map(str, found.collect())) == want
+        assert parts is None or found.rdd.getNumPartitions() == parts
+
+
+@pytest.mark.parametrize("name", ["view_elements_capped", "view_elements_of_all"])
+def test_tasks_of_view_elements_are_bounded(spark, monkeypatch, name):
+    """Queries over all views leave no more rows to a task of any shuffle than TASK_ROWS asks for, nearly."""
+    monkeypatch.setattr(sheets, "TASK_ROWS", 500, raising=False)
+    found = (driver_queries.QUERIES | bulk_queries.QUERIES)[name](spark, "/root/testdata/sf0.001")
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert found.rdd.getNumPartitions() >= 12 and max(sizes) <= 1000
+
+
 def test_sheets_and_their_elements_are_as_before(model):  # noqa: F811
     got = json.loads(run(model, SESSION, "get_sheets", {"include_elements": True, "element_limit": 2}).text())["sheets"]
     assert [e["unique_id"] for e in got[0]["views"][0]["elements"]] == ["u100", "u101"] and got[0]["views"][0]["elements_truncated"]
