@@ -59,11 +59,12 @@ def visible_elements_of_all(model: Model, doc: int, cap: int) -> DataFrame:
     shown = model.of("view_elements", doc).select("view_id", "element_id")
     listed = model.of("elements", doc).where(~F.col("is_type") & F.col("category").isNotNull())
     parts = -(-(shown.count() + listed.count()) // TASK_ROWS)
-    known = _dealt(shown, parts, "element_id").join(listed.select(F.col("id").alias("element_id")), "element_id", "left_semi")
+    # inner joins: Spark moves a semi-join below what deals out its rows. Pairs that come twice by them have one rank and stay once
+    known = _dealt(shown, parts, "element_id").join(listed.select(F.col("id").alias("element_id")), "element_id")
     striped = _dealt(known.withColumn("stripe", F.pmod(F.hash("element_id"), F.lit(max(1, parts)))), parts, "view_id", "stripe")
     first = F.dense_rank().over(Window.partitionBy("view_id", "stripe").orderBy("element_id"))
     left = _dealt(striped.withColumn("rn", first).where(F.col("rn") <= cap).select("view_id", "element_id"), parts, "view_id")
-    viewed = left.join(model.of("views", doc).select(F.col("id").alias("view_id")), "view_id", "left_semi")
+    viewed = left.join(model.of("views", doc).select(F.col("id").alias("view_id")), "view_id")
     whole = Window.partitionBy("view_id").orderBy("element_id")
     ranks = viewed.withColumns({"rn": F.dense_rank().over(whole), "again": F.coalesce(F.lag("element_id").over(whole) == F.col("element_id"), F.lit(False))})
     ranked = ranks.where((F.col("rn") <= cap) & ~F.col("again")).drop("again")
