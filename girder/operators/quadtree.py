@@ -154,6 +154,12 @@ def finite(areas: DataFrame) -> DataFrame:
     return areas.where(kept)
 
 
+def reached(areas: DataFrame, others: DataFrame) -> DataFrame:
+    """The areas that touch the bounds of all others; the rest meets none of them."""
+    low_x, low_y, high_x, high_y = map(F.lit, others.agg(F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")).first())
+    return areas.where((F.col("x1") >= low_x) & (F.col("x0") <= high_x) & (F.col("y1") >= low_y) & (F.col("y0") <= high_y))
+
+
 def grown(many: DataFrame, few: DataFrame, parts: int = PARTS, sample: int = SAMPLE, least: float = LEAST, points: bool = False) -> Tree:
     """A tree for two sides of areas (doc_id, x0, y0, x1, y1): of the larger one no unsplit cell, or salt of one, holds much more than one in parts.
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from girder.functions.geometry import in_footprint, midpoint
 
 from .quadtree import CELL as TREE_CELL
-from .quadtree import finite, grown
+from .quadtree import LEAVES, finite, grown, reached
 
 CELL = 10.0
 #: Sizes of cells in a row of grids, each so many times the one before. Bounds go to the finest grid in which they span no more than that many cells, so they touch at most (SPAN + 1) ** 2.
@@ -104,7 +104,8 @@ def rooms_at_all(points: DataFrame, rooms: DataFrame, **growth) -> DataFrame:
     xs, ys = F.transform("footprint", lambda p: p["x"]), F.transform("footprint", lambda p: p["y"])
     bounds = rooms.where(F.size("footprint") >= 3).select("doc_id", F.col("id").alias("room_id"), "footprint", "z_min", "z_max", F.array_min(xs).alias("x0"),
         F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
-    dots, bounds = finite(points.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1")), finite(bounds)
+    at = _held(points.select("doc_id", "key", *[F.col(a).alias(f"__{a}") for a in "xyz"]), {a: F.col(f"__{a}") for a in "xyz"})
+    dots, bounds = finite(at.selectExpr("doc_id", "key", "x", "y", "z", "x x0", "y y0", "x x1", "y y1")), finite(bounds)
     tree = grown(dots, bounds, points=True, **growth)
     cell = [F.col(c) for c in TREE_CELL]
     dealt = tree.dealt(dots, F.col("key"), points=True).select(*cell, "key", "x", "y", "z")
@@ -160,24 +161,46 @@ def _in_box(at: dict[str, Column]) -> tuple[Column, Column]:
     return turned, straight
 
 
+#: Ids of boxes alike that one row holds, about.
+IDS = 1000
+
+
+def _alike(sides: DataFrame, ids: int = IDS) -> DataFrame:
+    """Boxes of _world_sides with box_ids instead of box_id: one row for all boxes of a document with the same numbers, or as many rows as keep box_ids to about so many each.
+
+    Numbers that more boxes share are dealt over parts by a hash of the id, so neither a row nor a task grows with them.
+    """
+    spark, numbers = sides.sparkSession, [c for c in sides.columns if c != "box_id"]
+    hashed = sides.withColumn("__hash", F.xxhash64(*numbers))
+    crowded = hashed.groupBy("__hash").count().where(F.col("count") > ids).orderBy(F.desc("count")).limit(LEAVES).collect()
+    parts = spark.createDataFrame([(h, -(-n // ids)) for h, n in crowded], "__hash long, __parts long")
+    part = F.pmod(F.xxhash64("box_id"), F.coalesce("__parts", F.lit(1)))
+    dealt = hashed.join(F.broadcast(parts), "__hash", "left").withColumn("__part", part)
+    same = Window.partitionBy("__hash", "__part", *numbers).orderBy("box_id")
+    whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = dealt.select(*numbers, F.collect_list("box_id").over(whole).alias("box_ids"), F.row_number().over(same).alias("__rank"))
+    return held.where("__rank = 1").drop("__rank")
+
+
 def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, keep: tuple[str, ...] = (), **growth) -> DataFrame:
     """doc_id, id, box_id, and columns to keep of elements: the elements in each scope box of their document, for tables of any size: by centroid, or by corners and middle of bounding boxes.
 
     Elements and boxes go to the cells of a tree that their bounds touch. Bounds that overlap do so in several cells, but
     the lower left corner of what they share is in one, and only there a pair is tested, so none comes up twice. Tests are
-    on numbers, not arrays, which keeps them in generated code.
+    on numbers, not arrays, which keeps them in generated code. Boxes with the same numbers are tested once, and only what
+    is found is written out for each of them; elements beyond the bounds of all boxes aren't dealt out.
     """
-    sides = finite(_world_sides(boxes.where("min IS NOT NULL AND max IS NOT NULL"), 1e-9))
+    sides = _alike(finite(_world_sides(boxes.where("min IS NOT NULL AND max IS NOT NULL"), 1e-9)))
     if intersects:
-        named = [F.col(f"bbox.{b}.{a}").alias(f"{e}{a}") for e, b in (("p", "min"), ("q", "max")) for a in "xyz"]
-        corners_of = elements.where("bbox IS NOT NULL").select("doc_id", "id", *keep, *named)
-        edges = [edge(f"p{a}", f"q{a}").alias(f"{a}{i}") for i, edge in enumerate((F.least, F.greatest)) for a in "xy"]
-        kept = corners_of.select("*", *edges)
+        named = {f"{e}{a}": F.col(f"bbox.{b}.{a}") for e, b in (("p", "min"), ("q", "max")) for a in "xyz"}
+        corners_of = _held(elements.where("bbox IS NOT NULL").select("doc_id", "id", *keep, "bbox"), named).drop("bbox")
+        edges = {f"{a}{i}": edge(f"p{a}", f"q{a}") for i, edge in enumerate((F.least, F.greatest)) for a in "xy"}
+        kept = _held(corners_of, edges)
     else:
         at = F.coalesce("location", F.when(F.col("bbox").isNotNull(), midpoint(F.col("bbox"))))
-        named = [F.col(f"what.{a}").alias(f"p{a}") for a in "xyz"]
-        kept = elements.select("doc_id", "id", *keep, at.alias("what")).where("what IS NOT NULL").select("doc_id", "id", *keep, *named).selectExpr("*", "px x0", "py y0", "px x1", "py y1")
-    slim = finite(kept)
+        named = {f"p{a}": F.col(f"what.{a}") for a in "xyz"}
+        kept = _held(elements.select("doc_id", "id", *keep, at.alias("what")).where("what IS NOT NULL"), named).drop("what").selectExpr("*", "px x0", "py y0", "px x1", "py y1")
+    slim = reached(finite(kept), sides)
     tree = grown(slim, sides, points=not intersects, **growth)
     edges = ["x0", "y0", "x1", "y1"]
     few = tree.copied(sides).withColumnsRenamed({c: f"b_{c}" for c in edges})
@@ -198,4 +221,4 @@ def boxes_met(elements: DataFrame, boxes: DataFrame, intersects: bool = False, k
         turned, straight = _in_box(p)
     # one generated method with all nine points is too long for the JVM to compile; beside a lambda, Spark makes a method of each part of a condition instead
     is_turned = F.exists(F.array("turned"), lambda t: t) if intersects else F.col("turned")
-    return both.where(here).where(F.when(is_turned, turned).otherwise(straight)).select("doc_id", "id", "box_id", *keep)
+    return both.where(here).where(F.when(is_turned, turned).otherwise(straight)).select("doc_id", "id", F.explode("box_ids").alias("box_id"), *keep)

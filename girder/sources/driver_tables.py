@@ -45,8 +45,15 @@ def _point(x: Column, y: Column, z: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), z.cast("double").alias("z"))
 
 
-def building(spark: SparkSession, sf_dir: str) -> Model:
-    """Orders as elements, parts as types and views, customers as rooms, suppliers as sheets, nations as levels, regions as documents."""
+def _around(x: Column, y: Column, z: Column) -> Column:
+    return F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))
+
+
+def building(spark: SparkSession, sf_dir: str, place: tuple[Column, Column] | None = None) -> Model:
+    """Orders as elements, parts as types and views, customers as rooms, suppliers as sheets, nations as levels, regions as documents.
+
+    place: location and bounding box of elements in columns of orders, if not the building's own.
+    """
     read = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     key, okey, ckey = F.col("r_regionkey"), F.col("o_orderkey"), F.col("c_custkey")
 
@@ -65,14 +72,14 @@ def building(spark: SparkSession, sf_dir: str) -> Model:
 
     def elements() -> DataFrame:
         x, y, z = F.col("o_totalprice") / 1000, (F.col("o_custkey") % 1000) / 10, (okey % 100) / 10
+        location, bbox = place or (F.when(okey % 4 != 1, _point(x, y, z)), F.when(okey % 5 != 0, _around(x, y, z)))
         type_of = read("lineitem").groupBy(F.col("l_orderkey").alias("__order")).agg(F.min("l_partkey").alias("type_id"))
         return read("orders").join(type_of, okey == F.col("__order"), "left").select(
             F.lit(0).alias("doc_id"), okey.alias("id"), F.concat(F.lit("u-"), okey).alias("unique_id"), F.concat(F.lit("Order "), okey).alias("name"),
                 F.col("o_orderpriority").alias("category"), F.col("o_orderpriority").alias("category_code"), "type_id",
             F.lit(False).alias("is_type"), (okey % 7 != 3).alias("is_family_instance"), F.when(okey % 2 == 0, F.col("o_custkey") % 40).alias("level_id"),
                 F.when(okey % 3 == 0, F.concat(F.lit("g-"), okey)).alias("ifc_guid"),
-            F.when(okey % 4 != 1, _point(x, y, z)).alias("location"),
-                F.when(okey % 5 != 0, F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))).alias("bbox"),
+            location.alias("location"), bbox.alias("bbox"),
             F.when(okey % 10 == 0, F.struct((okey % 3).alias("id"), F.lit("Option").alias("name"), (okey % 20 == 0).alias("is_primary"))).alias("design_option"),
             _params(
                 UNIFORMAT_CODE=F.when(okey % 2 == 0, _param("String", F.lit("inst"))), FAMILY_LEVEL_PARAM=F.when(okey % 3 == 0, _param("ElementId", F.lit(99))),
@@ -181,17 +188,14 @@ ROW, ROOM = 100, 10
 
 def city(spark: SparkSession, sf_dir: str) -> Model:
     """Every customer as a room with a footprint, in rows of a city; orders as elements in their customers' rooms, but a third of all in one block of a few rooms."""
-    model = building(spark, sf_dir)
     key, order, custkey = F.col("id"), F.col("o_orderkey"), F.col("o_custkey")
-    corner = lambda dx, dy: F.struct((key % ROW * ROOM + dx).cast("double").alias("x"), (F.floor(key / ROW) * ROOM + dy).cast("double").alias("y"))
-    model.tables["rooms"] = model.rooms.withColumn("footprint", F.array(corner(0, 0), corner(ROOM, 0), corner(ROOM, ROOM), corner(0, ROOM)))
     crowd = order % 3 == 0
     x = F.when(crowd, custkey % 17 + (order % 7) / 8).otherwise(custkey % ROW * ROOM + order % 10 + 0.5)
     y = F.when(crowd, order % 13 + 0.25).otherwise(F.floor(custkey / ROW) * ROOM + order % 9 + 0.75)
     z = (order % 100) / 10
-    boxed = F.struct(_point(x - 3, y - 3, z - 1).alias("min"), _point(x + 3, y + 3, z + 1).alias("max"))
-    at = spark.read.parquet(f"{sf_dir}/orders.parquet").select(order.alias("__order"), _point(x, y, z).alias("location"), F.when(order % 5 != 0, boxed).alias("bbox"))
-    model.tables["elements"] = model.elements.drop("location", "bbox").join(at, key == F.col("__order")).select(*[f.name for f in TABLES["elements"]])
+    model = building(spark, sf_dir, (_point(x, y, z), F.when(order % 5 != 0, _around(x, y, z))))
+    corner = lambda dx, dy: F.struct((key % ROW * ROOM + dx).cast("double").alias("x"), (F.floor(key / ROW) * ROOM + dy).cast("double").alias("y"))
+    model.tables["rooms"] = model.rooms.withColumn("footprint", F.array(corner(0, 0), corner(ROOM, 0), corner(ROOM, ROOM), corner(0, ROOM)))
     return model
 
 

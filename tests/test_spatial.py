@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from girder.functions.geometry import in_footprint
-from girder.operators import quadtree
+from girder.operators import quadtree, spatial
 from girder.operators.spatial import boxes_met, elements_in_boxes, rooms_at, rooms_at_all
 from girder.sources.schema import TABLES
 
@@ -174,3 +174,28 @@ def test_rooms_side_by_side_round_alike(spark):
     assert pairs.count() == len(points)
     for found in (rooms_at(dots, places), rooms_at_all(dots, places)):
         assert {r["key"]: r["room_id"] for r in found.collect()} == want and want[0] == 24
+
+
+@pytest.mark.parametrize("intersects", [False, True])
+def test_boxes_alike_are_tested_once(spark, intersects):
+    """Copies of boxes make as many times the pairs, but no more rows that meet elements; a row holds few ids though very many boxes are alike."""
+    boxes, elements = boxes_and_elements(7)
+    copies = [{**b, "id": b["id"] + 100 * k} for k in range(20) for b in boxes]
+    once, rows = table(spark, "scope_boxes", boxes), table(spark, "scope_boxes", copies)
+    sides = [spatial._alike(spatial._world_sides(t.where("min IS NOT NULL"), 1e-9)) for t in (once, rows)]
+    assert sides[0].count() == sides[1].count() == len([b for b in boxes if b["min"]])
+    ids = lambda side: sorted(i for r in side.select("box_ids").collect() for i in r[0])
+    want = sorted(b["id"] for b in copies if b["min"])
+    few = spatial._alike(spatial._world_sides(rows.where("min IS NOT NULL"), 1e-9), ids=4)
+    assert ids(sides[1]) == ids(few) == want and max(len(r[0]) for r in few.select("box_ids").collect()) <= 13
+    found = sorted(map(tuple, boxes_met(table(spark, "elements", elements), rows, intersects).collect()))
+    assert found == sorted((d, e, b + 100 * k) for d, e, b in brute(boxes, elements, intersects) for k in range(20))
+
+
+def test_elements_beyond_all_boxes_stay_where_they_are(spark):
+    boxes, _ = boxes_and_elements(8)
+    far = [{"doc_id": 1, "id": k, "location": (1e6 + k, 5.0, 1.0)} for k in range(50)] + [{"doc_id": 1, "id": 99, "location": (50.0, 0.0, 1.0)}]
+    sides = spatial._world_sides(table(spark, "scope_boxes", boxes).where("min IS NOT NULL"), 1e-9)
+    dots = table(spark, "elements", far).selectExpr("doc_id", "id", "location.x x0", "location.y y0", "location.x x1", "location.y y1")
+    assert [r["id"] for r in quadtree.reached(dots, sides).collect()] == [99] and quadtree.reached(dots, sides.limit(0)).count() == 0
+    assert boxes_met(table(spark, "elements", far[:50]), table(spark, "scope_boxes", boxes)).count() == 0
