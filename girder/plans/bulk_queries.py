@@ -96,7 +96,7 @@ def box_members_intersects(spark, sf_dir):
 def box_members_sql(spark, sf_dir):
     """The same by the SQL table function, whose arguments are columns of the table of boxes."""
     model = boxed_city(spark, sf_dir)
-    register_functions(model, "city_")
+    register_functions(model, "city_", ["elements_in_box"])
     return spark.sql("SELECT f.id, b.id AS box_id FROM city_scope_boxes b, LATERAL city_elements_in_box(b.doc_id, b.id) f")
 
 

@@ -7,6 +7,8 @@ range join, whose cells are shaped by a sample when the functions are registered
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from girder.functions.identity import PROJECT_PREFIX
 from girder.functions.text import letters
 from girder.operators.spatial import boxes_met
@@ -74,12 +76,20 @@ FUNCTIONS = {
 }
 
 
-def register_functions(model: Model, prefix: str = "bim_") -> list[str]:
-    """Registers the tables as views and the functions as temporary table functions, all with the prefix; returns the functions' names."""
+#: Functions that read pairs of elements and boxes: the view of pairs, and whether bounding boxes are tested.
+PAIRS = {"elements_in_box": ("pairs_in", False), "elements_meeting_box": ("pairs_meeting", True)}
+
+
+def register_functions(model: Model, prefix: str = "bim_", only: Collection[str] | None = None) -> list[str]:
+    """Registers the tables as views and the functions as temporary table functions, all with the prefix; returns the functions' names.
+
+    only: the functions that are needed, without prefix. Each box test reads elements when it is registered, to shape its cells.
+    """
     model.register(prefix)
-    for name, intersects in (("pairs_in", False), ("pairs_meeting", True)):
-        boxes_met(model.elements, model.scope_boxes, intersects, keep=("name", "category")).createOrReplaceTempView(prefix + name)
-    for name, (parameters, columns, body) in FUNCTIONS.items():
+    wanted = {name: FUNCTIONS[name] for name in (FUNCTIONS if only is None else only)}
+    for view, intersects in (PAIRS[name] for name in wanted if name in PAIRS):
+        boxes_met(model.elements, model.scope_boxes, intersects, keep=("name", "category")).createOrReplaceTempView(prefix + view)
+    for name, (parameters, columns, body) in wanted.items():
         text = body.format(p=prefix).replace(f"{name}.", f"{prefix}{name}.")
         model.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({parameters}) RETURNS TABLE({columns}) RETURN {text}")
-    return [prefix + name for name in FUNCTIONS]
+    return [prefix + name for name in wanted]

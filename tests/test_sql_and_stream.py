@@ -18,6 +18,13 @@ def test_table_functions(model):  # noqa: F811
     assert len(sql("SELECT * FROM bim_levels_of(1)")) == 4
 
 
+def test_only_the_functions_that_are_needed(model):  # noqa: F811
+    """A box test that nobody asked for doesn't read elements to shape its cells."""
+    assert register_functions(model, "few_", ["elements_in_box"]) == ["few_elements_in_box"]
+    assert model.spark.catalog.tableExists("few_pairs_in") and not model.spark.catalog.tableExists("few_pairs_meeting")
+    assert register_functions(model, "no_", []) == [] and not model.spark.catalog.tableExists("no_pairs_in")
+
+
 def test_freshness_stream(spark, tmp_path):
     rows = [(HOST, "Host", "", f"g{saves}", saves, modified, False, False, True, None) for saves, modified in ((1, False), (1, True), (2, False))] + [(9, "New", None, None, None, False, False, False, True, None)]
     for k, row in enumerate(rows):
